@@ -28,7 +28,10 @@ def zone_cells(zones: DataFrame, names: list[str], cell: Column) -> DataFrame:
     A cell no edge comes near lies wholly inside or outside: outside cells are dropped, inside cells carry
     no edges, so only cells on a border keep the polygon for the exact test.
     """
-    boxed = zones.select(*names, zone_edges(F.col("rings")).alias("edges"), bounding_box(F.col("rings")).alias("box"))
+    boxed = zones.select(
+        *names, zone_edges(F.col("rings")).alias("edges"), bounding_box(F.col("rings")).alias("box"), cell.alias("cell")
+    )
+    cell = F.col("cell")
 
     def span(low: Column, high: Column) -> Column:
         return F.explode(F.sequence(F.floor(low / cell), F.floor(high / cell)))

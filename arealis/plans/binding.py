@@ -86,7 +86,8 @@ def raw_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_long(raw_long(spark, sf_dir))
+    """Cleaned rows; the raw ones are stored first, as values and outlier bounds both read them."""
+    return clean_long(stored(raw_long(spark, sf_dir), "raw"))
 
 
 def merged_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
