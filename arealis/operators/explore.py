@@ -57,12 +57,19 @@ def join_zones(zones: DataFrame, values: DataFrame, keys: list[str] = AREA_KEYS)
     return zones.join(values, keys, "left").select(*zones.columns, *[c for c in values.columns if c not in keys])
 
 
-def value_range(joined: DataFrame, variable: str, digits: int = 3) -> DataFrame:
-    """Least, greatest and mean value on the map, rounded; no row when there is no value."""
+def value_range(joined: DataFrame, variable: str, digits: int = 3, weight: str | None = None) -> DataFrame:
+    """Least, greatest and mean value on the map, rounded; no row when there is no value.
+
+    Every zone counts once in the mean, or by the column ``weight``, such as its area.
+    """
+    mean = F.avg(variable)
+    if weight:
+        share = F.when(F.col(variable).isNotNull(), F.col(weight))
+        mean = F.try_divide(F.sum(F.col(variable) * share), F.sum(share))
     stats = joined.agg(
         settled(F.min(variable), digits).alias("min_value"),
         settled(F.max(variable), digits).alias("max_value"),
-        settled(F.avg(variable), digits).alias("mean_value"),
+        settled(mean, digits).alias("mean_value"),
     )
     return stats.where(F.col("min_value").isNotNull())
 

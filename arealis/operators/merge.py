@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arealis.registry import PANEL_KEYS, PANEL_VARIABLES
@@ -25,13 +25,35 @@ def concat_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def outer_merge(frames: list[DataFrame], keys: list[str] = PANEL_KEYS) -> DataFrame:
-    """Full outer join of any number of tables, folded from the left.
+def outer_merge(frames: list[DataFrame], keys: list[str] = PANEL_KEYS, unique: bool = True) -> DataFrame:
+    """Full outer join of any number of tables on ``keys``; null keys match each other.
 
-    Null keys match each other and repeated keys multiply, as an equi-join on values does. Use
-    ``merge_long`` where keys are unique: it needs one shuffle in place of one per table.
+    With unique keys, as cleaned tables have, the join is a union grouped by key: one shuffle for all
+    tables, and a frequent key cannot multiply. A repeated key in one table then fails the job.
+    ``unique=False`` joins the tables pair by pair, where repeated keys multiply.
     """
+    return _merge_grouped(frames, keys) if unique else _merge_joined(frames, keys)
 
+
+def _merge_grouped(frames: list[DataFrame], keys: list[str]) -> DataFrame:
+    tagged = concat_all([f.withColumn("_source", F.lit(i)) for i, f in enumerate(frames)])
+    columns = []
+    for i, frame in enumerate(frames):
+        here = F.col("_source") == i
+        for name in frame.columns:
+            if name not in keys:
+                columns.append(_single(here, F.col(name), name, keys))
+    return tagged.groupBy(*keys).agg(*columns)
+
+
+def _single(here: Column, value: Column, name: str, keys: list[str]) -> Column:
+    """The group's value where ``here`` holds; a second row there is an error."""
+    message = F.concat(F.lit(f"{name}: repeated key "), F.to_json(F.struct(*keys)))
+    first = F.any_value(F.when(here, F.struct(value.alias("v"))), True)["v"]
+    return F.when(F.count_if(here) <= 1, first).otherwise(F.raise_error(message)).alias(name)
+
+
+def _merge_joined(frames: list[DataFrame], keys: list[str]) -> DataFrame:
     def pair(left: DataFrame, right: DataFrame) -> DataFrame:
         same = reduce(
             lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
@@ -51,20 +73,14 @@ def merge_long(
 ) -> DataFrame:
     """Long table -> one row per key and one column per variable, in one shuffle.
 
-    A repeated (key, variable) would need the multiplying join above, so the job fails on it; the
-    result is therefore unique per key. Partial aggregation keeps a frequent key to one row per map task.
+    A repeated (key, variable) has no single value, so the job fails on it; the result is unique per key. Partial aggregation keeps a frequent key to one row per map task.
     """
 
-    def only_value(v: str):
+    def only_value(v: str) -> Column:
         here = F.col("variable") == v
-        return (
-            F.when(
-                F.count(F.when(here, F.lit(1))) > 1,
-                F.raise_error(F.concat(F.lit(f"{v}: repeated key "), F.to_json(F.struct(*keys)))).cast("double"),
-            )
-            .otherwise(F.max(F.when(here, F.col("value"))))
-            .alias(v)
-        )
+        message = F.concat(F.lit(f"{v}: repeated key "), F.to_json(F.struct(*keys)))
+        value = F.max(F.when(here, F.col("value")))
+        return F.when(F.count_if(here) <= 1, value).otherwise(F.raise_error(message)).alias(v)
 
     return long.groupBy(*keys).agg(*[only_value(v) for v in variables])
 

@@ -1,8 +1,8 @@
 """The supplied tables read as observations, areas, pixels and zones.
 
 Area = region, nation, market segment of the customer; time = month of the order. Each order line counts as one
-observation of five raw variables. Money and quantities have two decimals and are added as decimals, so that a
-cell's value does not depend on the order of addition.
+observation of five raw variables. Money and quantities have two decimals and are added as whole hundredths, so
+that a cell's value does not depend on the order of addition.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _decimal(name: str) -> Column:
-    return F.col(name).cast("decimal(18,2)")
+def _hundredths(name: str) -> Column:
+    return F.floor(F.col(name) * 100 + 0.5)
 
 
 def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,8 +49,8 @@ def raw_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("l_orderkey")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum(_decimal("l_quantity")).alias("quantity"),
-            F.sum(_decimal("l_discount")).alias("discount"),
+            F.sum(_hundredths("l_quantity")).alias("quantity"),
+            F.sum(_hundredths("l_discount")).alias("discount"),
             F.sum((F.col("l_linenumber") >= FIRE_MASK_MIN).cast("int")).alias("fires"),
         )
     )
@@ -59,10 +59,10 @@ def raw_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_custkey",
         F.year("o_orderdate").alias("year"),
         F.month("o_orderdate").alias("month"),
-        F.col("o_totalprice").cast("decimal(12,2)").alias("price"),
+        _hundredths("o_totalprice").alias("price"),
     )
     customer = table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_nationkey", F.col("c_acctbal").cast("decimal(12,2)").alias("balance"),
+        "c_custkey", "c_nationkey", _hundredths("c_acctbal").alias("balance"),
         F.col("c_mktsegment").alias("subdistrict"),
     )
     observed = (
@@ -71,11 +71,15 @@ def raw_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(areas(spark, sf_dir), F.col("c_nationkey") == F.col("nationkey"))
     )
     n = F.sum("n").cast("double")
+
+    def total(hundredths: Column) -> Column:
+        return F.sum(hundredths).cast("double") / 100
+
     return observed.groupBy(*PANEL_KEYS).agg(
-        (F.sum(F.col("price") * F.col("n")).cast("double") / n / 45).alias("NDVI"),
-        (F.sum("quantity").cast("double") / n * 65 + 13500).alias("LST"),
-        F.sum(F.col("balance") * F.col("n")).cast("double").alias("RAINFALL"),
-        (F.sum("discount").cast("double") / n * 12).alias("SOILMOISTURE"),
+        (total(F.col("price") * F.col("n")) / n / 45).alias("NDVI"),
+        (total(F.col("quantity")) / n * 65 + 13500).alias("LST"),
+        total(F.col("balance") * F.col("n")).alias("RAINFALL"),
+        (total(F.col("discount")) / n * 12).alias("SOILMOISTURE"),
         F.sum("fires").cast("double").alias("FIRECOUNT"),
     )
 

@@ -16,7 +16,7 @@ from arealis.functions.dtw import dtw_arrow, dtw_column
 from arealis.functions.geometry import covers, zone_area, zone_edges
 from arealis.operators import anomaly, clean, explore, fill, merge, ranks, raster, zones
 from arealis.plans import binding as b
-from arealis.plans import dashboard
+from arealis.plans import dashboard, incremental
 from arealis.plans.batch import Tables, run_batch
 from arealis.registry import AREA_KEYS, PANEL_KEYS, PANEL_VARIABLES, VARIABLES
 from arealis.session import scratch_dir, stored
@@ -64,31 +64,43 @@ def scan_panel(spark, sf):
 
 @query
 def variable_from_path(spark, sf):
-    """Rows per file of the folder, named after the path."""
-    nation = files.scan_parquet(spark, sf, "*nation.parquet")
-    return nation.groupBy(files.variable_from_path().alias("variable")).agg(F.count(F.lit(1)).alias("n_rows"))
+    """Raw values written to a folder per variable, one of them unknown, and read back by path."""
+    folder = scratch_dir(spark, "raw")
+    raw = stored(b.raw_long(spark, sf), "raw")
+    for v in [*PANEL_VARIABLES, "Unknown"]:
+        rule = VARIABLES.get(v)
+        rows = raw.where(F.col("variable") == (v if rule else "NDVI"))
+        reducer = rule.reducer if rule else "mean"
+        named = rows.withColumnRenamed("value", reducer).withColumnRenamed("subdistrict", "subdistric")
+        named.drop("variable").write.parquet(f"{folder}/{v.lower()}")
+    schema = "province string, district string, subdistric string, year int, month int, mean double, sum double"
+    return settle(files.read_variable_folders(spark, folder, schema))
 
 
 @query
 def list_inputs(spark, sf):
-    return files.list_inputs(spark, sf, "*.parquet").select("variable", "stem", "length")
+    return files.list_inputs(spark, sf, "*.parquet").select("stem", (F.col("length") > 0).alias("has_bytes"))
+
+
+def _audit(spark, sf):
+    found = audit.file_schemas(spark, sf, expected=["o_orderkey", "o_custkey"])
+    return found.withColumn("stem", F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1))
 
 
 @query
 def schema_audit(spark, sf):
-    found = audit.file_schemas(spark, sf, expected=["o_orderkey", "o_custkey"])
-    return found.select(
-        F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1).alias("stem"),
+    return _audit(spark, sf).select(
+        "stem",
         F.array_join("columns", ",").alias("columns"),
         F.array_join("missing", ",").alias("missing"),
         F.size("extra").alias("n_extra"),
-        "error",
+        F.col("error").isNotNull().alias("unreadable"),
     )
 
 
 @query
 def schema_groups(spark, sf):
-    return audit.schema_summary(audit.file_schemas(spark, sf)).select("schema", "n_files")
+    return audit.schema_summary(_audit(spark, sf)).select("schema", "n_files")
 
 
 @query
@@ -107,7 +119,7 @@ def variable_counts(spark, sf):
 
 
 @query
-def attribute_table(spark, sf):
+def read_attributes(spark, sf):
     """Customers written as CSV and read back with a stated schema."""
     folder = scratch_dir(spark, "attributes")
     customer = b.table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
@@ -281,10 +293,18 @@ def drop_incomplete(spark, sf):
 def merge_variables(spark, sf):
     """Outer join of the five variables, each without the rows its rules masked."""
     cleaned = stored(b.clean_cells(spark, sf).where(F.col("value").isNotNull()), "clean")
-    parts = [
-        merge.project_value(cleaned.where(F.col("variable") == v), "value", v) for v in PANEL_VARIABLES
-    ]
-    return settle(merge.outer_merge(parts))
+    return settle(merge.outer_merge(_parts(cleaned)))
+
+
+def _parts(cleaned):
+    return [merge.project_value(cleaned.where(F.col("variable") == v), "value", v) for v in PANEL_VARIABLES]
+
+
+@query
+def merge_variables_joined(spark, sf):
+    """The same by joins, the form that lets repeated keys multiply."""
+    cleaned = stored(b.clean_cells(spark, sf).where(F.col("value").isNotNull()), "clean")
+    return settle(merge.outer_merge(_parts(cleaned), unique=False))
 
 
 @query
@@ -497,6 +517,14 @@ def dtw_anomaly(spark, sf):
     return settle(anomaly.anomaly_table(b.filled_panel(spark, sf)))
 
 
+@query
+def dtw_anomaly_stats(spark, sf):
+    """The documented form of the table: local statistics, threshold and flag kept."""
+    table = anomaly.anomaly_table(b.filled_panel(spark, sf), keep_stats=True)
+    kinds = ["", "_local_mean", "_local_std", "_local_threshold", "_flag", "_z", "_z_flag"]
+    return settle(table.select(*AREA_KEYS, "year", *[f"dtw_{v.lower()}{k}" for v in PANEL_VARIABLES for k in kinds]))
+
+
 @query
 def batch_run(spark, sf):
     """The whole batch job, every stage stored."""
@@ -549,6 +577,13 @@ def map_summary(spark, sf):
     return explore.value_range(on_map, "LST")
 
 
+@query
+def map_summary_by_area(spark, sf):
+    """The same with zones weighted by their area."""
+    on_map = explore.join_zones(zones.with_areas(b.zones(spark, sf)), _map_values(spark, sf, "LST", "District"), AREA_KEYS[:2])
+    return explore.value_range(on_map, "LST", weight="area")
+
+
 @query
 def area_extremes(spark, sf):
     return settle(explore.area_extremes(_map_values(spark, sf, "RAINFALL"), "RAINFALL"))
@@ -615,10 +650,31 @@ def choropleth_district(spark, sf):
     return settle(_areas_of(joined, "LST"))
 
 
+@query
+def to_geojson(spark, sf):
+    """Zones as GeoJSON features, taken apart again by JSON path."""
+    features = zones.to_geojson(b.zones(spark, sf), AREA_KEYS)
+    corner = "$.geometry.coordinates[0][0][{}][{}]"
+    return settle(features.select(
+        F.get_json_object("value", "$.type").alias("type"),
+        *[F.get_json_object("value", f"$.properties.{k}").alias(k) for k in AREA_KEYS],
+        *[
+            F.get_json_object("value", corner.format(i, axis)).cast("double").alias(f"{name}{i}")
+            for i in (0, 2)
+            for axis, name in enumerate("xy")
+        ],
+    ), 6)
+
+
 @query
 def choropleth_geojson(spark, sf):
-    joined = explore.join_zones(b.zones(spark, sf), _map_values(spark, sf, "NDVI"))
-    return zones.to_geojson(joined, [*AREA_KEYS, "NDVI"])
+    """The map's features: every zone with its value, null where there is none."""
+    joined = explore.join_zones(b.zones(spark, sf), settle(_map_values(spark, sf, "NDVI")))
+    features = zones.to_geojson(joined, [*AREA_KEYS, "NDVI"])
+    return features.select(
+        *[F.get_json_object("value", f"$.properties.{k}").alias(k) for k in AREA_KEYS],
+        F.get_json_object("value", "$.properties.NDVI").cast("double").alias("NDVI"),
+    )
 
 
 @query
@@ -775,6 +831,15 @@ def zonal_sum(spark, sf):
     return settle(raster.zonal(composites, ["province", "district"], {"RAINFALL": "sum", "FIRECOUNT": "sum"}))
 
 
+@query
+def zonal_weighted(spark, sf):
+    """Zonal mean with the pixel's part size as its share."""
+    part = b.table(spark, sf, "part").select(F.col("p_partkey").alias("pixel"), F.col("p_size").cast("double").alias("share"))
+    bands = {"LST": "mean", "RAINFALL": "sum"}
+    composites = _zoned(spark, sf, {"LST": "mean", "RAINFALL": "mean"}).join(part, "pixel")
+    return settle(raster.zonal(composites, ["province", "district"], bands, weight="share"))
+
+
 @query
 def zonal_fire_sum(spark, sf):
     """Fire count by the one-shuffle path: both its reducers are sums."""
@@ -816,6 +881,17 @@ def stream_release(spark, sf):
     return settle(released.select("variable", *PANEL_KEYS, "value"))
 
 
+@query
+def incremental_run(spark, sf):
+    """Two ticks of the incremental job, the second with later files and a later date."""
+    source, tables = scratch_dir(spark, "arriving"), Tables(scratch_dir(spark, "incremental"))
+    raw = stored(b.raw_long(spark, sf), "raw")
+    raw.where(F.col("year") < SPLIT_YEAR).write.parquet(source)
+    incremental.run_tick(spark, source, raw.schema, tables, dt.date(SPLIT_YEAR, 1, 15))
+    raw.where(F.col("year") >= SPLIT_YEAR).write.mode("append").parquet(source)
+    return settle(incremental.run_tick(spark, source, raw.schema, tables, dt.date(2001, 3, 10)))
+
+
 def _event_stream(spark, sf):
     schema = b.table(spark, sf, "events").schema
     return ingest.new_files(spark, sf, schema, "events.parquet").select("ts", "event_type", "value")

@@ -241,11 +241,11 @@ def means(v: str, keys: str = AREA, source: str = "cells", where: str = RANGE) -
     return f"means AS (SELECT {keys}, avg({v}) AS {v} FROM {source} WHERE {where} GROUP BY {keys})"
 
 
-def directional_fill(group: str, order: str) -> str:
+def directional_fill(group: str, order: str, with_: str = WITH_GRID) -> str:
     up = f"(PARTITION BY {group} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     down = f"(PARTITION BY {group} ORDER BY {order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
     cols = [f"coalesce(last_value({v} IGNORE NULLS) OVER {up}, first_value({v} IGNORE NULLS) OVER {down}) AS {v}" for v in VARS]
-    return f"{WITH_GRID}, f AS (SELECT {KEY}, {', '.join(cols)} FROM grid) SELECT {KEY}, {rounded(VARS)} FROM f"
+    return f"{with_}, f AS (SELECT {KEY}, {', '.join(cols)} FROM grid) SELECT {KEY}, {rounded(VARS)} FROM f"
 
 
 def upsert(keys: str, order: str) -> str:
@@ -305,11 +305,20 @@ STREAM_CLOSED = """WITH w AS (SELECT max(ts) - INTERVAL 1 DAY AS mark FROM event
   SELECT CAST(ts AS DATE) AS day, event_type, sum(value) AS s, avg(value) AS m, count(value) AS n FROM events
   GROUP BY 1, 2), closed AS (SELECT * FROM days WHERE day + INTERVAL 1 DAY <= (SELECT mark FROM w))"""
 
+DESCRIBED = "described AS (" + " UNION ALL ".join(
+    f"SELECT '{t}' AS stem, array_to_string(list(column_name), ',') AS columns, list(column_name) AS names FROM (DESCRIBE SELECT * FROM {t})"
+    for t in TABLES.split()
+) + ")"
+
 ORACLE: dict[str, str] = {
     "scan_panel": f"SELECT year(o_orderdate)::INTEGER AS year, count(*) AS n_rows, {rnd('sum(o_totalprice::DECIMAL(18,2))')} AS total FROM orders GROUP BY 1",
+    "variable_from_path": f"{WITH_RAW} SELECT variable, {KEY}, {rnd('v')} AS value FROM raw",
+    "list_inputs": " UNION ALL ".join(f"SELECT '{t}' AS stem, count(*) > 0 AS has_bytes FROM {t}" for t in TABLES.split()),
+    "schema_audit": f"WITH {DESCRIBED} SELECT stem, columns, concat_ws(',', CASE WHEN NOT list_contains(names, 'o_orderkey') THEN 'o_orderkey' END, CASE WHEN NOT list_contains(names, 'o_custkey') THEN 'o_custkey' END) AS missing, len(list_filter(names, lambda c: c NOT IN ('o_orderkey', 'o_custkey')))::INTEGER AS n_extra, false AS unreadable FROM described",
+    "schema_groups": f"WITH {DESCRIBED} SELECT array_to_string(list_sort(names), ',') AS schema, count(*) AS n_files FROM described GROUP BY 1",
     "pending_inputs": f"WITH {ORDER_MONTHS}, vars AS (SELECT unnest({VARS}) AS variable) SELECT variable, format('{{}}_{{}}_{{:02d}}', variable, year, month) AS stem FROM months CROSS JOIN vars WHERE year >= 1998",
     "variable_counts": f"{WITH_RAW} SELECT variable, count(*) AS n_rows FROM raw WHERE v IS NOT NULL GROUP BY 1",
-    "attribute_table": "SELECT c_custkey, c_name, c_acctbal FROM customer",
+    "read_attributes": "SELECT c_custkey, c_name, c_acctbal FROM customer",
     "geojson_features": f"WITH {ZONES} SELECT {AREA}, 5::INTEGER AS n_points FROM zones",
     "read_zones": f"WITH {ZONES} SELECT {AREA}, {rnd('zone_area', 6)} AS area FROM zones",
     "wkt_zones": f"WITH {ZONES} SELECT {AREA}, {rnd('zone_area', 6)} AS area FROM zones",
@@ -372,6 +381,7 @@ SELECT l_returnflag, l_linestatus, {rnd('sum(v::DECIMAL(18,2))::DOUBLE / count(*
     "composite_index": f"{WITH_SCORES} SELECT {AREA}, year, {rnd('avg(z)')} AS anomaly_index, sum(zf)::INTEGER AS anomaly_flags FROM flagged GROUP BY {AREA}, year",
     "dtw_anomaly": ANOMALY,
     "batch_run": ANOMALY,
+    "dtw_anomaly_stats": scores({"": "d", "_local_mean": "mu", "_local_std": "sd", "_local_threshold": "thr", "_flag": "lf", "_z": "z", "_z_flag": "zf"}),
     "filter_range": panel(f"WITH {CELLS}", "cells", RANGE),
     "filter_area": panel(f"WITH {CELLS}", "cells", "district = 'NATION_2'"),
     "filter_area_nested": panel(f"WITH {CELLS}", "cells"),
@@ -392,6 +402,9 @@ SELECT l_returnflag, l_linestatus, {rnd('sum(v::DECIMAL(18,2))::DOUBLE / count(*
     "choropleth_district": f"WITH {CELLS}, {ZONES}, {DISTRICT_MEANS} SELECT {AREA}, {rnd('zone_area')} AS zone_area, {rnd('LST')} AS LST FROM zones LEFT JOIN means USING (province, district)",
     "zone_centroid": f"WITH {EDGES}, {CENTROIDS} SELECT zone_id, {rnd('my / (3 * a)', 6)} AS lat, {rnd('mx / (3 * a)', 6)} AS lon, {rnd('a / 2', 6)} AS area FROM centers",
     "map_center": f"WITH {ZONES} SELECT {rnd('avg((y0 + y1) / 2)', 6)} AS lat, {rnd('avg((x0 + x1) / 2)', 6)} AS lon FROM zones",
+    "to_geojson": f"WITH {ZONES} SELECT 'Feature' AS type, {AREA}, {rnd('x0', 6)} AS x0, {rnd('y0', 6)} AS y0, {rnd('x1', 6)} AS x2, {rnd('y1', 6)} AS y2 FROM zones",
+    "choropleth_geojson": f"WITH {CELLS}, {ZONES}, {means('NDVI')} SELECT {AREA}, {rnd('NDVI')} AS NDVI FROM zones LEFT JOIN means USING ({AREA})",
+    "map_summary_by_area": f"WITH {CELLS}, {ZONES}, {DISTRICT_MEANS} SELECT {rnd('min(LST)', 3)} AS min_value, {rnd('max(LST)', 3)} AS max_value, {rnd('sum(LST * zone_area) / sum(zone_area)', 3)} AS mean_value FROM zones JOIN means USING (province, district) WHERE LST IS NOT NULL",
     "map_points": f"WITH {CELLS}, {ZONES}, {means('NDVI')} SELECT {AREA}, {rnd('(y0 + y1) / 2')} AS lat, {rnd('(x0 + x1) / 2')} AS lon, {rnd('NDVI')} AS NDVI FROM zones JOIN means USING ({AREA}) WHERE NDVI IS NOT NULL AND zone_area > 0",
     "zonal_join": f"WITH {EDGES}, {POINTS}, {HITS} SELECT point_id, zone_id FROM hits",
     "zonal_points": f"WITH {EDGES}, {POINTS}, {HITS} SELECT zone_id, {rnd('avg(value)')} AS mean, {rnd('sum(value)')} AS sum, count(value) AS n FROM hits GROUP BY zone_id",
@@ -424,6 +437,7 @@ UNION ALL {section('trend', LABEL, 'avg(SOILMOISTURE)', 'sel')} GROUP BY year, m
     "temporal_composite_sum": f"WITH {IMAGES}, {COMPOSITE} SELECT tile, pixel, year, month, FIRECOUNT::BIGINT AS FIRECOUNT FROM comp",
     "zonal_mean": f"{WITH_ZONAL} SELECT province, district, year, month, {rounded(['NDVI', 'LST', 'SOILMOISTURE'])} FROM zonal",
     "zonal_sum": f"{WITH_ZONAL} SELECT province, district, year, month, {rnd('RAINFALL')} AS RAINFALL, FIRECOUNT FROM zonal",
+    "zonal_weighted": f"WITH {IMAGES}, {COMPOSITE}, {TILES} SELECT province, district, year, month, {rnd('sum(LST * p_size) / sum(p_size)')} AS LST, {rnd('sum(RAINFALL * p_size)')} AS RAINFALL FROM comp JOIN tiles USING (tile) JOIN part ON p_partkey = pixel GROUP BY province, district, year, month",
     "zonal_fire_sum": f"{WITH_ZONAL} SELECT province, district, year, month, FIRECOUNT FROM zonal",
     "zonal_monthly": f"{WITH_ZONAL} " + " UNION ALL ".join(
         f"SELECT province, district, year, month, '{v}' AS variable, {rnd(v) if v in IQR_VARS else 'NULL::DOUBLE'} AS mean, {rnd(v) if v not in IQR_VARS else 'NULL::DOUBLE'} AS sum FROM zonal"
@@ -431,8 +445,10 @@ UNION ALL {section('trend', LABEL, 'avg(SOILMOISTURE)', 'sel')} GROUP BY year, m
     ),
     "stream_ingest": f"{WITH_RAW}, {MASKED} SELECT variable, {KEY}, {rnd('v')} AS value FROM masked",
     "stream_release": f"{WITH_CLEAN} SELECT variable, {KEY}, {rnd('v')} AS value FROM clean WHERE year * 12 + month < 2000 * 12 + 7",
+    "incremental_run": directional_fill(AREA, "year, month", f"{WITH_MERGED}, grid AS (SELECT * FROM merged WHERE year * 12 + month < 2001 * 12 + 3)"),
     "stream_daily": f"{STREAM_CLOSED} SELECT day, event_type, {rnd('s')} AS sum, {rnd('m')} AS mean, n FROM closed",
     "stream_monthly_from_daily": f"{STREAM_CLOSED} SELECT event_type, year(day)::INTEGER AS year, month(day)::INTEGER AS month, {rnd('sum(s)')} AS sum, sum(n)::BIGINT AS n, {rnd('sum(s) / sum(n)')} AS mean FROM closed GROUP BY ALL",
     "stream_closed_months": f"SELECT year(o_orderdate)::INTEGER AS year, month(o_orderdate)::INTEGER AS month, o_orderpriority, {rnd('sum(o_totalprice)', 2)} AS sum, count(o_totalprice) AS n FROM orders GROUP BY ALL HAVING max(date_trunc('month', o_orderdate)) < (SELECT date_trunc('month', max(o_orderdate)) FROM orders)",
 }
 ORACLE["dtw_distance_arrow"] = ORACLE["dtw_distance"]
+ORACLE["merge_variables_joined"] = ORACLE["merge_variables"]
