@@ -41,8 +41,8 @@ def known_variables(df: DataFrame, variable: str = "variable") -> DataFrame:
 
 def mask_rows(df: DataFrame) -> DataFrame:
     """The row-local rules over a long table: scale, valid range, sentinel. Also valid on a stream."""
-    scaled = known_variables(nan_to_null(df, ["value"])).withColumn("value", by_variable(rescaled))
-    return scaled.withColumn("value", by_variable(in_range))
+    known = known_variables(nan_to_null(df, ["value"]))
+    return known.withColumn("value", by_variable(lambda rule, value: in_range(rule, rescaled(rule, value))))
 
 
 def iqr_mask(
