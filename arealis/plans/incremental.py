@@ -28,14 +28,23 @@ def due_month(panel: DataFrame, as_of: dt.date) -> tuple[int, int] | None:
 
 
 def run_tick(
-    spark: SparkSession, source: str, schema: StructType | str, tables: Tables, as_of: dt.date
+    spark: SparkSession,
+    source: str,
+    schema: StructType | str,
+    tables: Tables,
+    as_of: dt.date,
+    since_year: int | None = None,
 ) -> DataFrame:
     """New raw files of ``source`` -> cleaned rows -> merged panel; returns the panel filled per area.
 
-    A month enters the panel once, when it is over; its outlier bounds then come from all its files.
+    A month enters the panel when it is over; its outlier bounds then come from all its files. ``since_year``
+    leaves the folders of earlier years unread.
     """
     ingest(spark, source, schema, tables.clean, f"{tables.root}/checkpoint")
-    released = release_months(scan_partitioned(spark, tables.clean), as_of.year, as_of.month)
+    cleaned = scan_partitioned(spark, tables.clean)
+    if since_year:
+        cleaned = cleaned.where(cleaned.year >= since_year)
+    released = release_months(cleaned, as_of.year, as_of.month)
     fresh = stored(merge_long(released), "released")
     append_unseen(tables.merged, PANEL_KEYS, PANEL_VARIABLES, ["year"])(fresh, 0)
     panel = spark.read.schema(fresh.schema).parquet(tables.merged)
