@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 # Truncated column names and their full form.
 COLUMN_REPAIRS = {"subdistric": "subdistrict"}
 
+# Rounding adds this before cutting digits off: a half, moved away from values that end in 5.
+TIE_POINT = 0.5003
+
 
 def normalize_columns(df: DataFrame, lower: bool = True) -> DataFrame:
     """Trim column names, turn blanks into underscores, repair truncated names."""
@@ -98,7 +101,18 @@ def settled(value: Column | str, digits: int = 6) -> Column:
     tie would then round either way; shifting the tie point makes the rounded value repeatable.
     """
     scale = float(10**digits)
-    return F.floor(_col(value) * F.lit(scale) + F.lit(0.5003)) / F.lit(scale)
+    return F.floor(_col(value) * F.lit(scale) + F.lit(TIE_POINT)) / F.lit(scale)
+
+
+def settle_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
+    """``settled`` on every double column."""
+    scale = f"{10**digits}D"
+    return df.selectExpr(
+        *[
+            f"floor(`{name}` * {scale} + {TIE_POINT}D) / {scale} AS `{name}`" if kind == "double" else f"`{name}`"
+            for name, kind in df.dtypes
+        ]
+    )
 
 
 def _col(c: Column | str) -> Column:

@@ -32,33 +32,22 @@ def year_vectors(
 
     A missing month is a null element. Twelve conditional aggregates keep the state per group fixed.
     """
-    months = [
-        F.max(F.when(F.col("month") == m, F.col(v).cast("double"))).alias(f"_{v}_{m}")
-        for v in variables
-        for m in MONTHS
-    ]
-    grouped = panel.groupBy(*keys, "year").agg(F.count(F.lit(1)).alias("n_months"), *months)
-    return grouped.select(
-        *keys, "year", "n_months", *[F.array(*[F.col(f"_{v}_{m}") for m in MONTHS]).alias(v) for v in variables]
-    )
-
+    def vector(v: str) -> Column:
+        months = [f"max(CASE WHEN month = {m} THEN CAST(`{v}` AS DOUBLE) END)" for m in MONTHS]
+        return F.expr(f"array({', '.join(months)})").alias(v)
 
-def _trimmed(values: Column, ratio: float) -> Column:
-    """Mean of a sorted array after cutting ``floor(ratio * n)`` from each end; null when empty."""
-    n = F.size(values)
-    cut = F.floor(F.lit(float(ratio)) * n).cast("int")
-    kept = F.slice(values, cut + 1, n - 2 * cut)
-    return F.when(n > 0, F.aggregate(kept, F.lit(0.0), lambda a, v: a + v) / (n - 2 * cut))
+    grouped = panel.groupBy(*keys, "year")
+    return grouped.agg(F.count(F.lit(1)).alias("n_months"), *[vector(v) for v in variables])
 
 
-def _seasonal(years: Column, variable: str, ratio: float) -> Column:
-    by_month = F.transform(
-        F.sequence(F.lit(0), F.lit(MONTHS_PER_YEAR - 1)),
-        lambda m: F.array_sort(
-            F.filter(F.transform(years, lambda y: F.get(y[variable], m)), lambda v: v.isNotNull())
-        ),
-    )
-    return F.transform(by_month, lambda values: _trimmed(values, ratio))
+def _seasonal(variable: str, ratio: float) -> Column:
+    """Twelve trimmed means over the column ``years``: per month, sort, cut ``floor(ratio * n)`` off each end, average."""
+    last = MONTHS_PER_YEAR - 1
+    known = f"filter(transform(years, y -> get(y.`{variable}`, m)), v -> v IS NOT NULL)"
+    cut = f"CAST(floor({float(ratio)}D * size(s)) AS INT)"
+    kept = f"slice(s, {cut} + 1, size(s) - 2 * {cut})"
+    mean = f"CASE WHEN size(s) > 0 THEN aggregate({kept}, 0D, (a, v) -> a + v) / (size(s) - 2 * {cut}) END"
+    return F.expr(f"transform(transform(sequence(0, {last}), m -> array_sort({known})), s -> {mean})")
 
 
 def area_histories(
@@ -76,7 +65,7 @@ def area_histories(
         F.collect_list(F.struct("year", "n_months", *variables)).alias("years")
     )
     return gathered.select(
-        *keys, "years", *[_seasonal(F.col("years"), v, ratio).alias(f"baseline_{v}") for v in variables]
+        *keys, "years", *[_seasonal(v, ratio).alias(f"baseline_{v}") for v in variables]
     )
 
 
@@ -97,7 +86,7 @@ def trimmed_baseline(
 def baseline_columns(variables: list[str] = PANEL_VARIABLES) -> list[Column]:
     """``baseline_<variable>_m01 .. m12`` out of the baseline arrays."""
     return [
-        F.get(F.col(f"baseline_{v}"), F.lit(m - 1)).alias(f"baseline_{v.lower()}_m{m:02d}")
+        F.expr(f"get(`baseline_{v}`, {m - 1}) AS baseline_{v.lower()}_m{m:02d}")
         for v in variables
         for m in MONTHS
     ]

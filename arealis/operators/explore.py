@@ -21,9 +21,10 @@ def filter_range(panel: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
 
 def filter_month(images: DataFrame, year: int, month: int, ts: str = "image_ts") -> DataFrame:
     """Images of one month: from its first instant up to, not including, the next month's."""
-    first = dt.datetime(year, month, 1)
-    after = dt.datetime(year + month // 12, month % 12 + 1, 1)
-    return images.where((F.col(ts) >= F.lit(first)) & (F.col(ts) < F.lit(after)))
+    # Without a zone, so that a plain timestamp compares as is and a zoned one in the session's zone.
+    first = F.make_timestamp_ntz(F.lit(year), F.lit(month), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    after = F.make_timestamp_ntz(F.lit(year + month // 12), F.lit(month % 12 + 1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    return images.where((F.col(ts) >= first) & (F.col(ts) < after))
 
 
 def filter_area(

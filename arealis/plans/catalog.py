@@ -44,9 +44,7 @@ def all_queries() -> dict[str, Query]:
 
 def settle(df: DataFrame, digits: int = 4) -> DataFrame:
     """Doubles rounded so that the order of addition does not show."""
-    return df.select(
-        *[c.settled(F.col(name), digits).alias(name) if kind == "double" else F.col(name) for name, kind in df.dtypes]
-    )
+    return c.settle_doubles(df, digits)
 
 
 # --- sources and sinks -------------------------------------------------------------------------

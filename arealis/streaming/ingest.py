@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -55,10 +56,13 @@ def append_unseen(
 
 
 def _existing(spark: SparkSession, folder: str, schema: StructType) -> DataFrame | None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return None
-    return spark.read.schema(schema).option("basePath", folder).parquet(folder)
+    """The table so far, or none before the first batch."""
+    try:
+        return spark.read.schema(schema).option("basePath", folder).parquet(folder)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def run_available(
