@@ -110,6 +110,16 @@ def write_table(df: DataFrame, folder: str, partitions: list[str] | None = None,
     spread.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(folder)
 
 
+def write_bucketed(df: DataFrame, name: str, folder: str, by: list[str], buckets: int) -> DataFrame:
+    """Save a table hash-partitioned on ``by``, so that grouping or joining on these columns needs no shuffle.
+
+    Meant for the pixel series: composites by pixel and month then run within the buckets.
+    """
+    writer = df.write.mode("overwrite").format("parquet").option("path", folder)
+    writer.bucketBy(buckets, *by).sortBy(*by).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def read_attributes(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "csv") -> DataFrame:
     """Attribute table with a stated schema: CSV with a header, or parquet."""
     reader = spark.read.schema(schema)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from arealis.functions.columns import require_columns
-from arealis.operators import clean
+from arealis.operators import clean, raster
 from arealis.plans.batch import Tables, run_batch
 from arealis.plans.incremental import due_month, run_tick, unfinished
 from arealis.registry import PANEL_KEYS, PANEL_VARIABLES
@@ -65,6 +65,19 @@ def test_partitions_are_replaced_one_by_one(spark, tmp_path):
     assert only.count() == 1
 
 
+def test_bucketed_pixels_need_no_shuffle(spark, tmp_path):
+    pixels = spark.range(500).select(
+        (F.col("id") % 40).alias("pixel"), F.timestamp_seconds(F.col("id") * 50_000).alias("image_ts"), (F.col("id") % 7).cast("double").alias("v")
+    )
+    saved = files.write_bucketed(pixels, "bucketed_pixels", str(tmp_path / "t"), ["pixel"], 4)
+    try:
+        df = raster.composite(saved, ["pixel"], {"v": "mean"})
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+        assert sorted(df.collect()) == sorted(raster.composite(pixels, ["pixel"], {"v": "mean"}).collect())
+    finally:
+        spark.sql("DROP TABLE bucketed_pixels")
+
+
 def test_attributes(spark, tmp_path):
     path = tmp_path / "a.csv"
     path.write_text("Province,Sub Area,NDVI\np,x,0.5\nq,y,\n")
