@@ -853,6 +853,20 @@ def zonal_monthly(spark, sf):
     ))
 
 
+@query
+def zonal_monthly_polygons(spark, sf):
+    """The export table by polygon: a part's pixel lies where the vector of its number points.
+
+    Zones are found once per pixel; the composites follow by pixel key.
+    """
+    places = zones.zonal_join(b.points(spark, sf), b.star_zones(spark, sf), ["zone_id"])
+    placed = places.select(F.col("point_id").alias("pixel"), "zone_id")
+    variables = [VARIABLES["LST"], VARIABLES["FIRECOUNT"]]
+    return settle(raster.zonal_monthly(
+        _images(spark, sf), ["pixel"], ["zone_id"], lambda m: m.join(placed, "pixel"), variables
+    ))
+
+
 # --- streams -----------------------------------------------------------------------------------
 
 

@@ -443,6 +443,7 @@ UNION ALL {section('trend', LABEL, 'avg(SOILMOISTURE)', 'sel')} GROUP BY year, m
         f"SELECT province, district, year, month, '{v}' AS variable, {rnd(v) if v in IQR_VARS else 'NULL::DOUBLE'} AS mean, {rnd(v) if v not in IQR_VARS else 'NULL::DOUBLE'} AS sum FROM zonal"
         for v in VARS
     ),
+    "zonal_monthly_polygons": f"WITH {IMAGES}, {EDGES}, {POINTS}, {HITS}, comp AS (SELECT pixel, year, month, avg(LST) AS LST, sum(FIRECOUNT) AS FIRECOUNT FROM images GROUP BY ALL), z AS (SELECT zone_id, year, month, avg(LST) AS LST, sum(FIRECOUNT)::DOUBLE AS FIRECOUNT FROM comp JOIN hits ON pixel = point_id GROUP BY ALL) SELECT zone_id, year, month, 'LST' AS variable, {rnd('LST')} AS mean, NULL::DOUBLE AS sum FROM z UNION ALL SELECT zone_id, year, month, 'FIRECOUNT', NULL::DOUBLE, {rnd('FIRECOUNT')} FROM z",
     "stream_ingest": f"{WITH_RAW}, {MASKED} SELECT variable, {KEY}, {rnd('v')} AS value FROM masked",
     "stream_release": f"{WITH_CLEAN} SELECT variable, {KEY}, {rnd('v')} AS value FROM clean WHERE year * 12 + month < 2000 * 12 + 7",
     "incremental_run": directional_fill(AREA, "year, month", f"{WITH_MERGED}, grid AS (SELECT * FROM merged WHERE year * 12 + month < 2001 * 12 + 3)"),

@@ -1,15 +1,30 @@
-"""Event-time aggregates that are released once a period is closed."""
+"""Event-time aggregates that are released once a period is closed.
+
+Windows of a day are cut at midnight UTC. Event times are therefore taken as wall-clock times and placed on the
+UTC clock, so that days and months are those a reader of the data sees, whatever the session's time zone.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
+def wall_clock(ts: str) -> Column:
+    """The time as shown, as an instant on the UTC clock."""
+    second = F.expr(f"extract(SECOND FROM `{ts}`)")
+    return F.make_timestamp(F.year(ts), F.month(ts), F.day(ts), F.hour(ts), F.minute(ts), second, F.lit("UTC"))
+
+
+def wall_day(instant: Column) -> Column:
+    """Date of an instant on the UTC clock."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(instant) / 86400).cast("int"))
+
+
 def with_event_time(stream: DataFrame, ts: str, delay: str) -> DataFrame:
     """Event time as ``TIMESTAMP`` with a watermark; rows later than ``delay`` behind the newest are dropped."""
-    return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+    return stream.withColumn(ts, wall_clock(ts)).withWatermark(ts, delay)
 
 
 def daily_zonal(
@@ -20,7 +35,7 @@ def daily_zonal(
     grouped = timed.groupBy(F.window(ts, "1 day").alias("w"), *zone).agg(
         F.sum(value).alias("sum"), F.avg(value).alias("mean"), F.count(value).alias("n")
     )
-    return grouped.select(F.col("w.start").cast("date").alias("day"), *zone, "sum", "mean", "n")
+    return grouped.select(wall_day(F.col("w.start")).alias("day"), *zone, "sum", "mean", "n")
 
 
 def monthly_from_daily(daily: DataFrame, zone: list[str]) -> DataFrame:
@@ -39,12 +54,13 @@ def closed_months(
     The first of the month is the event time, so all rows of a month expire together; rows arriving for a
     released month are dropped.
     """
-    first = F.date_trunc("month", F.col(ts).cast("timestamp"))
+    zero = F.lit(0)
+    first = F.make_timestamp(F.year(ts), F.month(ts), F.lit(1), zero, zero, zero, F.lit("UTC"))
     timed = stream.withColumn("_month", first).withWatermark("_month", f"{31 * grace_months} days")
     grouped = timed.groupBy(F.window("_month", "1 day").alias("w"), *zone).agg(
         F.sum(value).alias("sum"), F.count(value).alias("n")
     )
-    start = F.col("w.start")
+    start = wall_day(F.col("w.start"))
     return grouped.select(F.year(start).alias("year"), F.month(start).alias("month"), *zone, "sum", "n")
 
 
