@@ -30,13 +30,14 @@ def year_vectors(
 ) -> DataFrame:
     """One row per area and year: the 12 monthly values of each variable as an array, and the row count.
 
-    A missing month is a null element. Twelve conditional aggregates keep the state per group fixed.
+    A missing month is a null element; rows lacking an area key belong to no area. Twelve conditional
+    aggregates keep the state per group fixed.
     """
     def vector(v: str) -> Column:
         months = [f"max(CASE WHEN month = {m} THEN CAST(`{v}` AS DOUBLE) END)" for m in MONTHS]
         return F.expr(f"array({', '.join(months)})").alias(v)
 
-    grouped = panel.groupBy(*keys, "year")
+    grouped = panel.na.drop("any", subset=keys).groupBy(*keys, "year")
     return grouped.agg(F.count(F.lit(1)).alias("n_months"), *[vector(v) for v in variables])
 
 

@@ -39,8 +39,9 @@ def filter_area(
 
 
 def area_mean(panel: DataFrame, variable: str, level: str = "Subdistrict") -> DataFrame:
-    """Mean of a variable per area of the map level."""
-    return panel.groupBy(*map_level_keys(level)).agg(F.avg(variable).alias(variable))
+    """Mean of a variable per area of the map level; rows lacking an area name belong to no area."""
+    keys = map_level_keys(level)
+    return panel.na.drop("any", subset=keys).groupBy(*keys).agg(F.avg(variable).alias(variable))
 
 
 def monthly_trend(panel: DataFrame, variable: str) -> DataFrame:
@@ -160,7 +161,7 @@ def slider_index(panel: DataFrame, step: int = SLIDER_STEP) -> DataFrame:
 
 def map_frames(panel: DataFrame, variable: str) -> DataFrame:
     """All animation frames in one job: area means of every single month, with frame number and the next one."""
-    frames = panel.groupBy("year", "month", *AREA_KEYS).agg(F.avg(variable).alias(variable))
+    frames = panel.na.drop("any", subset=AREA_KEYS).groupBy("year", "month", *AREA_KEYS).agg(F.avg(variable).alias(variable))
     months = panel.select(month_number().alias("m")).distinct()
     ordered = months.agg(F.array_sort(F.collect_list("m")).alias("ms")).scalar()
     frame = (F.array_position(ordered, month_number()) - 1).cast("int")

@@ -101,8 +101,16 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return picked.select(*keys, "_first.*").select(*df.columns)
 
 
-def upsert_keep_first(old: DataFrame, new: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Old and new rows together, one row per key; an old row beats a new one, then ``order`` decides."""
+def upsert_keep_first(
+    old: DataFrame, new: DataFrame, keys: list[str], order: list[str], old_is_unique: bool = False
+) -> DataFrame:
+    """Old and new rows together, one row per key; an old row beats a new one, then ``order`` decides.
+
+    A table kept by this operator is unique already. ``old_is_unique`` then leaves its rows where they are:
+    only its keys are read to find out which new rows to add.
+    """
+    if old_is_unique:
+        return concat_all([old, unseen(keep_first(new, keys, order), old, keys)])
     both = concat_all([old.withColumn("_source", F.lit(0)), new.withColumn("_source", F.lit(1))])
     return keep_first(both, keys, ["_source", *order]).drop("_source")
 

@@ -26,39 +26,44 @@ def zone_cells(zones: DataFrame, names: list[str], cell: Column) -> DataFrame:
     """Grid cells touched by each zone.
 
     A cell no edge comes near lies wholly inside or outside: outside cells are dropped, inside cells carry
-    no edges, so only cells on a border keep the polygon for the exact test.
+    no edges. A cell on a border keeps the edges a ray to the right can meet from within it, which is all
+    the exact test looks at.
     """
     boxed = zones.select(
         *names, zone_edges(F.col("rings")).alias("edges"), bounding_box(F.col("rings")).alias("box"), cell.alias("cell")
     )
     cell = F.col("cell")
+    margin = cell * 1e-6
 
     def span(low: Column, high: Column) -> Column:
         return F.explode(F.sequence(F.floor(low / cell), F.floor(high / cell)))
 
-    columns = boxed.select("*", span(F.col("box.x0"), F.col("box.x1")).alias("cx"))
-    cells = columns.select("*", span(F.col("box.y0"), F.col("box.y1")).alias("cy"))
-    x0, y0 = F.col("cx") * cell, F.col("cy") * cell
-    margin = cell * 1e-6
-
-    def near(e: Column) -> Column:
-        return (
-            (F.least(e["x1"], e["x2"]) <= x0 + cell + margin) & (F.greatest(e["x1"], e["x2"]) >= x0 - margin)
-            & (F.least(e["y1"], e["y2"]) <= y0 + cell + margin) & (F.greatest(e["y1"], e["y2"]) >= y0 - margin)
-        )
-
-    on_border = F.exists("edges", near)
-    marked = cells.select("*", on_border.alias("on_border"), covers(F.col("edges"), x0 + cell / 2, y0 + cell / 2).alias("inside"))
+    def reaches(e: Column, axis: str, start: Column) -> Column:
+        return F.greatest(e[f"{axis}1"], e[f"{axis}2"]) >= start - margin
+
+    def begins(e: Column, axis: str, start: Column) -> Column:
+        return F.least(e[f"{axis}1"], e[f"{axis}2"]) <= start + cell + margin
+
+    # Row of cells first: a cell then looks at the edges of its row only.
+    rows = boxed.select(*names, "edges", "box", "cell", span(F.col("box.y0"), F.col("box.y1")).alias("cy"))
+    y0 = F.col("cy") * cell
+    banded = rows.withColumn("edges", F.filter("edges", lambda e: reaches(e, "y", y0) & begins(e, "y", y0)))
+    cells = banded.select(*names, "edges", "cell", "cy", span(F.col("box.x0"), F.col("box.x1")).alias("cx"))
+    x0 = F.col("cx") * cell
+    on_border = F.exists("edges", lambda e: reaches(e, "x", x0) & begins(e, "x", x0))
+    marked = cells.select(
+        "*", on_border.alias("on_border"), covers(F.col("edges"), x0 + cell / 2, y0 + cell / 2).alias("inside")
+    )
     return marked.where(F.col("on_border") | F.col("inside")).select(
-        *names, "cx", "cy", F.when(F.col("on_border"), F.col("edges")).alias("edges")
+        *names, "cx", "cy", F.when(F.col("on_border"), F.filter("edges", lambda e: reaches(e, "x", x0))).alias("edges")
     )
 
 
 def default_cell(zones: DataFrame) -> Column:
-    """A quarter of the zones' mean extent, as a scalar subquery."""
+    """An eighth of the zones' mean extent, as a scalar subquery."""
     boxed = zones.select(bounding_box(F.col("rings")).alias("b"))
     extent = F.greatest(F.col("b.x1") - F.col("b.x0"), F.col("b.y1") - F.col("b.y0"))
-    return boxed.agg((F.avg(extent) / 4).alias("cell")).scalar()
+    return boxed.agg((F.avg(extent) / 8).alias("cell")).scalar()
 
 
 def zonal_join(

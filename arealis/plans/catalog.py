@@ -336,6 +336,12 @@ def upsert_keep_first(spark, sf):
     return settle(merge.upsert_keep_first(old, new, PANEL_KEYS, ["RAINFALL"]))
 
 
+@query
+def upsert_into_unique(spark, sf):
+    old, new = _runs(spark, sf)
+    return settle(merge.upsert_keep_first(old, new, PANEL_KEYS, ["RAINFALL"], old_is_unique=True))
+
+
 @query
 def upsert_province_month(spark, sf):
     """The two-column form: one row per month and province stays."""

@@ -452,4 +452,5 @@ UNION ALL {section('trend', LABEL, 'avg(SOILMOISTURE)', 'sel')} GROUP BY year, m
     "stream_closed_months": f"SELECT year(o_orderdate)::INTEGER AS year, month(o_orderdate)::INTEGER AS month, o_orderpriority, {rnd('sum(o_totalprice)', 2)} AS sum, count(o_totalprice) AS n FROM orders GROUP BY ALL HAVING max(date_trunc('month', o_orderdate)) < (SELECT date_trunc('month', max(o_orderdate)) FROM orders)",
 }
 ORACLE["dtw_distance_arrow"] = ORACLE["dtw_distance"]
+ORACLE["upsert_into_unique"] = ORACLE["upsert_keep_first"]
 ORACLE["merge_variables_joined"] = ORACLE["merge_variables"]

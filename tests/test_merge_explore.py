@@ -49,7 +49,9 @@ def test_upsert_old_wins_and_is_idempotent(spark):
     old, new = small(spark, [("x", 5), (None, 1)]), small(spark, [("x", 1), ("y", 9), ("y", 3), (None, 0)])
     once = merge.upsert_keep_first(old, new, ["k"], ["v"])
     assert rows(once) == sorted([("x", 5), ("y", 3), (None, 1)], key=str)
-    assert rows(merge.upsert_keep_first(once, new, ["k"], ["v"])) == rows(once)
+    for unique in (True, False):
+        assert rows(merge.upsert_keep_first(old, new, ["k"], ["v"], unique)) == rows(once)
+        assert rows(merge.upsert_keep_first(once, new, ["k"], ["v"], unique)) == rows(once)
 
 
 def test_unseen_matches_null_keys(spark):
@@ -111,6 +113,13 @@ def test_unknown_level_means_subdistrict(spark):
     assert explore.area_mean(df, "v", "Country").columns == ["province", "district", "subdistrict", "v"]
 
 
+def test_rows_without_area_have_no_mean(spark):
+    df = small(spark, [("p", "d", None, 2020, 1, 9.0), ("p", "d", "s", 2020, 1, 1.0)], PANEL)
+    assert rows(explore.area_mean(df, "v")) == [("p", "d", "s", 1.0)]
+    assert explore.area_mean(df, "v", "District").first().v == 5.0
+    assert explore.kpi_row(df, "v", dt.date(2020, 1, 1)).first().max_value == "1.0000"
+
+
 def test_weighted_summary(spark):
     df = small(spark, [(1.0, 3.0), (5.0, 1.0), (None, 9.0)], "v double, w double")
     assert explore.value_range(df, "v").first().mean_value == 3.0
