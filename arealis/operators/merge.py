@@ -49,8 +49,8 @@ def _merge_grouped(frames: list[DataFrame], keys: list[str]) -> DataFrame:
 def _single(here: Column, value: Column, name: str, keys: list[str]) -> Column:
     """The group's value where ``here`` holds; a second row there is an error."""
     message = F.concat(F.lit(f"{name}: repeated key "), F.to_json(F.struct(*keys)))
-    first = F.any_value(F.when(here, F.struct(value.alias("v"))), True)["v"]
-    return F.when(F.count_if(here) <= 1, first).otherwise(F.raise_error(message)).alias(name)
+    only = F.max(F.when(here, value))
+    return F.when(F.count_if(here) <= 1, only).otherwise(F.raise_error(message)).alias(name)
 
 
 def _merge_joined(frames: list[DataFrame], keys: list[str]) -> DataFrame:
@@ -76,13 +76,7 @@ def merge_long(
     A repeated (key, variable) has no single value, so the job fails on it; the result is unique per key. Partial aggregation keeps a frequent key to one row per map task.
     """
 
-    def only_value(v: str) -> Column:
-        here = F.col("variable") == v
-        message = F.concat(F.lit(f"{v}: repeated key "), F.to_json(F.struct(*keys)))
-        value = F.max(F.when(here, F.col("value")))
-        return F.when(F.count_if(here) <= 1, value).otherwise(F.raise_error(message)).alias(v)
-
-    return long.groupBy(*keys).agg(*[only_value(v) for v in variables])
+    return long.groupBy(*keys).agg(*[_single(F.col("variable") == v, F.col("value"), v, keys) for v in variables])
 
 
 def variable_counts(long: DataFrame) -> DataFrame:

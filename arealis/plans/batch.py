@@ -43,7 +43,10 @@ class Tables:
 
 
 def run_batch(spark: SparkSession, raw: DataFrame, tables: Tables, arrow: bool = True) -> DataFrame:
-    """Clean, merge, fill and score ``raw`` (long form); returns the anomaly table read back."""
+    """Clean, merge, fill and score ``raw`` (long form); returns the anomaly table read back.
+
+    ``raw`` should be a stored table: the cleaning reads it for the values and for the outlier bounds.
+    """
     require_columns(raw, ["variable", *PANEL_KEYS, "value"])
     write_table(clean_long(raw), tables.clean, ["variable", "year"])
     merge_tables(spark, tables)

@@ -532,7 +532,7 @@ def dtw_anomaly_stats(spark, sf):
 @query
 def batch_run(spark, sf):
     """The whole batch job, every stage stored."""
-    return settle(run_batch(spark, b.raw_long(spark, sf), Tables(scratch_dir(spark, "batch"))))
+    return settle(run_batch(spark, stored(b.raw_long(spark, sf), "raw"), Tables(scratch_dir(spark, "batch"))))
 
 
 # --- filters and views -------------------------------------------------------------------------

@@ -187,6 +187,21 @@ def test_months_are_released_after_later_rows(spark, tmp_path, grace, months):
     assert [r.month for r in got] == months and got[0].n == 62
 
 
+def test_late_rows_of_a_released_month_are_dropped(spark, tmp_path):
+    def run():
+        stream = ingest.new_files(spark, str(tmp_path / "in"), "ts timestamp, z string, value double")
+        windows.append_available(windows.closed_months(stream, ["z"], "value"), str(tmp_path / "out"), str(tmp_path / "check"))
+        got = spark.read.parquet(str(tmp_path / "out")).where("z = 'a'").orderBy("month").collect()
+        return [(r.month, r.n) for r in got]
+
+    write(events(spark, 60), tmp_path / "in")  # January, February
+    assert run() == [(1, 62)]
+    late = events(spark, 1)
+    more = spark.createDataFrame([(dt.datetime(2024, 2, 29, 20), "a", 1.0), (dt.datetime(2024, 3, 2), "a", 1.0)], late.schema)
+    write(late.union(more), tmp_path / "in")
+    assert run() == [(1, 62), (2, 59)]
+
+
 def test_scratch_follows_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
     path = scratch_dir(spark, "x")
