@@ -2,9 +2,10 @@
 
 import __spark_entry__ as contract
 import pytest
+from arealis.plans import catalog, oracle
 from compare import difference
 
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLE = catalog.all_queries(), oracle.ORACLE
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin")
 
 
@@ -24,6 +25,11 @@ def test_query(spark, sf_dir, duck, name):
         assert df.count() > 0
 
 
+def test_contract_names_every_query():
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLE) <= set(contract.oracle_sql()) <= set(contract.queries())
+
+
 def test_entry(spark):
     df = contract.entry(spark)
     assert len(df.columns) == 79
