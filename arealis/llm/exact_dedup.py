@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arealis.llm.text import SPACE, filled, small_enough
+from arealis.llm.text import SPACE, filled, only_kept, small_enough
 from arealis.session import stored
 
 SALTS = 64
@@ -120,22 +120,9 @@ def without_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     Dropped rows are found by id, digest and length, so only these few columns of the dropped rows are joined.
     """
     found = exact_duplicates(docs, doc_id, text, salts)
-    keys = ["doc_id", "text_sha256", "n_chars"]
-    per_key = stored(found.groupBy(keys).agg(F.max("kept").alias("kept"), F.count("*").alias("n")), "dedup-keys")
-    gone, twice = per_key.filter("not kept"), per_key.filter("kept and n > 1")
-    content = normalized(filled(text))
-    rows = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("whole"), F.col(doc_id).alias("k_id"),
-        F.sha2(content, 256).alias("k_sha"), F.length(filled(text)).cast("long").alias("k_chars"),
-    )
-
-    def without(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-        k = (F.broadcast(keys) if small_enough(keys) else keys).alias("k")
-        same = (F.col("k_sha") == F.col("k.text_sha256")) & (F.col("k_chars") == F.col("k.n_chars"))
-        return rows.join(k, same & F.col("k_id").eqNullSafe(F.col("k.doc_id")), how)
-
-    left = without(rows, gone, "left_anti")
-    if not twice.isEmpty():
-        several = without(left, twice, "left_semi").groupBy("k_id", "k_sha", "k_chars").agg(F.first("whole").alias("whole"))
-        left = without(left, twice, "left_anti").select("whole").unionByName(several.select("whole"))
-    return left.select("whole.*")
+    per_key = found.groupBy("doc_id", "text_sha256", "n_chars").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+    keys = {
+        "doc_id": F.col(doc_id), "text_sha256": F.sha2(normalized(filled(text)), 256),
+        "n_chars": F.length(filled(text)).cast("long"),
+    }
+    return only_kept(docs, keys, stored(per_key, "dedup-keys"))

@@ -6,24 +6,70 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from arealis.llm import quality_trees, toxicity
+from arealis.llm.bpe import encoded
 from arealis.llm.exact_dedup import exact_duplicates
 from arealis.llm.mixing import mix
+from arealis.llm.near_join import near_duplicates
+from arealis.llm.repetition import repetition_rules
+from arealis.llm.secret_scan import secrets
 from arealis.llm.text import table
 
+#: Tokenizer file of the encoding queries, one of the installed public ones.
+VOCABULARY = "word_bpe_49k.json"
+
+
+def vocabulary_path(name: str = VOCABULARY) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition_rules(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mix(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded(table(spark, sf_dir, "documents"), vocabulary_path(), digests=True)
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets(table(spark, sf_dir, "documents"))
+
+
+def op7_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("digest")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_trees.scored(docs, quality_trees.train(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_repetition": op1_repetition,
+    "op2_toxicity": op2_toxicity,
     "op4_mixing": op4_mixing,
+    "op5_bpe": op5_bpe,
+    "op6_secrets": op6_secrets,
+    "op7_near_join": op7_near_join,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_quality": op10_quality,
 }
 
 ORACLE: dict[str, str] = {

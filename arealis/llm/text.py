@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -75,3 +76,25 @@ def heldout(doc_id: Column) -> Column:
 def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether a stored table of short rows may be broadcast; reads no more than ``rows`` + 1 of its rows."""
     return df.limit(rows + 1).count() <= rows
+
+
+def only_kept(docs: DataFrame, keys: dict[str, Column], verdicts: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that a stored table of verdicts keeps, with all their columns.
+
+    ``keys`` are expressions over ``docs``; ``verdicts`` has their values under the same names, each once, with ``kept`` and
+    the number ``n`` of rows. Of kept rows with equal keys one stays. Few columns of the dropped rows are joined, not texts.
+    """
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("whole"), *[c.alias(f"_{k}") for k, c in keys.items()])
+
+    def matched(rows: DataFrame, found: DataFrame, how: str) -> DataFrame:
+        found = found.select(*[F.col(k).alias(f"_v_{k}") for k in keys])
+        same = [F.col(f"_{k}").eqNullSafe(F.col(f"_v_{k}")) for k in keys]
+        return rows.join(F.broadcast(found) if small_enough(found) else found, reduce(Column.__and__, same), how)
+
+    gone, twice = verdicts.filter("not kept"), verdicts.filter("kept and n > 1")
+    left = matched(rows, gone, "left_anti")
+    if not twice.isEmpty():
+        by_key = matched(left, twice, "left_semi").groupBy(*[f"_{k}" for k in keys])
+        once = by_key.agg(F.first("whole").alias("whole")).select("whole")
+        left = matched(left, twice, "left_anti").select("whole").unionByName(once)
+    return left.select("whole.*")

@@ -10,8 +10,11 @@ from arealis.session import stored
 
 #: (name, function); each function takes (spark, docs, sf_dir) and works on all rows its predecessor kept.
 STAGES = [
+    ("toxicity", stages.not_toxic),
     ("exact_dedup", stages.without_copies),
+    ("near_duplicates", stages.without_near_copies),
     ("mixing", stages.mixed),
+    ("bpe", stages.tokens),
 ]
 
 #: None: training, Bayesian pruning and merges by rank are beyond SQL; tests hold run() against a brute-force version.
