@@ -137,7 +137,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
         w = ftrl([np.asarray(c, np.int64) for c in frame["cells"]], frame["label"].to_numpy())
         return pd.DataFrame({"cell": np.r_[w.cells, -1], "value": np.r_[w.values, w.bias]})
 
-    learnt = found.groupBy(F.lit(0)).applyInPandas(learn, "cell long, value double").toPandas()
+    learnt = found.withColumn("model", F.lit(0)).groupBy("model").applyInPandas(learn, "cell long, value double").toPandas()
     if learnt.empty:
         return Weights(np.zeros(0, np.int64), np.zeros(0), None)
     own = learnt["cell"] >= 0
