@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from arealis.llm import quality_trees, toxicity
 from arealis.llm.bpe import encoded
 from arealis.llm.exact_dedup import exact_duplicates
+from arealis.llm.html_text import extracted
+from arealis.llm.license_scan import licenses
+from arealis.llm.license_texts import LICENSES, SPELLINGS
 from arealis.llm.mixing import mix
 from arealis.llm.near_join import near_duplicates
 from arealis.llm.repetition import repetition_rules
@@ -39,6 +42,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(table(spark, sf_dir, "pages"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents"), vocabulary_path(), digests=True)
 
@@ -51,6 +58,10 @@ def op7_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("digest")
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -64,14 +75,57 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition": op1_repetition,
     "op2_toxicity": op2_toxicity,
+    "op3_html_text": op3_html_text,
     "op4_mixing": op4_mixing,
     "op5_bpe": op5_bpe,
     "op6_secrets": op6_secrets,
     "op7_near_join": op7_near_join,
+    "op8_licenses": op8_licenses,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality": op10_quality,
 }
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _canonical_sql(text: str) -> str:
+    """Normalisation of the licence scan in DuckDB."""
+    out = rf"regexp_replace(replace(lower({text}), chr(13) || chr(10), chr(10)), "
+    out += r"'(?m)^[ \t*#/;-]*(?:portions )?(?:copyright|\(c\)|©)[^\n]*[0-9]{4}[^\n]*$', '', 'g')"
+    for old, new in SPELLINGS:
+        out = f"replace({out}, {_quoted(old)}, {_quoted(new)})"
+    return rf"regexp_replace({out}, '[^\p{{L}}\p{{N}}\n]+', ' ', 'g')"
+
+
+def _licenses_sql() -> str:
+    flat = r"trim(regexp_replace({}, '[ \n]+', ' ', 'g'))"
+    paragraphs = r"list_transform(regexp_split_to_array(c, '\n[ \n]*\n'), lambda u: {})".format(flat.format("u"))
+    known = ", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in LICENSES)
+    return rf"""
+        WITH k AS (SELECT name, {_canonical_sql("text")} AS c FROM (VALUES {known}) AS v(name, text)),
+        parts AS (SELECT name, {paragraphs} AS units FROM k),
+        known AS (
+            SELECT name, 0 AS part, 1 AS parts, {flat.format("c")} AS unit FROM k
+            UNION ALL SELECT name, i AS part, len(units) AS parts, units[i] AS unit
+            FROM parts, range(1, 100) AS r(i) WHERE len(units) > 1 AND i <= len(units)),
+        d AS (SELECT row_number() OVER () AS row, doc_id, {_canonical_sql("coalesce(text, '')")} AS c FROM documents),
+        units AS (
+            SELECT row, 'whole' AS kind, {flat.format("c")} AS unit FROM d
+            UNION ALL SELECT row, 'paragraph', unnest({paragraphs}) FROM d
+            UNION ALL SELECT row, 'line', trim(unnest(string_split(c, chr(10)))) FROM d),
+        hits AS (SELECT row, kind, name, part, parts FROM units JOIN known USING (unit) WHERE unit <> ''),
+        whole AS (SELECT row, min(name) AS license FROM hits WHERE kind = 'whole' AND part = 0 GROUP BY row),
+        complete AS (
+            SELECT row, name FROM hits GROUP BY row, name, parts, (part = 0)
+            HAVING (part = 0) OR count(DISTINCT part) = parts),
+        names AS (SELECT row, string_agg(DISTINCT name, ',' ORDER BY name) AS found FROM complete GROUP BY row),
+        n AS (SELECT row, count(*) AS n_units FROM hits WHERE kind <> 'whole' GROUP BY row)
+        SELECT doc_id, license, coalesce(found, '') AS found, coalesce(n_units, 0) AS n_units
+        FROM d LEFT JOIN whole USING (row) LEFT JOIN names USING (row) LEFT JOIN n USING (row)
+    """
+
+
 ORACLE: dict[str, str] = {
     "op4_mixing": r"""
         WITH d AS (
@@ -117,4 +171,5 @@ ORACLE: dict[str, str] = {
                row_number() OVER w = 1 AS kept, h AS text_sha256
         FROM d WINDOW w AS (PARTITION BY h ORDER BY n DESC, doc_id)
     """,
+    "op8_licenses": _licenses_sql(),
 }
