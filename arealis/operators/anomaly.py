@@ -21,8 +21,8 @@ from arealis.registry import (
 )
 
 MONTHS = range(1, MONTHS_PER_YEAR + 1)
-# Below this a standard deviation is rounding noise of equal distances, not spread.
-MIN_STD = 1e-9
+# A standard deviation this small beside the mean is rounding noise of equal distances, not spread.
+RELATIVE_SPREAD = 1e-12
 
 
 def year_vectors(
@@ -111,7 +111,7 @@ def dtw_area_years(
     arrow: bool = True,
     with_baseline: bool = False,
 ) -> DataFrame:
-    """Distance of each area-year to the area's baseline, ``dtw_<variable>``.
+    """Distance of each area-year to the area's baseline, ``dtw_<variable>``; ``with_baseline`` keeps the baseline arrays.
 
     Null unless the year has twelve rows, one per calendar month, and neither side holds a null.
     ``arrow`` runs whole batches of pairs through the Arrow kernel; otherwise the distance is a built-in
@@ -129,7 +129,7 @@ def dtw_area_years(
         # Unusable pairs reach the kernel as null, so it never warps them.
         return measure(F.when(usable, x), F.when(usable, y)).alias(f"dtw_{v.lower()}")
 
-    extra = baseline_columns(variables) if with_baseline else []
+    extra = [f"baseline_{v}" for v in variables] if with_baseline else []
     return yearly.select(*keys, F.col("y.year").alias("year"), *extra, *[distance(v) for v in variables])
 
 
@@ -154,8 +154,8 @@ def z_scores(stats: DataFrame, variables: list[str] = PANEL_VARIABLES) -> DataFr
     """``(distance - mean) / std``; null where there is no spread."""
 
     def z(d: str) -> Column:
-        std = F.col(f"{d}_local_std")
-        return F.try_divide(F.col(d) - F.col(f"{d}_local_mean"), F.when(std > MIN_STD, std))
+        std, mean = F.col(f"{d}_local_std"), F.col(f"{d}_local_mean")
+        return F.try_divide(F.col(d) - mean, F.when(std > F.abs(mean) * RELATIVE_SPREAD, std))
 
     return stats.withColumns({f"dtw_{v.lower()}_z": z(f"dtw_{v.lower()}") for v in variables})
 
@@ -207,11 +207,15 @@ def anomaly_table(
 ) -> DataFrame:
     """One row per area and year: keys, 60 baseline columns, distances, z-scores and flags.
 
-    ``keep_stats`` adds the local mean, deviation, threshold and flag.
+    ``keep_stats`` adds the local mean, deviation, threshold and flag. The panel is shuffled once, by ``stats_keys``: years,
+    histories and local statistics all group by these keys and more. Baselines become columns after the window.
     """
-    distances = dtw_area_years(panel, variables, ratio, arrow=arrow, with_baseline=True)
+    used = panel.select(*AREA_KEYS, "year", "month", *variables).na.drop("any", subset=AREA_KEYS)
+    distances = dtw_area_years(used.repartition(*stats_keys), variables, ratio, arrow=arrow, with_baseline=True)
     flagged = z_flags(z_scores(local_stats(distances, variables, stats_keys), variables), variables, threshold)
     if keep_stats:
-        return local_flags(flagged, variables)
-    stats = [f"dtw_{v.lower()}_local_{s}" for v in variables for s in ("mean", "std")]
-    return flagged.drop(*stats)
+        flagged = local_flags(flagged, variables)
+    stats = [] if keep_stats else [f"dtw_{v.lower()}_local_{s}" for v in variables for s in ("mean", "std")]
+    left_out = {*AREA_KEYS, "year", *stats, *[f"baseline_{v}" for v in variables]}
+    scores = [c for c in flagged.columns if c not in left_out]
+    return flagged.select(*AREA_KEYS, "year", *baseline_columns(variables), *scores)

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arealis.functions.columns import join_names, month_label, month_number, month_start, settled
+from arealis.functions.columns import join_names, month_label, month_number, month_start
 from arealis.registry import AREA_KEYS, SLIDER_STEP, map_level_keys
 
 
@@ -69,20 +69,24 @@ def value_range(joined: DataFrame, variable: str, digits: int = 3, weight: str |
         share = F.when(F.col(variable).isNotNull(), F.col(weight))
         mean = F.try_divide(F.sum(F.col(variable) * share), F.sum(share))
     stats = joined.agg(
-        settled(F.min(variable), digits).alias("min_value"),
-        settled(F.max(variable), digits).alias("max_value"),
-        settled(mean, digits).alias("mean_value"),
+        F.round(F.min(variable), digits).alias("min_value"),
+        F.round(F.max(variable), digits).alias("max_value"),
+        F.round(mean, digits).alias("mean_value"),
     )
     return stats.where(F.col("min_value").isNotNull())
 
 
-def area_extremes(values: DataFrame, variable: str, keys: list[str] = AREA_KEYS) -> DataFrame:
-    """Least and greatest value with their areas; among equals the area first in key order."""
-    names = [F.col(k) for k in keys]
-    place = F.struct(*names)
+def _extremes(variable: str, keys: list[str]) -> tuple[Column, Column]:
+    """Aggregates for the least value and the negated greatest one, each with its area."""
+    place = F.struct(*[F.col(k) for k in keys])
     lowest = F.min(F.struct(F.col(variable).alias("v"), place.alias("at")))
     # Largest value first, then smallest key: order by the negated value.
-    highest = F.min(F.struct((-F.col(variable)).alias("v"), place.alias("at")))
+    return lowest, F.min(F.struct((-F.col(variable)).alias("v"), place.alias("at")))
+
+
+def area_extremes(values: DataFrame, variable: str, keys: list[str] = AREA_KEYS) -> DataFrame:
+    """Least and greatest value with their areas; among equals the area first in key order."""
+    lowest, highest = _extremes(variable, keys)
     found = values.where(F.col(variable).isNotNull()).agg(lowest.alias("lo"), highest.alias("hi"))
     return found.where(F.col("lo").isNotNull()).select(
         F.col("lo.v").alias("min_value"),
@@ -101,28 +105,25 @@ def top_areas(values: DataFrame, variable: str, n: int, ascending: bool = False)
 
 def kpi_row(panel: DataFrame, variable: str, start: dt.date) -> DataFrame:
     """Mean of the area means, greatest and least area mean with their places, and the first month shown."""
-    means = area_mean(panel, variable)
-    ends = area_extremes(means, variable, ["subdistrict", "district", "province"]).select(
-        F.struct("*").alias("e")
-    ).scalar()
-
-    def place(area: Column) -> Column:
-        return F.substring_index(area, ", ", 2)
-
-    return means.agg(F.avg(variable).alias("_avg")).where(F.col("_avg").isNotNull()).select(
-        _display(F.col("_avg")).alias("avg_value"),
-        _display(ends["max_value"]).alias("max_value"),
-        place(ends["max_area"]).alias("max_place"),
-        _display(ends["min_value"]).alias("min_value"),
-        place(ends["min_area"]).alias("min_place"),
+    order = ["subdistrict", "district", "province"]
+    means = area_mean(panel, variable).where(F.col(variable).isNotNull())
+    # one row, also without values: the extremes are then null
+    lowest, highest = _extremes(variable, order)
+    found = means.agg(F.avg(variable).alias("avg"), lowest.alias("lo"), highest.alias("hi"))
+
+    def place(end: str) -> Column:
+        return join_names(F.col(f"{end}.at.subdistrict"), F.col(f"{end}.at.district"))
+
+    return found.where(F.col("avg").isNotNull()).select(
+        F.format_number("avg", 4).alias("avg_value"),
+        F.format_number(-F.col("hi.v"), 4).alias("max_value"),
+        place("hi").alias("max_place"),
+        F.format_number("lo.v", 4).alias("min_value"),
+        place("lo").alias("min_place"),
         F.lit(start.strftime("%b %Y")).alias("observation"),
     )
 
 
-def _display(value: Column) -> Column:
-    return F.format_number(settled(value, 4), 4)
-
-
 def distinct_areas(panel: DataFrame, keys: list[str] = AREA_KEYS) -> DataFrame:
     return panel.select(*keys).distinct().orderBy(*keys)
 
@@ -138,16 +139,6 @@ def district_options(panel: DataFrame) -> DataFrame:
     return pairs.groupBy("province").agg(F.array_sort(F.collect_list("district")).alias("districts"))
 
 
-def month_position(panel: DataFrame) -> Column:
-    """Zero-based position of a row's month among the months present.
-
-    The lookup list is a scalar subquery with one entry per month of the panel.
-    """
-    months = panel.select(month_number().alias("m")).distinct()
-    ordered = months.agg(F.array_sort(F.collect_list("m")).alias("ms")).scalar()
-    return (F.array_position(ordered, month_number()) - 1).cast("int")
-
-
 def slider_index(panel: DataFrame, step: int = SLIDER_STEP) -> DataFrame:
     """Months present with position and tick label; only each ``step``-th and the last carry a label."""
     months = panel.select("year", "month").distinct()

@@ -85,13 +85,13 @@ def variable_counts(long: DataFrame) -> DataFrame:
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per key: the first by ``order``.
+    """One row per key: the first by ``order``, nulls last.
 
     An aggregate rather than a ranking window, so that a frequent key shrinks before the shuffle.
     """
     rest = [c for c in df.columns if c not in keys]
     payload = F.struct(*[F.col(c) for c in rest])
-    picked = df.groupBy(*keys).agg(F.min_by(payload, F.struct(*[F.col(c) for c in order])).alias("_first"))
+    picked = df.groupBy(*keys).agg(F.min_by(payload, F.struct(*[f for c in order for f in (F.col(c).isNull(), F.col(c))])).alias("_first"))
     return picked.select(*keys, "_first.*").select(*df.columns)
 
 

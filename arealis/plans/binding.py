@@ -1,6 +1,6 @@
 """The supplied tables read as observations, areas, pixels and zones.
 
-Area = region, nation, market segment of the customer; time = month of the order. Each order line counts as one
+Area = region, nation, market segment and thousand of the customer; time = month of the order. Each order line counts as one
 observation of five raw variables. Money and quantities have two decimals and are added as whole hundredths, so
 that a cell's value does not depend on the order of addition.
 """
@@ -38,6 +38,11 @@ def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def subdistrict() -> Column:
+    """Market segment and thousand of the customer, so that the areas grow with the customers."""
+    return F.concat_ws(" ", "c_mktsegment", F.floor(F.col("c_custkey") / 1000).cast("string"))
+
+
 def raw_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw values per area and month, one column per variable.
 
@@ -63,7 +68,7 @@ def raw_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     customer = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", _hundredths("c_acctbal").alias("balance"),
-        F.col("c_mktsegment").alias("subdistrict"),
+        subdistrict().alias("subdistrict"),
     )
     observed = (
         orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
@@ -170,7 +175,7 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     The box spans the least and greatest balance in x (thousands), nation key and row count in y.
     """
     customers = table(spark, sf_dir, "customer").select(
-        F.col("c_nationkey").alias("nationkey"), F.col("c_mktsegment").alias("subdistrict"), F.col("c_acctbal").alias("balance")
+        F.col("c_nationkey").alias("nationkey"), subdistrict().alias("subdistrict"), F.col("c_acctbal").alias("balance")
     )
     suppliers = table(spark, sf_dir, "supplier").select(
         F.col("s_nationkey").alias("nationkey"), F.lit("SUPPLIERS").alias("subdistrict"), F.col("s_acctbal").alias("balance")
@@ -187,7 +192,3 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extent.join(areas(spark, sf_dir), "nationkey").select(*AREA_KEYS, F.array(box).alias("rings"))
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
-
-

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arealis.functions import columns as c
-from arealis.functions.dtw import dtw_arrow, dtw_column
+from arealis.functions.dtw import dtw_arrow, dtw_column, is_complete
 from arealis.functions.geometry import covers, zone_area, zone_edges
 from arealis.operators import anomaly, clean, explore, fill, merge, ranks, raster, zones
 from arealis.plans import binding as b
@@ -23,6 +23,7 @@ from arealis.session import scratch_dir, stored
 from arealis.sources import audit, files, geojson
 from arealis.streaming import ingest, windows
 
+FIRST = dt.date(1995, 1, 1)
 START, END = dt.date(1996, 3, 1), dt.date(1999, 8, 1)
 PROVINCE, DISTRICT = "ASIA", "NATION_2"
 AS_OF = dt.date(2002, 6, 15)
@@ -462,9 +463,10 @@ def baseline_wide(spark, sf):
 
 
 def _vector_pairs(spark, sf):
-    """Each area-year's rainfall beside its temperature pattern."""
+    """Each area-year's temperature beside its vegetation pattern; null where one of them is not complete."""
     vectors = anomaly.year_vectors(b.filled_panel(spark, sf), ["LST", "NDVI"])
-    return vectors.where(F.col("n_months") == 12)
+    whole = (F.col("n_months") == 12) & is_complete(F.col("LST")) & is_complete(F.col("NDVI"))
+    return vectors.withColumns({v: F.when(whole, F.col(v)) for v in ("LST", "NDVI")})
 
 
 @query
@@ -556,12 +558,12 @@ def filter_area_nested(spark, sf):
 
 @query
 def area_mean_subdistrict(spark, sf):
-    return settle(explore.area_mean(explore.filter_range(_merged(spark, sf), START, END), "NDVI"))
+    return settle(explore.area_mean(_merged(spark, sf), "NDVI"))
 
 
 @query
 def area_mean_district(spark, sf):
-    return settle(explore.area_mean(explore.filter_range(_merged(spark, sf), START, END), "LST", "District"))
+    return settle(explore.area_mean(_merged(spark, sf), "LST", "District"))
 
 
 @query
@@ -570,22 +572,21 @@ def monthly_trend(spark, sf):
 
 
 def _map_values(spark, sf, variable, level="Subdistrict"):
-    panel = explore.filter_range(b.observed_panel(spark, sf), START, END)
-    return explore.area_mean(panel, variable, level)
+    return explore.area_mean(b.observed_panel(spark, sf), variable, level)
 
 
 @query
 def map_summary(spark, sf):
     keys = AREA_KEYS[:2]
     on_map = explore.join_zones(b.zones(spark, sf), _map_values(spark, sf, "LST", "District"), keys)
-    return explore.value_range(on_map, "LST")
+    return settle(explore.value_range(on_map, "LST"), 2)
 
 
 @query
 def map_summary_by_area(spark, sf):
     """The same with zones weighted by their area."""
     on_map = explore.join_zones(zones.with_areas(b.zones(spark, sf)), _map_values(spark, sf, "LST", "District"), AREA_KEYS[:2])
-    return explore.value_range(on_map, "LST", weight="area")
+    return settle(explore.value_range(on_map, "LST", weight="area"), 2)
 
 
 @query
@@ -600,8 +601,8 @@ def top_areas(spark, sf):
 
 @query
 def kpi_row(spark, sf):
-    panel = explore.filter_range(_merged(spark, sf), START, END)
-    return explore.kpi_row(panel, "RAINFALL", START)
+    row = explore.kpi_row(_merged(spark, sf), "RAINFALL", FIRST)
+    return settle(row.withColumns({f"{x}_value": _number(f"{x}_value") for x in ("avg", "max", "min")}), 2)
 
 
 @query
@@ -735,8 +736,25 @@ def map_data(spark, sf):
     return settle(_areas_of(dashboard.map_data(b.observed_panel(spark, sf), b.zones(spark, sf), q), "NDVI"))
 
 
-def _texts(df, section, label, value):
-    return df.select(F.lit(section).alias("section"), label.alias("label"), c.settled(value, 4).alias("value"))
+@query
+def map_data_alias(spark, sf):
+    """The same from a dashboard table: text months, names in mixed case, another name of the variable."""
+    panel = b.observed_panel(spark, sf)
+    table = panel.select(
+        *[F.col(k).alias(k.capitalize()) for k in AREA_KEYS], c.month_label(c.month_start()).alias("year_month"),
+        F.col("LST"), F.col("SOILMOISTURE").alias("SoilMoisture"), F.col("RAINFALL").alias("precipitation"),
+        F.col("FIRECOUNT").alias("FireCount"), F.col("NDVI"),
+    )
+    q = dashboard.MapQuery("precipitation", START, END, province=PROVINCE)
+    return settle(_areas_of(dashboard.map_data(dashboard.panel_of(table), b.zones(spark, sf), q), "RAINFALL"))
+
+
+def _texts(df, section, label, value, digits=4):
+    return df.select(F.lit(section).alias("section"), label.alias("label"), c.settled(value, digits).alias("value"))
+
+
+def _number(name):
+    return F.regexp_replace(F.col(name), ",", "").cast("double")
 
 
 @query
@@ -744,11 +762,12 @@ def dashboard_refresh(spark, sf):
     """Map, trend and summary of one choice, one below the other."""
     q = dashboard.MapQuery("LST", START, END, level="District")
     shown = dashboard.refresh(_merged(spark, sf), b.zones(spark, sf), q)
-    extremes = stored(shown.extremes, "extremes")
+    on_map, extremes = stored(shown.map, "on-map"), stored(shown.extremes, "extremes")
+    summary = shown.summary.toDF("min", "max", "mean").unpivot([], ["min", "max", "mean"], "label", "value")
     return merge.concat_all([
-        _texts(shown.map, "map", c.join_names(*AREA_KEYS), F.col("LST")),
+        _texts(on_map, "map", c.join_names(*AREA_KEYS), F.col("LST")),
         _texts(shown.trend, "trend", c.month_label("month_start"), F.col("LST")),
-        *[_texts(shown.summary, "summary", F.lit(x), F.col(f"{x}_value")) for x in ("min", "max", "mean")],
+        _texts(summary, "summary", F.col("label"), F.col("value"), 2),
         *[_texts(extremes, f"{x} area", F.col(f"{x}_area"), F.col(f"{x}_value")) for x in ("min", "max")],
     ])
 
@@ -765,11 +784,10 @@ def kpi_dashboard(spark, sf):
     q = dashboard.MapQuery("SOILMOISTURE", START, END, province=PROVINCE, district=DISTRICT)
     view = dashboard.kpi_dashboard(_merged(spark, sf), b.zones(spark, sf), q)
     kpi = stored(view.kpi, "kpi")
-    number = lambda name: F.regexp_replace(F.col(name), ",", "").cast("double")
     return merge.concat_all([
-        _texts(kpi, "avg", F.col("observation"), number("avg_value")),
-        _texts(kpi, "max", F.col("max_place"), number("max_value")),
-        _texts(kpi, "min", F.col("min_place"), number("min_value")),
+        _texts(kpi, "avg", F.col("observation"), _number("avg_value"), 2),
+        _texts(kpi, "max", F.col("max_place"), _number("max_value"), 2),
+        _texts(kpi, "min", F.col("min_place"), _number("min_value"), 2),
         _texts(view.map, "map", c.join_names(*AREA_KEYS), F.col("SOILMOISTURE")),
         _texts(view.trend, "trend", c.month_label("month_start"), F.col("SOILMOISTURE")),
     ])
@@ -927,7 +945,9 @@ def stream_daily(spark, sf):
 @query
 def stream_monthly_from_daily(spark, sf):
     target = scratch_dir(spark, "daily")
-    days = windows.daily_zonal(_event_stream(spark, sf), ["event_type"], "value")
+    # the month of events is stretched to four
+    stretched = F.expr("TIMESTAMP_NTZ'2024-01-01' + (ts - TIMESTAMP_NTZ'2024-01-01') * 4")
+    days = windows.daily_zonal(_event_stream(spark, sf).withColumn("ts", stretched), ["event_type"], "value")
     windows.append_available(days, target, f"{target}-checkpoint")
     return settle(windows.monthly_from_daily(spark.read.parquet(target), ["event_type"]))
 
@@ -938,6 +958,66 @@ def stream_closed_months(spark, sf):
     target = scratch_dir(spark, "months")
     schema = b.table(spark, sf, "orders").schema
     orders = ingest.new_files(spark, sf, schema, "orders.parquet").select("o_orderdate", "o_orderpriority", "o_totalprice")
-    months = windows.closed_months(orders, ["o_orderpriority"], "o_totalprice", ts="o_orderdate")
+    months = windows.closed_months(orders, ["o_orderpriority"], "o_totalprice", grace_months=0, ts="o_orderdate")
     windows.append_available(months, target, f"{target}-checkpoint")
     return settle(spark.read.parquet(target), 2)
+
+
+def _backlog(spark, sf, grace_months):
+    """Orders arriving as four batches out of order: 1997, 1995 and 1996, 1998, the rest. Returns the ledger's folder."""
+    folder = scratch_dir(spark, "ledger")
+    orders = b.table(spark, sf, "orders").select("o_orderdate", "o_orderpriority", F.col("o_totalprice").cast("decimal(18,2)"))
+    year = F.year("o_orderdate")
+    write = windows.add_to_ledger(folder, ["o_orderpriority"], "o_totalprice", grace_months, "o_orderdate")
+    for i, part in enumerate([year == 1997, year < 1997, year == 1998, year > 1998]):
+        write(orders.where(part), i)
+    return folder
+
+
+@query
+def stream_backlog_months(spark, sf):
+    """An out-of-order backlog within the grace gives the totals of the batch form."""
+    folder = _backlog(spark, sf, 36)
+    found = windows.released_months(spark, folder, ["o_orderpriority"], 36)
+    return settle(found.withColumn("sum", F.col("sum").cast("double")), 2)
+
+
+@query
+def stream_late_rows(spark, sf):
+    """With less grace the rows behind it are counted as late, and no month is partly released with them."""
+    found = windows.late_rows(spark, _backlog(spark, sf, 3), ["o_orderpriority"])
+    return settle(found.withColumn("sum", F.col("sum").cast("double")), 2)
+
+
+@query
+def incremental_late_variable(spark, sf):
+    """Fire counts arrive a tick after the other variables of their months and complete the rows."""
+    source, tables = scratch_dir(spark, "arriving"), Tables(scratch_dir(spark, "incremental"))
+    raw = stored(b.raw_long(spark, sf), "raw")
+    late = F.col("variable") == "FIRECOUNT"
+    raw.where(~late).write.parquet(source)
+    incremental.run_tick(spark, source, raw.schema, tables, dt.date(2001, 3, 10))
+    raw.where(late).write.mode("append").parquet(source)
+    incremental.run_tick(spark, source, raw.schema, tables, dt.date(2001, 3, 10))
+    return settle(spark.read.parquet(tables.merged).select(*PANEL_KEYS, *PANEL_VARIABLES))
+
+
+@query
+def ingest_null_then_value(spark, sf):
+    """Every cell arrives three times: without a value, with a masked value, and good; the good one enters."""
+    source, target = scratch_dir(spark, "arriving"), scratch_dir(spark, "ingested")
+    raw = stored(b.raw_long(spark, sf).where("variable = 'RAINFALL'"), "raw")
+    for value in (F.lit(None).cast("double"), F.lit(-1.0), F.abs("value")):
+        raw.withColumn("value", value).write.mode("append").parquet(source)
+        ingest.ingest(spark, source, raw.schema, target, f"{target}-checkpoint")
+    return settle(files.scan_partitioned(spark, target).select("variable", *PANEL_KEYS, "value"))
+
+
+@query
+def batch_rerun(spark, sf):
+    """The batch job over all rows and then over the years before 2000: the second run leaves nothing of the first."""
+    tables = Tables(scratch_dir(spark, "batch"))
+    raw = stored(b.raw_long(spark, sf), "raw")
+    run_batch(spark, raw, tables)
+    run_batch(spark, raw.where((F.col("year") < 2000) & (F.col("variable") != "FIRECOUNT")), tables)
+    return settle(files.scan_partitioned(spark, tables.clean).select("variable", *PANEL_KEYS, "value"))

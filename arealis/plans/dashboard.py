@@ -6,7 +6,9 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from arealis.functions.columns import normalize_columns, parse_month
 from arealis.operators.explore import (
     area_extremes,
     area_mean,
@@ -18,12 +20,12 @@ from arealis.operators.explore import (
     value_range,
 )
 from arealis.operators.zones import map_points
-from arealis.registry import AREA_KEYS, map_level_keys
+from arealis.registry import AREA_KEYS, canonical_variable, map_level_keys
 
 
 @dataclass(frozen=True)
 class MapQuery:
-    """One choice of the dashboard's controls."""
+    """One choice of the dashboard's controls; the variable may go by another of its names."""
 
     variable: str
     start: dt.date
@@ -32,6 +34,9 @@ class MapQuery:
     district: str | None = None
     level: str = "Subdistrict"
 
+    def __post_init__(self) -> None:
+        object.__setattr__(self, "variable", canonical_variable(self.variable))
+
 
 @dataclass(frozen=True)
 class Refresh:
@@ -43,6 +48,16 @@ class Refresh:
     extremes: DataFrame
 
 
+def panel_of(table: DataFrame) -> DataFrame:
+    """A dashboard table (text months, names in any case, aliases of variables) as a panel."""
+    tidy = normalize_columns(table)
+    month = parse_month("year_month")
+    names = [c for c in tidy.columns if c not in (*AREA_KEYS, "year_month")]
+    return tidy.select(
+        *AREA_KEYS, F.year(month).alias("year"), F.month(month).alias("month"), *[F.col(c).alias(canonical_variable(c)) for c in names]
+    )
+
+
 def selected(panel: DataFrame, q: MapQuery, nested: bool = False) -> DataFrame:
     """Rows of the chosen months and area, with only the columns the views need."""
     rows = filter_area(filter_range(panel, q.start, q.end), q.province, q.district, nested)

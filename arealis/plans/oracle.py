@@ -20,8 +20,11 @@ def rounded(names, digits: int = 4) -> str:
     return ", ".join(f"{rnd(n, digits)} AS {n}" for n in names)
 
 
-CELLS = """cells AS (
-  SELECT r_name AS province, n_name AS district, c_mktsegment AS subdistrict,
+# a segment is divided, so that areas grow with the customers
+SUBDISTRICT = "c_mktsegment || ' ' || (c_custkey // 1000)::VARCHAR"
+
+CELLS = f"""cells AS (
+  SELECT r_name AS province, n_name AS district, {SUBDISTRICT} AS subdistrict,
          year(o_orderdate)::INTEGER AS year, month(o_orderdate)::INTEGER AS month,
          sum(o_totalprice::DECIMAL(18,2))::DOUBLE / count(*)::DOUBLE / 45 AS NDVI,
          sum(l_quantity::DECIMAL(18,2))::DOUBLE / count(*)::DOUBLE * 65 + 13500 AS LST,
@@ -145,7 +148,7 @@ YEARS = f"""xs AS (
 def scored(partition: str = "district, subdistrict") -> str:
     w = f"OVER (PARTITION BY {partition}, variable)"
     return f"""stats AS (SELECT *, avg(d) {w} AS mu, stddev_samp(d) {w} AS sd FROM dist), scored AS (
-  SELECT *, CASE WHEN sd > 1e-9 THEN (d - mu) / sd END AS z FROM stats), flagged AS (
+  SELECT *, CASE WHEN sd > abs(mu) * 1e-12 THEN (d - mu) / sd END AS z FROM stats), flagged AS (
   SELECT *, CASE WHEN z > 2.0 THEN 1 ELSE 0 END AS zf, mu + 2 * sd AS thr,
          CASE WHEN d > mu + 2 * sd THEN 1 ELSE 0 END AS lf FROM scored)"""
 
@@ -183,7 +186,7 @@ AREAS = "areas AS (SELECT n_nationkey AS nk, r_name AS province, n_name AS distr
 
 ZONES = f"""{AREAS}, extent AS (
   SELECT nk, sub, min(bal) AS lo, max(bal) AS hi, count(*) AS n FROM (
-    SELECT c_nationkey AS nk, c_mktsegment AS sub, c_acctbal AS bal FROM customer
+    SELECT c_nationkey AS nk, {SUBDISTRICT} AS sub, c_acctbal AS bal FROM customer
     UNION ALL SELECT s_nationkey, 'SUPPLIERS', s_acctbal FROM supplier) GROUP BY ALL), zones AS (
   SELECT province, district, sub AS subdistrict, lo / 1000 AS x0, hi / 1000 + 1 AS x1, nk::DOUBLE AS y0, nk::DOUBLE + n / 100 AS y1,
          ((hi / 1000 + 1) - lo / 1000) * ((nk::DOUBLE + n / 100) - nk::DOUBLE) AS zone_area
@@ -237,7 +240,7 @@ def panel(with_: str, source: str, where: str = "") -> str:
     return f"{with_} SELECT {KEY}, {rounded(VARS)} FROM {source}" + (f" WHERE {where}" if where else "")
 
 
-def means(v: str, keys: str = AREA, source: str = "cells", where: str = RANGE) -> str:
+def means(v: str, keys: str = AREA, source: str = "cells", where: str = "TRUE") -> str:
     return f"means AS (SELECT {keys}, avg({v}) AS {v} FROM {source} WHERE {where} GROUP BY {keys})"
 
 
@@ -284,14 +287,15 @@ def kpi(v: str) -> dict[str, str]:
     high = f"(SELECT {{0}} FROM means WHERE {v} IS NOT NULL ORDER BY {v} DESC, {order} LIMIT 1)"
     place = "concat_ws(', ', subdistrict, district)"
     return {
-        "avg_value": f"(SELECT {rnd(f'avg({v})')} FROM means)",
-        "max_value": rnd(high.format(v)), "max_place": high.format(place),
-        "min_value": rnd(low.format(v)), "min_place": low.format(place),
+        "avg_value": _shown(f"(SELECT avg({v}) FROM means)"),
+        "max_value": _shown(high.format(v)), "max_place": high.format(place),
+        "min_value": _shown(low.format(v)), "min_place": low.format(place),
     }
 
 
-def _comma(x: str) -> str:
-    return f"format('{{:,.4f}}', {x})"
+def _shown(x: str, digits: int = 4) -> str:
+    """A displayed number: plain rounding, then two digits that survive another order of addition."""
+    return rnd(f"round({x}, {digits})", 2)
 
 
 def section(name: str, label: str, value: str, source: str) -> str:
@@ -305,6 +309,13 @@ STREAM_CLOSED = """WITH w AS (SELECT max(ts) - INTERVAL 1 DAY AS mark FROM event
   SELECT CAST(ts AS DATE) AS day, event_type, sum(value) AS s, avg(value) AS m, count(value) AS n FROM events
   GROUP BY 1, 2), closed AS (SELECT * FROM days WHERE day + INTERVAL 1 DAY <= (SELECT mark FROM w))"""
 
+STRETCHED = "WITH stretched AS (SELECT * REPLACE (TIMESTAMP '2024-01-01' + (ts - TIMESTAMP '2024-01-01') * 4 AS ts) FROM events)"
+
+# months before the running one, without cells that never had a value
+MASKED_LATER = MASKED.replace("masked AS", "masked_later AS").replace("scaled", "scaled_later").replace("FROM raw", "FROM later")
+ARRIVED = f"""grid AS (SELECT * FROM merged WHERE year * 12 + month < 2001 * 12 + 3
+  AND ({KEY}) IN (SELECT ({KEY}) FROM masked WHERE v IS NOT NULL))"""
+
 DESCRIBED = "described AS (" + " UNION ALL ".join(
     f"SELECT '{t}' AS stem, array_to_string(list(column_name), ',') AS columns, list(column_name) AS names FROM (DESCRIBE SELECT * FROM {t})"
     for t in TABLES.split()
@@ -372,7 +383,7 @@ SELECT year, month, count(*) AS n_rows, count(price) AS n_kept, {rnd('sum(price:
 count(*) OVER (PARTITION BY l_returnflag, l_linestatus) AS n FROM lineitem)
 SELECT l_returnflag, l_linestatus, {rnd('sum(v::DECIMAL(18,2))::DOUBLE / count(*)')} AS trimmed FROM r WHERE rn > floor(0.1::DOUBLE * n) AND rn <= n - floor(0.1::DOUBLE * n) GROUP BY l_returnflag, l_linestatus""",
     "baseline_wide": f"{WITH_BASE} SELECT {AREA}, {BASE_COLUMNS} FROM base GROUP BY {AREA}",
-    "dtw_distance": f"{WITH_FILLED}, v AS (SELECT {AREA}, year, list(LST ORDER BY month) AS x, list(NDVI ORDER BY month) AS y FROM filled GROUP BY ALL HAVING count(*) = 12) SELECT {AREA}, year, {rnd(dtw('x', 'y'))} AS dtw FROM v",
+    "dtw_distance": f"{WITH_FILLED}, v AS (SELECT {AREA}, year, list(LST ORDER BY month) AS x, list(NDVI ORDER BY month) AS y, count(*) = 12 AND count(LST) = 12 AND count(NDVI) = 12 AS whole FROM filled GROUP BY ALL), w AS (SELECT {AREA}, year, {rnd(dtw('x', 'y'))} AS dtw FROM v WHERE whole) SELECT {AREA}, year, dtw FROM v LEFT JOIN w USING ({AREA}, year)",
     "dtw_area_year": scores({"": "d"}),
     "dtw_local_stats": scores({"": "d", "_local_mean": "mu", "_local_std": "sd"}),
     "dtw_zscore": scores({"_z": "z"}),
@@ -388,10 +399,10 @@ SELECT l_returnflag, l_linestatus, {rnd('sum(v::DECIMAL(18,2))::DOUBLE / count(*
     "area_mean_subdistrict": f"{WITH_MERGED}, {means('NDVI', source='merged')} SELECT {AREA}, {rnd('NDVI')} AS NDVI FROM means",
     "area_mean_district": f"{WITH_MERGED}, {means('LST', 'province, district', 'merged')} SELECT province, district, {rnd('LST')} AS LST FROM means",
     "monthly_trend": f"{WITH_MERGED} SELECT {MONTH_DATE} AS month_start, {rnd('avg(SOILMOISTURE)')} AS SOILMOISTURE FROM merged GROUP BY year, month",
-    "map_summary": f"WITH {CELLS}, {ZONES}, {DISTRICT_MEANS} SELECT {rnd('min(LST)', 3)} AS min_value, {rnd('max(LST)', 3)} AS max_value, {rnd('avg(LST)', 3)} AS mean_value FROM zones LEFT JOIN means USING (province, district)",
+    "map_summary": f"WITH {CELLS}, {ZONES}, {DISTRICT_MEANS} SELECT {_shown('min(LST)', 3)} AS min_value, {_shown('max(LST)', 3)} AS max_value, {_shown('avg(LST)', 3)} AS mean_value FROM zones LEFT JOIN means USING (province, district)",
     "area_extremes": f"WITH {CELLS}, {means('RAINFALL')} {extremes('RAINFALL')}",
     "top_areas": f"WITH {CELLS}, {means('RAINFALL')} SELECT {AREA}, {rnd('RAINFALL')} AS RAINFALL FROM means ORDER BY means.RAINFALL DESC, {AREA} LIMIT 10",
-    "kpi_row": f"{WITH_MERGED}, {means('RAINFALL', source='merged')} SELECT {_comma(_kpi_rain['avg_value'])} AS avg_value, {_comma(_kpi_rain['max_value'])} AS max_value, {_kpi_rain['max_place']} AS max_place, {_comma(_kpi_rain['min_value'])} AS min_value, {_kpi_rain['min_place']} AS min_place, 'Mar 1996' AS observation",
+    "kpi_row": f"{WITH_MERGED}, {means('RAINFALL', source='merged')} SELECT {_kpi_rain['avg_value']} AS avg_value, {_kpi_rain['max_value']} AS max_value, {_kpi_rain['max_place']} AS max_place, {_kpi_rain['min_value']} AS min_value, {_kpi_rain['min_place']} AS min_place, 'Jan 1995' AS observation",
     "distinct_months": f"WITH {CELLS} SELECT DISTINCT {MONTH_DATE} AS month_start FROM cells",
     "distinct_areas": f"WITH {CELLS} SELECT DISTINCT {AREA} FROM cells",
     "district_options": f"WITH {CELLS} SELECT province, string_agg(district, '|' ORDER BY district) AS districts FROM (SELECT DISTINCT province, district FROM cells) GROUP BY province",
@@ -404,29 +415,30 @@ SELECT l_returnflag, l_linestatus, {rnd('sum(v::DECIMAL(18,2))::DOUBLE / count(*
     "map_center": f"WITH {ZONES} SELECT {rnd('avg((y0 + y1) / 2)', 6)} AS lat, {rnd('avg((x0 + x1) / 2)', 6)} AS lon FROM zones",
     "to_geojson": f"WITH {ZONES} SELECT 'Feature' AS type, {AREA}, {rnd('x0', 6)} AS x0, {rnd('y0', 6)} AS y0, {rnd('x1', 6)} AS x2, {rnd('y1', 6)} AS y2 FROM zones",
     "choropleth_geojson": f"WITH {CELLS}, {ZONES}, {means('NDVI')} SELECT {AREA}, {rnd('NDVI')} AS NDVI FROM zones LEFT JOIN means USING ({AREA})",
-    "map_summary_by_area": f"WITH {CELLS}, {ZONES}, {DISTRICT_MEANS} SELECT {rnd('min(LST)', 3)} AS min_value, {rnd('max(LST)', 3)} AS max_value, {rnd('sum(LST * zone_area) / sum(zone_area)', 3)} AS mean_value FROM zones JOIN means USING (province, district) WHERE LST IS NOT NULL",
+    "map_summary_by_area": f"WITH {CELLS}, {ZONES}, {DISTRICT_MEANS} SELECT {_shown('min(LST)', 3)} AS min_value, {_shown('max(LST)', 3)} AS max_value, {_shown('sum(LST * zone_area) / sum(zone_area)', 3)} AS mean_value FROM zones JOIN means USING (province, district) WHERE LST IS NOT NULL",
     "map_points": f"WITH {CELLS}, {ZONES}, {means('NDVI')} SELECT {AREA}, {rnd('(y0 + y1) / 2')} AS lat, {rnd('(x0 + x1) / 2')} AS lon, {rnd('NDVI')} AS NDVI FROM zones JOIN means USING ({AREA}) WHERE NDVI IS NOT NULL AND zone_area > 0",
     "zonal_join": f"WITH {EDGES}, {POINTS}, {HITS} SELECT point_id, zone_id FROM hits",
     "zonal_points": f"WITH {EDGES}, {POINTS}, {HITS} SELECT zone_id, {rnd('avg(value)')} AS mean, {rnd('sum(value)')} AS sum, count(value) AS n FROM hits GROUP BY zone_id",
     "zone_contains_center": f"WITH {EDGES}, {POINTS}, {HITS} SELECT hits.zone_id IS NOT NULL AS inside, count(*) AS n FROM points LEFT JOIN hits ON hits.point_id = points.point_id AND hits.zone_id = points.point_id GROUP BY 1",
     "map_data": f"WITH {CELLS}, {ZONES}, {means('NDVI', where=RANGE + chr(32) + 'AND province = ' + chr(39) + 'ASIA' + chr(39))} SELECT {AREA}, {rnd('zone_area')} AS zone_area, {rnd('NDVI')} AS NDVI FROM zones LEFT JOIN means USING ({AREA})",
-    "dashboard_refresh": f"""{WITH_MERGED}, {ZONES}, {means('LST', 'province, district', 'merged')}, shown AS (
+    "map_data_alias": f"WITH {CELLS}, {ZONES}, {means('RAINFALL', where=RANGE + chr(32) + 'AND province = ' + chr(39) + 'ASIA' + chr(39))} SELECT {AREA}, {rnd('zone_area')} AS zone_area, {rnd('RAINFALL')} AS RAINFALL FROM zones LEFT JOIN means USING ({AREA})",
+    "dashboard_refresh": f"""{WITH_MERGED}, {ZONES}, {means('LST', 'province, district', 'merged', RANGE)}, shown AS (
   SELECT zones.*, LST FROM zones LEFT JOIN means USING (province, district)), lo AS (
   SELECT * FROM means WHERE LST IS NOT NULL ORDER BY LST, province, district LIMIT 1), hi AS (
   SELECT * FROM means WHERE LST IS NOT NULL ORDER BY LST DESC, province, district LIMIT 1)
 {section('map', PLACE, 'LST', 'shown')}
 UNION ALL {section('trend', LABEL, 'avg(LST)', 'merged')} WHERE {RANGE} GROUP BY year, month
-UNION ALL SELECT 'summary', 'min', {rnd(rnd('min(LST)', 3))} FROM shown
-UNION ALL SELECT 'summary', 'max', {rnd(rnd('max(LST)', 3))} FROM shown
-UNION ALL SELECT 'summary', 'mean', {rnd(rnd('avg(LST)', 3))} FROM shown
+UNION ALL SELECT 'summary', 'min', {_shown('min(LST)', 3)} FROM shown
+UNION ALL SELECT 'summary', 'max', {_shown('max(LST)', 3)} FROM shown
+UNION ALL SELECT 'summary', 'mean', {_shown('avg(LST)', 3)} FROM shown
 UNION ALL {section('min area', "concat_ws(', ', province, district)", 'LST', 'lo')}
 UNION ALL {section('max area', "concat_ws(', ', province, district)", 'LST', 'hi')}""",
-    "heatmap_refresh": f"{WITH_MERGED}, {ZONES}, {means('RAINFALL', source='merged')} SELECT {AREA}, {rnd('(y0 + y1) / 2')} AS lat, {rnd('(x0 + x1) / 2')} AS lon, {rnd('RAINFALL')} AS RAINFALL FROM zones JOIN means USING ({AREA}) WHERE province = 'ASIA' AND RAINFALL IS NOT NULL AND zone_area > 0",
+    "heatmap_refresh": f"{WITH_MERGED}, {ZONES}, {means('RAINFALL', source='merged', where=RANGE)} SELECT {AREA}, {rnd('(y0 + y1) / 2')} AS lat, {rnd('(x0 + x1) / 2')} AS lon, {rnd('RAINFALL')} AS RAINFALL FROM zones JOIN means USING ({AREA}) WHERE province = 'ASIA' AND RAINFALL IS NOT NULL AND zone_area > 0",
     "kpi_dashboard": f"""{WITH_MERGED}, {ZONES}, sel AS (SELECT * FROM merged WHERE {RANGE} AND province = 'ASIA' AND district = 'NATION_2'),
 {means('SOILMOISTURE', source='sel')}, one AS (SELECT 1)
-SELECT 'avg' AS section, 'Mar 1996' AS label, {rnd(_kpi_soil['avg_value'])} AS value
-UNION ALL SELECT 'max', {_kpi_soil['max_place']}, {rnd(_kpi_soil['max_value'])}
-UNION ALL SELECT 'min', {_kpi_soil['min_place']}, {rnd(_kpi_soil['min_value'])}
+SELECT 'avg' AS section, 'Mar 1996' AS label, {_kpi_soil['avg_value']} AS value
+UNION ALL SELECT 'max', {_kpi_soil['max_place']}, {_kpi_soil['max_value']}
+UNION ALL SELECT 'min', {_kpi_soil['min_place']}, {_kpi_soil['min_value']}
 UNION ALL {section('map', PLACE, 'SOILMOISTURE', f'(SELECT * FROM zones LEFT JOIN means USING ({AREA}))')}
 UNION ALL {section('trend', LABEL, 'avg(SOILMOISTURE)', 'sel')} GROUP BY year, month""",
     "static_map": f"WITH {CELLS}, {ZONES} SELECT {AREA}, {rnd('zone_area')} AS zone_area, year, month, {rnd('NDVI')} AS NDVI FROM zones LEFT JOIN cells USING ({AREA})",
@@ -444,11 +456,17 @@ UNION ALL {section('trend', LABEL, 'avg(SOILMOISTURE)', 'sel')} GROUP BY year, m
         for v in VARS
     ),
     "zonal_monthly_polygons": f"WITH {IMAGES}, {EDGES}, {POINTS}, {HITS}, comp AS (SELECT pixel, year, month, avg(LST) AS LST, sum(FIRECOUNT) AS FIRECOUNT FROM images GROUP BY ALL), z AS (SELECT zone_id, year, month, avg(LST) AS LST, sum(FIRECOUNT)::DOUBLE AS FIRECOUNT FROM comp JOIN hits ON pixel = point_id GROUP BY ALL) SELECT zone_id, year, month, 'LST' AS variable, {rnd('LST')} AS mean, NULL::DOUBLE AS sum FROM z UNION ALL SELECT zone_id, year, month, 'FIRECOUNT', NULL::DOUBLE, {rnd('FIRECOUNT')} FROM z",
-    "stream_ingest": f"{WITH_RAW}, {MASKED} SELECT variable, {KEY}, {rnd('v')} AS value FROM masked",
-    "stream_release": f"{WITH_CLEAN} SELECT variable, {KEY}, {rnd('v')} AS value FROM clean WHERE year * 12 + month < 2000 * 12 + 7",
-    "incremental_run": directional_fill(AREA, "year, month", f"{WITH_MERGED}, grid AS (SELECT * FROM merged WHERE year * 12 + month < 2001 * 12 + 3)"),
+    # a later file only brings what had no value before
+    "stream_ingest": f"{WITH_RAW}, {MASKED}, later AS (SELECT variable, {KEY}, v + 1000 AS v FROM raw WHERE year < 1998), {MASKED_LATER} SELECT variable, {KEY}, {rnd('v')} AS value FROM masked WHERE v IS NOT NULL UNION ALL SELECT variable, {KEY}, {rnd('v')} FROM masked_later ANTI JOIN (SELECT * FROM masked WHERE v IS NOT NULL) AS m USING (variable, {KEY}) WHERE v IS NOT NULL",
+    "stream_release": f"{WITH_CLEAN} SELECT variable, {KEY}, {rnd('v')} AS value FROM clean SEMI JOIN (SELECT * FROM masked WHERE v IS NOT NULL) AS m USING (variable, {KEY}) WHERE year * 12 + month < 2000 * 12 + 7",
+    "incremental_run": directional_fill(AREA, "year, month", f"{WITH_MERGED}, {ARRIVED}"),
+    "incremental_late_variable": f"{WITH_MERGED}, {ARRIVED} SELECT {KEY}, {rounded(VARS)} FROM grid",
+    "ingest_null_then_value": f"{WITH_RAW} SELECT variable, {KEY}, {rnd('abs(v)')} AS value FROM raw WHERE variable = 'RAINFALL'",
+    "batch_rerun": f"{WITH_CLEAN} SELECT variable, {KEY}, {rnd('v')} AS value FROM clean WHERE year < 2000 AND variable <> 'FIRECOUNT'",
+    "stream_backlog_months": "SELECT year(o_orderdate)::INTEGER AS year, month(o_orderdate)::INTEGER AS month, o_orderpriority, " + rnd("sum(o_totalprice::DECIMAL(18,2))", 2) + " AS sum, count(*) AS n FROM orders WHERE year(o_orderdate) * 12 + month(o_orderdate) < (SELECT max(year(o_orderdate) * 12 + month(o_orderdate)) - 36 FROM orders) GROUP BY ALL",
+    "stream_late_rows": "SELECT year(o_orderdate)::INTEGER AS year, month(o_orderdate)::INTEGER AS month, o_orderpriority, " + rnd("sum(o_totalprice::DECIMAL(18,2))", 2) + " AS sum, count(*) AS n_rows FROM orders WHERE year(o_orderdate) < 1997 AND year(o_orderdate) * 12 + month(o_orderdate) < (SELECT max(year(o_orderdate) * 12 + month(o_orderdate)) - 3 FROM orders WHERE year(o_orderdate) = 1997) GROUP BY ALL",
     "stream_daily": f"{STREAM_CLOSED} SELECT day, event_type, {rnd('s')} AS sum, {rnd('m')} AS mean, n FROM closed",
-    "stream_monthly_from_daily": f"{STREAM_CLOSED} SELECT event_type, year(day)::INTEGER AS year, month(day)::INTEGER AS month, {rnd('sum(s)')} AS sum, sum(n)::BIGINT AS n, {rnd('sum(s) / sum(n)')} AS mean FROM closed GROUP BY ALL",
+    "stream_monthly_from_daily": f"{STRETCHED} SELECT event_type, year(ts)::INTEGER AS year, month(ts)::INTEGER AS month, {rnd('sum(value)')} AS sum, count(value) AS n, {rnd('avg(value)')} AS mean FROM stretched WHERE last_day(ts) + INTERVAL 2 DAY <= (SELECT max(ts) FROM stretched) GROUP BY ALL",
     "stream_closed_months": f"SELECT year(o_orderdate)::INTEGER AS year, month(o_orderdate)::INTEGER AS month, o_orderpriority, {rnd('sum(o_totalprice)', 2)} AS sum, count(o_totalprice) AS n FROM orders GROUP BY ALL HAVING max(date_trunc('month', o_orderdate)) < (SELECT date_trunc('month', max(o_orderdate)) FROM orders)",
 }
 ORACLE["dtw_distance_arrow"] = ORACLE["dtw_distance"]

@@ -97,8 +97,10 @@ def pending(inputs: DataFrame, finished: DataFrame, name: str = "stem") -> DataF
     return inputs.join(finished.select(name), name, "left_anti")
 
 
-def write_table(df: DataFrame, folder: str, partitions: list[str] | None = None, mode: str = "overwrite") -> None:
-    """Write parquet; with partition columns only the partitions present in ``df`` are replaced.
+def write_table(
+    df: DataFrame, folder: str, partitions: list[str] | None = None, mode: str = "overwrite", only_present: bool = False
+) -> None:
+    """Write parquet. An overwrite replaces the table, or ``only_present`` the partitions that ``df`` has rows for.
 
     Rows are first brought together per partition with a few files each: AQE splits a partition that is
     too large for one task, so a dominant partition does not end up in a single file.
@@ -107,7 +109,8 @@ def write_table(df: DataFrame, folder: str, partitions: list[str] | None = None,
         df.write.mode(mode).parquet(folder)
         return
     spread = df.hint("rebalance", *partitions)
-    spread.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(folder)
+    kept = "dynamic" if only_present else "static"
+    spread.write.mode(mode).option("partitionOverwriteMode", kept).partitionBy(*partitions).parquet(folder)
 
 
 def write_bucketed(df: DataFrame, name: str, folder: str, by: list[str], buckets: int) -> DataFrame:
@@ -125,8 +128,3 @@ def read_attributes(spark: SparkSession, path: str, schema: StructType | str, fm
     reader = spark.read.schema(schema)
     df = reader.option("header", "true").csv(path) if fmt == "csv" else reader.format(fmt).load(path)
     return normalize_columns(df)
-
-
-def concat_folders(spark: SparkSession, folders: list[str]) -> DataFrame:
-    """Tables of several folders one after the other, by column name."""
-    return concat_all([scan_parquet(spark, f) for f in folders])

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from arealis.functions.columns import month_number
-from arealis.operators.clean import iqr_mask, mask_rows, uses_iqr
+from arealis.operators.clean import drop_incomplete, iqr_mask, mask_rows, uses_iqr
 from arealis.operators.merge import keep_first, unseen
 from arealis.registry import PANEL_KEYS, TIME_KEYS
 from arealis.sources.files import write_table
@@ -38,7 +38,7 @@ def clean_stream(raw: DataFrame) -> DataFrame:
 def append_unseen(
     folder: str, keys: list[str], order: list[str], partitions: list[str]
 ) -> Callable[[DataFrame, int], None]:
-    """Batch writer: the first row per key within the batch, unless the table has the key already.
+    """Batch writer: the first row per key within the batch (nulls last), unless the table has the key already.
 
     Existing rows win and are never rewritten. Only partitions the batch touches are looked at.
     """
@@ -46,7 +46,7 @@ def append_unseen(
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         fresh = keep_first(batch, keys, order)
-        known = _existing(spark, folder, batch.schema)
+        known = existing(spark, folder, batch.schema)
         if known is not None:
             touched = batch.select(*partitions).distinct()
             fresh = unseen(fresh, known.join(touched, partitions, "left_semi"), keys)
@@ -55,7 +55,7 @@ def append_unseen(
     return write
 
 
-def _existing(spark: SparkSession, folder: str, schema: StructType) -> DataFrame | None:
+def existing(spark: SparkSession, folder: str, schema: StructType | str) -> DataFrame | None:
     """The table so far, or none before the first batch."""
     try:
         return spark.read.schema(schema).option("basePath", folder).parquet(folder)
@@ -82,9 +82,12 @@ def run_available(
 def ingest(
     spark: SparkSession, source: str, schema: StructType | str, target: str, checkpoint: str, order: list[str] | None = None
 ) -> StreamingQuery:
-    """New raw files -> cleaned long table partitioned by variable and year, one row per key."""
+    """New raw files -> cleaned long table partitioned by variable and year, one row per key.
+
+    Rows the rules leave without a value go before they can take a key, so a later good value still enters.
+    """
     keys = ["variable", *PANEL_KEYS]
-    cleaned = clean_stream(new_files(spark, source, schema))
+    cleaned = drop_incomplete(clean_stream(new_files(spark, source, schema)), ["value"])
     return run_available(
         cleaned, checkpoint, append_unseen(target, keys, order or ["value"], ["variable", "year"])
     )

@@ -103,11 +103,6 @@ def test_frames_are_cyclic(spark):
     assert sorted((r.frame, r.next_frame) for r in explore.map_frames(df, "v").collect()) == [(0, 1), (1, 2), (2, 0)]
 
 
-def test_month_position(spark):
-    df = small(spark, [("p", "d", "s", 2020, m, 1.0) for m in (2, 5, 9)], PANEL)
-    assert [r.i for r in df.select(explore.month_position(df).alias("i")).orderBy("i").collect()] == [0, 1, 2]
-
-
 def test_unknown_level_means_subdistrict(spark):
     df = small(spark, [("p", "d", "s", 2020, 1, 1.0)], PANEL)
     assert explore.area_mean(df, "v", "Country").columns == ["province", "district", "subdistrict", "v"]
