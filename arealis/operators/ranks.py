@@ -1,132 +1,103 @@
 """Exact order statistics of groups that may be far larger than one task.
 
-A whole group is never sorted in one place. Values fall into narrow buckets by a rule that looks at the value
-alone and keeps the order of values. Counting per bucket gives the rank at which each bucket starts; then only
-the few buckets holding a wanted rank are looked at again, collapsed to ``(value, count)`` and sorted, each on
-its own. The largest sort is one bucket's distinct values, the largest window one group's buckets.
+A whole group is never sorted in one place. A first read sketches each group's quantiles, which gives for every wanted
+rank a narrow window of values that holds it, whatever the distribution. A second read counts and adds up the values
+outside the windows by the gap they lie in and collapses those inside to ``(value, count)``; both shrink before the
+shuffle. What is left of a group is sorted: its few gaps and the distinct values of its windows, a share of the group of
+about ``2 * MARGIN / accuracy`` per wanted rank. A rank its window does not hold, which the sketch's error bound rules out, fails the job.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BUCKETS_PER_UNIT = 1024
-
-
-def value_bucket(value: Column, per_unit: int = BUCKETS_PER_UNIT) -> Column:
-    """Bucket number that never decreases as the value grows: linear near zero, logarithmic further out."""
-    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * per_unit)
-
-
-def _bucketed(df: DataFrame, keys: list[str], value: str, per_unit: int) -> DataFrame:
-    """Non-null values with their bucket."""
-    return df.where(F.col(value).isNotNull()).select(
-        *keys, F.col(value).cast("double").alias("_v"), value_bucket(F.col(value).cast("double"), per_unit).alias("_b")
+ACCURACY = 10_000
+#: Half a window in units of the sketch's rank error.
+MARGIN = 4
+
+
+def _windows(values: DataFrame, keys: list[str], probabilities: list[float], accuracy: int) -> DataFrame:
+    """Per group its number of values and a window of values around each probability; a small group is one window."""
+    at = [min(max(p + side * MARGIN / accuracy, 0.0), 1.0) for p in probabilities for side in (-1, 1)]
+    sketch = values.groupBy(*keys).agg(F.percentile_approx("_v", at, accuracy).alias("_e"), F.count("_v").alias("_n"))
+    whole = F.col("_n") <= 2 * accuracy
+    low, high = F.lit(float("-inf")), F.lit(float("inf"))
+    windows = [
+        F.struct(
+            F.when(whole | F.lit(at[i] <= 0), low).otherwise(F.get("_e", F.lit(i))).alias("low"),
+            F.when(whole | F.lit(at[i + 1] >= 1), high).otherwise(F.get("_e", F.lit(i + 1))).alias("high"),
+        )
+        for i in range(0, len(at), 2)
+    ]
+    return sketch.select(*[F.col(k).alias(f"_w_{k}") for k in keys], "_n", F.array(*windows).alias("_windows"))
+
+
+def ranked_values(
+    df: DataFrame, keys: list[str], value: str, probabilities: list[float], accuracy: int = ACCURACY
+) -> DataFrame:
+    """What is left of each group, in order: ``_v`` (null for a gap), count ``_c``, sum ``_sum``, rows before ``_from``, ``_n``."""
+    values = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    windows = _windows(values, keys, probabilities, accuracy)
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_w_{k}")) for k in keys])
+    inside = F.exists("_windows", lambda w: F.col("_v").between(w["low"], w["high"]))
+    gap = F.size(F.filter("_windows", lambda w: F.col("_v") > w["high"]))
+    placed = values.join(windows, same).select(
+        *keys, "_n", F.when(inside, F.col("_v")).alias("_inside"), F.when(~inside, gap).alias("_gap"), "_v"
     )
-
-
-def _bucket_ranks(bucketed: DataFrame, keys: list[str]) -> DataFrame:
-    """Per bucket: rows and sum inside it, rows before it, rows in the whole group.
-
-    Map tasks count before the shuffle, so each sends at most one row per group and bucket.
-    """
-    buckets = bucketed.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_rows"), F.sum("_v").alias("_sum"))
-    group = W.partitionBy(*keys)
-    running = group.orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
-    return buckets.select(
-        *keys, "_b", "_rows", "_sum",
-        F.coalesce(F.sum("_rows").over(running), F.lit(0)).alias("_before"),
-        F.sum("_rows").over(group).alias("_n"),
+    left = placed.groupBy(*keys, "_n", "_inside", "_gap").agg(
+        F.count(F.lit(1)).alias("_c"), F.sum("_v").alias("_sum"), F.min("_v").alias("_at")
+    )
+    before = W.partitionBy(*keys).orderBy("_at").rowsBetween(W.unboundedPreceding, -1)
+    return left.select(
+        *keys, F.col("_inside").alias("_v"), "_c", "_sum", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_from"), "_n"
     )
 
 
-def _ranked_values(bucketed: DataFrame, chosen: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct values of the chosen buckets, each with its count and the rank at which it starts.
-
-    Only rows of chosen buckets pass the join; copies of a value are counted before they are shuffled.
-    """
-    part = [*keys, "_b"]
-    wanted = chosen.select(*[F.col(k).alias(f"_w_{k}") for k in part], "_before", "_n")
-    same = [F.col(k).eqNullSafe(F.col(f"_w_{k}")) for k in part]
-    counted = (
-        bucketed.join(wanted, same, "inner")
-        .groupBy(*part, "_before", "_n", "_v")
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    inside = W.partitionBy(*part).orderBy("_v").rowsBetween(W.unboundedPreceding, -1)
-    return counted.withColumn("_from", F.col("_before") + F.coalesce(F.sum("_c").over(inside), F.lit(0)))
+def _found(value: Column) -> Column:
+    return F.coalesce(value, F.raise_error(F.lit("rank outside its window")).cast("double"))
 
 
 def exact_quantiles(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    probabilities: dict[str, float],
-    per_unit: int = BUCKETS_PER_UNIT,
+    df: DataFrame, keys: list[str], value: str, probabilities: dict[str, float], accuracy: int = ACCURACY
 ) -> DataFrame:
     """Quantiles per group by linear interpolation, one output column per entry of ``probabilities``."""
-    bucketed = _bucketed(df, keys, value, per_unit)
+    ranked = ranked_values(df, keys, value, list(probabilities.values()), accuracy)
     position = {name: F.lit(float(p)) * (F.col("_n") - 1) for name, p in probabilities.items()}
-    ranks = {name: (F.floor(pos), F.ceil(pos)) for name, pos in position.items()}
-
-    def holds(rank: Column, start: Column, rows: Column) -> Column:
-        return (rank >= start) & (rank < start + rows)
 
-    wanted = F.lit(False)
-    for low, high in ranks.values():
-        for rank in (low, high):
-            wanted = wanted | holds(rank, F.col("_before"), F.col("_rows"))
-    chosen = _bucket_ranks(bucketed, keys).where(wanted).select(*keys, "_b", "_before", "_n")
-    ranked = _ranked_values(bucketed, chosen, keys)
+    def at(rank: Column) -> Column:
+        return F.max(F.when((rank >= F.col("_from")) & (rank < F.col("_from") + F.col("_c")), F.col("_v")))
 
     picks = []
-    for name, (low, high) in ranks.items():
-        for side, rank in (("lo", low), ("hi", high)):
-            picks.append(
-                F.max(F.when(holds(rank, F.col("_from"), F.col("_c")), F.col("_v"))).alias(f"_{name}_{side}")
-            )
+    for name, pos in position.items():
+        picks += [at(F.floor(pos)).alias(f"_{name}_lo"), at(F.ceil(pos)).alias(f"_{name}_hi")]
     picked = ranked.groupBy(*keys).agg(F.max("_n").alias("_n"), *picks)
-    return picked.select(
-        *keys,
-        *[
-            (
-                F.col(f"_{n}_lo") + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * (position[n] - F.floor(position[n]))
-            ).alias(n)
-            for n in probabilities
-        ],
-    )
+
+    def between(name: str) -> Column:
+        low, high, pos = _found(F.col(f"_{name}_lo")), _found(F.col(f"_{name}_hi")), position[name]
+        return (low + (high - low) * (pos - F.floor(pos))).alias(name)
+
+    return picked.select(*keys, *[between(n) for n in probabilities])
 
 
 def trimmed_mean(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    ratio: float,
-    name: str | None = None,
-    per_unit: int = BUCKETS_PER_UNIT,
+    df: DataFrame, keys: list[str], value: str, ratio: float, name: str | None = None, accuracy: int = ACCURACY
 ) -> DataFrame:
     """Mean per group after cutting ``floor(ratio * n)`` values from each end; nulls are not counted.
 
-    Buckets lying wholly between the cuts add their sum; only the buckets at the two cuts are sorted.
+    Gaps lying wholly between the cuts add their sum; values are looked at singly around the two cuts only.
     """
     if not 0 <= ratio < 0.5:
         raise ValueError("ratio must be at least 0 and below 0.5")
-    bucketed = _bucketed(df, keys, value, per_unit)
+    ranked = ranked_values(df, keys, value, [ratio, 1 - ratio], accuracy)
     cut = F.floor(F.lit(float(ratio)) * F.col("_n"))
-    first, end = cut, F.col("_n") - cut
-    start, stop = F.col("_before"), F.col("_before") + F.col("_rows")
-    buckets = _bucket_ranks(bucketed, keys)
-
-    inner = buckets.where((start >= first) & (stop <= end)).select(*keys, "_n", F.col("_sum").alias("_part"))
-    at_cuts = buckets.where(((start < first) & (stop > first)) | ((start < end) & (stop > end))).select(
-        *keys, "_b", "_before", "_n"
-    )
-    ranked = _ranked_values(bucketed, at_cuts, keys)
-    kept = F.greatest(
-        F.lit(0), F.least(F.col("_from") + F.col("_c"), end) - F.greatest(F.col("_from"), first)
+    end = F.col("_n") - cut
+    kept = F.greatest(F.lit(0), F.least(F.col("_from") + F.col("_c"), end) - F.greatest(F.col("_from"), cut))
+    part = (
+        F.when(kept == F.col("_c"), F.col("_sum")).when(kept == 0, F.lit(0.0)).otherwise(_found(F.col("_v") * kept))
     )
-    edges = ranked.select(*keys, "_n", (F.col("_v") * kept).alias("_part"))
-    parts = inner.unionByName(edges).groupBy(*keys).agg(F.sum("_part").alias("_sum"), F.max("_n").alias("_n"))
-    return parts.select(*keys, (F.col("_sum") / (F.col("_n") - 2 * cut)).alias(name or value))
+    total = ranked.groupBy(*keys).agg(F.sum(part).alias("_sum"), F.max("_n").alias("_n"))
+    return total.select(*keys, (F.col("_sum") / (F.col("_n") - 2 * cut)).alias(name or value))
