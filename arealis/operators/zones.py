@@ -22,15 +22,27 @@ from arealis.functions.geometry import (
 from arealis.registry import AREA_KEYS, SIMPLIFY_TOLERANCE
 
 
-def zone_cells(zones: DataFrame, names: list[str], cell: Column) -> DataFrame:
-    """Grid cells touched by each zone.
+#: A zone spans so many cells of its own grid, at most twice as many.
+CELLS_ACROSS = 8
+
+
+def zone_level(rings: Column) -> Column:
+    """Level of a zone's grid, whose cells are ``2 ** level`` wide: a large zone has large cells, not many."""
+    box = bounding_box(rings)
+    extent = F.greatest(box["x1"] - box["x0"], box["y1"] - box["y0"])
+    return F.when(extent > 0, F.floor(F.log2(extent / CELLS_ACROSS))).otherwise(F.lit(0)).cast("int")
+
+
+def zone_cells(zones: DataFrame, names: list[str], cell: Column, level: Column) -> DataFrame:
+    """Grid cells touched by each zone: its level, cell numbers and edges.
 
     A cell no edge comes near lies wholly inside or outside: outside cells are dropped, inside cells carry
     no edges. A cell on a border keeps the edges a ray to the right can meet from within it, which is all
     the exact test looks at.
     """
     boxed = zones.select(
-        *names, zone_edges(F.col("rings")).alias("edges"), bounding_box(F.col("rings")).alias("box"), cell.alias("cell")
+        *names, zone_edges(F.col("rings")).alias("edges"), bounding_box(F.col("rings")).alias("box"),
+        cell.alias("cell"), level.alias("level"),
     )
     cell = F.col("cell")
     margin = cell * 1e-6
@@ -45,27 +57,20 @@ def zone_cells(zones: DataFrame, names: list[str], cell: Column) -> DataFrame:
         return F.least(e[f"{axis}1"], e[f"{axis}2"]) <= start + cell + margin
 
     # Row of cells first: a cell then looks at the edges of its row only.
-    rows = boxed.select(*names, "edges", "box", "cell", span(F.col("box.y0"), F.col("box.y1")).alias("cy"))
+    rows = boxed.select(*names, "edges", "box", "cell", "level", span(F.col("box.y0"), F.col("box.y1")).alias("cy"))
     y0 = F.col("cy") * cell
     banded = rows.withColumn("edges", F.filter("edges", lambda e: reaches(e, "y", y0) & begins(e, "y", y0)))
-    cells = banded.select(*names, "edges", "cell", "cy", span(F.col("box.x0"), F.col("box.x1")).alias("cx"))
+    cells = banded.select(*names, "edges", "cell", "level", "cy", span(F.col("box.x0"), F.col("box.x1")).alias("cx"))
     x0 = F.col("cx") * cell
     on_border = F.exists("edges", lambda e: reaches(e, "x", x0) & begins(e, "x", x0))
     marked = cells.select(
         "*", on_border.alias("on_border"), covers(F.col("edges"), x0 + cell / 2, y0 + cell / 2).alias("inside")
     )
     return marked.where(F.col("on_border") | F.col("inside")).select(
-        *names, "cx", "cy", F.when(F.col("on_border"), F.filter("edges", lambda e: reaches(e, "x", x0))).alias("edges")
+        *names, "level", "cx", "cy", F.when(F.col("on_border"), F.filter("edges", lambda e: reaches(e, "x", x0))).alias("edges")
     )
 
 
-def default_cell(zones: DataFrame) -> Column:
-    """An eighth of the zones' mean extent, as a scalar subquery."""
-    boxed = zones.select(bounding_box(F.col("rings")).alias("b"))
-    extent = F.greatest(F.col("b.x1") - F.col("b.x0"), F.col("b.y1") - F.col("b.y0"))
-    return boxed.agg((F.avg(extent) / 8).alias("cell")).scalar()
-
-
 def zonal_join(
     points: DataFrame,
     zones: DataFrame,
@@ -76,14 +81,19 @@ def zonal_join(
 ) -> DataFrame:
     """Points with the names of every zone that contains them; a point outside all zones is left out.
 
-    An equi-join on the grid cell with the exact test on top. Spark broadcasts the cells when they are
-    small enough and otherwise joins by shuffle, splitting crowded cells.
+    An equi-join on the cells of the zones' grids with the exact test on top. Each zone has the grid that suits its
+    size, so its cells are a few hundred at most whatever the sizes of others; a point is placed in the grids in
+    use, which are as many as there are powers of two between the smallest and the largest zone. ``cell`` sets one grid
+    for all. Spark broadcasts the cells when they are small enough and otherwise joins by shuffle, splitting crowded cells.
     """
-    size = F.lit(float(cell)) if cell else default_cell(zones)
-    cells = zone_cells(zones, names, size)
-    placed = points.withColumns({"cx": F.floor(F.col(x) / size), "cy": F.floor(F.col(y) / size)})
+    level = F.lit(0) if cell else zone_level(F.col("rings"))
+    size = (lambda at: F.lit(float(cell))) if cell else (lambda at: F.pow(F.lit(2.0), at))
+    cells = zone_cells(zones, names, size(level), level)
+    levels = zones.agg(F.collect_set(level).alias("levels")).scalar()
+    placed = points.select("*", F.explode(levels).alias("level"))
+    placed = placed.withColumns({"cx": F.floor(F.col(x) / size(F.col("level"))), "cy": F.floor(F.col(y) / size(F.col("level")))})
     hit = F.col("edges").isNull() | covers(F.col("edges"), F.col(x), F.col(y))
-    return placed.join(cells, ["cx", "cy"], "inner").where(hit).drop("cx", "cy", "edges")
+    return placed.join(cells, ["level", "cx", "cy"], "inner").where(hit).drop("level", "cx", "cy", "edges")
 
 
 def with_centroids(zones: DataFrame) -> DataFrame:

@@ -155,16 +155,19 @@ def _ring(vertices: list[tuple[Column, Column]], hole: bool = False) -> Column:
 def star_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One star-shaped zone per vector: centre from dimensions 1 and 2, eight radii from the next eight.
 
-    Every fourth zone has a square hole around its centre.
+    Every fourth zone has a square hole around its centre. Zones shrink as they become more, so that a point lies
+    in as many of them at any size of the table.
     """
+    vectors = table(spark, sf_dir, "embeddings")
+    scale = vectors.agg(F.sqrt(F.lit(500.0) / F.count(F.lit(1))).alias("scale")).scalar()
     dim = [F.get("embedding", F.lit(i)).cast("double") for i in range(10)]
-    radius = [F.abs(d) * 0.3 + 0.02 for d in dim[2:]]
+    radius = [(F.abs(d) * 0.3 + 0.02) * F.col("scale") for d in dim[2:]]
     star = [(dim[0] + r * ux, dim[1] + r * uy) for r, (ux, uy) in zip(radius, STAR)]
-    side = F.lit(0.005)
+    side = F.lit(0.005) * F.col("scale")
     square = [(dim[0] + dx * side, dim[1] + dy * side) for dx, dy in [(-1, -1), (1, -1), (1, 1), (-1, 1)]]
     holed = F.array(_ring(star), _ring(square, hole=True))
     rings = F.when(F.col("vec_id") % 4 == 0, holed).otherwise(F.array(_ring(star)))
-    return table(spark, sf_dir, "embeddings").select(
+    return vectors.withColumn("scale", scale).select(
         F.col("vec_id").alias("zone_id"), F.col("label").alias("zone_label"), rings.alias("rings")
     )
 

@@ -192,11 +192,12 @@ ZONES = f"""{AREAS}, extent AS (
          ((hi / 1000 + 1) - lo / 1000) * ((nk::DOUBLE + n / 100) - nk::DOUBLE) AS zone_area
   FROM extent JOIN areas USING (nk))"""
 
-_vertex_x = [f"embedding[1]::DOUBLE + (abs(embedding[{i + 3}]::DOUBLE) * 0.3::DOUBLE + 0.02::DOUBLE) * ({ux}::DOUBLE)" for i, (ux, _) in enumerate(STAR)]
-_vertex_y = [f"embedding[2]::DOUBLE + (abs(embedding[{i + 3}]::DOUBLE) * 0.3::DOUBLE + 0.02::DOUBLE) * ({uy}::DOUBLE)" for i, (_, uy) in enumerate(STAR)]
+_SCALE = "(SELECT sqrt(500.0::DOUBLE / count(*)) FROM embeddings)"
+_vertex_x = [f"embedding[1]::DOUBLE + (abs(embedding[{i + 3}]::DOUBLE) * 0.3::DOUBLE + 0.02::DOUBLE) * {_SCALE} * ({ux}::DOUBLE)" for i, (ux, _) in enumerate(STAR)]
+_vertex_y = [f"embedding[2]::DOUBLE + (abs(embedding[{i + 3}]::DOUBLE) * 0.3::DOUBLE + 0.02::DOUBLE) * {_SCALE} * ({uy}::DOUBLE)" for i, (_, uy) in enumerate(STAR)]
 _square = [(-1, -1), (1, -1), (1, 1), (-1, 1)]
-_hole_x = [f"embedding[1]::DOUBLE + ({dx}) * 0.005::DOUBLE" for dx, _ in _square]
-_hole_y = [f"embedding[2]::DOUBLE + ({dy}) * 0.005::DOUBLE" for _, dy in _square]
+_hole_x = [f"embedding[1]::DOUBLE + ({dx}) * (0.005::DOUBLE * {_SCALE})" for dx, _ in _square]
+_hole_y = [f"embedding[2]::DOUBLE + ({dy}) * (0.005::DOUBLE * {_SCALE})" for _, dy in _square]
 
 
 def _corner_rows(xs: list[str], ys: list[str], hole: bool) -> str:

@@ -145,3 +145,14 @@ def test_sum_of_sums_equals_two_steps(spark):
     df = spark.range(2000).select((F.col("id") % 17).alias("p"), (F.col("id") % 3).alias("z"), F.timestamp_seconds(F.col("id") * 9000).alias("image_ts"), (F.col("id") % 5 == 0).cast("int").alias("f"))
     two = raster.zonal(raster.composite(df, ["p", "z"], {"f": "sum"}), ["z"], {"f": "sum"})
     assert sorted(two.collect()) == sorted(raster.zonal_month_sum(df, ["z"], "f").collect())
+
+
+def test_one_huge_zone_among_small_ones_stays_small(spark):
+    square = lambda x, y, w: ring([(x, y), (x + w, y), (x + w, y + w), (x, y + w)])
+    shapes = {f"s{i}": [square(i % 50 * 0.4, i // 50 * 0.4, 0.01)] for i in range(200)} | {"huge": [square(-1, -1, 22.0)]}
+    rows = layer(spark, shapes)
+    level = zones.zone_level(F.col("rings"))
+    cells = zones.zone_cells(rows, ["name"], F.pow(F.lit(2.0), level), level)
+    assert cells.where("name = 'huge'").count() <= (2 * zones.CELLS_ACROSS + 1) ** 2
+    points = spark.createDataFrame([(i, i % 50 * 0.4 + 0.004, i // 50 * 0.4 + 0.006) for i in range(200)], "i int, x double, y double")
+    assert zones.zonal_join(points, rows, ["name"]).groupBy("i").count().where("count = 2").count() == 200
