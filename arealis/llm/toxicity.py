@@ -31,7 +31,7 @@ STEM = 5
 SAMPLE = 12_000
 EPOCHS = 4
 #: L1 is a share of the training rows, as the gradients it competes with add up over them.
-ALPHA, BETA, L1_SHARE, L2 = 1.0, 1.0, 0.001, 1.0
+ALPHA, BETA, L1_SHARE, L2 = 1.0, 1.0, 0.002, 1.0
 POSITIVE_WEIGHT = 3.0
 EDGES = string.punctuation + "«»“”„‘’…–—¡¿"
 
