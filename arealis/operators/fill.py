@@ -6,6 +6,8 @@ shuffle. The wider means go through a table with one row per district.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -140,16 +142,24 @@ def fill_hierarchical(
 
 
 def fill_panel(
-    panel: DataFrame, values: list[str] = PANEL_VARIABLES, limit: int = INTERPOLATION_LIMIT, store: bool = True
+    panel: DataFrame,
+    values: list[str] = PANEL_VARIABLES,
+    limit: int = INTERPOLATION_LIMIT,
+    keep: Callable[[DataFrame], DataFrame] = lambda seasonal: seasonal,
 ) -> DataFrame:
     """Month grid, interpolation, climatology, then wider means.
 
-    The wider means and the rows they fill both need the panel as it stands after the climatology. ``store``
-    keeps it in the shared folder; without it the per-area windows run once for each.
+    The wider means and the rows they fill both need the panel as it stands after the climatology. A job passes as
+    ``keep`` how to store it (``seasonal_store``); without it the per-area windows run once for each.
     """
     values = [v for v in values if v in panel.columns]
     seasonal = fill_climatology(interpolate_gaps(month_grid(panel, values), values, limit), values)
-    return fill_hierarchical(stored(seasonal, "seasonal") if store else seasonal, values)
+    return fill_hierarchical(keep(seasonal), values)
+
+
+def seasonal_store(seasonal: DataFrame) -> DataFrame:
+    """Keep the half-filled panel in the shared folder."""
+    return stored(seasonal, "seasonal")
 
 
 def fill_forward_backward(

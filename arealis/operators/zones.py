@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -124,50 +126,93 @@ def to_geojson(df: DataFrame, properties: list[str]) -> DataFrame:
 def simplify_zones(zones: DataFrame, tolerance: float = SIMPLIFY_TOLERANCE) -> DataFrame:
     """Drop ring vertices closer than ``tolerance`` to the simplified line; a ring keeps four points at least.
 
-    Each ring is simplified by itself, so borders shared by two zones may part by up to the tolerance.
+    No edges of a simplified zone cross: where they would, the zone is simplified with half the tolerance, and so on down
+    to its own vertices. Borders shared by two zones may part by up to the tolerance. A zone without rings stays as it is.
     """
     others = [c for c in zones.columns if c != "rings"]
     kinds = dict(zones.dtypes)
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in others), f"rings {RINGS_TYPE}"])
-    return zones.select(*others, "rings").mapInPandas(_simplifier(tolerance), schema)
-
-
-def _simplifier(tolerance: float) -> Callable[[Iterator], Iterator]:
-    def run(batches):
-        import numpy as np
-
-        def thin(points):
-            xy = np.array([(p["x"], p["y"]) for p in points], dtype=float)
-            n = len(xy)
-            if n <= 4:
-                return points
-            # A closed ring has no end points of its own: split it at the vertex farthest from the first.
-            split = int(np.argmax(((xy - xy[0]) ** 2).sum(axis=1)))
-            keep = {0, split, n - 1}
-            spans = [(0, split), (split, n - 1)]
-            distances = np.zeros(n)
-            while spans:
-                a, b = spans.pop()
-                if b - a < 2:
-                    continue
-                chord, inner = xy[b] - xy[a], xy[a + 1 : b] - xy[a]
-                square = float(chord @ chord)
-                along = np.clip(inner @ chord / square, 0, 1) if square else np.zeros(len(inner))
-                gap = np.sqrt(((inner - np.outer(along, chord)) ** 2).sum(axis=1))
-                distances[a + 1 : b] = gap
-                far = a + 1 + int(np.argmax(gap))
-                if distances[far] > tolerance:
-                    keep.add(far)
-                    spans += [(a, far), (far, b)]
-            spare = sorted((i for i in range(1, n - 1) if i not in keep), key=lambda i: -distances[i])
-            keep.update(spare[: max(0, 4 - len(keep))])
-            return [points[i] for i in sorted(keep)]
-
+    return zones.select(*others, "rings").mapInArrow(_simplifier(tolerance), schema)
+
+
+def kept_vertices(xy: np.ndarray, tolerance: float) -> np.ndarray:
+    """Which vertices of a closed ring (first point repeated at its end) stay."""
+    n = len(xy)
+    keep = np.zeros(n, bool)
+    if n <= 4:
+        return ~keep
+    # A closed ring has no end points of its own: split it at the vertex farthest from the first.
+    split = int(np.argmax(((xy - xy[0]) ** 2).sum(axis=1)))
+    keep[[0, split, n - 1]] = True
+    spans, distances = [(0, split), (split, n - 1)], np.zeros(n)
+    while spans:
+        a, b = spans.pop()
+        if b - a < 2:
+            continue
+        chord, inner = xy[b] - xy[a], xy[a + 1 : b] - xy[a]
+        square = float(chord @ chord)
+        along = np.clip(inner @ chord / square, 0, 1) if square else np.zeros(len(inner))
+        gap = np.sqrt(((inner - np.outer(along, chord)) ** 2).sum(axis=1))
+        distances[a + 1 : b] = gap
+        far = a + 1 + int(np.argmax(gap))
+        if distances[far] > tolerance:
+            keep[far] = True
+            spans += [(a, far), (far, b)]
+    spare = np.flatnonzero(~keep)
+    keep[spare[np.argsort(-distances[spare], kind="stable")][: max(0, 4 - int(keep.sum()))]] = True
+    return keep
+
+
+def edges_cross(rings: list[np.ndarray]) -> bool:
+    """Whether two edges of the rings cross in a point inside both."""
+    a = np.concatenate([r[:-1] for r in rings])
+    b = np.concatenate([r[1:] for r in rings])
+
+    def side(p: np.ndarray, q: np.ndarray, r: np.ndarray) -> np.ndarray:
+        return np.sign((q[..., 0] - p[..., 0]) * (r[..., 1] - p[..., 1]) - (q[..., 1] - p[..., 1]) * (r[..., 0] - p[..., 0]))
+
+    for i in range(len(a) - 1):
+        c, d = a[i + 1 :], b[i + 1 :]
+        if ((side(a[i], b[i], c) * side(a[i], b[i], d) < 0) & (side(c, d, a[i]) * side(c, d, b[i]) < 0)).any():
+            return True
+    return False
+
+
+def _zone_mask(rings: list[np.ndarray], tolerance: float) -> np.ndarray:
+    """Vertices of all rings of a zone that stay, one after the other."""
+    while True:
+        masks = [kept_vertices(r, tolerance) for r in rings]
+        whole = all(m.all() for m in masks)
+        if whole or not edges_cross([r[m] for r, m in zip(rings, masks, strict=True) if len(r)]):
+            return np.concatenate([np.zeros(0, bool), *masks])
+        # a tolerance below the coordinates' resolution keeps every bend
+        tolerance = tolerance / 2 if tolerance > 1e-300 else -1.0
+
+
+def _simplifier(tolerance: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Works on the flat coordinates of a batch; only the offsets of its lists change."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch["rings"] = [
-                [{"hole": bool(r["hole"]), "points": thin(list(r["points"]))} for r in rings] for rings in batch["rings"]
-            ]
-            yield batch
+            at = batch.schema.get_field_index("rings")
+            zone = batch.column(at)
+            if not len(zone.values):
+                yield batch
+                continue
+            points = zone.values.field("points")
+            of_zone, of_ring = zone.offsets.to_numpy(), points.offsets.to_numpy()
+            xy = np.stack([points.values.field(c).to_numpy(zero_copy_only=False) for c in "xy"], axis=1)
+            keep = np.zeros(len(xy), bool)
+            for first, end in zip(of_zone[:-1], of_zone[1:], strict=True):
+                cuts = of_ring[first : end + 1]
+                if end > first and cuts[-1] > cuts[0]:
+                    keep[cuts[0] : cuts[-1]] = _zone_mask([xy[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], tolerance)
+            before = np.r_[0, np.cumsum(keep)].astype(np.int32)
+            flat = pa.StructArray.from_arrays([pa.array(xy[keep, 0]), pa.array(xy[keep, 1])], names=["x", "y"])
+            thin = pa.ListArray.from_arrays(pa.array(before[of_ring], pa.int32()), flat)
+            rings = pa.StructArray.from_arrays([zone.values.field("hole"), thin], names=["hole", "points"])
+            out = pa.ListArray.from_arrays(zone.offsets, rings, mask=zone.is_null())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], out, *batch.columns[at + 1 :]], names=batch.schema.names)
 
     return run
 

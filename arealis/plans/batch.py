@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from arealis.functions.columns import require_columns
 from arealis.operators.anomaly import anomaly_table
 from arealis.operators.clean import clean_long
-from arealis.operators.fill import fill_panel
+from arealis.operators.fill import fill_panel, seasonal_store
 from arealis.operators.merge import merge_long
 from arealis.registry import PANEL_KEYS, PANEL_VARIABLES
 from arealis.sources.files import scan_partitioned, write_table
@@ -61,6 +61,6 @@ def merge_tables(spark: SparkSession, tables: Tables) -> None:
 
 def score_tables(spark: SparkSession, tables: Tables, arrow: bool = True) -> DataFrame:
     """Merged panel -> filled panel -> anomaly table."""
-    write_table(fill_panel(spark.read.parquet(tables.merged), PANEL_VARIABLES), tables.filled, ["year"])
+    write_table(fill_panel(spark.read.parquet(tables.merged), PANEL_VARIABLES, keep=seasonal_store), tables.filled, ["year"])
     write_table(anomaly_table(spark.read.parquet(tables.filled), arrow=arrow), tables.anomalies)
     return spark.read.parquet(tables.anomalies)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from arealis.functions.geometry import POINT_TYPE
 from arealis.operators.clean import clean_long
-from arealis.operators.fill import fill_panel
+from arealis.operators.fill import fill_panel, seasonal_store
 from arealis.operators.merge import merge_long, to_long
 from arealis.registry import AREA_KEYS, FIRE_MASK_MIN, PANEL_KEYS
 from arealis.session import stored
@@ -105,7 +105,7 @@ def merged_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def filled_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The filled panel; the merged one is stored first, as grid, bounds and wider means all read it."""
-    return fill_panel(stored(merged_panel(spark, sf_dir), "merged"))
+    return fill_panel(stored(merged_panel(spark, sf_dir), "merged"), keep=seasonal_store)
 
 
 def observed_panel(spark: SparkSession, sf_dir: str) -> DataFrame:

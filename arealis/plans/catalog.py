@@ -689,10 +689,28 @@ def zone_centroid(spark, sf):
 
 @query
 def zone_simplify(spark, sf):
-    """Simplified stars: points left and area, per zone."""
-    thin = zones.simplify_zones(b.star_zones(spark, sf), tolerance=0.01)
-    points = F.aggregate("rings", F.lit(0), lambda n, r: n + F.size(r["points"]))
-    return settle(thin.select("zone_id", points.alias("n_points"), zone_area(F.col("rings")).alias("area")), 6)
+    """What simplified stars promise: four points a ring, every old vertex near the new line, no edges that cross."""
+    stars, tolerance = b.star_zones(spark, sf), 0.01
+    thin = zones.simplify_zones(stars, tolerance).select("zone_id", "rings", zone_edges(F.col("rings")).alias("thin"))
+    both = thin.join(stars.select("zone_id", zone_edges(F.col("rings")).alias("old")), "zone_id")
+
+    def near(v, e):
+        dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+        t = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.try_divide((v["x1"] - e["x1"]) * dx + (v["y1"] - e["y1"]) * dy, dx * dx + dy * dy)))
+        return F.hypot(v["x1"] - e["x1"] - t * dx, v["y1"] - e["y1"] - t * dy) <= tolerance + 1e-12
+
+    def side(e, x, y):
+        return F.signum((e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"]))
+
+    def crosses(e, f):
+        return (side(e, f["x1"], f["y1"]) * side(e, f["x2"], f["y2"]) < 0) & (side(f, e["x1"], e["y1"]) * side(f, e["x2"], e["y2"]) < 0)
+
+    return both.select(
+        "zone_id",
+        F.forall("rings", lambda r: F.size(r["points"]) >= 4).alias("enough"),
+        F.forall("old", lambda v: F.exists("thin", lambda e: near(v, e))).alias("near"),
+        (~F.exists("thin", lambda e: F.exists("thin", lambda f: crosses(e, f)))).alias("simple"),
+    )
 
 
 @query

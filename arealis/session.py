@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +29,12 @@ def local_session(cores: str = "8", app: str = "arealis", **conf: str) -> SparkS
     return spark
 
 
+@cache
+def _own_folder() -> tempfile.TemporaryDirectory:
+    """A local session's folder; it goes with the process."""
+    return tempfile.TemporaryDirectory(prefix="arealis-", ignore_cleanup_errors=True)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path under the cluster's shared folder (``spark.checkpoint.dir``).
 
@@ -37,7 +44,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        root = tempfile.mkdtemp(prefix="arealis-")
+        root = _own_folder().name
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

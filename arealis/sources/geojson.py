@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from arealis.functions.columns import normalize_columns
 from arealis.functions.geometry import rings_from_geojson, rings_from_wkt
@@ -49,4 +50,5 @@ def write_features(df: DataFrame, path: str, properties: list[str]) -> None:
 
 
 def _as_struct(ddl: str) -> str:
-    return ", ".join(":".join(part.strip().split(" ", 1)) for part in ddl.split(","))
+    """``a string, b decimal(10,2)`` as the inside of ``struct<...>``."""
+    return StructType.fromDDL(ddl).simpleString().removeprefix("struct<").removesuffix(">")

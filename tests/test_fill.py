@@ -83,8 +83,8 @@ def test_fill_panel_like_pandas(spark):
     df = pd.DataFrame(rows, columns=[*AREA_KEYS, "year", "month", "v"])
     expected = pandas_fill(df.assign(t=df.year * 12 + df.month)).sort_values([*AREA_KEYS, "year", "month"])
     panel = spark.createDataFrame(rows, SCHEMA)
-    for store in (True, False):
-        got = column(fill.fill_panel(panel, ["v"], store=store))
+    for keep in (fill.seasonal_store, lambda seasonal: seasonal):
+        got = column(fill.fill_panel(panel, ["v"], keep=keep))
         assert None not in got
         np.testing.assert_allclose(got, expected["v"].to_numpy(), rtol=1e-12)
 

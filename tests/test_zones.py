@@ -2,6 +2,7 @@ import json
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -156,3 +157,17 @@ def test_one_huge_zone_among_small_ones_stays_small(spark):
     assert cells.where("name = 'huge'").count() <= (2 * zones.CELLS_ACROSS + 1) ** 2
     points = spark.createDataFrame([(i, i % 50 * 0.4 + 0.004, i // 50 * 0.4 + 0.006) for i in range(200)], "i int, x double, y double")
     assert zones.zonal_join(points, rows, ["name"]).groupBy("i").count().where("count = 2").count() == 200
+
+
+def test_simplified_rings_do_not_cross(spark):
+    # a narrow bay whose mouth would be cut across by the far bank
+    bay = [(0, 0), (10, 0), (10, 10), (5.2, 10), (5.2, 1.0), (5.1, 0.4), (5.0, 1.0), (5.0, 10), (0, 10)]
+    tooth = [(4.9, 9.0), (5.05, 0.6), (4.95, 9.0)]
+    shapes = {"bay": [ring(bay)], "spike": [ring([(0, 0), (4, 0.2), (8, 0), (8, 4), (4.2, 0.25), (0, 4)])], "tooth": [ring(tooth)]}
+    for tolerance in (0.1, 0.7, 3.0):
+        for r in zones.simplify_zones(layer(spark, shapes), tolerance).collect():
+            assert not zones.edges_cross([np.array([(p.x, p.y) for p in x.points]) for x in r.rings])
+            assert all(len(x.points) >= 4 for x in r.rings)
+    assert zones.edges_cross([np.array([(0, 0), (2, 2), (2, 0), (0, 2), (0, 0)], float)])
+    empty = spark.createDataFrame([("none", None), ("bare", [])], f"name string, rings {RINGS_TYPE}")
+    assert {r.name: r.rings for r in zones.simplify_zones(empty, 0.1).collect()} == {"none": None, "bare": []}
