@@ -207,8 +207,9 @@ def anomaly_table(
 ) -> DataFrame:
     """One row per area and year: keys, 60 baseline columns, distances, z-scores and flags.
 
-    ``keep_stats`` adds the local mean, deviation, threshold and flag. The panel is shuffled once, by ``stats_keys``: years,
-    histories and local statistics all group by these keys and more. Baselines become columns after the window.
+    ``keep_stats`` adds the local mean, deviation, threshold and flag. The panel is shuffled once, by ``stats_keys``: years
+    and histories group by these keys and more. So do the local statistics, but behind the Arrow kernel Spark does not know
+    and shuffles the distances too. Baselines become columns after the window.
     """
     used = panel.select(*AREA_KEYS, "year", "month", *variables).na.drop("any", subset=AREA_KEYS)
     distances = dtw_area_years(used.repartition(*stats_keys), variables, ratio, arrow=arrow, with_baseline=True)

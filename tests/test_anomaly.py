@@ -157,3 +157,17 @@ def test_scoring_needs_one_shuffle_per_grouping(spark, tmp_path):
     df = anomaly.dtw_area_years(spark.read.parquet(str(tmp_path / "p")), ["NDVI"])
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2  # by area and year, then by area
+
+
+@pytest.mark.parametrize("arrow, shuffles", [(False, 1), (True, 2)])  # Spark loses sight of the partitioning behind Arrow
+def test_scoring_shuffles_the_panel_once(spark, tmp_path, arrow, shuffles):
+    panel(spark, range(2000, 2004), [("p", "d", f"s{i}") for i in range(4)]).write.parquet(str(tmp_path / "panel"))
+    table = anomaly.anomaly_table(spark.read.parquet(str(tmp_path / "panel")), ["NDVI"], arrow=arrow)
+    table.collect()
+    plan = table._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") == plan.count("Exchange") == shuffles
+
+
+def test_small_units_have_scores(spark):
+    rows = scored(spark, [1e-10, 2e-10, 9e-10])
+    assert [r.dtw_ndvi_z for r in rows] == pytest.approx([r.dtw_ndvi_z for r in scored(spark, [1.0, 2.0, 9.0])])
