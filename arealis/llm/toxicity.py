@@ -14,7 +14,7 @@ from. Without any training row every score is 0. Other columns are not read.
 from __future__ import annotations
 
 import string
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -83,7 +83,7 @@ class Weights:
         return score
 
 
-def ftrl(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) -> Weights:
+def ftrl(rows: Sequence[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) -> Weights:
     """Learn from rows of distinct cells; the bias is one more coordinate, without L1."""
     bias_cell, l1 = 1 << BITS, L1_SHARE * len(rows)
     z, n = np.zeros(bias_cell + 1), np.zeros(bias_cell + 1)
@@ -94,11 +94,10 @@ def ftrl(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) -> We
         w[-1] = -z[bias_cell] / ((BETA + np.sqrt(n[bias_cell])) / ALPHA)
         return w
 
-    cells = [np.r_[r, bias_cell] for r in rows]
     order = np.random.default_rng(7)
     for _ in range(epochs):
-        for i in order.permutation(len(cells)):
-            c, y = cells[i], labels[i]
+        for i in order.permutation(len(rows)):
+            c, y = np.r_[rows[i], bias_cell], labels[i]
             w = weight(c)
             p = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35)))
             g = (p - y) * (POSITIVE_WEIGHT if y else 1.0)
@@ -132,12 +131,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
     found = rows.mapInArrow(features, f"label double, doc_id {dict(rows.dtypes)['doc_id']}, cells array<int>")
     found = stored(found.dropDuplicates(["doc_id"]), "toxicity-sample")
 
-    def learn(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("doc_id")
-        w = ftrl([np.asarray(c, np.int64) for c in frame["cells"]], frame["label"].to_numpy())
-        return pd.DataFrame({"cell": np.r_[w.cells, -1], "value": np.r_[w.values, w.bias]})
+    def learn(sample: pa.Table) -> pa.Table:
+        by_id = np.argsort(sample.column("doc_id").to_numpy(), kind="stable")
+        lists = sample.column("cells").combine_chunks()
+        flat, stops = lists.values.to_numpy(), lists.offsets.to_numpy()
+        rows = [flat[stops[i] : stops[i + 1]] for i in by_id]  # views, not copies
+        w = ftrl(rows, sample.column("label").to_numpy()[by_id])
+        return pa.table({"cell": np.r_[w.cells, -1], "value": np.r_[w.values, w.bias]})
 
-    learnt = found.withColumn("model", F.lit(0)).groupBy("model").applyInPandas(learn, "cell long, value double").toPandas()
+    learnt = found.withColumn("model", F.lit(0)).groupBy("model").applyInArrow(learn, "cell long, value double").toPandas()
     if learnt.empty:
         return Weights(np.zeros(0, np.int64), np.zeros(0), None)
     own = learnt["cell"] >= 0
