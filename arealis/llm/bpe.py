@@ -6,8 +6,8 @@ linked symbol list; the lowest rank, leftmost first, is merged, its neighbours q
 symbols have changed since are skipped as stale. Decoding joins vocabulary strings with a space.
 
 Special tokens found in a text become their ids and part the text around them. A null text counts as empty: no tokens,
-and it decodes to an empty string. Whole texts are read. Distinct white-space separated chunks are encoded once per
-task and remembered, up to ``MEMORY`` chunks. An empty table gives an empty result; repeated rows give repeated
+and it decodes to an empty string. Whole texts are read. Recently used pieces and
+their ids are remembered, two generations of ``MEMORY`` pieces. An empty table gives an empty result; repeated rows give repeated
 results. Columns other than id and text are not read.
 
 The vocabulary file is distributed by its path, which every executor must be able to read, or by ``SparkContext.addFile``.
@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from arealis.llm.text import slices
 
-#: Chunks a task remembers with their ids, and the longest chunk it remembers.
-MEMORY, MEMORY_CHARS = 500_000, 64
+#: Pieces of one generation that a task remembers with their ids, and the longest piece it remembers.
+MEMORY, MEMORY_CHARS = 150_000, 64
 
 
 def byte_characters() -> list[str]:
@@ -42,38 +42,38 @@ def byte_characters() -> list[str]:
 
 
 def merge(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
-    """Merge neighbouring symbols, lowest rank first and leftmost among equals, until no pair has a rank."""
+    """Merge neighbouring symbols, lowest rank first and leftmost among equals, until no pair has a rank.
+
+    A queue entry is ``rank * n + place of the left symbol``; it is stale when that place's pair has another rank by now.
+    """
     n = len(symbols)
-    before, after = list(range(-1, n - 1)), [*range(1, n), -1]
     value: list[str | None] = list(symbols)
+    before, after = list(range(-1, n - 1)), list(range(1, n + 1))
     queue = []
-
-    def offer(left: int) -> None:
-        right = after[left]
-        if right >= 0:
-            rank = ranks.get((value[left], value[right]))
-            if rank is not None:
-                heapq.heappush(queue, (rank, left, value[left], value[right]))
-
-    for i in range(n - 1):
-        offer(i)
+    for left in range(n - 1):
+        rank = ranks.get((value[left], value[left + 1]))
+        if rank is not None:
+            queue.append(rank * n + left)
+    heapq.heapify(queue)
     while queue:
-        _, left, a, b = heapq.heappop(queue)
-        right = after[left] if value[left] is not None else -1
-        if right < 0 or value[left] != a or value[right] != b:
+        rank, left = divmod(heapq.heappop(queue), n)
+        right = after[left]
+        if value[left] is None or right == n or ranks.get((value[left], value[right])) != rank:
             continue  # stale: one of the two has been merged meanwhile
-        value[left], value[right] = a + b, None
-        after[left] = after[right]
-        if after[left] >= 0:
-            before[after[left]] = left
-        if before[left] >= 0:
-            offer(before[left])
-        offer(left)
-    out, i = [], 0
-    while i >= 0 and n:
-        out.append(value[i])
-        i = after[i]
-    return out
+        merged = value[left] = value[left] + value[right]
+        value[right] = None
+        following = after[left] = after[right]
+        if following < n:
+            before[following] = left
+            rank = ranks.get((merged, value[following]))
+            if rank is not None:
+                heapq.heappush(queue, rank * n + left)
+        previous = before[left]
+        if previous >= 0:
+            rank = ranks.get((value[previous], merged))
+            if rank is not None:
+                heapq.heappush(queue, rank * n + previous)
+    return [v for v in value if v is not None]
 
 
 @dataclass
@@ -86,37 +86,43 @@ class Tokenizer:
     pieces: regex.Pattern
     special: dict[str, int]
     bytes_as: list[str] = field(default_factory=byte_characters)
-    memory: dict[str, list[int]] = field(default_factory=dict)
+    memory: dict[str, tuple[int, ...]] = field(default_factory=dict)
+    older: dict[str, tuple[int, ...]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         names = sorted(self.special, key=len, reverse=True)
         self.special_at = regex.compile("|".join(map(regex.escape, names))) if names else None
         self.words = {i: w for w, i in self.ids.items()} | {i: w for w, i in self.special.items()}
 
-    def piece_ids(self, piece: str) -> list[int]:
-        symbols = [self.bytes_as[b] for b in piece.encode("utf-8", "surrogatepass")]
-        symbols[-1] += self.suffix
-        return [self.ids[s] for s in merge(symbols, self.ranks) if s in self.ids]
-
-    def chunk_ids(self, chunk: str) -> list[int]:
-        """Ids of a normalised chunk without white space."""
-        found = self.memory.get(chunk)
+    def piece_ids(self, piece: str) -> tuple[int, ...]:
+        """Ids of a piece; recently used pieces are remembered in two generations, of which the older one goes."""
+        found = self.memory.get(piece)
         if found is None:
-            found = [i for piece in self.pieces.findall(chunk) for i in self.piece_ids(piece)]
-            if len(chunk) <= MEMORY_CHARS:
+            found = self.older.get(piece)
+            if found is None:
+                symbols = [self.bytes_as[b] for b in piece.encode("utf-8", "surrogatepass")]
+                symbols[-1] += self.suffix
+                found = tuple([self.ids[s] for s in merge(symbols, self.ranks) if s in self.ids])
+            if len(piece) <= MEMORY_CHARS:
                 if len(self.memory) >= MEMORY:
-                    self.memory.clear()
-                self.memory[chunk] = found
+                    self.older, self.memory = self.memory, {}
+                self.memory[piece] = found
         return found
 
     def plain_ids(self, text: str) -> list[int]:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
         out: list[int] = []
-        memory = self.memory
         for chunk in chunks(lowered(text)):
-            found = memory.get(chunk)
-            out += self.chunk_ids(chunk) if found is None else found
+            found = self.memory.get(chunk)  # what is remembered is one piece
+            if found is not None:
+                out += found
+            elif chunk[:-1].isalpha() and not chunk[-1].isalpha():  # a word and its punctuation: two pieces
+                out += self.piece_ids(chunk[:-1])
+                out += self.piece_ids(chunk[-1])
+            else:
+                for piece in (chunk,) if chunk.isalpha() else self.pieces.findall(chunk):
+                    out += self.piece_ids(piece)
         return out
 
     def encode(self, text: str) -> list[int]:
