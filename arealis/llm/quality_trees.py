@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arealis.llm.text import heldout, mixed, slices, word_codes, word_lists
+from arealis.llm.text import heldout, mixed, scores_of, slices, word_codes, word_lists
 from arealis.session import stored
 
 SAMPLE = 12_000
@@ -220,7 +220,6 @@ def _score_column(trees: Trees) -> Callable:
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
-            yield pd.Series(np.concatenate([np.zeros(0), *(trees.scores(statistics(t)) for _, t in slices([batch]))]))
+            yield scores_of(texts, lambda t: trees.scores(statistics(t)))
 
     return score

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 from itertools import chain
 
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 SPACE = r"[\x20\x09-\x0D]"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Characters of text that are worked on at once inside a task.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 1_000_000
 #: Largest number of short rows a broadcast may hold; a larger side is joined by shuffle.
 BROADCAST_ROWS = 200_000
 
@@ -36,12 +36,24 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[tu
     """Arrow batches cut into runs of rows with about ``SLICE_CHARS`` characters, with their texts (null as empty)."""
     for batch in batches:
         texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-        start = size = 0
-        for i, t in enumerate(texts):
-            size += len(t)
-            if size >= SLICE_CHARS or i == len(texts) - 1:
-                yield batch.slice(start, i + 1 - start), texts[start : i + 1]
-                start, size = i + 1, 0
+        for start, end in cuts(texts):
+            yield batch.slice(start, end - start), texts[start:end]
+
+
+def cuts(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Start and end of runs with about ``SLICE_CHARS`` characters."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size >= SLICE_CHARS or i == len(texts) - 1:
+            yield start, i + 1
+            start, size = i + 1, 0
+
+
+def scores_of(series: pd.Series, score: Callable[[list[str]], np.ndarray]) -> pd.Series:
+    """Scores of a batch of texts (null as empty), run by run."""
+    texts = [t if isinstance(t, str) else "" for t in series]
+    return pd.Series(np.concatenate([np.zeros(0), *(score(texts[a:b]) for a, b in cuts(texts))]))
 
 
 def word_lists(texts: list[str]) -> tuple[np.ndarray, list[str]]:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arealis.llm.text import hashed, heldout, mixed, slices, word_codes, word_lists
+from arealis.llm.text import hashed, heldout, mixed, scores_of, slices, word_codes, word_lists
 from arealis.session import stored
 
 BITS = 20
@@ -166,7 +166,6 @@ def _score_column(weights: Weights) -> Callable:
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         of = weights.scorer()
         for texts in batches:
-            batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
-            yield pd.Series(np.concatenate([np.zeros(0), *(of(t) for _, t in slices([batch]))]))
+            yield scores_of(texts, of)
 
     return score
