@@ -4,9 +4,10 @@ The standard library's parser is fed a page piece by piece. Its events become li
 text, its number of tags, the characters inside links, the container it stands in, and whether it stands in something that
 names itself boilerplate (navigation, footer, form, advertisement, comments and the like). The ratio of text outside
 links to tags of the lines is smoothed with a Gaussian kernel; runs of lines whose smoothed ratio passes a share of the
-ratios' spread are the content clusters. Their containers are the content regions: an article or main element where the
-page has one with a cluster (or, with no cluster, the one with most text), else the nearest enclosing container.
-All lines of a region that do not stand in boilerplate are the text, short ones too.
+ratios' spread are the content clusters, and these choose the content regions. Where the page has article or main elements,
+the regions are those with a cluster (or, with no cluster, the one with most text), and all their lines that do not stand
+in boilerplate are the text, short ones too. Elsewhere the region is the innermost container with ``REGION_SHARE`` of the
+clusters' text; its lines count if their own container has a cluster, or if they stand between clusters and are not mostly links.
 
 White space inside a block becomes one space, character references are decoded, blocks are joined by two line feeds. A null
 or empty page gives an empty text; unclosed and stray tags are tolerated; repeated rows give repeated results; an
@@ -30,6 +31,8 @@ from arealis.llm.text import slices
 SIGMA, RADIUS = 1.0, 2
 #: Share of the standard deviation of the smoothed ratios that a content line passes.
 SPREAD = 0.5
+#: Share of the clusters' text that the content region of a page without article and main elements holds.
+REGION_SHARE = 0.8
 FEED_CHARS = 1 << 16
 
 # HTML's elements by role.
@@ -53,6 +56,10 @@ BOILERPLATE = set(
     "search share sharing shares sidebar sidebars signup skip social sponsor sponsored subscribe subscription toolbar topbar widget "
     "contentinfo complementary alert".split()
 )
+# Words of attributes that describe a layout rather than name its part.
+LAYOUT = set("has with without no layout".split())
+# Words that name boilerplate outside an article only.
+PAGE_PARTS = {"header", "masthead"}
 WORDS = re.compile(r"[a-z]+")
 SPACES = re.compile(r"\s+")
 
@@ -62,7 +69,8 @@ def names_boilerplate(tag: str, attributes: list[tuple[str, str | None]], in_art
         return True
     for key, value in attributes:
         if key in ("class", "id", "role") and value and tag not in ("body", "html"):
-            if not BOILERPLATE.isdisjoint(WORDS.findall(value.lower())):
+            named = BOILERPLATE.intersection(words := WORDS.findall(value.lower()))
+            if named - (PAGE_PARTS if in_article else set()) and LAYOUT.isdisjoint(words):
                 return True
         elif key == "hidden" or key == "aria-hidden" and value == "true":
             return True
@@ -98,7 +106,8 @@ class Lines(HTMLParser):
         self.open: list[Open] = [Open("", False, 0, 0)]
         self.count: dict[str, int] = {}
         self.pieces: list[str] = []
-        self.tags = self.linked = self.containers = 0
+        self.tags = self.linked = 0
+        self.parents = [0]  # of each container
 
     def end_line(self) -> None:
         text = SPACES.sub(" ", "".join(self.pieces)).strip()
@@ -138,8 +147,8 @@ class Lines(HTMLParser):
             self.end_line()
         container, landmark = top.container, top.landmark
         if tag in CONTAINERS and not hidden:
-            self.containers += 1
-            container = self.containers
+            self.parents.append(container)
+            container = len(self.parents) - 1
             landmark = landmark or (container if tag in LANDMARKS else 0)
         self.open.append(Open(tag, hidden, container, landmark))
         self.count[tag] = self.count.get(tag, 0) + 1
@@ -169,13 +178,14 @@ class Lines(HTMLParser):
             self.linked += len(data.strip())
 
 
-def lines_of(html: str) -> list[Line]:
+def parsed(html: str) -> tuple[list[Line], list[int]]:
+    """The lines of a page and the parent of each container."""
     parser = Lines()
     for start in range(0, len(html), FEED_CHARS):
         parser.feed(html[start : start + FEED_CHARS])
     parser.close()
     parser.end_line()
-    return parser.lines
+    return parser.lines, parser.parents
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA, radius: int = RADIUS) -> np.ndarray:
@@ -183,7 +193,7 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA, radius: int = RADIUS) ->
     return np.convolve(np.pad(ratios, radius, mode="edge"), kernel / kernel.sum(), mode="valid")
 
 
-def main_lines(lines: list[Line]) -> list[Line]:
+def main_lines(lines: list[Line], parents: list[int]) -> list[Line]:
     """The lines of the content regions."""
     if not lines:
         return []
@@ -198,12 +208,29 @@ def main_lines(lines: list[Line]) -> list[Line]:
         most = max(weight.values())
         regions = {k for k, w in weight.items() if w >= 1 or w == most}
         return [x for x in lines if not x.hidden and x.landmark in regions]
-    regions = {x.container for x, inside in zip(lines, cluster, strict=True) if inside}
-    return [x for x in lines if not x.hidden and x.container in regions]
+    at = np.flatnonzero(cluster)
+    if not len(at):
+        return []
+    mass = np.zeros(len(parents))
+    for i in at:
+        mass[lines[i].container] += own[i]
+    for c in range(len(parents) - 1, 0, -1):  # a container comes after its parent
+        mass[parents[c]] += mass[c]
+    region = max(c for c in range(len(parents)) if mass[c] >= REGION_SHARE * mass[0])
+    within = np.zeros(len(parents), bool)
+    for c in range(len(parents)):
+        within[c] = c == region or c > 0 and within[parents[c]]
+    clustered = {lines[i].container for i in at}
+    return [
+        x
+        for i, x in enumerate(lines)
+        if not x.hidden and within[x.container]
+        and (x.container in clustered or at[0] < i < at[-1] and 2 * x.linked < len(x.text))
+    ]
 
 
 def main_text(html: str) -> str:
-    return "\n\n".join(x.text for x in main_lines(lines_of(html)))
+    return "\n\n".join(x.text for x in main_lines(*parsed(html)))
 
 
 def extracted(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

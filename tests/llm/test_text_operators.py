@@ -156,6 +156,8 @@ LONG = prose(7, 80)
         (f"<div id=menu><ul><li><a href=1>One</a><li><a href=2>Two</a></ul></div><div class=content><p>{LONG}</p><p>s</p></div><div class=comments>{LONG}</div>", f"{LONG}\n\ns"),
         (f"<article><p>{LONG}<div class=comment><article><p>{LONG}</article></div><p>end</article><aside>{LONG}</aside>", f"{LONG}\n\nend"),
         (f"<p>{LONG}", LONG),
+        (f"<div id=top><a href=1>Home</a></div><div class='post with-sidebar'><div>{LONG}</div><div>tiny</div><div>{LONG}</div></div><div>Imprint</div>", f"{LONG}\n\ntiny\n\n{LONG}"),
+        (f"<article><div class=article-header><h1>T</h1></div><p>{LONG}</p><div class=cookie-notice>{LONG}</div></article>", f"T\n\n{LONG}"),
         (f"<article><p>{LONG}</b></i><p>open", f"{LONG}\n\nopen"),
         ("<article><p>short</p></article>", "short"),
         ("", ""),
