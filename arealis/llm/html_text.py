@@ -6,8 +6,10 @@ names itself boilerplate (navigation, footer, form, advertisement, comments and
 links to tags of the lines is smoothed with a Gaussian kernel; runs of lines whose smoothed ratio passes a share of the
 ratios' spread are the content clusters, and these choose the content regions. Where the page has article or main elements,
 the regions are those with a cluster (or, with no cluster, the one with most text), and all their lines that do not stand
-in boilerplate are the text, short ones too. Elsewhere the region is the innermost container with ``REGION_SHARE`` of the
-clusters' text; its lines count if their own container has a cluster, or if they stand between clusters and are not mostly links.
+in boilerplate are the text, short ones too. Elsewhere the region is the innermost container that has ``REGION_SHARE`` of the
+clusters' text and every line whose own ratio, not only the smoothed one, passes; its lines count if their own container has a
+cluster, if they stand between clusters and are not mostly links, or if they are headings before its last cluster. A title that
+stands before the region in a container around it counts too, with the lines up to the region that are not mostly links.
 
 White space inside a block becomes one space, character references are decoded, blocks are joined by two line feeds. A null
 or empty page gives an empty text; unclosed and stray tags are tolerated; repeated rows give repeated results; an
@@ -31,7 +33,7 @@ from arealis.llm.text import slices
 SIGMA, RADIUS = 1.0, 2
 #: Share of the standard deviation of the smoothed ratios that a content line passes.
 SPREAD = 0.5
-#: Share of the clusters' text that the content region of a page without article and main elements holds.
+#: Share of the clusters' text that the content region of a page without article and main elements holds at least.
 REGION_SHARE = 0.8
 FEED_CHARS = 1 << 16
 
@@ -43,6 +45,7 @@ BLOCKS = set(
 )
 CONTAINERS = set("article main section div td body blockquote figure".split())
 LANDMARKS = {"article", "main"}
+HEADINGS = {f"h{rank}" for rank in range(1, 7)}
 HIDDEN = set(
     "script style noscript template head title nav footer aside form button select option textarea iframe object svg canvas "
     "dialog audio video map datalist".split()
@@ -85,6 +88,11 @@ class Line:
     hidden: bool
     container: int
     landmark: int
+    heading: int = 0  # rank, 0: none
+
+    @property
+    def links(self) -> bool:
+        return 2 * self.linked >= len(self.text)
 
 
 @dataclass
@@ -93,6 +101,7 @@ class Open:
     hidden: bool
     container: int
     landmark: int
+    heading: int = 0
 
 
 @dataclass
@@ -113,7 +122,7 @@ class Lines(HTMLParser):
         text = SPACES.sub(" ", "".join(self.pieces)).strip()
         top = self.open[-1]
         if text:
-            self.lines.append(Line(text, self.tags, self.linked, top.hidden, top.container, top.landmark))
+            self.lines.append(Line(text, self.tags, self.linked, top.hidden, top.container, top.landmark, top.heading))
             self.tags = self.linked = 0
         elif self.pieces:
             self.linked = 0
@@ -150,7 +159,8 @@ class Lines(HTMLParser):
             self.parents.append(container)
             container = len(self.parents) - 1
             landmark = landmark or (container if tag in LANDMARKS else 0)
-        self.open.append(Open(tag, hidden, container, landmark))
+        heading = int(tag[1]) if tag in HEADINGS else top.heading
+        self.open.append(Open(tag, hidden, container, landmark, heading))
         self.count[tag] = self.count.get(tag, 0) + 1
 
     def close_paragraph(self) -> None:
@@ -193,13 +203,46 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA, radius: int = RADIUS) ->
     return np.convolve(np.pad(ratios, radius, mode="edge"), kernel / kernel.sum(), mode="valid")
 
 
+def title_lines(lines: list[Line], parents: list[int], region: int, within: np.ndarray, first: int) -> set[int]:
+    """The titles before line ``first`` that stand in containers around the region, and what follows them up to there.
+
+    From the region outwards, a container adds the heading nearest to the region that outranks all headings so far, and beyond
+    the first such title none that is mostly a link. A heading of a list of links is no title.
+    """
+    found: set[int] = set()
+    if not region:
+        return found
+    around = {c := region}
+    while c:
+        around.add(c := parents[c])
+    lists = {x.container for x in lines if not x.hidden and not x.heading and x.links} - around
+
+    def level(container: int) -> int:
+        while container not in around:
+            container = parents[container]
+        return container
+
+    best = min((x.heading for i, x in enumerate(lines[: first + 1]) if x.heading and not x.hidden and within[x.container]), default=7)
+    titles = [(i, level(x.container)) for i, x in enumerate(lines[:first]) if x.heading and not x.hidden and not within[x.container] and x.container not in lists]
+    c, named = region, False
+    while c:
+        c = parents[c]
+        for i, at in reversed(titles):
+            if at == c and lines[i].heading < best and not (named and lines[i].links):
+                best, named = lines[i].heading, True
+                found.add(i)
+                found |= {k for k in range(i, first) if not lines[k].hidden and not lines[k].links and level(lines[k].container) >= c}
+    return found
+
+
 def main_lines(lines: list[Line], parents: list[int]) -> list[Line]:
     """The lines of the content regions."""
     if not lines:
         return []
     own = np.array([0 if x.hidden else max(len(x.text) - x.linked, 0) for x in lines], float)
     ratios = smoothed(own / np.maximum([x.tags for x in lines], 1))
-    cluster = (ratios >= SPREAD * ratios.std()) & (own > 0)
+    limit = SPREAD * ratios.std()
+    cluster = (ratios >= limit) & (own > 0)
     weight: dict[int, float] = {}
     for x, chars, inside in zip(lines, own, cluster, strict=True):
         if x.landmark and not x.hidden:
@@ -216,16 +259,24 @@ def main_lines(lines: list[Line], parents: list[int]) -> list[Line]:
         mass[lines[i].container] += own[i]
     for c in range(len(parents) - 1, 0, -1):  # a container comes after its parent
         mass[parents[c]] += mass[c]
-    region = max(c for c in range(len(parents)) if mass[c] >= REGION_SHARE * mass[0])
+    strong = [i for i in at if own[i] / max(lines[i].tags, 1) >= limit]
+    count = np.zeros(len(parents), int)
+    for i in strong:
+        count[lines[i].container] += 1
+    for c in range(len(parents) - 1, 0, -1):
+        count[parents[c]] += count[c]
+    region = max(c for c in range(len(parents)) if mass[c] >= REGION_SHARE * mass[0] and count[c] == len(strong))
     within = np.zeros(len(parents), bool)
     for c in range(len(parents)):
         within[c] = c == region or c > 0 and within[parents[c]]
     clustered = {lines[i].container for i in at}
+    inside = [i for i in at if within[lines[i].container]]
+    titles = title_lines(lines, parents, region, within, inside[0])
     return [
         x
         for i, x in enumerate(lines)
-        if not x.hidden and within[x.container]
-        and (x.container in clustered or at[0] < i < at[-1] and 2 * x.linked < len(x.text))
+        if i in titles or not x.hidden and within[x.container]
+        and (x.container in clustered or at[0] < i < at[-1] and not x.links or x.heading and i < inside[-1])
     ]
 
 

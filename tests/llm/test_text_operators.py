@@ -167,6 +167,19 @@ def test_main_text(body, text):
     assert html_text.main_text(page(body)) == text
 
 
+@pytest.mark.parametrize(
+    "body, text",
+    [
+        (f"<div class=post><h1>Title</h1><div class=entry>{LONG}</div></div>", f"Title\n\n{LONG}"),
+        (f"<div id=top><a href=/>Home</a></div><div><div>{prose(8, 14)}</div><div>{LONG}</div></div><div>Imprint</div>", f"{prose(8, 14)}\n\n{LONG}"),
+        (f"<div><h3>Archive</h3><ul><li><a href=1>One</a></ul></div><div><div class=title><h1><a href=x>T</a></h1></div><div>By X</div><div class=entry><h2>I</h2><p>{LONG}</div></div>", f"T\n\nBy X\n\nI\n\n{LONG}"),
+        (f"<div><h1><a href=/>Site</a></h1></div><div><h2>T</h2><div><p>{LONG}<div><h3>More</h3></div><div><p>{LONG}</div></div></div><div>Imprint</div>", f"T\n\n{LONG}\n\nMore\n\n{LONG}"),
+    ],
+)
+def test_main_text_without_landmarks(body, text):
+    assert html_text.main_text(page(body)) == text
+
+
 def test_main_text_of_pages(spark, sf_dir):
     rows = html_text.extracted(table(spark, sf_dir, "pages")).collect()
     pages = {r.page_id: r.html for r in table(spark, sf_dir, "pages").collect()}
