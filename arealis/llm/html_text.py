@@ -11,6 +11,11 @@ clusters' text and every line whose own ratio, not only the smoothed one, passes
 cluster, if they stand between clusters and are not mostly links, or if they are headings before its last cluster. A title that
 stands before the region in a container around it counts too, with the lines up to the region that are not mostly links.
 
+A class, id or role names boilerplate if a whole token of it does: all its parts are listed or say nothing, or the first is
+listed and has no other use in titles. A token with a listed word among others (``notice-period``) is judged by the block's
+own text: it is boilerplate only where most of it is links or it has few characters per tag. Ids of headings and sections
+are made from titles and hide nothing.
+
 White space inside a block becomes one space, character references are decoded, blocks are joined by two line feeds. A null
 or empty page gives an empty text; unclosed and stray tags are tolerated; repeated rows give repeated results; an
 empty table gives an empty result. Columns other than id, address and html are not read.
@@ -59,6 +64,20 @@ BOILERPLATE = set(
     "search share sharing shares sidebar sidebars signup skip social sponsor sponsored subscribe subscription toolbar topbar widget "
     "contentinfo complementary alert".split()
 )
+# Listed words that titles use as well; a token that begins with one names boilerplate only as a whole.
+AMBIGUOUS = set(
+    "alert banner comment comments consent disclaimer form header menu notice notices notification navigation promotion "
+    "recommended related replies reply search share sharing shares skip social".split()
+)
+# Parts of tokens that say nothing about the role of an element.
+NEUTRAL = set(
+    "area article articles bar block body bottom box btn button buttons col column container content count entry feed fixed float "
+    "footer group head heading icon icons inline inner item items left link links list main media mobile module news outer page pane "
+    "panel post posts primary region right row secondary section site slot space sticky story stories text title top unit video "
+    "videos view wrap wrapper".split()
+)
+#: Characters outside links per tag from which a block of ambiguous name counts as text.
+PROSE = 5
 # Words of attributes that describe a layout rather than name its part.
 LAYOUT = set("has with without no layout".split())
 # Words that name boilerplate outside an article only.
@@ -67,17 +86,35 @@ WORDS = re.compile(r"[a-z]+")
 SPACES = re.compile(r"\s+")
 
 
-def names_boilerplate(tag: str, attributes: list[tuple[str, str | None]], in_article: bool) -> bool:
+def names_boilerplate(tag: str, attributes: list[tuple[str, str | None]], in_article: bool) -> bool | None:
+    """Whether an element is boilerplate by its names; None where its text decides."""
     if tag in HIDDEN or tag == "header" and not in_article:
         return True
+    verdict: bool | None = False
     for key, value in attributes:
         if key in ("class", "id", "role") and value and tag not in ("body", "html"):
-            named = BOILERPLATE.intersection(words := WORDS.findall(value.lower()))
-            if named - (PAGE_PARTS if in_article else set()) and LAYOUT.isdisjoint(words):
-                return True
+            if key == "id" and (tag == "section" or tag in HEADINGS) or not LAYOUT.isdisjoint(WORDS.findall(value.lower())):
+                continue
+            for token in value.lower().split():
+                words = WORDS.findall(token)
+                named = BOILERPLATE.intersection(words) - (PAGE_PARTS if in_article else set())
+                if not named:
+                    continue
+                if words[0] in named - AMBIGUOUS or all(w in BOILERPLATE or w in NEUTRAL or len(w) < 3 for w in words):
+                    return True
+                verdict = None
         elif key == "hidden" or key == "aria-hidden" and value == "true":
             return True
-    return False
+    return verdict
+
+
+@dataclass
+class Suspect:
+    """A block whose text decides whether it is boilerplate."""
+
+    above: int
+    in_article: bool
+    tags: int  # before it, then in it
 
 
 @dataclass
@@ -89,6 +126,7 @@ class Line:
     container: int
     landmark: int
     heading: int = 0  # rank, 0: none
+    suspect: int = 0
 
     @property
     def links(self) -> bool:
@@ -102,6 +140,7 @@ class Open:
     container: int
     landmark: int
     heading: int = 0
+    suspect: int = 0
 
 
 @dataclass
@@ -117,12 +156,14 @@ class Lines(HTMLParser):
         self.pieces: list[str] = []
         self.tags = self.linked = 0
         self.parents = [0]  # of each container
+        self.suspects = [Suspect(0, True, 0)]  # the first stands for none
+        self.seen = 0
 
     def end_line(self) -> None:
         text = SPACES.sub(" ", "".join(self.pieces)).strip()
         top = self.open[-1]
         if text:
-            self.lines.append(Line(text, self.tags, self.linked, top.hidden, top.container, top.landmark, top.heading))
+            self.lines.append(Line(text, self.tags, self.linked, top.hidden, top.container, top.landmark, top.heading, top.suspect))
             self.tags = self.linked = 0
         elif self.pieces:
             self.linked = 0
@@ -133,13 +174,45 @@ class Lines(HTMLParser):
             closed = self.open[-1].tag
             if closed in BLOCKS or self.open[-1].hidden != self.open[-2].hidden:
                 self.end_line()
-            self.open.pop()
+            self.leave(self.open.pop().suspect)
             self.count[closed] -= 1
             if closed == tag:
                 return
 
+    def leave(self, suspect: int) -> None:
+        if suspect != self.open[-1].suspect:
+            self.suspects[suspect].tags = self.seen - self.suspects[suspect].tags
+
+    def settled(self) -> list[Line]:
+        """The lines, those of suspects that are no text hidden. Where an article stands outside them, none of the page's parts counts."""
+        while len(self.open) > 1:
+            self.leave(self.open.pop().suspect)
+        n = len(self.suspects)
+        if n == 1:
+            return self.lines
+        outer = [False] * n
+        for k in range(1, n):
+            outer[k] = outer[self.suspects[k].above] or not self.suspects[k].in_article
+        chars, linked = [0] * n, [0] * n
+        for x in self.lines:
+            if not x.hidden:
+                chars[x.suspect] += len(x.text)
+                linked[x.suspect] += x.linked
+        for k in range(n - 1, 0, -1):  # a suspect comes after the one around it
+            chars[self.suspects[k].above] += chars[k]
+            linked[self.suspects[k].above] += linked[k]
+        article = any(x.landmark and not x.hidden and not outer[x.suspect] for x in self.lines)
+        gone = [False] * n
+        for k in range(1, n):
+            few = chars[k] - linked[k] < PROSE * self.suspects[k].tags
+            gone[k] = gone[self.suspects[k].above] or outer[k] and article or few or 2 * linked[k] >= chars[k]
+        for x in self.lines:
+            x.hidden = x.hidden or gone[x.suspect]
+        return self.lines
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
+        self.seen += 1
         if tag in VOID:
             if tag == "hr":
                 self.end_line()
@@ -151,7 +224,11 @@ class Lines(HTMLParser):
         if tag in ("li", "td", "th", "tr", "dt", "dd", "option") and self.open[-1].tag == tag:
             self.close_to(tag)
         top = self.open[-1]
-        hidden = top.hidden or names_boilerplate(tag, attrs, bool(top.landmark))
+        named = names_boilerplate(tag, attrs, bool(top.landmark))
+        hidden, suspect = top.hidden or named is True, top.suspect
+        if named is None and not hidden and tag in BLOCKS:
+            self.suspects.append(Suspect(suspect, bool(top.landmark), self.seen))
+            suspect = len(self.suspects) - 1
         if tag in BLOCKS or hidden != top.hidden:
             self.end_line()
         container, landmark = top.container, top.landmark
@@ -160,7 +237,7 @@ class Lines(HTMLParser):
             container = len(self.parents) - 1
             landmark = landmark or (container if tag in LANDMARKS else 0)
         heading = int(tag[1]) if tag in HEADINGS else top.heading
-        self.open.append(Open(tag, hidden, container, landmark, heading))
+        self.open.append(Open(tag, hidden, container, landmark, heading, suspect))
         self.count[tag] = self.count.get(tag, 0) + 1
 
     def close_paragraph(self) -> None:
@@ -174,6 +251,7 @@ class Lines(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
+        self.seen += 1
         if tag == "br":
             self.pieces.append(" ")
         elif self.count.get(tag):
@@ -195,7 +273,7 @@ def parsed(html: str) -> tuple[list[Line], list[int]]:
         parser.feed(html[start : start + FEED_CHARS])
     parser.close()
     parser.end_line()
-    return parser.lines, parser.parents
+    return parser.settled(), parser.parents
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA, radius: int = RADIUS) -> np.ndarray:

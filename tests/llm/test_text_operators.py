@@ -180,6 +180,21 @@ def test_main_text_without_landmarks(body, text):
     assert html_text.main_text(page(body)) == text
 
 
+@pytest.mark.parametrize(
+    "body, text",
+    [
+        (f"<article><h1>T</h1><h2 id='related-work'>Related work</h2><p>{LONG}</p></article>", f"T\n\nRelated work\n\n{LONG}"),
+        (f"<article><section id='search-methods'><h2>Search</h2><p>{LONG}</p></section><section id=search><p>{LONG}</p></section></article>", f"Search\n\n{LONG}\n\n{LONG}"),
+        (f"<article><p>{LONG}</p><p class='notice-period'>Thirty days.</p><div id='social-history'><p>{LONG}</div></article>", f"{LONG}\n\nThirty days.\n\n{LONG}"),
+        (f"<article><p>{LONG}</p><div class='social-history'><a href=1>One</a> <a href=2>Two</a></div><div class='related-posts'><p>{LONG}</div></article>", LONG),
+        (f"<div class=entry><h2 id='related-work'>Related work</h2><p>{LONG}</p><p class='job-search'>{LONG}</p></div>", f"Related work\n\n{LONG}\n\n{LONG}"),
+        (f"<article><p>{LONG}</article><div class='related-reading'><article><p>{LONG}</article></div>", LONG),
+    ],
+)
+def test_names_hide_only_boilerplate(body, text):
+    assert html_text.main_text(page(body)) == text
+
+
 def test_main_text_of_pages(spark, sf_dir):
     rows = html_text.extracted(table(spark, sf_dir, "pages")).collect()
     pages = {r.page_id: r.html for r in table(spark, sf_dir, "pages").collect()}
