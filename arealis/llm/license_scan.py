@@ -6,7 +6,7 @@ and its lines. The SHA-256 of each unit is joined with the digests of the known
 units are compared, so a text that merely mentions a licence does not match. Of a licence of several paragraphs all must be
 found in a text, or the text as a whole must be the licence.
 
-The known table is a fixed list of a few dozen digests and is broadcast; the texts are never shuffled, only a narrow row per
+The known table is a fixed list of some thousand digests and is broadcast; the texts are never shuffled, only a narrow row per
 text is. A null text counts as empty; empty units match nothing. Repeated rows give repeated results. An empty table gives
 an empty result. Columns other than id and text are not read.
 """
@@ -21,8 +21,14 @@ from pyspark.sql import functions as F
 from arealis.llm.license_texts import LICENSES, SPELLINGS
 from arealis.llm.text import filled
 
-#: A line that states a copyright: a sign or the word, at its start after marks, and a year.
-COPYRIGHT_LINE = r"(?m)^[ \t*#/;-]*(?:portions )?(?:copyright|\(c\)|©)[^\n]*[0-9]{4}[^\n]*$"
+_MARKS = r"[ \t*#/;-]*"
+#: A line that states a copyright, at its start after marks: a sign or the word, with a year; the word and a sign; or the word
+#: in a short line, where all lines between two empty ones are such lines.
+COPYRIGHT_LINE = (
+    rf"(?m)^{_MARKS}(?:portions )?(?:(?:copyright|\(c\)|©)[^\n]*[0-9]{{4}}[^\n]*|©[^\n]*|copyright[ :]*(?:\(c\)|©|by )[^\n]*)$"
+    rf"|^(?={_MARKS}copyright[ :])(?<![\p{{L}}\p{{N}}][^\p{{L}}\p{{N}}\n]{{0,40}}\n)"
+    rf"{_MARKS}copyright[ :][^\n]{{1,100}}(?:\n{_MARKS}copyright[ :][^\n]{{1,100}})*$(?!\n[^\p{{L}}\p{{N}}\n]*[\p{{L}}\p{{N}}])"
+)
 BETWEEN_WORDS = r"[^\p{L}\p{N}\n]+"
 WHOLE, PARAGRAPH, LINE = "whole", "paragraph", "line"
 
@@ -68,17 +74,19 @@ def licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", known:
             _digests(F.transform(F.split("canonical", "\n"), lambda u: F.trim(u))),
         ),
     )
+    by_digest = known.groupBy("digest").agg(F.collect_set(F.struct("name", "part", "parts")).alias("of"))
     units = rows.select("row", "doc_id", F.explode(kinds).alias("kind", "digests"))
     units = units.select("row", "doc_id", "kind", F.explode_outer("digests").alias("digest"))
-    matched = units.join(F.broadcast(known), "digest", "left")
-    hit = F.col("name").isNotNull()
-    unit = F.when(hit, F.struct("name", "part", "parts"))
+    matched = units.join(F.broadcast(by_digest), "digest", "left")
+    hit = F.col("of").isNotNull()
+    whole = F.array_min(F.transform(F.filter("of", lambda o: o["part"] == 0), lambda o: o["name"]))
     per_row = matched.groupBy("row", "doc_id").agg(
-        F.min(F.when(hit & (F.col("kind") == WHOLE) & (F.col("part") == 0), F.col("name"))).alias("license"),
-        F.collect_set(unit).alias("hits"), F.count_if(hit & (F.col("kind") != WHOLE)).alias("n_units"),
+        F.min(F.when(F.col("kind") == WHOLE, whole)).alias("license"),
+        F.array_distinct(F.flatten(F.collect_set("of"))).alias("hits"), F.count_if(hit & (F.col("kind") != WHOLE)).alias("n_units"),
     )
-    complete = F.filter("hits", lambda h: (h["part"] == 0) | (
-        F.size(F.filter("hits", lambda o: (o["name"] == h["name"]) & (o["parts"] == h["parts"]) & (o["part"] > 0))) == h["parts"]
+    texts = F.array_distinct(F.transform("hits", lambda h: F.struct(h["name"], h["parts"], (h["part"] == 0).alias("whole"))))
+    complete = F.filter(texts, lambda t: t["whole"] | (
+        F.size(F.filter("hits", lambda o: (o["name"] == t["name"]) & (o["parts"] == t["parts"]) & (o["part"] > 0))) == t["parts"]
     ))
-    names = F.array_sort(F.array_distinct(F.transform(complete, lambda h: h["name"])))
+    names = F.array_sort(F.array_distinct(F.transform(complete, lambda t: t["name"])))
     return per_row.select("doc_id", "license", F.array_join(names, ",").alias("found"), "n_units")

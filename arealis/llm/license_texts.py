@@ -1,4 +1,11 @@
-"""Known licence texts and notices (fixed values): name and whole text, paragraphs parted by an empty line, without copyright lines."""
+"""Known licence texts and notices (fixed values): name and whole text, paragraphs parted by an empty line, without copyright lines.
+
+Long texts are the files of ``license_files``. What texts of a licence may lack or have is spelled out as one entry each:
+titles, heads that state a publisher's address, instructions behind the terms.
+"""
+
+import re
+from importlib.resources import files
 
 _AS_IS_MIT = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
 WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
@@ -27,10 +34,12 @@ PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY
 TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE
 POSSIBILITY OF SUCH DAMAGE."""
 
-LICENSES: list[tuple[str, str]] = [
-    ("MIT", f"""MIT License
+_GNU_WEB = ". If not, see <https://www.gnu.org/licenses/>."
+_GNU_MAIL = """; if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA
+02110-1301 USA"""
 
-Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+_SHORT: list[tuple[str, str]] = [
+    ("MIT", f"""Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
 files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy,
 modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the
 Software is furnished to do so, subject to the following conditions:
@@ -38,15 +47,15 @@ Software is furnished to do so, subject to the following conditions:
 The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
 
 {_AS_IS_MIT}"""),
-    ("ISC", f"""ISC License
-
-Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+    ("ISC", f"""Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
 provided that the above copyright notice and this permission notice appear in all copies.
 
 {_AS_IS_ISC}"""),
-    ("0BSD", f"""Zero-Clause BSD
+    ("ISC", f"""Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted,
+provided that the above copyright notice and this permission notice appear in all copies.
 
-Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.
+{_AS_IS_ISC}"""),
+    ("0BSD", f"""Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.
 
 {_AS_IS_ISC}"""),
     ("BSD-2-Clause", f"{_BSD_HEAD}\n\n{_BSD_TAIL}"),
@@ -84,6 +93,24 @@ MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public
 
 You should have received a copy of the GNU General Public License along with this program. If not, see
 <https://www.gnu.org/licenses/>."""),
+    *((f"{short}-{version}-or-later", f"""This {work} is free software{mark} you can redistribute it and/or modify it under the terms of the
+GNU {kind} as published by the Free Software Foundation; either version {version[0] if version.endswith("0") else version} of the License, or (at your option) any later version.
+
+This {work} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind} for more details.
+
+You should have received a copy of the GNU {kind} along with this {work}{end}""")
+      for short, kind, version, work, mark, end in [
+          ("GPL", "General Public License", "2.0", "program", ";", _GNU_MAIL),
+          ("GPL", "General Public License", "2.0", "program", ":", _GNU_WEB),
+          ("LGPL", "Lesser General Public License", "2.1", "library", ";", _GNU_MAIL),
+          ("LGPL", "Lesser General Public License", "2.1", "library", ":", _GNU_WEB),
+          ("LGPL", "Lesser General Public License", "3.0", "program", ":", _GNU_WEB),
+          ("LGPL", "Lesser General Public License", "3.0", "library", ":", _GNU_WEB),
+          ("AGPL", "Affero General Public License", "3.0", "program", ":", _GNU_WEB),
+      ]),
+    ("MPL-2.0", """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed
+with this file, You can obtain one at http://mozilla.org/MPL/2.0/."""),
     ("Apache-2.0-notice", "Licensed under the Apache License, Version 2.0."),
     ("CC-BY-NC-4.0-notice", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0-notice", "Licensed under CC BY 4.0."),
@@ -96,6 +123,48 @@ You should have received a copy of the GNU General Public License along with thi
     ("GPL-3.0-notice", "SPDX-License-Identifier: GPL-3.0-or-later"),
 ]
 
+#: Titles that stand before a text; each is optional.
+TITLES: dict[str, list[str]] = {
+    "MIT": ["The MIT License (MIT)", "The MIT License", "MIT License (MIT)", "MIT License"],
+    "ISC": ["The ISC License", "The ISC License (ISC)", "ISC License (ISC)", "ISC License"],
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD License", "BSD Zero Clause License (0BSD)", "Zero-Clause BSD"],
+    "BSD-2-Clause": ["The BSD 2-Clause License", "Simplified BSD License", "BSD 2-Clause License"],
+    "BSD-3-Clause": ["The BSD 3-Clause License", "New BSD License", "Modified BSD License", "BSD License", "BSD 3-Clause License"],
+    "Zlib": ["The zlib License", "zlib/libpng License", "The zlib/libpng License", "zlib License"],
+    "Unlicense": ["Unlicense", "The Unlicense"],
+}
+
+#: Files: name, how many paragraphs at the start a text may lack, first words of what it may lack at its end.
+_FILES: list[tuple[str, str, tuple[int, ...], str]] = [
+    ("Apache-2.0", "Apache-2.0", (0, 1), "APPENDIX: How to apply"),
+    ("MPL-2.0", "MPL-2.0", (0, 1), "Exhibit A"),
+    ("CC0-1.0", "CC0-1.0", (0, 1, 2, 3), ""),
+    ("GPL-2.0", "GPL-2", (0, 1, 2), "How to Apply These Terms"),
+    ("GPL-3.0", "GPL-3", (0, 1, 2), "How to Apply These Terms"),
+    ("LGPL-2.1", "LGPL-2.1", (0, 1, 2, 3), "How to Apply These Terms"),
+    ("LGPL-3.0", "LGPL-3", (0, 1, 2), ""),
+    ("Unlicense", "Unlicense", (0,), "For more information"),
+]
+
+
+def _whole_texts() -> list[tuple[str, str]]:
+    found = []
+    for name, file, heads, tail in _FILES:
+        text = (files("arealis.llm") / "license_files" / f"{file}.txt").read_text("utf-8").strip()
+        paragraphs = re.split(r"\n[ \t]*(?:\n[ \t]*)+", text)
+        ends = [len(paragraphs)] + [k for k, p in enumerate(paragraphs) if tail and p.strip().startswith(tail)]
+        found += [(name, "\n\n".join(paragraphs[a:b])) for a in heads for b in ends]
+    return found
+
+
+# Texts of one name with as many paragraphs must have them in the same places: the Unlicense, which may end earlier, has its
+# titles in the first paragraph.
+LICENSES: list[tuple[str, str]] = [
+    (name, f"{title}{'\n' if name == 'Unlicense' else '\n\n'}{text}" if title else text)
+    for name, text in [*_SHORT, *_whole_texts()]
+    for title in ["", *TITLES.get(name, [])]
+]
+
 #: Equivalent spellings: what stands in a normalised text, and what replaces it.
 SPELLINGS: list[tuple[str, str]] = [
     ("https://", "http://"), ("licence", "license"), ("sub-license", "sublicense"), ("non-infringement", "noninfringement"),

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from arealis.llm import bpe, html_text, near_join, quality_trees, queries, repetition, secret_scan, stages, toxicity
 from arealis.llm.exact_dedup import content_groups, exact_duplicates, without_duplicates
-from arealis.llm.license_scan import licenses
+from arealis.llm.license_scan import licenses, normalized
 from arealis.llm.license_texts import LICENSES
 from arealis.llm.mixing import mix, mixed_rows
 from arealis.llm.text import table
@@ -346,6 +346,32 @@ def test_licences(spark, edge, none):
     assert licenses(edge).count() == edge.count() and licenses(none).count() == 0
 
 
+def test_licences_by_whole_text_title_and_copyright_line(spark):
+    from pathlib import Path
+
+    import arealis.llm
+
+    whole = {f.stem: f.read_text() for f in (Path(arealis.llm.__file__).parent / "license_files").glob("*.txt")}
+    bare = dict(LICENSES)["MIT"].split("\n\n", 1)[1]
+    apache = whole["Apache-2.0"]
+    rows = [
+        ("GPL-2.0", whole["GPL-2"]), ("GPL-3.0", whole["GPL-3"]), ("LGPL-2.1", whole["LGPL-2.1"]), ("LGPL-3.0", whole["LGPL-3"]),
+        ("MPL-2.0", whole["MPL-2.0"]), ("CC0-1.0", whole["CC0-1.0"]), ("Unlicense", "The Unlicense\n\n" + whole["Unlicense"]),
+        ("Apache-2.0", apache.replace("[yyyy] [name of copyright owner]", "2020 Someone")), ("Apache-2.0", apache[: apache.index("APPENDIX")]),
+        ("MIT", bare), ("MIT", "The MIT License (MIT)\n\nCopyright (c) Some One\n\n" + bare), ("MIT", "Copyright Some One\nCopyright Another\n\n" + bare),
+        ("MIT", bare.replace(" OR\nCOPYRIGHT HOLDERS", "\nOR COPYRIGHT HOLDERS").replace("AUTHORS OR COPYRIGHT", "AUTHORS OR\nCOPYRIGHT")),
+        ("MIT", "/*\n * © Some One\n *\n" + bare.replace("\n", "\n * ") + "\n */"),
+    ]
+    docs = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(rows)], "doc_id long, text string")
+    for r in licenses(docs.unionByName(docs.select((F.col("doc_id") + 100).alias("doc_id"), F.concat(F.lit("before\n\n"), "text").alias("text")))).collect():
+        name = rows[r.doc_id % 100][0]
+        assert (r.license == name or r.doc_id >= 100) and name in r.found.split(","), (name, r)
+    lines = ["(c) You must keep it", "copyright license to use", "Copyright Some One", "x"]
+    text = "\n".join(lines[:2]) + "\n\n" + lines[2] + "\n\n" + lines[3]
+    kept = spark.createDataFrame([(text,)], "text string").select(normalized(F.col("text"))).first()[0]
+    assert kept.split() == "c you must keep it copyright license to use x".split()
+
+
 def test_native_operators_run_no_python(spark, docs):
     for df in (licenses(docs), exact_duplicates(docs)):
         plan = df._jdf.queryExecution().executedPlan().toString()
