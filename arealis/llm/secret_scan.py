@@ -3,8 +3,8 @@
 Candidates are found in every whole text: assignments to a password-like name, cloud access keys, long hex strings, and,
 as spans that the method adds, private key blocks, bearer tokens and credentials in addresses. Each candidate's value is
 hashed; the corpus gives, for each hash, the number of distinct owners and repositories. A value that more than
-``COPIED_OWNERS`` owners have is a widely copied example; one that a few owners have looks live. Added spans are kept
-only where they look live; the base kinds are always reported.
+``COPIED_OWNERS`` owners have is a widely copied example; one that a few owners have looks live. Spans of every kind are
+reported, each marked live or copied.
 
 Counting goes over distinct (hash, owner, repository) rows, then (hash, owner), then hash, each with map-side
 aggregation, so a value copied into a third of all texts never gathers in one task. The counts of a hash are joined
@@ -109,26 +109,31 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def _marks(spans: Column) -> Column:
+    """live or copied, of an array of spans in its order."""
+    return F.array_join(F.transform(spans, lambda s: F.when(s["copied"], "copied").otherwise("live")), ",")
+
+
 def secrets(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", owner: str = "source", repository: str = "doc_id",
     copied_owners: int = COPIED_OWNERS,
 ) -> DataFrame:
-    """One row per row of ``docs``: counts of base spans, digest of base spans, all spans, live and copied counts."""
+    """One row per row of ``docs``: counts of base spans, digest of base spans, all spans, their marks, live and copied counts."""
     rows = stored(scan(docs, doc_id, text, owner, repository), "secret-rows")
     spans = rows.select("row", "owner", "repository", F.posexplode("found").alias("at", "span")).select(
         "row", "owner", "repository", "at", "span.*"
     )
     copied = spans.join(ownership(spans), "value").withColumn("copied", F.col("owners") > copied_owners)
-    base = F.col("kind").isin(*BASE_KINDS)
     count = lambda when: F.count_if(when)
-    per_row = copied.filter(base | ~F.col("copied")).groupBy("row").agg(
+    per_row = copied.groupBy("row").agg(
         *[count(F.col("kind") == k).alias(f"n_{k}") for k in BASE_KINDS],
-        F.sort_array(F.collect_list(F.struct("at", "kind", "start", "end"))).alias("kept"),
+        F.sort_array(F.collect_list(F.struct("at", "kind", "start", "end", "copied"))).alias("kept"),
         count(~F.col("copied")).alias("n_live"), count(F.col("copied")).alias("n_copied"),
         F.max("owners").alias("most_owners"),
     )
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
     return rows.select("row", "doc_id", "base_sha256").join(per_row, "row", "left").select(
         "doc_id", zero("n_assign"), zero("n_access"), zero("n_hex"), "base_sha256",
-        F.coalesce(_joined(F.col("kept")), F.lit("")).alias("spans"), zero("n_live"), zero("n_copied"), zero("most_owners"),
+        F.coalesce(_joined(F.col("kept")), F.lit("")).alias("spans"), F.coalesce(_marks(F.col("kept")), F.lit("")).alias("marks"),
+        zero("n_live"), zero("n_copied"), zero("most_owners"),
     )

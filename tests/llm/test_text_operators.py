@@ -268,6 +268,14 @@ def test_secrets(spark, edge, none):
     assert secret_scan.secrets(edge).count() == edge.count() and secret_scan.secrets(none).count() == 0
 
 
+def test_copied_spans_of_every_kind_are_reported(spark):
+    key = "-----BEGIN PRIVATE KEY-----" + "Qx7/" * 9 + "-----END PRIVATE KEY-----"
+    texts = [f"{key} Bearer {'Qx7' * 9} ftp://u:pass{'w' * 6}@h token=only{k}{k}{k}" for k in range(5)]
+    for r in secret_scan.secrets(spark.createDataFrame([(k, t, f"s{k}") for k, t in enumerate(texts)], "doc_id long, text string, source string")).collect():
+        assert [s.split(":")[0] for s in r.spans.split(",")] == ["private", "bearer", "address", "assign"]
+        assert r.marks == "copied,copied,copied,live" and (r.n_live, r.n_copied, r.n_assign) == (1, 3, 1)
+
+
 def test_base_spans_equal_plain_patterns(docs):
     assign = re.compile(r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
     for (t,) in docs.select(F.coalesce("text", F.lit(""))).collect():
