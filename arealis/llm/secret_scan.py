@@ -3,7 +3,8 @@
 Candidates are found in every whole text: assignments to a password-like name, cloud access keys, long hex strings, and,
 as spans that the method adds, private key blocks, bearer tokens and credentials in addresses. Each candidate's value is
 hashed; the corpus gives, for each hash, the number of distinct owners and repositories. A value that more than
-``COPIED_OWNERS`` owners have is a widely copied example; one that a few owners have looks live. Spans of every kind are
+``COPIED_OWNERS`` owners have, or that one owner has in more than ``COPIED_REPOSITORIES`` repositories, is a widely copied
+example; one that few have looks live. Spans of every kind are
 reported, each marked live or copied.
 
 Counting goes over distinct (hash, owner, repository) rows, then (hash, owner), then hash, each with map-side
@@ -31,6 +32,8 @@ from arealis.session import stored
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "private", "bearer", "address")
 COPIED_OWNERS = 3
+#: Repositories of one owner that may hold a value that looks live.
+COPIED_REPOSITORIES = 10
 
 # Patterns of the base kinds (letters of names in either case, ASCII only).
 ASSIGN = re.compile(
@@ -98,10 +101,10 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", owner: str
 
 
 def ownership(spans: DataFrame) -> DataFrame:
-    """Distinct owners and repositories of each value (value, owner, repository)."""
+    """Distinct owners and repositories of each value, and the most repositories that one owner has (value, owner, repository)."""
     once = spans.select("value", "owner", "repository").distinct()
     per_owner = once.groupBy("value", "owner").agg(F.count("*").alias("repositories"))
-    return per_owner.groupBy("value").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
+    return per_owner.groupBy("value").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"), F.max("repositories").alias("per_owner"))
 
 
 def _joined(spans: Column) -> Column:
@@ -116,24 +119,26 @@ def _marks(spans: Column) -> Column:
 
 def secrets(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", owner: str = "source", repository: str = "doc_id",
-    copied_owners: int = COPIED_OWNERS,
+    copied_owners: int = COPIED_OWNERS, copied_repositories: int = COPIED_REPOSITORIES,
 ) -> DataFrame:
-    """One row per row of ``docs``: counts of base spans, digest of base spans, all spans, their marks, live and copied counts."""
+    """One row per row of ``docs``: counts of base spans, digest of base spans, all spans, their marks, live and copied counts, and
+    the most owners and the most repositories that one of its values has."""
     rows = stored(scan(docs, doc_id, text, owner, repository), "secret-rows")
     spans = rows.select("row", "owner", "repository", F.posexplode("found").alias("at", "span")).select(
         "row", "owner", "repository", "at", "span.*"
     )
-    copied = spans.join(ownership(spans), "value").withColumn("copied", F.col("owners") > copied_owners)
+    widely = (F.col("owners") > copied_owners) | (F.col("per_owner") > copied_repositories)
+    copied = spans.join(ownership(spans), "value").withColumn("copied", widely)
     count = lambda when: F.count_if(when)
     per_row = copied.groupBy("row").agg(
         *[count(F.col("kind") == k).alias(f"n_{k}") for k in BASE_KINDS],
         F.sort_array(F.collect_list(F.struct("at", "kind", "start", "end", "copied"))).alias("kept"),
         count(~F.col("copied")).alias("n_live"), count(F.col("copied")).alias("n_copied"),
-        F.max("owners").alias("most_owners"),
+        F.max("owners").alias("most_owners"), F.max("repositories").alias("most_repositories"),
     )
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
     return rows.select("row", "doc_id", "base_sha256").join(per_row, "row", "left").select(
         "doc_id", zero("n_assign"), zero("n_access"), zero("n_hex"), "base_sha256",
         F.coalesce(_joined(F.col("kept")), F.lit("")).alias("spans"), F.coalesce(_marks(F.col("kept")), F.lit("")).alias("marks"),
-        zero("n_live"), zero("n_copied"), zero("most_owners"),
+        zero("n_live"), zero("n_copied"), zero("most_owners"), zero("most_repositories"),
     )

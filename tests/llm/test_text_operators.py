@@ -276,6 +276,13 @@ def test_copied_spans_of_every_kind_are_reported(spark):
         assert r.marks == "copied,copied,copied,live" and (r.n_live, r.n_copied, r.n_assign) == (1, 3, 1)
 
 
+def test_values_in_many_repositories_of_one_owner_are_copied(spark):
+    rows = [(k, "password=example1", "hot") for k in range(11)] + [(k, f"password=inuse{k % 2}234", "hot") for k in range(20, 40)] + [(20, "token=twice99", "a")] * 30
+    got = {(r.doc_id, r.marks): r for r in secret_scan.secrets(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert (got[0, "copied"].n_live, got[0, "copied"].most_owners, got[0, "copied"].most_repositories) == (0, 1, 11)
+    assert got[21, "live"].most_repositories == 10 and {m for (i, m) in got if i >= 20} == {"live"}
+
+
 def test_base_spans_equal_plain_patterns(docs):
     assign = re.compile(r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
     for (t,) in docs.select(F.coalesce("text", F.lit(""))).collect():
