@@ -91,7 +91,7 @@ def add_to_ledger(folder: str, zone: list[str], value: str, grace_months: int, t
             F.sum(value).alias("sum"), F.count(value).alias("n"), F.count(F.lit(1)).alias("n_rows")
         )
         late = F.lit(False) if newest is None else month_number() < newest - grace_months
-        totals.withColumn("late", late).coalesce(1).write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+        totals.withColumn("late", late).write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
 
     return write
 

@@ -227,6 +227,18 @@ def test_tick_by_province(spark, tmp_path):
     assert panel.count() == panel.select(*keys).distinct().count() == 5 * raw.select("province").distinct().count()
 
 
+def test_ledger_is_written_by_many_tasks(spark, tmp_path):
+    rows = spark.range(4000).select(F.timestamp_seconds("id").alias("ts"), F.col("id").alias("z"), F.lit(1.0).alias("value"))
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        windows.add_to_ledger(str(tmp_path), ["z"], "value", 0)(rows, 0)
+    finally:
+        spark.conf.set(key, before)
+    assert len(list((tmp_path / "batch=0").glob("part-*.parquet"))) > 1
+
+
 def test_ledger_holds_every_row(spark, tmp_path):
     folder, order = str(tmp_path / "ledger"), [3, 1, 2, 6]
     for grace, late in ((5, 0), (0, 62 + 58)):
