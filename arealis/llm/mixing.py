@@ -8,8 +8,9 @@ hash by hash. Thresholds of larger budgets contain those of smaller ones, and re
 
 Sources are ordered by code point, null last, and weigh ``weights`` in turn. Targets share ``share`` of all words by
 weight, stop at ``repeats`` times the source's size, and the excess is shared again by weight until none is above. The
-words taken differ from the target by half of the row at the threshold at most; rows of the same hash (repeated ids) are
-taken together. Null texts have size 0, as have empty ones; they are taken 0 words. A null id has a hash of its own. An
+words taken differ from the target by half of the row at the threshold at most. Where the threshold falls on rows of the same
+hash (repeated or null ids), a hash of their texts divides them in the same way; only rows equal in id and text are taken
+together. Null texts have size 0, as have empty ones; they are taken 0 words. A null id has a hash of its own. An
 empty table gives an empty result; a corpus without words has targets 0. Other columns than id, text and source are not read.
 """
 
@@ -34,6 +35,12 @@ def row_hash(doc_id: Column, seed: str = "mix") -> Column:
     return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
+def text_hash(text: Column, seed: str = "mix") -> Column:
+    """60 bits of MD5 over seed and text, which part rows of the same id."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), text).cast("binary"))
+    return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("long")
+
+
 def n_words(text: Column) -> Column:
     """Words, counted as the places where white space, or the start, is followed by something else."""
     return F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]++")).cast("long")
@@ -76,33 +83,60 @@ def _keyed(rows: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
-    """Per source the largest hash taken (exclusive bound ``below``) so that its words come nearest to ``budget``.
+    """Per source the bounds of what is taken so that its words come nearest to ``budget``: hashes less than ``below``, and of hash
+    ``below`` the ties less than ``tie_below`` (null: none).
 
-    ``rows`` holds s_null, s_key, hash, size; ``budgets`` s_null, s_key, budget. Level by level the bucket where the running
-    sum passes the budget is kept as (prefix, words before it).
+    ``rows`` holds s_null, s_key, hash, tie, size; ``budgets`` s_null, s_key, budget. Only where several ties share the hash at
+    the threshold are these divided, by their ties.
     """
     source = ["s_null", "s_key"]
-    edge = stored(budgets.select(*source, "budget", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("before")), "mix-edge")
+    start = budgets.select(*source, "budget", F.lit(0).cast("long").alias("before"))
+    found = stored(_edge(rows, start, "hash"), "mix-edge")
+    single = found.filter("ties = 1").select(*source, _bound("value").alias("below"), F.lit(None).cast("long").alias("tie_below"))
+    shared = found.filter("ties > 1")
+    if shared.isEmpty():
+        return single
+    at = shared.select(*source, F.col("value").alias("hash"), "budget", F.col("sum_before").alias("before"))
+    inside = _keyed(rows, at.select(*source, F.col("hash").alias("at"))).filter(F.col("hash") == F.col("at")).drop("at")
+    tied = _edge(inside, at.select(*source, "budget", "before"), "tie")
+    tied = tied.select(*source, _bound("value").alias("tie_below"))
+    return single.unionByName(at.join(tied, source).select(*source, F.col("hash").alias("below"), "tie_below"))
+
+
+def _bound(value: str) -> Column:
+    """The exclusive bound that leaves the words nearest to the budget."""
+    nearer = F.col("budget") - F.col("sum_before") < F.col("sum_before") + F.col("size") - F.col("budget")
+    return F.when(nearer, F.col(value)).otherwise(F.col(value) + 1)
+
+
+def _edge(rows: DataFrame, budgets: DataFrame, by: str) -> DataFrame:
+    """Per source the value of ``by`` at which the running sum passes the budget, with its words, those before and its ties.
+
+    Level by level the bucket where the running sum passes the budget is kept as (prefix, words before it).
+    """
+    source = ["s_null", "s_key"]
+    edge = stored(budgets.select(*source, "budget", F.lit(0).cast("long").alias("prefix"), "before"), "mix-edge")
     for level in range(1, LEVELS + 1):
         shift = HASH_BITS - BITS * level
-        inside = _keyed(rows, edge).filter(F.shiftright("hash", shift + BITS) == F.col("prefix"))
-        counts = inside.groupBy(*source, "budget", "before", F.shiftright("hash", shift).alias("bucket")).agg(F.sum("size").alias("size"))
+        inside = _keyed(rows, edge).filter(F.shiftright(by, shift + BITS) == F.col("prefix"))
+        counts = inside.groupBy(*source, "budget", "before", F.shiftright(by, shift).alias("bucket")).agg(F.sum("size").alias("size"))
         edge = stored(_passing(counts, "bucket").select(*source, "budget", F.col("bucket").alias("prefix"), F.col("sum_before").alias("before")), "mix-edge")
     rest = HASH_BITS - BITS * LEVELS
-    inside = _keyed(rows, edge).filter(F.shiftright("hash", rest) == F.col("prefix"))
-    counts = inside.groupBy(*source, "budget", "before", "hash").agg(F.sum("size").alias("size"))
-    last = _passing(counts, "hash")
-    nearer = F.col("budget") - F.col("sum_before") < F.col("sum_before") + F.col("size") - F.col("budget")
-    return last.select(*source, F.when(nearer, F.col("hash")).otherwise(F.col("hash") + 1).alias("below"))
+    inside = _keyed(rows, edge).filter(F.shiftright(by, rest) == F.col("prefix"))
+    value = F.col(by).alias("value")
+    counts = inside.groupBy(*source, "budget", "before", value).agg(
+        F.sum("size").alias("size"), F.when(F.min("tie") == F.max("tie"), 1).otherwise(2).alias("ties")
+    )
+    return _passing(counts, "value", "ties")
 
 
-def _passing(counts: DataFrame, bucket: str) -> DataFrame:
+def _passing(counts: DataFrame, bucket: str, *others: str) -> DataFrame:
     """The first bucket of each source whose running sum reaches the budget (its last bucket if none does)."""
     by_source = Window.partitionBy("s_null", "s_key").orderBy(bucket)
     running = counts.withColumn("running", F.sum("size").over(by_source) + F.col("before"))
     reached = (F.col("running") >= F.col("budget")) | F.lead(bucket).over(by_source).isNull()
     first = running.withColumn("reached", reached).filter("reached").groupBy("s_null", "s_key").agg(
-        F.min(F.struct(bucket, "budget", "size", (F.col("running") - F.col("size")).alias("sum_before"))).alias("first")
+        F.min(F.struct(bucket, "budget", "size", *others, (F.col("running") - F.col("size")).alias("sum_before"))).alias("first")
     )
     return first.select("s_null", "s_key", "first.*")
 
@@ -118,7 +152,7 @@ def _planned(
     rows = stored(
         docs.select(
             F.col(doc_id).alias("doc_id"), *_source_keys(source),
-            row_hash(F.col(doc_id)).alias("hash"), n_words(filled(text)).alias("size"),
+            row_hash(F.col(doc_id)).alias("hash"), text_hash(filled(text)).alias("tie"), n_words(filled(text)).alias("size"),
         ),
         "mix-rows",
     )
@@ -133,7 +167,8 @@ def _planned(
 
 
 def _copies() -> Column:
-    return (F.col("passes") + F.when(F.col("hash") < F.col("below"), F.lit(1)).otherwise(F.lit(0))).cast("int")
+    taken = (F.col("hash") < F.col("below")) | (F.col("hash") == F.col("below")) & (F.col("tie") < F.col("tie_below"))
+    return (F.col("passes") + F.when(taken, F.lit(1)).otherwise(F.lit(0))).cast("int")
 
 
 def mix(
@@ -155,6 +190,6 @@ def mixed_rows(
     _, plan = _planned(docs, doc_id, text, source, weights, share, repeats)
     whole = F.struct(*[docs[c] for c in docs.columns]).alias("whole")
     has_words = filled(text).rlike(r"[^\x20\x09-\x0D]")
-    rows = docs.filter(has_words).select(whole, *_source_keys(source), row_hash(F.col(doc_id)).alias("hash"))
+    rows = docs.filter(has_words).select(whole, *_source_keys(source), row_hash(F.col(doc_id)).alias("hash"), text_hash(filled(text)).alias("tie"))
     taken = _keyed(rows, plan).withColumn("copies", _copies())
     return taken.select("whole", F.explode(F.array_repeat(F.lit(True), F.col("copies")))).select("whole.*")

@@ -228,6 +228,14 @@ def test_mix_on_odd_rows(edge, none):
     assert out.columns == edge.columns and out.count() == sum(r.taken // r["size"] for r in rows if r["size"])
 
 
+def test_rows_without_id_meet_the_target(spark):
+    rows = [(None, prose(k, 20), "a") for k in range(400)] + [(k % 3, prose(1000 + k, 20), "b") for k in range(400)] + [(9, "one two", "c")] * 9
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    by_target = mix(docs, share=0.3).groupBy("target", "source_size").agg(F.sum("taken").alias("taken")).collect()
+    assert len(by_target) == 3 and all(abs(r.target - r.taken) <= 10 for r in by_target if r.source_size == 8000)
+    assert mixed_rows(docs, share=0.3).select("text").count() == sum(r.taken // r["size"] for r in mix(docs, share=0.3).collect())
+
+
 # --- 5 tokens
 
 
