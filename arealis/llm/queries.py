@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from arealis.llm import quality_trees, toxicity
+from arealis.llm import fill_middle, quality_trees, toxicity, vector_codes
 from arealis.llm.bpe import encoded
 from arealis.llm.exact_dedup import exact_duplicates
+from arealis.llm.exact_topk import top_k
 from arealis.llm.html_text import extracted
 from arealis.llm.license_scan import licenses
 from arealis.llm.license_texts import LICENSES, SPELLINGS
@@ -72,6 +74,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_trees.scored(docs, quality_trees.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compressed(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    digests = {"output_sha256": F.col("output"), "restored_sha256": fill_middle.restored(F.col("output"), F.col("form"))}
+    return made.withColumns({k: F.sha2(c.cast("binary"), 256) for k, c in digests.items()}).drop("output")
+
+
+def op13_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition": op1_repetition,
     "op2_toxicity": op2_toxicity,
@@ -83,8 +99,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality": op10_quality,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_topk": op13_topk,
 }
 
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -126,6 +146,45 @@ def _licenses_sql() -> str:
     """
 
 
+def _codes_sql() -> str:
+    def nearest(name: str, books: str) -> str:
+        """For each part its nearest entry: (squared distance, index)."""
+        return f"""
+        {name} AS (
+            SELECT r, p, min(struct_pack(gap := list_sum(list_transform(range(1, w + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i])))::BIGINT, e := e))
+                       AS best
+            FROM parts JOIN {books} USING (p) GROUP BY r, p)"""
+
+    def moved(name: str, books: str, found: str) -> str:
+        return f"""
+        {name}_sums AS (
+            SELECT p, best.e AS e, i, sum(x[i])::BIGINT AS s, count(*) AS n
+            FROM {found} JOIN parts USING (r, p), range(1, 1000) AS t(i) WHERE i <= w GROUP BY p, best.e, i),
+        {name}_lists AS (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM {name}_sums GROUP BY p, e),
+        {name} AS (SELECT b.p, b.e, coalesce(l.c, b.c) AS c FROM {books} b LEFT JOIN {name}_lists l ON b.p = l.p AND b.e = l.e)"""
+
+    steps = ",".join([
+        nearest("found0", "books0"), moved("books1", "books0", "found0"),
+        nearest("found1", "books1"), moved("books2", "books1", "found1"), nearest("found2", "books2"),
+    ])
+    return f"""
+        WITH v AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x, len(embedding) // 16 AS w
+            FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        parts AS MATERIALIZED (SELECT r, p, w, x[p * w + 1 : p * w + w] AS x FROM v, range(16) AS t(p)),
+        books0 AS (SELECT p, r - 1 AS e, x AS c FROM parts WHERE r <= 64), {steps},
+        coded AS (
+            SELECT r, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, sum(best.gap)::BIGINT AS error
+            FROM found2 GROUP BY r),
+        books AS (
+            SELECT sha256(string_agg(c[i]::VARCHAR, ',' ORDER BY p, e, i)) AS codebooks_sha256
+            FROM books2, range(1, 1000) AS t(i) WHERE i <= len(c))
+        SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+        FROM coded JOIN v USING (r), books
+    """
+
+
 ORACLE: dict[str, str] = {
     "op4_mixing": r"""
         WITH d AS (
@@ -172,4 +231,37 @@ ORACLE: dict[str, str] = {
         FROM d WINDOW w AS (PARTITION BY h ORDER BY n DESC, doc_id)
     """,
     "op8_licenses": _licenses_sql(),
+    "op11_vector_codes": _codes_sql(),
+    "op12_fill_middle": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+                   sha256('7:' || coalesce(doc_id::VARCHAR, 'null')) AS h
+            FROM documents),
+        h AS (SELECT *, len(units) AS n, list_transform(range(4), lambda k: ('0x' || substr(h, 8 * k + 1, 8))::BIGINT) AS h4 FROM d),
+        cuts AS (
+            SELECT *, least(h4[1] % (n + 1), h4[2] % (n + 1)) AS a, greatest(h4[1] % (n + 1), h4[2] % (n + 1)) AS b,
+                   CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h4[3] % 100 >= 100
+                        THEN 'plain' WHEN h4[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+            FROM h),
+        parts AS (
+            SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1 : b], '') AS middle,
+                   array_to_string(units[b + 1 :], '') AS suffix
+            FROM cuts)
+        SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                      ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM parts
+    """,
+    "op13_topk": r"""
+        WITH v AS (
+            SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS x
+            FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.r, q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+            FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 20 = 0),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST)::INTEGER AS rank FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
 }

@@ -27,9 +27,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> Column:
+    """A column by its name, whatever characters the name has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def filled(text: str = "text") -> Column:
     """The text, null as empty."""
-    return F.coalesce(F.col(text), F.lit(""))
+    return F.coalesce(quoted(text), F.lit(""))
 
 
 def slices(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
