@@ -168,8 +168,9 @@ def fill_forward_backward(
     order: list[str],
     columns: list[str],
     chunk: list[str] | None = None,
+    backward: bool = True,
 ) -> DataFrame:
-    """Carry the last known value forward, then the first known value backward, in every column.
+    """Carry the last known value forward, then (unless ``backward`` is off) the first known value backward, in every column.
 
     Without ``chunk`` a group is one window, right for groups bounded by the number of months. With
     ``chunk`` (leading columns of ``order``, such as the month) each chunk is filled by itself and only one
@@ -177,7 +178,8 @@ def fill_forward_backward(
     ``order`` must put the rows of a group in one definite order.
     """
     if not chunk:
-        return df.withColumns({c: F.coalesce(F.col(c), _near("lag", c, group, order), _near("lead", c, group, order)) for c in columns})
+        ways = ("lag", "lead") if backward else ("lag",)
+        return df.withColumns({c: F.coalesce(F.col(c), *[_near(way, c, group, order) for way in ways]) for c in columns})
 
     part = [*group, *chunk]
     place = F.struct(*[F.col(o) for o in order])
@@ -196,11 +198,9 @@ def fill_forward_backward(
         *[_near("lead", c, part, order).alias(f"_n_{c}") for c in columns],
     )
     same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in part]
+    near = ("_p_", "_before_", "_n_", "_after_") if backward else ("_p_", "_before_")
     return inside.join(carried, same, "left").select(
-        *[
-            F.coalesce(c, f"_p_{c}", f"_before_{c}", f"_n_{c}", f"_after_{c}").alias(c) if c in columns else F.col(c)
-            for c in df.columns
-        ]
+        *[F.coalesce(c, *[f"{n}{c}" for n in near]).alias(c) if c in columns else F.col(c) for c in df.columns]
     )
 
 

@@ -16,12 +16,12 @@ from arealis.functions.dtw import dtw_arrow, dtw_column, is_complete
 from arealis.functions.geometry import covers, zone_area, zone_edges
 from arealis.operators import anomaly, clean, explore, fill, merge, ranks, raster, zones
 from arealis.plans import binding as b
-from arealis.plans import dashboard, incremental
+from arealis.plans import dashboard, incremental, ticks
 from arealis.plans.batch import Tables, run_batch
 from arealis.registry import AREA_KEYS, PANEL_KEYS, PANEL_VARIABLES, VARIABLES
 from arealis.session import scratch_dir, stored
 from arealis.sources import audit, files, geojson
-from arealis.streaming import ingest, windows
+from arealis.streaming import ingest, months, windows
 
 FIRST = dt.date(1995, 1, 1)
 START, END = dt.date(1996, 3, 1), dt.date(1999, 8, 1)
@@ -434,8 +434,8 @@ def ffill_bfill_province(spark, sf):
 
 @query
 def year_vectors(spark, sf):
-    vectors = anomaly.year_vectors(b.merged_panel(spark, sf), ["NDVI", "LST"])
-    flat = [F.get(F.col(v), F.lit(m - 1)).alias(f"{v}_m{m:02d}") for v in ("NDVI", "LST") for m in anomaly.MONTHS]
+    vectors = anomaly.year_vectors(b.merged_panel(spark, sf), PANEL_VARIABLES)
+    flat = [F.get(F.col(v), F.lit(m - 1)).alias(f"{v}_m{m:02d}") for v in PANEL_VARIABLES for m in anomaly.MONTHS]
     return settle(vectors.select(*AREA_KEYS, "year", "n_months", *flat))
 
 
@@ -833,9 +833,10 @@ def filter_month(spark, sf):
 
 @query
 def select_band(spark, sf):
-    """The image table in long form, reduced to one band."""
-    images = b.pixel_images(spark, sf).unpivot(["tile", "pixel", "image_ts"], ["NDVI", "LST"], "band", "value")
-    chosen = raster.select_band(images, "LST")
+    """The image table in long form with all its bands, reduced to one."""
+    bands = ["NDVI", "LST", "SOILMOISTURE", "RAINFALL", "FireMask"]
+    images = b.pixel_images(spark, sf).withColumns({v: F.col(v).cast("double") for v in bands})
+    chosen = raster.select_band(images.unpivot(["tile", "pixel", "image_ts"], bands, "band", "value"), "LST")
     return settle(chosen.groupBy("tile").agg(F.count("value").alias("n"), F.max("value").alias("top")))
 
 
@@ -903,9 +904,8 @@ def zonal_monthly_polygons(spark, sf):
     """
     places = zones.zonal_join(b.points(spark, sf), b.star_zones(spark, sf), ["zone_id"])
     placed = places.select(F.col("point_id").alias("pixel"), "zone_id")
-    variables = [VARIABLES["LST"], VARIABLES["FIRECOUNT"]]
     return settle(raster.zonal_monthly(
-        _images(spark, sf), ["pixel"], ["zone_id"], lambda m: m.join(placed, "pixel"), variables
+        _images(spark, sf), ["pixel"], ["zone_id"], lambda m: m.join(placed, "pixel"), list(VARIABLES.values())
     ))
 
 
@@ -976,34 +976,38 @@ def stream_closed_months(spark, sf):
     target = scratch_dir(spark, "months")
     schema = b.table(spark, sf, "orders").schema
     orders = ingest.new_files(spark, sf, schema, "orders.parquet").select("o_orderdate", "o_orderpriority", "o_totalprice")
-    months = windows.closed_months(orders, ["o_orderpriority"], "o_totalprice", grace_months=0, ts="o_orderdate")
-    windows.append_available(months, target, f"{target}-checkpoint")
+    found = windows.closed_months(orders, ["o_orderpriority"], "o_totalprice", grace_months=0, ts="o_orderdate")
+    windows.append_available(found, target, f"{target}-checkpoint")
     return settle(spark.read.parquet(target), 2)
 
 
 def _backlog(spark, sf, grace_months):
-    """Orders arriving as four batches out of order: 1997, 1995 and 1996, 1998, the rest. Returns the ledger's folder."""
-    folder = scratch_dir(spark, "ledger")
+    """Orders arriving as files in four runs of a stream, out of order: 1997, 1995 and 1996, 1998, the rest.
+
+    Each run is a restart from the checkpoint. Returns the folder of the stream's output and its schema.
+    """
+    source, folder = scratch_dir(spark, "arriving"), scratch_dir(spark, "months")
     orders = b.table(spark, sf, "orders").select("o_orderdate", "o_orderpriority", F.col("o_totalprice").cast("decimal(18,2)"))
     year = F.year("o_orderdate")
-    write = windows.add_to_ledger(folder, ["o_orderpriority"], "o_totalprice", grace_months, "o_orderdate")
-    for i, part in enumerate([year == 1997, year < 1997, year == 1998, year > 1998]):
-        write(orders.where(part), i)
-    return folder
+    for part in (year == 1997, year < 1997, year == 1998, year > 1998):
+        orders.where(part).write.mode("append").parquet(source)
+        arrived = ingest.new_files(spark, source, orders.schema)
+        found = months.open_months(arrived, ["o_orderpriority"], "o_totalprice", grace_months, "o_orderdate")
+        months.run_months(found, folder, f"{folder}-checkpoint")
+    return folder, found.schema
 
 
 @query
 def stream_backlog_months(spark, sf):
     """An out-of-order backlog within the grace gives the totals of the batch form."""
-    folder = _backlog(spark, sf, 36)
-    found = windows.released_months(spark, folder, ["o_orderpriority"], 36)
+    found = months.closed(spark, *_backlog(spark, sf, 36)).drop("n_rows")
     return settle(found.withColumn("sum", F.col("sum").cast("double")), 2)
 
 
 @query
 def stream_late_rows(spark, sf):
-    """With less grace the rows behind it are counted as late, and no month is partly released with them."""
-    found = windows.late_rows(spark, _backlog(spark, sf, 3), ["o_orderpriority"])
+    """With less grace the rows behind it are counted as late, and no month is partly closed with them."""
+    found = months.late(spark, *_backlog(spark, sf, 3), ["o_orderpriority"])
     return settle(found.withColumn("sum", F.col("sum").cast("double")), 2)
 
 
@@ -1024,13 +1028,42 @@ def incremental_late_variable(spark, sf):
 def ingest_null_then_value(spark, sf):
     """Every cell arrives three times: without a value, with a masked value, and good; the good one enters."""
     source, target = scratch_dir(spark, "arriving"), scratch_dir(spark, "ingested")
-    raw = stored(b.raw_long(spark, sf).where("variable = 'RAINFALL'"), "raw")
-    for value in (F.lit(None).cast("double"), F.lit(-1.0), F.abs("value")):
+    raw = stored(b.raw_long(spark, sf), "raw")
+    good = F.when(F.col("variable").isin("RAINFALL", "FIRECOUNT"), F.abs("value")).otherwise(F.col("value"))
+    for value in (F.lit(None).cast("double"), F.lit(-99999.0), good):
         raw.withColumn("value", value).write.mode("append").parquet(source)
         ingest.ingest(spark, source, raw.schema, target, f"{target}-checkpoint")
     return settle(files.scan_partitioned(spark, target).select("variable", *PANEL_KEYS, "value"))
 
 
+def _ticks(spark, sf, parts):
+    """The versions after each tick, the raw rows arriving part by part."""
+    source, root = scratch_dir(spark, "arriving"), scratch_dir(spark, "ticks")
+    raw = stored(b.raw_long(spark, sf), "raw")
+    versions = []
+    for part in parts:
+        raw.where(part).write.mode("append").parquet(source)
+        versions.append(ticks.run_tick(spark, source, raw.schema, root, dt.date(2001, 3, 10)))
+    return root, versions
+
+
+@query
+def incremental_fill(spark, sf):
+    """Five ticks: months in order, a gap, late months that close it, new months, a late variable. Equal to one fill."""
+    year, fire = F.col("year"), F.col("variable") == "FIRECOUNT"
+    parts = [(year < 1997) & ~fire, year == 1998, (year == 1997) & ~fire, (year > 1998) & ~fire, (year != 1998) & fire]
+    root, versions = _ticks(spark, sf, parts)
+    return settle(ticks.filled_panel(spark, root, versions[-1]))
+
+
+@query
+def incremental_pinned(spark, sf):
+    """A version taken after the second tick, read after two more that came between and after its months."""
+    year = F.col("year")
+    root, versions = _ticks(spark, sf, [year < 1997, year == 1998, year == 1997, year > 1998])
+    return settle(ticks.merged_panel(spark, root, versions[1]).select(*PANEL_KEYS, *PANEL_VARIABLES))
+
+
 @query
 def batch_rerun(spark, sf):
     """The batch job over all rows and then over the years before 2000: the second run leaves nothing of the first."""

@@ -70,8 +70,9 @@ def run_tick(
     # the months are noted after their rows: a tick that fails in between builds them again
     write_table(changed, state_folder, TIME_KEYS, only_present=True)
     panel = spark.read.schema(fresh.schema).parquet(tables.merged)
-    order = [*TIME_KEYS, *[k for k in keys if k not in (*TIME_KEYS, *fill_group)]]
-    return fill_forward_backward(panel, fill_group, order, PANEL_VARIABLES)
+    within = [k for k in keys if k not in (*TIME_KEYS, *fill_group)]
+    # a group with several rows a month has no bound on its rows: filled month by month
+    return fill_forward_backward(panel, fill_group, [*TIME_KEYS, *within], PANEL_VARIABLES, TIME_KEYS if within else None)
 
 
 def unfinished(panel: DataFrame, as_of: dt.date) -> DataFrame:

@@ -37,6 +37,8 @@ CELLS = f"""cells AS (
 
 RAW = "raw AS (" + " UNION ALL ".join(f"SELECT '{v}' AS variable, {KEY}, {v} AS v FROM cells" for v in VARS) + ")"
 
+RAW_GOOD = RAW.replace("raw AS (", "raw AS (SELECT variable, province, district, subdistrict, year, month, CASE WHEN variable IN ('RAINFALL', 'FIRECOUNT') THEN abs(v) ELSE v END AS v FROM (", 1) + ")"
+
 MASKED = f"""scaled AS (
   SELECT variable, {KEY}, CASE variable WHEN 'NDVI' THEN v / 10000 WHEN 'LST' THEN v * 0.02::DOUBLE - 273.15::DOUBLE ELSE v END AS v
   FROM raw), masked AS (
@@ -103,6 +105,8 @@ def hierarchy(source: str) -> str:
 CLIM = mean_fill("seasonal", "interp", f"{AREA}, month")
 WITH_RAW = f"WITH {CELLS}, {RAW}"
 WITH_CLEAN = f"{WITH_RAW}, {MASKED}, {CLEAN}"
+# read by several joins: evaluated once
+WITH_CLEAN_ONCE = WITH_CLEAN.replace("clean AS (", "clean AS MATERIALIZED (").replace("cells AS (", "cells AS MATERIALIZED (")
 WITH_MERGED = f"{WITH_CLEAN}, {MERGED}"
 WITH_GRID = f"{WITH_MERGED}, {grid('merged')}"
 WITH_FILLED = f"{WITH_GRID}, {interpolated(1)}, {CLIM}, {hierarchy('seasonal')}"
@@ -226,6 +230,9 @@ IMAGES = """images AS (
 COMPOSITE = """comp AS (
   SELECT tile, pixel, year, month, avg(NDVI) AS NDVI, avg(LST) AS LST, avg(SOILMOISTURE) AS SOILMOISTURE, avg(RAINFALL) AS RAINFALL,
          sum(FIRECOUNT) AS FIRECOUNT FROM images GROUP BY ALL)"""
+SUMMED = ("RAINFALL", "FIRECOUNT")
+PIXEL_MONTH = ", ".join(f"{'sum' if v == 'FIRECOUNT' else 'avg'}({v}) AS {v}" for v in VARS)
+ZONE_MONTH = ", ".join(f"{'sum' if v in SUMMED else 'avg'}({v})::DOUBLE AS {v}" for v in VARS)
 TILES = f"{AREAS}, tiles AS (SELECT s_suppkey AS tile, province, district FROM supplier JOIN areas ON s_nationkey = nk)"
 ZONAL = """zonal AS (
   SELECT province, district, year, month, avg(NDVI) AS NDVI, avg(LST) AS LST, avg(SOILMOISTURE) AS SOILMOISTURE,
@@ -352,7 +359,7 @@ SELECT year, month, count(*) AS n_rows, count(price) AS n_kept, {rnd('sum(price:
     "clean_panel": f"{WITH_CLEAN} SELECT variable, {KEY}, {rnd('v')} AS value FROM clean",
     "monthly_quartiles": f"WITH {LINES} SELECT year, month, {rnd('quantile_cont(price, 0.25)')} AS q1, {rnd('quantile_cont(price, 0.5)')} AS median, {rnd('quantile_cont(price, 0.75)')} AS q3 FROM lines GROUP BY year, month",
     "drop_incomplete": panel(WITH_MERGED, "merged", " AND ".join(f"{v} IS NOT NULL" for v in VARS)),
-    "merge_variables": f"{WITH_CLEAN}, "
+    "merge_variables": f"{WITH_CLEAN_ONCE}, "
     + ", ".join(f"t_{v} AS (SELECT {KEY}, v AS {v} FROM clean WHERE variable = '{v}' AND v IS NOT NULL)" for v in VARS)
     + f" SELECT {KEY}, {rounded(VARS)} FROM t_{VARS[0]} "
     + " ".join(f"FULL JOIN t_{v} USING ({KEY})" for v in VARS[1:]),
@@ -372,7 +379,7 @@ SELECT year, month, count(*) AS n_rows, count(price) AS n_kept, {rnd('sum(price:
     "ffill_bfill": directional_fill(AREA, "year, month"),
     "ffill_bfill_province": directional_fill("province", "year, month, district, subdistrict"),
     "year_vectors": f"{WITH_MERGED} SELECT {AREA}, year, count(*) AS n_months, "
-    + ", ".join(f"{rnd(f'max({v}) FILTER (WHERE month = {m})')} AS {v}_m{m:02d}" for v in ("NDVI", "LST") for m in range(1, 13))
+    + ", ".join(f"{rnd(f'max({v}) FILTER (WHERE month = {m})')} AS {v}_m{m:02d}" for v in VARS for m in range(1, 13))
     + f" FROM merged GROUP BY {AREA}, year",
     "trimmed_baseline": f"{WITH_BASE}, area_months AS (SELECT * FROM (SELECT DISTINCT {AREA} FROM filled) CROSS JOIN (SELECT unnest(range(1, 13))::INTEGER AS month)) SELECT {AREA}, month, "
     + ", ".join(f"{rnd(f'''max(b) FILTER (WHERE variable = '{v}')''')} AS {v}" for v in VARS)
@@ -457,13 +464,20 @@ UNION ALL {section('trend', LABEL, 'avg(SOILMOISTURE)', 'sel')} GROUP BY year, m
         f"SELECT province, district, year, month, '{v}' AS variable, {rnd(v) if v in IQR_VARS else 'NULL::DOUBLE'} AS mean, {rnd(v) if v not in IQR_VARS else 'NULL::DOUBLE'} AS sum FROM zonal"
         for v in VARS
     ),
-    "zonal_monthly_polygons": f"WITH {IMAGES}, {EDGES}, {POINTS}, {HITS}, comp AS (SELECT pixel, year, month, avg(LST) AS LST, sum(FIRECOUNT) AS FIRECOUNT FROM images GROUP BY ALL), z AS (SELECT zone_id, year, month, avg(LST) AS LST, sum(FIRECOUNT)::DOUBLE AS FIRECOUNT FROM comp JOIN hits ON pixel = point_id GROUP BY ALL) SELECT zone_id, year, month, 'LST' AS variable, {rnd('LST')} AS mean, NULL::DOUBLE AS sum FROM z UNION ALL SELECT zone_id, year, month, 'FIRECOUNT', NULL::DOUBLE, {rnd('FIRECOUNT')} FROM z",
+    "zonal_monthly_polygons": f"WITH {IMAGES}, {EDGES}, {POINTS}, {HITS}, comp AS (SELECT pixel, year, month, {PIXEL_MONTH} FROM images GROUP BY ALL), "
+    f"z AS (SELECT zone_id, year, month, {ZONE_MONTH} FROM comp JOIN hits ON pixel = point_id GROUP BY ALL) "
+    + " UNION ALL ".join(
+        f"SELECT zone_id, year, month, '{v}' AS variable, {'NULL::DOUBLE' if v in SUMMED else rnd(v)} AS mean, {rnd(v) if v in SUMMED else 'NULL::DOUBLE'} AS sum FROM z"
+        for v in VARS
+    ),
     # a later file only brings what had no value before
     "stream_ingest": f"{WITH_RAW}, {MASKED}, later AS (SELECT variable, {KEY}, v + 1000 AS v FROM raw WHERE year < 1998), {MASKED_LATER} SELECT variable, {KEY}, {rnd('v')} AS value FROM masked WHERE v IS NOT NULL UNION ALL SELECT variable, {KEY}, {rnd('v')} FROM masked_later ANTI JOIN (SELECT * FROM masked WHERE v IS NOT NULL) AS m USING (variable, {KEY}) WHERE v IS NOT NULL",
     "stream_release": f"{WITH_CLEAN} SELECT variable, {KEY}, {rnd('v')} AS value FROM clean SEMI JOIN (SELECT * FROM masked WHERE v IS NOT NULL) AS m USING (variable, {KEY}) WHERE year * 12 + month < 2000 * 12 + 7",
     "incremental_run": directional_fill(AREA, "year, month", f"{WITH_MERGED}, {ARRIVED}"),
     "incremental_late_variable": f"{WITH_MERGED}, {ARRIVED} SELECT {KEY}, {rounded(VARS)} FROM grid",
-    "ingest_null_then_value": f"{WITH_RAW} SELECT variable, {KEY}, {rnd('abs(v)')} AS value FROM raw WHERE variable = 'RAINFALL'",
+    "incremental_fill": directional_fill(AREA, "year, month", f"{WITH_MERGED}, {ARRIVED}"),
+    "incremental_pinned": f"{WITH_MERGED}, {ARRIVED} SELECT {KEY}, {rounded(VARS)} FROM grid WHERE year < 1997 OR year = 1998",
+    "ingest_null_then_value": f"WITH {CELLS}, {RAW_GOOD}, {MASKED} SELECT variable, {KEY}, {rnd('v')} AS value FROM masked WHERE v IS NOT NULL",
     "batch_rerun": f"{WITH_CLEAN} SELECT variable, {KEY}, {rnd('v')} AS value FROM clean WHERE year < 2000 AND variable <> 'FIRECOUNT'",
     "stream_backlog_months": "SELECT year(o_orderdate)::INTEGER AS year, month(o_orderdate)::INTEGER AS month, o_orderpriority, " + rnd("sum(o_totalprice::DECIMAL(18,2))", 2) + " AS sum, count(*) AS n FROM orders WHERE year(o_orderdate) * 12 + month(o_orderdate) < (SELECT max(year(o_orderdate) * 12 + month(o_orderdate)) - 36 FROM orders) GROUP BY ALL",
     "stream_late_rows": "SELECT year(o_orderdate)::INTEGER AS year, month(o_orderdate)::INTEGER AS month, o_orderpriority, " + rnd("sum(o_totalprice::DECIMAL(18,2))", 2) + " AS sum, count(*) AS n_rows FROM orders WHERE year(o_orderdate) < 1997 AND year(o_orderdate) * 12 + month(o_orderdate) < (SELECT max(year(o_orderdate) * 12 + month(o_orderdate)) - 3 FROM orders WHERE year(o_orderdate) = 1997) GROUP BY ALL",
