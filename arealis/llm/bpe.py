@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arealis.llm.text import slices
+from arealis.llm.text import quoted, slices
 
 #: Pieces of one generation that a task remembers with their ids, and the longest piece it remembers.
 MEMORY, MEMORY_CHARS = 150_000, 64
@@ -184,7 +184,7 @@ def _sha(text: str) -> str:
 
 def encoded(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", digests: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_tokens, ids and the decoded text, or the SHA-256 of both."""
-    columns = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    columns = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = load(path)

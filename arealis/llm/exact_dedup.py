@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arealis.llm.text import SPACE, filled, only_kept, small_enough
+from arealis.llm.text import SPACE, filled, only_kept, quoted, small_enough
 from arealis.session import stored
 
 SALTS = 64
@@ -31,7 +31,7 @@ def normalized(text: Column) -> Column:
 
 def _marked(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Id, code points, content and its digest of every row."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), filled(text).alias("raw"))
+    rows = docs.select(quoted(doc_id).alias("doc_id"), filled(text).alias("raw"))
     rows = rows.select("doc_id", F.length("raw").cast("long").alias("n_chars"), normalized(F.col("raw")).alias("content"))
     return rows.withColumn("digest", F.unhex(F.sha2("content", 256)))
 
@@ -122,7 +122,7 @@ def without_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     found = exact_duplicates(docs, doc_id, text, salts)
     per_key = found.groupBy("doc_id", "text_sha256", "n_chars").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
     keys = {
-        "doc_id": F.col(doc_id), "text_sha256": F.sha2(normalized(filled(text)), 256),
+        "doc_id": quoted(doc_id), "text_sha256": F.sha2(normalized(filled(text)), 256),
         "n_chars": F.length(filled(text)).cast("long"),
     }
     return only_kept(docs, keys, stored(per_key, "dedup-keys"))

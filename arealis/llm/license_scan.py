@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arealis.llm.license_texts import LICENSES, SPELLINGS
-from arealis.llm.text import filled
+from arealis.llm.text import filled, quoted
 
 _MARKS = r"[ \t*#/;-]*"
 #: A line that states a copyright, at its start after marks: a sign or the word, with a year; the word and a sign; or the word
@@ -66,7 +66,7 @@ def licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", known:
     """One row per row of ``docs``: doc_id, license (of the text as a whole, else null), found (names by code point, joined by
     commas), n_units (paragraphs and lines that are a known unit)."""
     known = known_licenses(docs.sparkSession) if known is None else known
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), normalized(filled(text)).alias("canonical"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), quoted(doc_id).alias("doc_id"), normalized(filled(text)).alias("canonical"))
     kinds = F.map_from_arrays(
         F.array(F.lit(WHOLE), F.lit(PARAGRAPH), F.lit(LINE)),
         F.array(

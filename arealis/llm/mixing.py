@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arealis.llm.text import filled, small_enough
+from arealis.llm.text import filled, quoted, small_enough
 from arealis.session import stored
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -142,7 +142,7 @@ def _passing(counts: DataFrame, bucket: str, *others: str) -> DataFrame:
 
 
 def _source_keys(source: str) -> list[Column]:
-    return [F.col(source).isNull().alias("s_null"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("s_key")]
+    return [quoted(source).isNull().alias("s_null"), F.coalesce(quoted(source).cast("string"), F.lit("")).alias("s_key")]
 
 
 def _planned(
@@ -151,8 +151,8 @@ def _planned(
     """The stored sizes and hashes of the rows, and per source its target, whole passes and threshold."""
     rows = stored(
         docs.select(
-            F.col(doc_id).alias("doc_id"), *_source_keys(source),
-            row_hash(F.col(doc_id)).alias("hash"), text_hash(filled(text)).alias("tie"), n_words(filled(text)).alias("size"),
+            quoted(doc_id).alias("doc_id"), *_source_keys(source),
+            row_hash(quoted(doc_id)).alias("hash"), text_hash(filled(text)).alias("tie"), n_words(filled(text)).alias("size"),
         ),
         "mix-rows",
     )
@@ -188,8 +188,8 @@ def mixed_rows(
 ) -> DataFrame:
     """The rows of ``docs`` with all their columns, each as often as the mix takes it. Rows without words go."""
     _, plan = _planned(docs, doc_id, text, source, weights, share, repeats)
-    whole = F.struct(*[docs[c] for c in docs.columns]).alias("whole")
+    whole = F.struct(*[quoted(c) for c in docs.columns]).alias("whole")
     has_words = filled(text).rlike(r"[^\x20\x09-\x0D]")
-    rows = docs.filter(has_words).select(whole, *_source_keys(source), row_hash(F.col(doc_id)).alias("hash"), text_hash(filled(text)).alias("tie"))
+    rows = docs.filter(has_words).select(whole, *_source_keys(source), row_hash(quoted(doc_id)).alias("hash"), text_hash(filled(text)).alias("tie"))
     taken = _keyed(rows, plan).withColumn("copies", _copies())
     return taken.select("whole", F.explode(F.array_repeat(F.lit(True), F.col("copies")))).select("whole.*")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arealis.llm.text import slices, word_codes, word_lists
+from arealis.llm.text import quoted, slices, word_codes, word_lists
 
 WINDOW = 8
 MIN_WORDS = 4
@@ -153,7 +153,7 @@ def repetition_rules(
     min_words: int = MIN_WORDS, max_covered: float = MAX_COVERED, max_longest: int = MAX_LONGEST,
 ) -> DataFrame:
     """One row per row of ``docs``: the counts, the verdict, and the united spans of repeats in words."""
-    columns = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    columns = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64())]))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

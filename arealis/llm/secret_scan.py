@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arealis.llm.text import slices
+from arealis.llm.text import quoted, slices
 from arealis.session import stored
 
 BASE_KINDS = ("assign", "access", "hex")
@@ -76,8 +76,8 @@ SCHEMA = (
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", owner: str = "source", repository: str = "doc_id") -> DataFrame:
     """Candidates of every row with the hash of their values, and the digest of the base spans."""
     columns = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), F.col(owner).cast("string").alias("owner"),
-        F.col(repository).cast("string").alias("repository"), F.col(text).alias("text"),
+        F.monotonically_increasing_id().alias("row"), quoted(doc_id).alias("doc_id"), quoted(owner).cast("string").alias("owner"),
+        quoted(repository).cast("string").alias("repository"), quoted(text).alias("text"),
     )
     span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("value", pa.int64())])
 

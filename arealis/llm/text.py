@@ -101,7 +101,7 @@ def only_kept(docs: DataFrame, keys: dict[str, Column], verdicts: DataFrame) ->
     ``keys`` are expressions over ``docs``; ``verdicts`` has their values under the same names, each once, with ``kept`` and
     the number ``n`` of rows. Of kept rows with equal keys one stays. Few columns of the dropped rows are joined, not texts.
     """
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("whole"), *[c.alias(f"_{k}") for k, c in keys.items()])
+    rows = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("whole"), *[c.alias(f"_{k}") for k, c in keys.items()])
 
     def matched(rows: DataFrame, found: DataFrame, how: str) -> DataFrame:
         found = found.select(*[F.col(k).alias(f"_v_{k}") for k in keys])

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arealis.llm.text import hashed, heldout, mixed, scores_of, slices, word_codes, word_lists
+from arealis.llm.text import hashed, heldout, mixed, quoted, scores_of, slices, word_codes, word_lists
 from arealis.session import stored
 
 BITS = 20
@@ -156,7 +156,7 @@ def scored(docs: DataFrame, weights: Weights, threshold: float = 0.5) -> DataFra
 
 def without_toxic(docs: DataFrame, weights: Weights, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` scored below the threshold, with their columns."""
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("whole"), F.col("text").alias("own_text"))
+    rows = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("whole"), F.col("text").alias("own_text"))
     marked = rows.select("whole", _score_column(weights)("own_text").alias("own_score"))
     return marked.filter(F.col("own_score") < threshold).select("whole.*")
 

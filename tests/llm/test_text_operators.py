@@ -1,6 +1,7 @@
 """Text operators against plain Python, SQL, libraries and held-out labels."""
 
 import hashlib
+import itertools
 import os
 import random
 import re
@@ -20,7 +21,7 @@ from compare import difference
 from pyspark.sql import functions as F
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
-CLASHES = "row digest kept score size whole node band label hash bands contents s_key _doc_id n taken".split()
+CLASHES = "row digest kept score size whole node band label hash bands contents s_key _doc_id n taken a.b a`b".split()
 
 
 def prose(seed, n, pool=400):
@@ -344,6 +345,84 @@ def test_near_duplicates_of_odd_rows(edge, none):
     assert near_join.near_duplicates(none).count() == 0 and near_join.without_near_duplicates(none).count() == 0
 
 
+WORDS = ["", "a", "a b", "a b c", "a b c d e f", " "]
+
+
+def test_shingles_of_slices_with_few_words():
+    """Every slice of up to four short texts: as many hashes as counted, equal to those of each text alone."""
+    for n in range(5):
+        for texts in itertools.product(WORDS, repeat=n):
+            hashes, counts = near_join.shingles(list(texts))
+            assert counts.tolist() == [len(brute.shingles(t)) for t in texts]
+            alone = [near_join.shingles([t])[0] for t in texts]
+            assert hashes.tolist() == [h for x in alone for h in x.tolist()]
+
+
+def test_slice_functions_take_few_words():
+    learnt = toxicity.Weights(np.zeros(0, np.int64), np.zeros(0), 0.5)
+    for n in range(4):
+        for texts in itertools.product(WORDS, repeat=n):
+            texts = list(texts)
+            assert len(quality_trees.statistics(texts)) == n
+            assert len(repetition.repetition(texts, 3)["n_covered"]) == n
+            assert len(learnt.scorer()(texts)) == n
+            assert len(near_join.signatures(*near_join.shingles(texts))) == n
+
+
+@pytest.mark.parametrize("rows", [["a b"], ["a b", "x y z", None], ["a b c d e f", "a b c d e f", "x y"]])
+def test_few_short_rows_in_many_partitions(spark, rows, tmp_path):
+    """Each row in a file of its own, through the registered queries and the pipeline."""
+    docs = spark.createDataFrame([(k + 1, t, "en", "s", len(t or "")) for k, t in enumerate(rows)], DOCS)
+    docs.repartition(len(rows) + 2, "doc_id").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name in sorted(n for n in queries.QUERIES if n not in ("op3_html_text", "op11_vector_codes", "op13_topk")):
+        assert queries.QUERIES[name](spark, str(tmp_path)).count() == len(rows), name
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() <= 2 * len(rows)
+
+
+def near_copies(n, words=300, edits=2, seed=31):
+    """Variants of one text, each with its own words at some places."""
+    draw, base, out = random.Random(seed), prose(seed, words).split(), []
+    for k in range(n):
+        w = list(base)
+        for _ in range(edits):
+            w[draw.randrange(words)] = f"v{k}x{draw.randrange(9)}"
+        out.append((k, " ".join(w)))
+    return out
+
+
+def test_member_rows_stay_in_proportion(spark):
+    """Cells of a large group of near copies: about two rows a member and band, whatever the group's size."""
+    for n in (1_000, 16_000, 64_000):
+        band = F.expr("transform(sequence(1, 28), x -> cast(1 as bigint))")
+        classes = spark.range(n).select(F.col("id").alias("node"), band.alias("bands"))
+        cells = near_join.bucket_members(classes).groupBy("band", "i", "j").count().agg(F.sum("count"), F.max("count")).first()
+        assert cells[0] < 28 * 2.5 * n and cells[1] < 2.5 * near_join.BLOCK
+
+
+def test_large_groups_of_near_copies(spark):
+    rows = near_copies(900) + [(1000 + k, t) for k, t in near_copies(300, seed=33)] + [(2000 + k, prose(500 + k, 80)) for k in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute.near(rows)
+    for block in (40, 512):
+        found = near_join.near_duplicates(df, block=block).collect()
+        assert {r.doc_id: (r.class_id, r.copy_id, r.n_copies, r.n_links) for r in found} == want
+    kept = near_join.without_near_duplicates(df).collect()
+    assert sorted(r.doc_id for r in kept) == sorted({c for c, *_ in want.values()})
+
+
+def test_links_within_equal_plain_counts():
+    draw = random.Random(9)
+    sets = [np.unique(np.array([draw.randrange(60) for _ in range(draw.choice([0, 1, 30, 200]))], np.uint64)) for _ in range(40)]
+    sets += sets[:5]
+    plain = lambda a, b: len(set(a) & set(b)) / max(len(set(a) | set(b)), 1) >= 0.8 - 1e-12
+    for side in (np.zeros(45, int), np.array([1 + k % 2 for k in range(45)])):
+        pairs = [(i, j) for i in range(45) for j in range(45) if i != j and (side[i] == 0 or side[i] != side[j])]
+        want = [sum(plain(sets[i], sets[j]) for i, j in pairs if i == k and len(sets[i]) + len(sets[j])) for k in range(45)]
+        got = near_join.links_within(sets, side, 0.8)
+        assert [g for g, s in zip(got, sets) if len(s)] == [w for w, s in zip(want, sets) if len(s)]
+
+
 def test_pruning_keeps_similar_pairs():
     floor = near_join.least_matches()
     assert floor[near_join.HASHES] < 0.8 * near_join.HASHES and (np.diff(floor) >= 0).all()
