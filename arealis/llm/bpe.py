@@ -117,7 +117,7 @@ class Tokenizer:
             found = self.memory.get(chunk)  # what is remembered is one piece
             if found is not None:
                 out += found
-            elif chunk[:-1].isalpha() and not chunk[-1].isalpha():  # a word and its punctuation: two pieces
+            elif chunk[:-1].isalpha() and chunk[-1].isascii() and not chunk[-1].isalpha():  # a word and its punctuation: two pieces
                 out += self.piece_ids(chunk[:-1])
                 out += self.piece_ids(chunk[-1])
             else:
@@ -152,11 +152,56 @@ def chunks(text: str) -> list[str]:
     return [x for x in SPACES.split(text) if x] if SEPARATORS.search(text) else text.split()
 
 
+# Upper-case letters of Unicode 16.0 and 17.0 and what to add for lower case; Python 3.13's tables lack them.
+LOWER_17 = {
+    "1C89-1C89": 1, "A7CB-A7CB": 0x264 - 0xA7CB, "A7CC-A7CC": 1, "A7CE-A7CE": 1, "A7D2-A7D2": 1, "A7D4-A7D4": 1, "A7DA-A7DA": 1,
+    "A7DC-A7DC": 0x19B - 0xA7DC, "10D50-10D65": 0x20, "16EA0-16EB8": 0x1B,
+}
+UPPER_17 = {c: c + add for r, add in LOWER_17.items() for a, b in [r.split("-")] for c in range(int(a, 16), int(b, 16) + 1)}
+UPPER_17_AT = regex.compile("[" + "".join(map(chr, UPPER_17)) + "]")
+
+
 def lowered(text: str) -> str:
     """Lower case, each character for itself: a final sigma is no special case."""
+    if not text.isascii() and UPPER_17_AT.search(text):
+        text = text.translate(UPPER_17)
     return text.lower() if text.isascii() or "Σ" not in text else "σ".join(x.lower() for x in text.split("Σ"))
 
 
+# Letters and numbers that Unicode 16.0 added to 15.1, the version of Python 3.13's tables.
+LETTERS_16 = (
+    "1C89-1C8A A7CB-A7CD A7DA-A7DC 105C0-105F3 10D4A-10D65 10D6F-10D85 10EC2-10EC4 11380-11389 1138B-1138B 1138E-1138E 11390-113B5 "
+    "113B7-113B7 113D1-113D1 113D3-113D3 11BC0-11BE0 13460-143FA 16100-1611D 16D40-16D6C 18CFF-18CFF 1E5D0-1E5ED 1E5F0-1E5F0"
+)
+NUMBERS_16 = "10D40-10D49 116D0-116E3 11BF0-11BF9 16130-16139 16D70-16D79 1CCF0-1CCF9 1E5F1-1E5FA"
+
+
+def _ranges(listed: str) -> list[tuple[int, int]]:
+    return [(int(a, 16), int(b, 16)) for a, b in (r.split("-") for r in listed.split())]
+
+
+def _as_set(ranges: list[tuple[int, int]]) -> str:
+    return "[" + "".join(f"\\U{a:08X}-\\U{b:08X}" for a, b in ranges) + "]"
+
+
+@lru_cache(maxsize=2)
+def character_class(kind: str) -> str:
+    """Set expression of the library's letters (``L``) or numbers (``N``), those of Unicode 16.0; ``regex`` knows younger ones too."""
+    known = regex.compile(rf"\p{{{kind}}}")
+    new = [c for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn" and known.match(chr(c))]
+    starts = [c for k, c in enumerate(new) if not k or new[k - 1] != c - 1]
+    ends = [c for k, c in enumerate(new) if k == len(new) - 1 or new[k + 1] != c + 1]
+    own = _as_set(_ranges({"L": LETTERS_16, "N": NUMBERS_16}[kind]))
+    return rf"[[\p{{{kind}}}--{_as_set(list(zip(starts, ends, strict=True)))}]{own}]" if new else rf"[\p{{{kind}}}{own}]"
+
+
+def piece_pattern(pattern: str) -> regex.Pattern:
+    """The file's pattern with the library's classes of letters and numbers."""
+    for kind in "LN":
+        pattern = pattern.replace(rf"\p{{{kind}}}", character_class(kind))
+    return regex.compile(pattern, regex.V1)
+
+
 @lru_cache(maxsize=4)
 def load(path: str) -> Tokenizer:
     """Read a tokenizer file; a rule that this module does not follow is an error."""
@@ -170,7 +215,7 @@ def load(path: str) -> Tokenizer:
     merges = [tuple(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
     return Tokenizer(
         ids=model["vocab"], ranks={m: i for i, m in enumerate(merges)}, suffix=model["end_of_word_suffix"] or "",
-        pieces=regex.compile(cut[0]["pattern"]["Regex"]), special={t["content"]: t["id"] for t in spec["added_tokens"]},
+        pieces=piece_pattern(cut[0]["pattern"]["Regex"]), special={t["content"]: t["id"] for t in spec["added_tokens"]},
     )
 
 
