@@ -4,11 +4,11 @@ A text's features are the distinct hashes, in ``2 ** BITS`` cells, of its words,
 neighbouring word pairs and of pairs with one word between. Learning is follow-the-regularised-leader with a learning rate
 per coordinate; its L1 term keeps most weights at exactly zero, so the model is a short list of cells and weights that
 every task gets. Training rows are at most ``SAMPLE`` labelled ids, those with the smallest hashes, never a held-out one;
-the bound holds for any size of the tables, and one task learns from it. Scoring reads every whole text.
+the bound holds for any size of the tables and, by ``SAMPLE_CELLS``, of texts; one task learns from it. Scoring reads every whole text.
 
 A null text counts as empty and gets the score of the bias alone; an empty table gives an empty result. Null labels
-are no labels, an id labelled twice counts as toxic if one of its labels says so, and of repeated ids one text is learnt
-from. Without any training row every score is 0. Other columns are not read.
+are no labels, an id labelled twice counts as toxic if one of its labels says so, and of repeated ids the text with the
+smallest SHA-256 is learnt from. Without any training row every score is 0. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -20,15 +20,17 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from arealis.llm.text import hashed, heldout, mixed, quoted, scores_of, slices, word_codes, word_lists
+from arealis.llm.text import filled, hashed, heldout, mixed, quoted, scores_of, slices, word_codes, word_lists
 from arealis.session import stored
 
 BITS = 20
 STEM = 5
 SAMPLE = 12_000
+#: Features of all sampled texts together (of 4 bytes).
+SAMPLE_CELLS = 64_000_000
 EPOCHS = 4
 #: L1 is a share of the training rows, as the gradients it competes with add up over them.
 ALPHA, BETA, L1_SHARE, L2 = 1.0, 1.0, 0.002, 1.0
@@ -116,20 +118,31 @@ def training_ids(labels: DataFrame, label: str, sample: int) -> DataFrame:
     return known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE) -> Weights:
-    """Learn from the bounded sample: features are made where the texts are, one task learns from them."""
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE, sample_cells: int = SAMPLE_CELLS) -> Weights:
+    """Learn from the bounded sample: features are made where the texts are, one task learns from them.
+
+    Of several texts of an id the one with the smallest SHA-256 counts. Sampled texts count in the order of their ids' hashes
+    until they have ``sample_cells`` features together (the first one always), which bounds that task's memory.
+    """
     ids = stored(training_ids(labels.select("doc_id", label), label, sample), "toxicity-ids")
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("label", "doc_id", "text")
+    digest = F.sha2(filled().cast("binary"), 256).alias("digest")
+    rows = docs.select("doc_id", digest, "text").join(F.broadcast(ids), "doc_id").select("label", "doc_id", "digest", "text")
 
     def features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches):
             text_of, cells = _distinct(*text_features(texts))
             stops = np.searchsorted(text_of, np.arange(len(texts) + 1))
             lists = pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(cells, pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["label", "doc_id", "cells"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], lists], names=["label", "doc_id", "digest", "cells"])
 
-    found = rows.mapInArrow(features, f"label double, doc_id {dict(rows.dtypes)['doc_id']}, cells array<int>")
-    found = stored(found.dropDuplicates(["doc_id"]), "toxicity-sample")
+    found = rows.mapInArrow(features, f"label double, doc_id {dict(rows.dtypes)['doc_id']}, digest string, cells array<int>")
+    one = found.groupBy("doc_id").agg(F.min_by(F.struct("label", "cells"), "digest").alias("own")).select("doc_id", "own.*")
+    one = stored(one, "toxicity-sample")
+    # the window's rows are the sample's ids and sizes
+    sizes = one.select("doc_id", F.size("cells").alias("n"))
+    before = F.sum("n").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, -1))
+    taken = sizes.withColumn("before", F.coalesce(before, F.lit(0))).filter((F.col("before") == 0) | (F.col("before") + F.col("n") <= sample_cells))
+    one = one.join(F.broadcast(taken.select("doc_id")), "doc_id")
 
     def learn(sample: pa.Table) -> pa.Table:
         by_id = np.argsort(sample.column("doc_id").to_numpy(), kind="stable")
@@ -139,7 +152,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
         w = ftrl(rows, sample.column("label").to_numpy()[by_id])
         return pa.table({"cell": np.r_[w.cells, -1], "value": np.r_[w.values, w.bias]})
 
-    learnt = found.withColumn("model", F.lit(0)).groupBy("model").applyInArrow(learn, "cell long, value double").toPandas()
+    learnt = one.withColumn("model", F.lit(0)).groupBy("model").applyInArrow(learn, "cell long, value double").toPandas()
     if learnt.empty:
         return Weights(np.zeros(0, np.int64), np.zeros(0), None)
     own = learnt["cell"] >= 0
