@@ -9,8 +9,8 @@ Training rows are at most ``SAMPLE`` labelled ids, those with the smallest hashe
 for any size of the tables, so the matrix of statistics is small wherever it is. Scoring reads every whole text.
 
 A null text counts as empty and has statistics of its own (all 0); an empty table gives an empty result. Null labels are
-no labels, an id labelled twice counts as good only if all its labels say so, of repeated ids one text is learnt from. Without any training row every
-score is 0.5. Other columns are not read.
+no labels, an id labelled twice counts as good only if all its labels say so, of repeated ids the text with the smallest
+SHA-256 is learnt from. Without any training row every score is 0.5. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arealis.llm.text import heldout, mixed, scores_of, slices, word_codes, word_lists
+from arealis.llm.text import filled, heldout, mixed, scores_of, slices, word_codes, word_lists
 from arealis.session import stored
 
 SAMPLE = 12_000
@@ -45,7 +45,8 @@ def _share_of(bytes_: np.ndarray, chars: str) -> int:
 
 def _repeated(keys: np.ndarray, text_of: np.ndarray, n: int) -> np.ndarray:
     """Share of each text's keys that occurred before in the same text."""
-    both = mixed(keys + mixed(text_of.astype(np.uint64)))
+    # numbers of texts are moved out of the range of word codes, whose mixed values may be among the keys
+    both = mixed(keys + mixed(text_of.astype(np.uint64) + np.uint64(1 << 48)))
     _, first = np.unique(both, return_index=True)
     total, distinct = np.bincount(text_of, minlength=n), np.bincount(text_of[first], minlength=n)
     return 1 - distinct / np.maximum(total, 1)
@@ -65,7 +66,7 @@ def statistics(texts: list[str]) -> np.ndarray:
     total = lambda x: np.bincount(text_of, weights=x, minlength=n)
     mean = total(lengths) / per
     longest = np.zeros(n)
-    np.maximum.at(longest, text_of, np.minimum(lengths, 1000))
+    np.maximum.at(longest, text_of, lengths)
     column = {
         "log_words": np.log1p(sizes), "word_length": mean, "longest_word": longest,
         "word_length_spread": np.sqrt(np.maximum(total(lengths * lengths) / per - mean * mean, 0)),
@@ -189,9 +190,13 @@ def training_ids(labels: DataFrame, label: str, sample: int) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> Trees:
-    """Learn from the bounded sample; only its statistics, ``sample`` rows of numbers at most, reach the driver."""
+    """Learn from the bounded sample; only its statistics, ``sample`` rows of numbers at most, reach the driver.
+
+    Of several texts of an id the one with the smallest SHA-256 counts.
+    """
     ids = stored(training_ids(labels.select("doc_id", label), label, sample), "quality-ids")
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("label", "doc_id", "text")
+    digest = F.sha2(filled().cast("binary"), 256).alias("digest")
+    rows = docs.select("doc_id", digest, "text").join(F.broadcast(ids), "doc_id").select("label", "doc_id", "digest", "text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches):
@@ -199,10 +204,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
             lists = pa.ListArray.from_arrays(
                 pa.array(np.arange(len(texts) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel(), pa.float64())
             )
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["label", "doc_id", "x"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], lists], names=["label", "doc_id", "digest", "x"])
 
-    found = rows.mapInArrow(run, f"label double, doc_id {dict(rows.dtypes)['doc_id']}, x array<double>")
-    sample_rows = found.dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
+    found = rows.mapInArrow(run, f"label double, doc_id {dict(rows.dtypes)['doc_id']}, digest string, x array<double>")
+    one = found.groupBy("doc_id").agg(F.min_by(F.struct("label", "x"), "digest").alias("own")).select("doc_id", "own.*")
+    sample_rows = one.toPandas().sort_values("doc_id")
     if sample_rows.empty:
         return boost(np.zeros((0, len(STATISTICS))), np.zeros(0))
     return boost(np.stack(sample_rows["x"].to_list()), sample_rows["label"].to_numpy())

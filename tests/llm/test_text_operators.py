@@ -2,10 +2,12 @@
 
 import hashlib
 import itertools
+import math
 import os
 import random
 import re
 import zlib
+from collections import defaultdict
 
 import brute
 import corpus_pipeline
@@ -130,6 +132,106 @@ def test_toxic_words_decide():
     assert len(weights.cells) < len(set(cells.tolist())) / 4
 
 
+def plain_ftrl(rows, labels, epochs):
+    """FTRL-proximal with a dict for each coordinate."""
+    z, n, l1, bias = defaultdict(float), defaultdict(float), toxicity.L1_SHARE * len(rows), "bias"
+
+    def weight(c):
+        if c != bias and abs(z[c]) <= l1:
+            return 0.0
+        shrunk = z[c] if c == bias else z[c] - math.copysign(l1, z[c])
+        return -shrunk / ((toxicity.BETA + math.sqrt(n[c])) / toxicity.ALPHA + (0.0 if c == bias else toxicity.L2))
+
+    order = np.random.default_rng(7)
+    for _ in range(epochs):
+        for i in order.permutation(len(rows)):
+            cells = [*rows[i].tolist(), bias]
+            w = [weight(c) for c in cells]
+            g = (1 / (1 + math.exp(-max(-35, min(35, sum(w))))) - labels[i]) * (toxicity.POSITIVE_WEIGHT if labels[i] else 1.0)
+            for c, v in zip(cells, w, strict=True):
+                z[c] += g - (math.sqrt(n[c] + g * g) - math.sqrt(n[c])) / toxicity.ALPHA * v
+                n[c] += g * g
+    return {c: weight(c) for c in z if c != bias and abs(z[c]) > l1}, weight(bias)
+
+
+def test_ftrl_equals_a_loop_over_coordinates():
+    draw = np.random.default_rng(3)
+    rows = [np.unique(draw.integers(0, 300, draw.integers(0, 25))) for _ in range(250)]
+    labels = np.array([float(7 in r or 11 in r) for r in rows])
+    learnt = toxicity.ftrl(rows, labels, 3)
+    weights, bias = plain_ftrl(rows, labels, 3)
+    assert set(weights) == set(learnt.cells.tolist()) and 0 < len(weights) < 300
+    assert max(abs(weights[c] - v) for c, v in zip(learnt.cells.tolist(), learnt.values, strict=True)) < 1e-9
+    assert abs(bias - learnt.bias) < 1e-9
+
+
+def plain_tree(x, y):
+    """One tree grown by trying every split of every node; margins of the rows."""
+    rate = min(max(y.mean(), 0.001), 0.999)
+    base = math.log(rate / (1 - rate))
+    p = 1 / (1 + math.exp(-base))
+    edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, quality_trees.BINS + 1)[1:-1])) for j in range(x.shape[1])]
+    out = np.zeros(len(x))
+
+    def grow(rows, depth):
+        g, h = sum(p - y[i] for i in rows), len(rows) * p * (1 - p)
+        best = (1e-6, None, None)
+        for j in range(x.shape[1]) if depth < quality_trees.DEPTH else ():
+            for e in edges[j]:
+                left = [i for i in rows if x[i, j] <= e]
+                lg, lh = sum(p - y[i] for i in left), len(left) * p * (1 - p)
+                if min(lh, h - lh) >= quality_trees.MIN_CURVATURE:
+                    r = quality_trees.RIDGE
+                    gain = lg**2 / (lh + r) + (g - lg) ** 2 / (h - lh + r) - g**2 / (h + r)
+                    if gain > best[0] + 1e-9:
+                        best = (gain, j, e)
+        if best[1] is None:
+            out[rows] = base - quality_trees.RATE * g / (h + quality_trees.RIDGE)
+            return
+        grow([i for i in rows if x[i, best[1]] <= best[2]], depth + 1)
+        grow([i for i in rows if x[i, best[1]] > best[2]], depth + 1)
+
+    grow(list(range(len(x))), 0)
+    return 1 / (1 + np.exp(-out))
+
+
+def test_a_tree_equals_trying_every_split():
+    draw = np.random.default_rng(8)
+    x = np.round(draw.normal(size=(160, 4)), 1)
+    y = ((x[:, 0] + x[:, 2] > 0.2) ^ (draw.random(160) < 0.1)).astype(float)
+    assert np.allclose(quality_trees.boost(x, y, trees=1).scores(x), plain_tree(x, y), atol=1e-12)
+
+
+def test_statistics_do_not_depend_on_the_slice():
+    texts = [prose(k, 30, 40) + " fine" * (k % 4) for k in range(300)] + ["", "a", "a\na", "x " * 2000]
+    alone = np.concatenate([quality_trees.statistics([t]) for t in texts])
+    assert (quality_trees.statistics(texts) == alone).all()
+    words = [t.split() for t in texts]
+    assert np.allclose(alone[:, quality_trees.STATISTICS.index("distinct_words")], [len(set(w)) / max(len(w), 1) for w in words])
+
+
+def test_models_do_not_depend_on_the_order_of_rows(spark):
+    """Repeated ids with different texts, in three orders and partitionings."""
+    draw = random.Random(12)
+    texts = [(k % 120, prose(k, 30) + (" vile filth" if k % 3 == 0 else " fine") * (k % 4)) for k in range(360)] + [(5, None), (6, "")]
+    labels = spark.createDataFrame([(k, k % 2, int(k % 3 == 0)) for k in range(120)], "doc_id long, quality int, toxic int")
+    learnt = []
+    for parts in (1, 4, 7):
+        draw.shuffle(texts)
+        df = spark.createDataFrame(texts, "doc_id long, text string").repartition(parts)
+        w, t = toxicity.train(df, labels), quality_trees.train(df, labels)
+        learnt.append((w.cells.tolist(), w.values.tolist(), w.bias, t.threshold.tolist(), t.value.tolist()))
+    assert learnt[0] == learnt[1] == learnt[2] and learnt[0][0]
+
+
+def test_sampled_texts_are_bounded_by_their_features(spark):
+    df = spark.createDataFrame([(k, prose(k, 50) + " vile" * (k % 2)) for k in range(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 0, k % 2) for k in range(200)], "doc_id long, quality int, toxic int")
+    whole, none = toxicity.train(df, labels), toxicity.train(df, labels, sample_cells=0)
+    assert whole.cells.size and none.bias is not None  # the first text is always learnt from
+    assert toxicity.train(df, labels, sample_cells=10**9).values.tolist() == whole.values.tolist()
+
+
 def test_trees_find_a_rule():
     draw = np.random.default_rng(1)
     x = draw.normal(size=(600, len(quality_trees.STATISTICS)))
@@ -255,6 +357,9 @@ def test_tokens_equal_the_library(spark, docs, edge, none):
         ids = library.encode(t, add_special_tokens=False).ids
         assert own.encode(t) == ids
         assert own.decode(ids) == library.decode(ids, skip_special_tokens=False)
+    for start in range(0, 0x110000, 0x4000):  # every code point, inside, at the end of and between words
+        every = [f"ab{c}cd {c} ab{c} x'{c}{c}" for c in map(chr, range(start, start + 0x4000)) if not "\ud800" <= c <= "\udfff"]
+        assert [own.encode(t) for t in every] == [e.ids for e in library.encode_batch(every, add_special_tokens=False)]
     rows = bpe.encoded(edge, path, digests=True).collect()
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
     want = [library.encode(t or "", add_special_tokens=False).ids for _, t, *_ in edge_rows()]
