@@ -46,15 +46,16 @@ def mask_rows(df: DataFrame) -> DataFrame:
 
 
 def iqr_mask(
-    df: DataFrame, scope: list[str], value: str = "value", factor: float = IQR_FACTOR, only: Column | None = None
-) -> DataFrame:
+    df: DataFrame, scope: list[str], value: str = "value", factor: float = IQR_FACTOR, only: Column | None = None,
+    state: DataFrame | None = None,
+) -> DataFrame:
     """Null outside ``[q1 - factor * iqr, q3 + factor * iqr]``, quartiles taken over each scope.
 
-    Rows for which ``only`` is false keep their value. The bounds have one row per scope and are joined by
+    ``state``, the merged quantile state of the scopes, saves one of the reads for the quartiles. Rows for which ``only`` is false keep their value. The bounds have one row per scope and are joined by
     size: broadcast when small, otherwise a shuffle join with skew splitting.
     """
     considered = df if only is None else df.where(only)
-    bounds = exact_quantiles(considered, scope, value, {"_q1": 0.25, "_q3": 0.75}).select(
+    bounds = exact_quantiles(considered, scope, value, {"_q1": 0.25, "_q3": 0.75}, state=state).select(
         *[F.col(k).alias(f"_s_{k}") for k in scope],
         (F.col("_q1") - factor * (F.col("_q3") - F.col("_q1"))).alias("_low"),
         (F.col("_q3") + factor * (F.col("_q3") - F.col("_q1"))).alias("_high"),

@@ -5,6 +5,10 @@ rank a narrow window of values that holds it, whatever the distribution. A secon
 outside the windows by the gap they lie in and collapses those inside to ``(value, count)``; both shrink before the
 shuffle. What is left of a group is sorted: its few gaps and the distinct values of its windows, a share of the group of
 about ``2 * MARGIN / accuracy`` per wanted rank. A rank its window does not hold, which the sketch's error bound rules out, fails the job.
+
+The first read can be had from storage: ``quantile_state`` keeps a mergeable sketch per group, and the sketches of a table's parts
+merged (``merged_state``) give the windows of the whole without reading it. The state must be that of the rows given; where the
+numbers of values differ the job fails.
 """
 
 from __future__ import annotations
@@ -18,6 +22,47 @@ from pyspark.sql import functions as F
 ACCURACY = 10_000
 #: Half a window in units of the sketch's rank error.
 MARGIN = 4
+#: Size of a mergeable sketch; a group of fewer values is kept as it is.
+SKETCH_K = 4096
+
+
+def rank_error(k: int) -> float:
+    """Error of a rank in a mergeable sketch as a share of the group, exceeded once in a hundred times."""
+    return 2.296 / k**0.9723
+
+
+def state_columns(value: Column, k: int = SKETCH_K) -> list[Column]:
+    """Aggregates that make a group's mergeable state: number of values ``n``, ``sketch``."""
+    return [F.count(value).alias("n"), F.kll_sketch_agg_double(value.cast("double"), k).alias("sketch")]
+
+
+def quantile_state(df: DataFrame, keys: list[str], value: str, k: int = SKETCH_K) -> DataFrame:
+    """Mergeable state per group."""
+    return df.groupBy(*keys).agg(*state_columns(F.col(value), k))
+
+
+def merged_state(states: DataFrame, keys: list[str], k: int = SKETCH_K) -> DataFrame:
+    """One state per group out of those of its parts."""
+    filled = states.where(F.col("n") > 0)
+    return filled.groupBy(*keys).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", k).alias("sketch"))
+
+
+def _state_windows(state: DataFrame, keys: list[str], probabilities: list[float], k: int) -> DataFrame:
+    """As ``_windows``, from a merged state."""
+    half = MARGIN * rank_error(k)
+    whole = F.col("n") <= 4 * k
+
+    def edge(p: float) -> Column:
+        return F.kll_sketch_get_quantile_double("sketch", F.lit(p))
+
+    windows = [
+        F.struct(
+            F.when(whole | F.lit(p <= half), F.lit(float("-inf"))).otherwise(edge(max(p - half, 0.0))).alias("low"),
+            F.when(whole | F.lit(p + half >= 1), F.lit(float("inf"))).otherwise(edge(min(p + half, 1.0))).alias("high"),
+        )
+        for p in probabilities
+    ]
+    return state.select(*[F.col(c).alias(f"_w_{c}") for c in keys], F.col("n").alias("_n"), F.array(*windows).alias("_windows"))
 
 
 def _windows(values: DataFrame, keys: list[str], probabilities: list[float], accuracy: int) -> DataFrame:
@@ -37,20 +82,25 @@ def _windows(values: DataFrame, keys: list[str], probabilities: list[float], acc
 
 
 def ranked_values(
-    df: DataFrame, keys: list[str], value: str, probabilities: list[float], accuracy: int = ACCURACY
-) -> DataFrame:
+    df: DataFrame, keys: list[str], value: str, probabilities: list[float], accuracy: int = ACCURACY,
+    state: DataFrame | None = None, k: int = SKETCH_K,
+) -> DataFrame:
     """What is left of each group, in order: ``_v`` (null for a gap), count ``_c``, sum ``_sum``, rows before ``_from``, ``_n``."""
     values = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    windows = _windows(values, keys, probabilities, accuracy)
+    windows = _windows(values, keys, probabilities, accuracy) if state is None else _state_windows(state, keys, probabilities, k)
     same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_w_{k}")) for k in keys])
     inside = F.exists("_windows", lambda w: F.col("_v").between(w["low"], w["high"]))
     gap = F.size(F.filter("_windows", lambda w: F.col("_v") > w["high"]))
-    placed = values.join(windows, same).select(
+    placed = values.join(windows, same, "inner" if state is None else "left").select(
         *keys, "_n", F.when(inside, F.col("_v")).alias("_inside"), F.when(~inside, gap).alias("_gap"), "_v"
     )
     left = placed.groupBy(*keys, "_n", "_inside", "_gap").agg(
         F.count(F.lit(1)).alias("_c"), F.sum("_v").alias("_sum"), F.min("_v").alias("_at")
     )
+    if state is not None:
+        whole = W.partitionBy(*keys)
+        known = F.col("_n").eqNullSafe(F.sum("_c").over(whole))
+        left = left.withColumn("_n", F.when(known, F.col("_n")).otherwise(F.raise_error(F.lit("state of other rows")).cast("long")))
     before = W.partitionBy(*keys).orderBy("_at").rowsBetween(W.unboundedPreceding, -1)
     return left.select(
         *keys, F.col("_inside").alias("_v"), "_c", "_sum", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_from"), "_n"
@@ -62,10 +112,14 @@ def _found(value: Column) -> Column:
 
 
 def exact_quantiles(
-    df: DataFrame, keys: list[str], value: str, probabilities: dict[str, float], accuracy: int = ACCURACY
-) -> DataFrame:
-    """Quantiles per group by linear interpolation, one output column per entry of ``probabilities``."""
-    ranked = ranked_values(df, keys, value, list(probabilities.values()), accuracy)
+    df: DataFrame, keys: list[str], value: str, probabilities: dict[str, float], accuracy: int = ACCURACY,
+    state: DataFrame | None = None, k: int = SKETCH_K,
+) -> DataFrame:
+    """Quantiles per group by linear interpolation, one output column per entry of ``probabilities``.
+
+    With the merged ``state`` of the rows (sketches of size ``k``) they are read once instead of twice.
+    """
+    ranked = ranked_values(df, keys, value, list(probabilities.values()), accuracy, state, k)
     position = {name: F.lit(float(p)) * (F.col("_n") - 1) for name, p in probabilities.items()}
 
     def at(rank: Column) -> Column:

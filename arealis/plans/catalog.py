@@ -280,6 +280,18 @@ def monthly_quartiles(spark, sf):
     return settle(ranks.exact_quantiles(lines, ["year", "month"], "l_extendedprice", {"q1": 0.25, "median": 0.5, "q3": 0.75}))
 
 
+@query
+def quartiles_from_state(spark, sf):
+    """Quartiles by the stored sketches of two files merged: the lines are read once."""
+    lines = b.table(spark, sf, "lineitem").select(
+        F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"), "l_extendedprice", "l_linenumber"
+    )
+    keys, late = ["year", "month"], F.col("l_linenumber") > 3
+    parts = [stored(ranks.quantile_state(lines.where(p), keys, "l_extendedprice"), "state") for p in (~late, late)]
+    state = ranks.merged_state(parts[0].unionByName(parts[1]), keys)
+    return settle(ranks.exact_quantiles(lines, keys, "l_extendedprice", {"q1": 0.25, "median": 0.5, "q3": 0.75}, state=state))
+
+
 @query
 def drop_incomplete(spark, sf):
     return settle(clean.drop_incomplete(b.merged_panel(spark, sf)))

@@ -358,6 +358,7 @@ kept AS (SELECT year, month, CASE WHEN price >= q1 - 0.25::DOUBLE * (q3 - q1) AN
 SELECT year, month, count(*) AS n_rows, count(price) AS n_kept, {rnd('sum(price::DECIMAL(18,2))')} AS kept_total FROM kept GROUP BY ALL""",
     "clean_panel": f"{WITH_CLEAN} SELECT variable, {KEY}, {rnd('v')} AS value FROM clean",
     "monthly_quartiles": f"WITH {LINES} SELECT year, month, {rnd('quantile_cont(price, 0.25)')} AS q1, {rnd('quantile_cont(price, 0.5)')} AS median, {rnd('quantile_cont(price, 0.75)')} AS q3 FROM lines GROUP BY year, month",
+    "quartiles_from_state": f"WITH {LINES} SELECT year, month, {rnd('quantile_cont(price, 0.25)')} AS q1, {rnd('quantile_cont(price, 0.5)')} AS median, {rnd('quantile_cont(price, 0.75)')} AS q3 FROM lines GROUP BY year, month",
     "drop_incomplete": panel(WITH_MERGED, "merged", " AND ".join(f"{v} IS NOT NULL" for v in VARS)),
     "merge_variables": f"{WITH_CLEAN_ONCE}, "
     + ", ".join(f"t_{v} AS (SELECT {KEY}, v AS {v} FROM clean WHERE variable = '{v}' AND v IS NOT NULL)" for v in VARS)

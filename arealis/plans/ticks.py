@@ -2,7 +2,8 @@
 
 Tables below the root, all written in folders of their own per batch or tick (``sources.versions``):
 
-* ``clean``: cleaned rows by batch of the stream, year and month. ``arrivals`` notes the months each batch has rows for.
+* ``clean``: cleaned rows by batch of the stream, year and month. ``arrivals`` notes the variables and months each batch has rows
+  for, with a mergeable sketch of the values: those of a month's batches merged replace the first read for its outlier bounds.
 * ``merged``: the panel by tick, year and month. A month is merged from its cleaned rows, whole, when they have changed and the
   month is over. Which months have changed follows from the manifest; no table is read or counted for it.
 * ``filled``: the panel with the last known value carried forward, by tick, year and month.
@@ -31,15 +32,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from arealis.functions.columns import month_number
-from arealis.operators.clean import drop_incomplete
+from arealis.operators.clean import drop_incomplete, uses_iqr
 from arealis.operators.fill import fill_forward_backward
 from arealis.operators.merge import keep_first, merge_long, unseen
+from arealis.operators.ranks import merged_state, state_columns
 from arealis.registry import AREA_KEYS, PANEL_KEYS, PANEL_VARIABLES, TIME_KEYS
 from arealis.sources.files import write_table
 from arealis.sources.versions import Version, commit, current, read_folders
 from arealis.streaming.ingest import clean_stream, new_files, release_months, run_available
 
-ARRIVALS = "year int, month int, n_rows long, batch int"
+ARRIVALS = "variable string, year int, month int, n_rows long, n long, sketch binary, batch int"
 ROW_KEYS = ["variable", *PANEL_KEYS]
 
 
@@ -47,20 +49,31 @@ def _folder(writer: str, number: int, month: int) -> str:
     return f"{writer}={number}/year={month // 12}/month={month % 12 + 1}"
 
 
-def _arrivals(spark: SparkSession, root: str, wanted: Column) -> dict[int, list[int]]:
-    """Month -> batches with rows for it, of the batches wanted. One row per batch and month."""
+def _notes(spark: SparkSession, root: str) -> DataFrame | None:
+    """One row per batch, variable and month."""
     try:
-        found = spark.read.schema(ARRIVALS).option("basePath", f"{root}/arrivals").parquet(f"{root}/arrivals")
+        return spark.read.schema(ARRIVALS).option("basePath", f"{root}/arrivals").parquet(f"{root}/arrivals")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return {}
-    out: dict[int, list[int]] = {}
-    for r in found.where(wanted).select("batch", month_number().alias("at")).orderBy("batch").collect():
-        out.setdefault(r["at"], []).append(r.batch)
+        return None
+
+
+def _arrivals(spark: SparkSession, root: str, wanted: Column) -> dict[int, list[int]]:
+    """Month -> batches with rows for it, of the batches wanted."""
+    found, out = _notes(spark, root), {}
+    if found is not None:
+        for r in found.where(wanted).select("batch", month_number().alias("at")).distinct().orderBy("batch").collect():
+            out.setdefault(r["at"], []).append(r.batch)
     return out
 
 
+def month_state(spark: SparkSession, root: str, months: list[int], last: int) -> DataFrame:
+    """Quantile state of the values of some months, merged from that of their batches up to the last one."""
+    mine = (F.col("batch") <= last) & month_number().isin(months)
+    return merged_state(_notes(spark, root).where(mine), ["variable", *TIME_KEYS])
+
+
 def _clean(spark: SparkSession, root: str, batches: dict[int, list[int]], schema: StructType) -> DataFrame:
     return read_folders(spark, f"{root}/clean", [_folder("batch", b, m) for m in sorted(batches) for b in batches[m]], schema)
 
@@ -76,7 +89,8 @@ def add_batch(root: str, order: list[str]) -> Callable[[DataFrame, int], None]:
         fresh = unseen(keep_first(batch, ROW_KEYS, order), known, ROW_KEYS)
         write_table(fresh, folder, TIME_KEYS)
         written = spark.read.schema(batch.schema).parquet(folder).where(month_number().isNotNull())
-        noted = written.groupBy(*TIME_KEYS).agg(F.count(F.lit(1)).alias("n_rows"))
+        bounded = F.when(uses_iqr(), F.col("value"))
+        noted = written.groupBy("variable", *TIME_KEYS).agg(F.count(F.lit(1)).alias("n_rows"), *state_columns(bounded))
         noted.coalesce(1).write.mode("overwrite").parquet(f"{root}/arrivals/batch={batch_id}")
 
     return write
@@ -163,7 +177,7 @@ def run_tick(
     new = replace(old, number=tick, batch=last, clean=clean, schemas=old.schemas | {"clean": cleaned.json()})
     if changed:
         touched = {m: clean[m] for m in changed}
-        found = release_months(_clean(spark, root, touched, cleaned), as_of.year, as_of.month)
+        found = release_months(_clean(spark, root, touched, cleaned), as_of.year, as_of.month, month_state(spark, root, changed, last))
         if set(keys) != set(PANEL_KEYS):
             rest = [k for k in PANEL_KEYS if k not in keys]
             found = keep_first(found.select("variable", *PANEL_KEYS, "value"), ["variable", *keys], rest).drop(*rest)

@@ -93,7 +93,10 @@ def ingest(
     )
 
 
-def release_months(cleaned: DataFrame, as_of_year: int, as_of_month: int) -> DataFrame:
-    """Rows of the months before the running one, with outliers masked: their months are complete."""
+def release_months(cleaned: DataFrame, as_of_year: int, as_of_month: int, state: DataFrame | None = None) -> DataFrame:
+    """Rows of the months before the running one, with outliers masked: their months are complete.
+
+    ``state`` is the merged quantile state of those months' values, where one is kept.
+    """
     closed = cleaned.where(month_number() < F.lit(as_of_year * 12 + as_of_month - 1))
-    return iqr_mask(closed, ["variable", *TIME_KEYS], only=uses_iqr())
+    return iqr_mask(closed, ["variable", *TIME_KEYS], only=uses_iqr(), state=state)

@@ -1,3 +1,5 @@
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -48,6 +50,49 @@ def test_trim_ratio_is_checked(spark):
         ranks.trimmed_mean(groups(spark, {"a": [1]}), ["k"], "v", 0.5)
 
 
+@pytest.mark.parametrize("k", [64, ranks.SKETCH_K])
+def test_quantiles_from_merged_states(spark, k):
+    """States of seven files, stored one by one; windows in use for the large groups with the small sketch."""
+    rng = np.random.default_rng(17)
+    data = {
+        "normal": rng.normal(0, 1, 4001), "tailed": np.exp(rng.normal(0, 8, 3000)) * rng.choice([-1, 1], 3000),
+        "copies": rng.choice([0.0, 1.5, 2.0], 2700), "one": [3.25], "none": [None, None],
+    }
+    rows = [(g, None if v is None else float(v), i % 7) for g, vs in data.items() for i, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "k string, v double, file int")
+    parts = [ranks.quantile_state(df.where(F.col("file") == f), ["k"], "v", k) for f in range(7)]
+    state = ranks.merged_state(reduce(lambda a, b: a.unionByName(b), parts), ["k"], k)
+    probs = {"p0": 0.0, "p1": 0.1, "p2": 0.25, "p3": 0.5, "p4": 0.9, "p5": 1.0}
+    got = ranks.exact_quantiles(df, ["k"], "v", probs, state=state, k=k).collect()
+    assert {r.k for r in got} == set(data) - {"none"}
+    for r in got:
+        np.testing.assert_allclose([r[p] for p in probs], np.quantile(data[r.k], list(probs.values())), rtol=1e-12)
+    if k == 64:
+        left = ranks.ranked_values(df, ["k"], "v", [0.25, 0.75], state=state, k=k).groupBy("k").count().collect()
+        assert {r.k: r["count"] for r in left}["normal"] < (4 * ranks.MARGIN * ranks.rank_error(k) + 0.05) * 4001
+
+
+def test_a_state_of_other_rows_fails(spark):
+    df = groups(spark, {"a": range(50), "b": range(9)})
+    for other in (df.where("v < 40"), df.where("k = 'a'")):
+        with pytest.raises(Exception, match="state of other rows"):
+            ranks.exact_quantiles(df, ["k"], "v", {"q": 0.5}, state=ranks.quantile_state(other, ["k"], "v")).collect()
+
+
+def test_a_state_saves_a_scan(spark, tmp_path):
+    spark.range(2000).selectExpr("id % 3 AS k", "id / 7 AS v").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    state = ranks.quantile_state(df, ["k"], "v")
+    state.write.parquet(str(tmp_path / "s"))
+    kept = spark.read.parquet(str(tmp_path / "s"))
+
+    def scans(**how):
+        plan = ranks.exact_quantiles(df, ["k"], "v", {"q": 0.25}, **how)._jdf.queryExecution().executedPlan().toString()
+        return plan.split("Initial Plan")[-1].count(f"{tmp_path}/t")
+
+    assert (scans(), scans(state=kept)) == (2, 1)
+
+
 def test_null_keys_form_a_group(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "k string, v double")
     got = {r.k: r.m for r in ranks.exact_quantiles(df, ["k"], "v", {"m": 0.5}).collect()}
