@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from arealis.functions import columns as c
 from arealis.functions.dtw import dtw_arrow, dtw_column, is_complete
 from arealis.functions.geometry import covers, zone_area, zone_edges
-from arealis.operators import anomaly, clean, explore, fill, merge, ranks, raster, zones
+from arealis.operators import anomaly, clean, explore, fill, merge, ranks, raster, shares, zones
 from arealis.plans import binding as b
 from arealis.plans import dashboard, incremental, ticks
 from arealis.plans.batch import Tables, run_batch
@@ -921,6 +921,30 @@ def zonal_monthly_polygons(spark, sf):
     ))
 
 
+#: Width and height of the pixels around the vectors' points.
+PIXEL = (0.02, 0.03)
+
+
+def _shares(spark, sf):
+    return shares.pixel_shares(b.points(spark, sf), b.star_zones(spark, sf), ["zone_id"], ["point_id"], *PIXEL)
+
+
+@query
+def pixel_shares(spark, sf):
+    """How much of each pixel lies in each star it touches."""
+    return settle(_shares(spark, sf), 6)
+
+
+@query
+def zonal_weighted_polygons(spark, sf):
+    """The export table by polygon, each pixel counted by the share of it that lies in the zone."""
+    placed = stored(_shares(spark, sf), "shares")
+    bands = {v.name: v.reducer for v in VARIABLES.values()}
+    monthly = raster.composite(_images(spark, sf), ["pixel"], {v.name: v.composite for v in VARIABLES.values()})
+    shared = monthly.join(placed.withColumnRenamed("point_id", "pixel"), "pixel")
+    return settle(raster.zonal(shared, ["zone_id"], bands, weight="share"))
+
+
 # --- streams -----------------------------------------------------------------------------------
 
 

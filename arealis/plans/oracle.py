@@ -217,6 +217,21 @@ POINTS = "points AS (SELECT vec_id AS point_id, embedding[1]::DOUBLE AS x, embed
 HITS = """hits AS (
   SELECT point_id, zone_id, value FROM points JOIN edges ON (y1 > y) <> (y2 > y) AND x < (x2 - x1) * (y - y1) / (y2 - y1) + x1
   GROUP BY ALL HAVING count(*) % 2 = 1)"""
+# The area under each edge inside the pixel, integrated along x: the y of the edge is held between the pixel's lower and upper side.
+SHARES = """turned AS (
+  SELECT edges.*, sign(r.a) * CASE WHEN edges.hole THEN -1 ELSE 1 END AS s
+  FROM edges JOIN (SELECT zone_id, hole, sum(x1 * y2 - x2 * y1) AS a FROM edges GROUP BY ALL) r USING (zone_id, hole)), pixels AS (
+  SELECT point_id, x - 0.01::DOUBLE AS l, x + 0.01::DOUBLE AS r, y - 0.015::DOUBLE AS d, y + 0.015::DOUBLE AS u FROM points), cut AS (
+  SELECT *, least(greatest(x1, l), r) AS xa, least(greatest(x2, l), r) AS xb, (y2 - y1) / (x2 - x1) AS m
+  FROM pixels JOIN turned ON greatest(x1, x2) > l AND least(x1, x2) < r AND greatest(y1, y2) > d AND x1 <> x2), ends AS (
+  SELECT *, y1 + m * (xa - x1) AS ya, y1 + m * (xb - x1) AS yb FROM cut), passes AS (
+  SELECT *, CASE WHEN ya = yb THEN 0 ELSE least(greatest((d - ya) / (yb - ya), 0), 1) END AS t0,
+         CASE WHEN ya = yb THEN 0 ELSE least(greatest((u - ya) / (yb - ya), 0), 1) END AS t1 FROM ends), means AS (
+  SELECT *, least(t0, t1) AS e, greatest(t0, t1) AS f FROM passes), shares AS (
+  SELECT point_id, zone_id, -sum(s * (xb - xa) * (
+    e * least(greatest(ya, d), u) + (1 - f) * least(greatest(yb, d), u)
+    + (f - e) * (least(greatest(ya + e * (yb - ya), d), u) + least(greatest(ya + f * (yb - ya), d), u)) / 2 - d)) / (0.02::DOUBLE * 0.03::DOUBLE) AS share
+  FROM means GROUP BY ALL HAVING share > 1e-12)"""
 CENTROIDS = """rings AS (
   SELECT zone_id, hole, sum(x1 * y2 - x2 * y1) AS a, sum((x1 + x2) * (x1 * y2 - x2 * y1)) AS mx, sum((y1 + y2) * (x1 * y2 - x2 * y1)) AS my
   FROM edges GROUP BY ALL), centers AS (
@@ -465,6 +480,11 @@ UNION ALL {section('trend', LABEL, 'avg(SOILMOISTURE)', 'sel')} GROUP BY year, m
         f"SELECT province, district, year, month, '{v}' AS variable, {rnd(v) if v in IQR_VARS else 'NULL::DOUBLE'} AS mean, {rnd(v) if v not in IQR_VARS else 'NULL::DOUBLE'} AS sum FROM zonal"
         for v in VARS
     ),
+    "pixel_shares": f"WITH {EDGES}, {POINTS}, {SHARES} SELECT point_id, zone_id, {rnd('share', 6)} AS share FROM shares",
+    "zonal_weighted_polygons": f"WITH {IMAGES}, {EDGES}, {POINTS}, {SHARES}, comp AS (SELECT pixel, year, month, {PIXEL_MONTH} FROM images GROUP BY ALL) "
+    "SELECT zone_id, year, month, "
+    + ", ".join(rnd(f"sum({v} * share)" + ("" if v in SUMMED else " / sum(share)")) + f" AS {v}" for v in VARS)
+    + " FROM comp JOIN shares ON pixel = point_id GROUP BY zone_id, year, month",
     "zonal_monthly_polygons": f"WITH {IMAGES}, {EDGES}, {POINTS}, {HITS}, comp AS (SELECT pixel, year, month, {PIXEL_MONTH} FROM images GROUP BY ALL), "
     f"z AS (SELECT zone_id, year, month, {ZONE_MONTH} FROM comp JOIN hits ON pixel = point_id GROUP BY ALL) "
     + " UNION ALL ".join(
