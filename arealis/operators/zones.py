@@ -135,16 +135,9 @@ def simplify_zones(zones: DataFrame, tolerance: float = SIMPLIFY_TOLERANCE) -> D
     return zones.select(*others, "rings").mapInArrow(_simplifier(tolerance), schema)
 
 
-def kept_vertices(xy: np.ndarray, tolerance: float) -> np.ndarray:
-    """Which vertices of a closed ring (first point repeated at its end) stay."""
-    n = len(xy)
-    keep = np.zeros(n, bool)
-    if n <= 4:
-        return ~keep
-    # A closed ring has no end points of its own: split it at the vertex farthest from the first.
-    split = int(np.argmax(((xy - xy[0]) ** 2).sum(axis=1)))
-    keep[[0, split, n - 1]] = True
-    spans, distances = [(0, split), (split, n - 1)], np.zeros(n)
+def _line_distances(xy: np.ndarray, spans: list[tuple[int, int]], keep: np.ndarray, tolerance: float) -> np.ndarray:
+    """Mark in ``keep`` the vertices that divide each span until all lie within the tolerance; distances from the last line each lay by."""
+    distances = np.zeros(len(xy))
     while spans:
         a, b = spans.pop()
         if b - a < 2:
@@ -158,26 +151,85 @@ def kept_vertices(xy: np.ndarray, tolerance: float) -> np.ndarray:
         if distances[far] > tolerance:
             keep[far] = True
             spans += [(a, far), (far, b)]
+    return distances
+
+
+def kept_on_line(xy: np.ndarray, tolerance: float) -> np.ndarray:
+    """Which vertices of a line stay; its ends always do."""
+    keep = np.zeros(len(xy), bool)
+    keep[[0, -1]] = True
+    _line_distances(xy, [(0, len(xy) - 1)], keep, tolerance)
+    return keep
+
+
+def kept_vertices(xy: np.ndarray, tolerance: float) -> np.ndarray:
+    """Which vertices of a closed ring (first point repeated at its end) stay."""
+    n = len(xy)
+    keep = np.zeros(n, bool)
+    if n <= 4:
+        return ~keep
+    # A closed ring has no end points of its own: split it at the vertex farthest from the first.
+    split = int(np.argmax(((xy - xy[0]) ** 2).sum(axis=1)))
+    keep[[0, split, n - 1]] = True
+    distances = _line_distances(xy, [(0, split), (split, n - 1)], keep, tolerance)
     spare = np.flatnonzero(~keep)
     keep[spare[np.argsort(-distances[spare], kind="stable")][: max(0, 4 - int(keep.sum()))]] = True
     return keep
 
 
+#: Pairs of edges that are tested at once.
+PAIRS = 1_000_000
+
+
 def edges_cross(rings: list[np.ndarray]) -> bool:
-    """Whether two edges of the rings cross in a point inside both."""
-    a = np.concatenate([r[:-1] for r in rings])
-    b = np.concatenate([r[1:] for r in rings])
+    """Whether two edges of the rings cross in a point inside both.
 
-    def side(p: np.ndarray, q: np.ndarray, r: np.ndarray) -> np.ndarray:
-        return np.sign((q[..., 0] - p[..., 0]) * (r[..., 1] - p[..., 1]) - (q[..., 1] - p[..., 1]) * (r[..., 0] - p[..., 0]))
+    Each edge owns up to four cells of a grid whose cells are as wide as it is long. Edges that cross meet in a cell that the
+    longer one owns, so an edge is compared with those of its neighbourhood, not with all.
+    """
+    a = np.concatenate([np.zeros((0, 2)), *[r[:-1] for r in rings if len(r)]])
+    b = np.concatenate([np.zeros((0, 2)), *[r[1:] for r in rings if len(r)]])
+    long = (a != b).any(axis=1)
+    a, b = a[long], b[long]
+    if not len(a):
+        return False
+    low, high = np.minimum(a, b), np.maximum(a, b)
+    origin, extent = low.min(axis=0), (high - low).max(axis=1)
+    level = np.ceil(np.log2(extent)).astype(np.int64)
 
-    for i in range(len(a) - 1):
-        c, d = a[i + 1 :], b[i + 1 :]
-        if ((side(a[i], b[i], c) * side(a[i], b[i], d) < 0) & (side(c, d, a[i]) * side(c, d, b[i]) < 0)).any():
-            return True
+    def side(p: np.ndarray, q: np.ndarray, r: np.ndarray) -> np.ndarray:
+        return np.sign((q[:, 0] - p[:, 0]) * (r[:, 1] - p[:, 1]) - (q[:, 1] - p[:, 1]) * (r[:, 0] - p[:, 0]))
+
+    for v in np.unique(level):
+        edge, cell = _cells_of(np.flatnonzero(level <= v), low, high, origin, 2.0 ** float(v))
+        order = np.argsort(cell, kind="stable")
+        edge, cell = edge[order], cell[order]
+        owned = np.flatnonzero(level[edge] == v)  # each owner's place meets all edges of its cell
+        first, last = np.searchsorted(cell, cell[owned], "left"), np.searchsorted(cell, cell[owned], "right")
+        done = np.r_[0, np.cumsum(last - first)]
+        start = 0
+        while start < len(owned):
+            end = max(start + 1, int(np.searchsorted(done, done[start] + PAIRS, "right")) - 1)
+            n = (last - first)[start:end]
+            i = np.repeat(edge[owned[start:end]], n)
+            j = edge[np.repeat(first[start:end], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+            if ((side(a[i], b[i], a[j]) * side(a[i], b[i], b[j]) < 0) & (side(a[j], b[j], a[i]) * side(a[j], b[j], b[i]) < 0)).any():
+                return True
+            start = end
     return False
 
 
+def _cells_of(edges: np.ndarray, low: np.ndarray, high: np.ndarray, origin: np.ndarray, cell: float) -> tuple[np.ndarray, np.ndarray]:
+    """Edges no longer than a cell with the number of each cell they touch."""
+    c0, c1 = (np.floor((p[edges] - origin) / cell).astype(np.int64) for p in (low, high))
+    columns = int(c1[:, 0].max()) + 2
+    found = [(edges, c0[:, 0] + c0[:, 1] * columns)]
+    wide, tall = c1[:, 0] > c0[:, 0], c1[:, 1] > c0[:, 1]
+    for there, dx, dy in ((wide, 1, 0), (tall, 0, 1), (wide & tall, 1, 1)):
+        found.append((edges[there], c0[there, 0] + dx + (c0[there, 1] + dy) * columns))
+    return np.concatenate([e for e, _ in found]), np.concatenate([c for _, c in found])
+
+
 def _zone_mask(rings: list[np.ndarray], tolerance: float) -> np.ndarray:
     """Vertices of all rings of a zone that stay, one after the other."""
     while True:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arealis.functions.geometry import POINT_TYPE
+from arealis.functions.geometry import POINT_TYPE, RINGS_TYPE
 from arealis.operators.clean import clean_long
 from arealis.operators.fill import fill_panel, seasonal_store
 from arealis.operators.merge import merge_long, to_long
@@ -172,6 +172,40 @@ def star_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tiling_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lattice of zones without gaps: ``zone_id``, column ``i``, row ``j``, whether it is ``interior``, ``rings``.
+
+    The vector numbered ``i + j * (m + 1)`` bends the lower and the left border of lattice cell (i, j): seven vertices each, moved
+    sideways by its dimensions. Neighbours have the vertices of their border in common.
+    """
+    vectors = table(spark, sf_dir, "embeddings")
+    side = F.floor(F.sqrt(F.count(F.lit(1)))).cast("int")
+    vectors = vectors.withColumn("side", vectors.agg(side.alias("side")).scalar())
+    i, j = (F.col("vec_id") % F.col("side")).cast("int"), F.floor(F.col("vec_id") / F.col("side")).cast("int")
+    placed = vectors.where(F.col("vec_id") < F.col("side") * F.col("side")).withColumns({"i": i, "j": j})
+
+    def bend(k: int, d: int) -> Column:
+        return F.get("embedding", F.lit(d)).cast("double") * F.lit(1.2 * k / 8 * (1 - k / 8))
+
+    def point(x: Column, y: Column) -> Column:
+        return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+
+    x, y = F.col("i"), F.col("j")
+    flat = F.array(point(x, y), *[point(x + k / 8, y + bend(k, k - 1)) for k in range(1, 8)], point(x + 1, y))
+    up = F.array(point(x, y), *[point(x + bend(k, k + 7), y + k / 8) for k in range(1, 8)], point(x, y + 1))
+    lines = placed.select("vec_id", "side", "i", "j", flat.alias("flat"), up.alias("up"))
+    right = lines.select((F.col("i") - 1).alias("i"), "j", F.col("up").alias("right"))
+    above = lines.select("i", (F.col("j") - 1).alias("j"), F.col("flat").alias("above"))
+    # the last point of a line is the first of the next
+    begun = lambda line: F.slice(line, 1, 8)
+    ring = F.concat(begun(F.col("flat")), begun(F.col("right")), begun(F.reverse("above")), begun(F.reverse("up")), F.slice("flat", 1, 1))
+    inner = (F.col("i") > 0) & (F.col("j") > 0) & (F.col("i") < F.col("side") - 2) & (F.col("j") < F.col("side") - 2)
+    return lines.join(right, ["i", "j"]).join(above, ["i", "j"]).select(
+        F.col("vec_id").alias("zone_id"), "i", "j", inner.alias("interior"),
+        F.array(F.struct(F.lit(False).alias("hole"), ring.alias("points"))).cast(RINGS_TYPE).alias("rings"),
+    )
+
+
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One box per area of the customers plus one per nation of the suppliers, which no panel row belongs to.
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from arealis.functions import columns as c
 from arealis.functions.dtw import dtw_arrow, dtw_column, is_complete
 from arealis.functions.geometry import covers, zone_area, zone_edges
-from arealis.operators import anomaly, clean, explore, fill, merge, ranks, raster, shares, zones
+from arealis.operators import anomaly, arcs, clean, explore, fill, merge, ranks, raster, shares, zones
 from arealis.plans import binding as b
 from arealis.plans import dashboard, incremental, ticks
 from arealis.plans.batch import Tables, run_batch
@@ -735,6 +735,35 @@ def map_points(spark, sf):
     return settle(zones.map_points(b.zones(spark, sf), _map_values(spark, sf, "NDVI"), "NDVI"))
 
 
+@query
+def simplify_shared(spark, sf):
+    """What a simplified tiling promises: inner zones have no edge of their own, old vertices lie near, areas add up to the whole."""
+    tiles, tolerance = b.tiling_zones(spark, sf), 0.05
+    thin = stored(arcs.simplify_layer(tiles, tolerance), "thin")
+    edges = thin.select("zone_id", "interior", F.explode(zone_edges(F.col("rings"))).alias("e"))
+    p, q = (F.struct(F.col(f"e.x{k}").alias("x"), F.col(f"e.y{k}").alias("y")) for k in (1, 2))
+    uses = edges.groupBy(F.least(p, q).alias("a"), F.greatest(p, q).alias("b")).agg(F.count(F.lit(1)).alias("n"), F.first("e").alias("e"))
+    alone = stored(uses.where("n = 1").select("a", "b", "e"), "alone")
+    keyed = edges.select("zone_id", "interior", F.least(p, q).alias("a"), F.greatest(p, q).alias("b"))
+    parted = keyed.join(alone, ["a", "b"], "left").groupBy("zone_id", "interior").agg(F.count("e").alias("n"))
+    areas = thin.agg(F.sum(zone_area(F.col("rings"))).alias("all")).scalar()
+    around = alone.agg((F.sum(F.expr("e.x1 * e.y2 - e.x2 * e.y1")) / 2).alias("area")).scalar()
+
+    def near(v, e):
+        dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+        t = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.try_divide((v["x1"] - e["x1"]) * dx + (v["y1"] - e["y1"]) * dy, dx * dx + dy * dy)))
+        return F.hypot(v["x1"] - e["x1"] - t * dx, v["y1"] - e["y1"] - t * dy) <= tolerance + 1e-12
+
+    both = thin.select("zone_id", zone_edges(F.col("rings")).alias("thin")).join(tiles.select("zone_id", zone_edges(F.col("rings")).alias("old")), "zone_id")
+    both = both.select(
+        "zone_id", F.forall("old", lambda v: F.exists("thin", lambda e: near(v, e))).alias("near"),
+        (F.size("thin") < F.size("old")).alias("fewer"), (F.size("thin") >= 3).alias("enough"),
+    )
+    return settle(both.join(parted, "zone_id").select(
+        "zone_id", "near", "fewer", "enough", F.when(F.col("interior"), F.col("n")).alias("parted"), (areas - around).alias("area_gap")
+    ), 6)
+
+
 @query
 def zonal_join(spark, sf):
     """Points in star-shaped zones: every zone a point lies in."""

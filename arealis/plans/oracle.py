@@ -442,6 +442,10 @@ SELECT l_returnflag, l_linestatus, {rnd('sum(v::DECIMAL(18,2))::DOUBLE / count(*
     "map_summary_by_area": f"WITH {CELLS}, {ZONES}, {DISTRICT_MEANS} SELECT {_shown('min(LST)', 3)} AS min_value, {_shown('max(LST)', 3)} AS max_value, {_shown('sum(LST * zone_area) / sum(zone_area)', 3)} AS mean_value FROM zones JOIN means USING (province, district) WHERE LST IS NOT NULL",
     "map_points": f"WITH {CELLS}, {ZONES}, {means('NDVI')} SELECT {AREA}, {rnd('(y0 + y1) / 2')} AS lat, {rnd('(x0 + x1) / 2')} AS lon, {rnd('NDVI')} AS NDVI FROM zones JOIN means USING ({AREA}) WHERE NDVI IS NOT NULL AND zone_area > 0",
     "zone_simplify": "SELECT vec_id AS zone_id, TRUE AS enough, TRUE AS near, TRUE AS simple FROM embeddings",
+    "simplify_shared": "WITH s AS (SELECT floor(sqrt(count(*)))::BIGINT AS side FROM embeddings) "
+    "SELECT vec_id AS zone_id, TRUE AS near, TRUE AS fewer, TRUE AS enough, 0::DOUBLE AS area_gap, "
+    "CASE WHEN vec_id % side > 0 AND vec_id // side > 0 AND vec_id % side < side - 2 AND vec_id // side < side - 2 THEN 0::BIGINT END AS parted "
+    "FROM embeddings, s WHERE vec_id < side * side AND vec_id % side < side - 1 AND vec_id // side < side - 1",
     "zonal_join": f"WITH {EDGES}, {POINTS}, {HITS} SELECT point_id, zone_id FROM hits",
     "zonal_points": f"WITH {EDGES}, {POINTS}, {HITS} SELECT zone_id, {rnd('avg(value)')} AS mean, {rnd('sum(value)')} AS sum, count(value) AS n FROM hits GROUP BY zone_id",
     "zone_contains_center": f"WITH {EDGES}, {POINTS}, {HITS} SELECT hits.zone_id IS NOT NULL AS inside, count(*) AS n FROM points LEFT JOIN hits ON hits.point_id = points.point_id AND hits.zone_id = points.point_id GROUP BY 1",
