@@ -329,7 +329,7 @@ def _similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def star_edges(candidates: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Edges (a, b) that connect what exact links connect in each cell. Pairs connected already are not verified.
+    """Stars (a, b), b the smallest member, of what exact links connect in each cell. Pairs connected already are not verified.
 
     A member of side 2 has a side 1 whose links are found elsewhere: its first link is enough.
     """
@@ -350,7 +350,6 @@ def star_edges(candidates: DataFrame, sets: DataFrame, threshold: float = THRESH
                     k = root[k]
                 return k
 
-            edges = []
             for k, listed in enumerate(partners):
                 for v in listed:
                     other = place[group[k], v]
@@ -360,9 +359,10 @@ def star_edges(candidates: DataFrame, sets: DataFrame, threshold: float = THRESH
                     x, y = top(k), top(other)
                     if x != y and _similarity(sets_[k], sets_[other]) >= threshold - 1e-12:
                         linked[member] = True
-                        root[max(x, y)] = min(x, y)
-                        edges.append((node[k], v))
-            yield pa.RecordBatch.from_arrays([pa.array([e[i] for e in edges], pa.int64()) for i in (0, 1)], names=["a", "b"])
+                        root[max(x, y)] = min(x, y)  # the earlier of a group is the smaller node
+            tops = np.fromiter(map(top, range(len(node))), np.int64, len(node))
+            stars = np.flatnonzero(tops != np.arange(len(node)))
+            yield pa.RecordBatch.from_arrays([pa.array(node[stars]), pa.array(node[tops[stars]])], names=["a", "b"])
 
     return rows.mapInArrow(run, "a long, b long")
 
@@ -475,8 +475,9 @@ def near_duplicates(
             more = sets_of(divided.join(sets, "node", "left_anti"))
             sets = sets.unionByName(more)
             # every link counts here: a group may hang on any of them
-            found = star_edges(divided.withColumn("side", F.lit(0)), sets, threshold)
-            groups = connected(edges.unionByName(stored(found, "near-edges")))
+            found = stored(star_edges(divided.withColumn("side", F.lit(0)), sets, threshold), "near-edges")
+            if not found.isEmpty():
+                groups = connected(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found))
     groups = stored(groups, "near-roots")
     grouped = classes.select("digest", "node", F.col("doc_id").alias("copy_id"), "n_copies").join(groups, "node", "left")
     counted = []
