@@ -10,6 +10,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,17 +41,17 @@ def filled(text: str = "text") -> Column:
 def slices(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Arrow batches cut into runs of rows with about ``SLICE_CHARS`` characters, with their texts (null as empty)."""
     for batch in batches:
-        texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-        for start, end in cuts(texts):
-            yield batch.slice(start, end - start), texts[start:end]
+        column = batch.column(batch.schema.get_field_index(text))
+        for start, end in cuts(pc.utf8_length(column).fill_null(0).to_pylist()):
+            yield batch.slice(start, end - start), [t or "" for t in column.slice(start, end - start).to_pylist()]
 
 
-def cuts(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Start and end of runs with about ``SLICE_CHARS`` characters."""
+def cuts(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Start and end of runs with about ``SLICE_CHARS`` characters, from the texts' numbers of characters."""
     start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= SLICE_CHARS or i == len(texts) - 1:
+    for i, n in enumerate(sizes):
+        size += n
+        if size >= SLICE_CHARS or i == len(sizes) - 1:
             yield start, i + 1
             start, size = i + 1, 0
 
@@ -58,7 +59,7 @@ def cuts(texts: list[str]) -> Iterator[tuple[int, int]]:
 def scores_of(series: pd.Series, score: Callable[[list[str]], np.ndarray]) -> pd.Series:
     """Scores of a batch of texts (null as empty), run by run."""
     texts = [t if isinstance(t, str) else "" for t in series]
-    return pd.Series(np.concatenate([np.zeros(0), *(score(texts[a:b]) for a, b in cuts(texts))]))
+    return pd.Series(np.concatenate([np.zeros(0), *(score(texts[a:b]) for a, b in cuts([len(t) for t in texts]))]))
 
 
 def word_lists(texts: list[str]) -> tuple[np.ndarray, list[str]]:

@@ -146,10 +146,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
 
     def learn(sample: pa.Table) -> pa.Table:
         by_id = np.argsort(sample.column("doc_id").to_numpy(), kind="stable")
-        lists = sample.column("cells").combine_chunks()
-        flat, stops = lists.values.to_numpy(), lists.offsets.to_numpy()
-        rows = [flat[stops[i] : stops[i + 1]] for i in by_id]  # views, not copies
-        w = ftrl(rows, sample.column("label").to_numpy()[by_id])
+        cells = []  # views, not copies
+        for chunk in sample.column("cells").chunks:
+            flat, stops = chunk.values.to_numpy(), chunk.offsets.to_numpy()
+            cells += [flat[a:b] for a, b in zip(stops[:-1], stops[1:], strict=True)]
+        w = ftrl([cells[i] for i in by_id], sample.column("label").to_numpy()[by_id])
         return pa.table({"cell": np.r_[w.cells, -1], "value": np.r_[w.values, w.bias]})
 
     learnt = one.withColumn("model", F.lit(0)).groupBy("model").applyInArrow(learn, "cell long, value double").toPandas()
