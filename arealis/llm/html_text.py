@@ -6,17 +6,20 @@ names itself boilerplate (navigation, footer, form, advertisement, comments and
 links to tags of the lines is smoothed with a Gaussian kernel; runs of lines whose smoothed ratio passes a share of the
 ratios' spread are the content clusters, and these choose the content regions. Where the page has article or main elements,
 the regions are those with a cluster (or, with no cluster, the one with most text), and all their lines that do not stand
-in boilerplate are the text, short ones too. Elsewhere the region is the innermost container that has ``REGION_SHARE`` of the
+in boilerplate are the text, short ones too, but for runs of ``LINK_RUN`` lines or more that are mostly links and whose
+smoothed ratio is below the limit: menus inside an article. Elsewhere the region is the innermost container that has ``REGION_SHARE`` of the
 clusters' text and every line whose own ratio, not only the smoothed one, passes; its lines count if their own container has a
 cluster, if they stand between clusters and are not mostly links, or if they are headings before its last cluster. A title that
 stands before the region in a container around it counts too, with the lines up to the region that are not mostly links.
 
 A class, id or role names boilerplate if a whole token of it does: all its parts are listed or say nothing, or the first is
-listed and has no other use in titles. A token with a listed word among others (``notice-period``) is judged by the block's
-own text: it is boilerplate only where most of it is links or it has few characters per tag. Ids of headings and sections
-are made from titles and hide nothing.
+listed and has no other use in titles. A token with a listed word among others (``notice-period``) and, inside an article, a
+token that is one of the words with other uses (``notice``, ``share``, ``banner``) only shift the limit: such a block is
+boilerplate where most of it is links or its smoothed ratio is below ``NAMED`` times the limit. Ids of headings and sections are made
+from titles and hide nothing, names of headings inside an article and of a block that holds an article's first heading neither.
 
-White space inside a block becomes one space, character references are decoded, blocks are joined by two line feeds. A null
+Tags and comments that are never closed are text, found by one look for the last closing sign, so broken pages cost no more than
+others. White space inside a block becomes one space, character references are decoded, blocks are joined by two line feeds. A null
 or empty page gives an empty text; unclosed and stray tags are tolerated; repeated rows give repeated results; an
 empty table gives an empty result. Columns other than id, address and html are not read.
 """
@@ -33,13 +36,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arealis.llm.text import slices
+from arealis.llm.text import quoted, slices
 
 SIGMA, RADIUS = 1.0, 2
 #: Share of the standard deviation of the smoothed ratios that a content line passes.
 SPREAD = 0.5
 #: Share of the clusters' text that the content region of a page without article and main elements holds at least.
 REGION_SHARE = 0.8
+#: Times the limit that the smoothed ratio of a block passes whose name makes it a suspect.
+NAMED = 1.25
+#: Lines of links one after the other that may be a menu.
+LINK_RUN = 3
 FEED_CHARS = 1 << 16
 
 # HTML's elements by role.
@@ -76,8 +83,8 @@ NEUTRAL = set(
     "panel post posts primary region right row secondary section site slot space sticky story stories text title top unit video "
     "videos view wrap wrapper".split()
 )
-#: Characters outside links per tag from which a block of ambiguous name counts as text.
-PROSE = 5
+# Listed words that inside an article only make a block a suspect.
+SOFT = set("alert banner disclaimer form notice notices promotion recommended search share sharing shares skip social".split())
 # Words of attributes that describe a layout rather than name its part.
 LAYOUT = set("has with without no layout".split())
 # Words that name boilerplate outside an article only.
@@ -93,6 +100,8 @@ def names_boilerplate(tag: str, attributes: list[tuple[str, str | None]], in_art
     verdict: bool | None = False
     for key, value in attributes:
         if key in ("class", "id", "role") and value and tag not in ("body", "html"):
+            if in_article and tag in HEADINGS:
+                continue
             if key == "id" and (tag == "section" or tag in HEADINGS) or not LAYOUT.isdisjoint(WORDS.findall(value.lower())):
                 continue
             for token in value.lower().split():
@@ -100,6 +109,9 @@ def names_boilerplate(tag: str, attributes: list[tuple[str, str | None]], in_art
                 named = BOILERPLATE.intersection(words) - (PAGE_PARTS if in_article else set())
                 if not named:
                     continue
+                if in_article and len(words) == 1 and words[0] in SOFT:
+                    verdict = None
+                    continue
                 if words[0] in named - AMBIGUOUS or all(w in BOILERPLATE or w in NEUTRAL or len(w) < 3 for w in words):
                     return True
                 verdict = None
@@ -114,7 +126,7 @@ class Suspect:
 
     above: int
     in_article: bool
-    tags: int  # before it, then in it
+    titled: bool = False  # holds the first heading of an article
 
 
 @dataclass
@@ -156,8 +168,8 @@ class Lines(HTMLParser):
         self.pieces: list[str] = []
         self.tags = self.linked = 0
         self.parents = [0]  # of each container
-        self.suspects = [Suspect(0, True, 0)]  # the first stands for none
-        self.seen = 0
+        self.suspects = [Suspect(0, True)]  # the first stands for none
+        self.titled: set[int] = set()  # landmarks that have had a heading
 
     def end_line(self) -> None:
         text = SPACES.sub(" ", "".join(self.pieces)).strip()
@@ -174,45 +186,13 @@ class Lines(HTMLParser):
             closed = self.open[-1].tag
             if closed in BLOCKS or self.open[-1].hidden != self.open[-2].hidden:
                 self.end_line()
-            self.leave(self.open.pop().suspect)
+            self.open.pop()
             self.count[closed] -= 1
             if closed == tag:
                 return
 
-    def leave(self, suspect: int) -> None:
-        if suspect != self.open[-1].suspect:
-            self.suspects[suspect].tags = self.seen - self.suspects[suspect].tags
-
-    def settled(self) -> list[Line]:
-        """The lines, those of suspects that are no text hidden. Where an article stands outside them, none of the page's parts counts."""
-        while len(self.open) > 1:
-            self.leave(self.open.pop().suspect)
-        n = len(self.suspects)
-        if n == 1:
-            return self.lines
-        outer = [False] * n
-        for k in range(1, n):
-            outer[k] = outer[self.suspects[k].above] or not self.suspects[k].in_article
-        chars, linked = [0] * n, [0] * n
-        for x in self.lines:
-            if not x.hidden:
-                chars[x.suspect] += len(x.text)
-                linked[x.suspect] += x.linked
-        for k in range(n - 1, 0, -1):  # a suspect comes after the one around it
-            chars[self.suspects[k].above] += chars[k]
-            linked[self.suspects[k].above] += linked[k]
-        article = any(x.landmark and not x.hidden and not outer[x.suspect] for x in self.lines)
-        gone = [False] * n
-        for k in range(1, n):
-            few = chars[k] - linked[k] < PROSE * self.suspects[k].tags
-            gone[k] = gone[self.suspects[k].above] or outer[k] and article or few or 2 * linked[k] >= chars[k]
-        for x in self.lines:
-            x.hidden = x.hidden or gone[x.suspect]
-        return self.lines
-
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
-        self.seen += 1
         if tag in VOID:
             if tag == "hr":
                 self.end_line()
@@ -227,7 +207,7 @@ class Lines(HTMLParser):
         named = names_boilerplate(tag, attrs, bool(top.landmark))
         hidden, suspect = top.hidden or named is True, top.suspect
         if named is None and not hidden and tag in BLOCKS:
-            self.suspects.append(Suspect(suspect, bool(top.landmark), self.seen))
+            self.suspects.append(Suspect(suspect, bool(top.landmark)))
             suspect = len(self.suspects) - 1
         if tag in BLOCKS or hidden != top.hidden:
             self.end_line()
@@ -237,6 +217,9 @@ class Lines(HTMLParser):
             container = len(self.parents) - 1
             landmark = landmark or (container if tag in LANDMARKS else 0)
         heading = int(tag[1]) if tag in HEADINGS else top.heading
+        if heading and landmark and not hidden and landmark not in self.titled:
+            self.titled.add(landmark)
+            self.suspects[suspect].titled = True
         self.open.append(Open(tag, hidden, container, landmark, heading, suspect))
         self.count[tag] = self.count.get(tag, 0) + 1
 
@@ -251,7 +234,6 @@ class Lines(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
-        self.seen += 1
         if tag == "br":
             self.pieces.append(" ")
         elif self.count.get(tag):
@@ -266,14 +248,22 @@ class Lines(HTMLParser):
             self.linked += len(data.strip())
 
 
-def parsed(html: str) -> tuple[list[Line], list[int]]:
-    """The lines of a page and the parent of each container."""
-    parser = Lines()
+def mended(html: str) -> str:
+    """The page with what opens a tag or comment that is never closed as plain text."""
+    end = html.rfind("-->") + 3 if "-->" in html else 0
+    html = html[:end] + html[end:].replace("<!--", " ")
+    end = html.rfind(">") + 1
+    return html[:end] + html[end:].replace("<", "&lt;")
+
+
+def parsed(html: str) -> Lines:
+    """The lines of a page, with the parent of each container and the suspects."""
+    parser, html = Lines(), mended(html)
     for start in range(0, len(html), FEED_CHARS):
         parser.feed(html[start : start + FEED_CHARS])
     parser.close()
     parser.end_line()
-    return parser.settled(), parser.parents
+    return parser
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA, radius: int = RADIUS) -> np.ndarray:
@@ -313,13 +303,63 @@ def title_lines(lines: list[Line], parents: list[int], region: int, within: np.n
     return found
 
 
-def main_lines(lines: list[Line], parents: list[int]) -> list[Line]:
+def line_ratios(lines: list[Line]) -> tuple[np.ndarray, np.ndarray, float]:
+    """Characters outside links of each line (0 if hidden), smoothed ratios to tags, and the limit content passes."""
+    own = np.array([0 if x.hidden else max(len(x.text) - x.linked, 0) for x in lines], float)
+    ratios = smoothed(own / np.maximum([x.tags for x in lines], 1))
+    return own, ratios, SPREAD * ratios.std()
+
+
+def without_suspects(lines: list[Line], suspects: list[Suspect], ratios: np.ndarray, limit: float) -> None:
+    """Hide the lines of suspects that are no text. Where an article stands outside them, no suspect of the page around counts."""
+    n = len(suspects)
+    outer = [False] * n
+    for k in range(1, n):
+        outer[k] = outer[suspects[k].above] or not suspects[k].in_article
+    chars, linked, ratio, count = [0] * n, [0] * n, [0.0] * n, [0] * n
+    for x, r in zip(lines, ratios, strict=True):
+        if not x.hidden:
+            chars[x.suspect] += len(x.text)
+            linked[x.suspect] += x.linked
+            ratio[x.suspect] += r
+            count[x.suspect] += 1
+    for k in range(n - 1, 0, -1):  # a suspect comes after the one around it
+        for total in (chars, linked, ratio, count):
+            total[suspects[k].above] += total[k]
+        suspects[suspects[k].above].titled |= suspects[k].titled
+    article = any(x.landmark and not x.hidden and not outer[x.suspect] for x in lines)
+    gone = [False] * n
+    for k in range(1, n):
+        thin = ratio[k] < NAMED * limit * count[k] or 2 * linked[k] >= chars[k]
+        gone[k] = gone[suspects[k].above] or outer[k] and article or thin and not suspects[k].titled
+    for x in lines:
+        x.hidden = x.hidden or gone[x.suspect]
+
+
+def menu_lines(lines: list[Line], ratios: np.ndarray, limit: float) -> set[int]:
+    """Lines of long runs of links whose smoothed ratio is below the limit."""
+    found: set[int] = set()
+    run: list[int] = []
+    for i, x in enumerate([*lines, None]):
+        if x is not None and x.hidden:
+            continue
+        if x is not None and x.links and not x.heading:
+            run.append(i)
+            continue
+        if len(run) >= LINK_RUN and ratios[run].mean() < limit:
+            found.update(run)
+        run = []
+    return found
+
+
+def main_lines(page: Lines) -> list[Line]:
     """The lines of the content regions."""
+    lines, parents = page.lines, page.parents
     if not lines:
         return []
-    own = np.array([0 if x.hidden else max(len(x.text) - x.linked, 0) for x in lines], float)
-    ratios = smoothed(own / np.maximum([x.tags for x in lines], 1))
-    limit = SPREAD * ratios.std()
+    if len(page.suspects) > 1:
+        without_suspects(lines, page.suspects, *line_ratios(lines)[1:])
+    own, ratios, limit = line_ratios(lines)
     cluster = (ratios >= limit) & (own > 0)
     weight: dict[int, float] = {}
     for x, chars, inside in zip(lines, own, cluster, strict=True):
@@ -328,7 +368,8 @@ def main_lines(lines: list[Line], parents: list[int]) -> list[Line]:
     if any(weight.values()):
         most = max(weight.values())
         regions = {k for k, w in weight.items() if w >= 1 or w == most}
-        return [x for x in lines if not x.hidden and x.landmark in regions]
+        menus = menu_lines(lines, ratios, limit)
+        return [x for i, x in enumerate(lines) if not x.hidden and x.landmark in regions and i not in menus]
     at = np.flatnonzero(cluster)
     if not len(at):
         return []
@@ -359,12 +400,12 @@ def main_lines(lines: list[Line], parents: list[int]) -> list[Line]:
 
 
 def main_text(html: str) -> str:
-    return "\n\n".join(x.text for x in main_lines(*parsed(html)))
+    return "\n\n".join(x.text for x in main_lines(parsed(html)))
 
 
 def extracted(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """One row per row of ``pages``: page_id, url, text, n_chars."""
-    columns = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
+    columns = pages.select(quoted(page_id).alias("page_id"), quoted(url).alias("url"), quoted(html).alias("html"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, "html"):

@@ -6,6 +6,7 @@ import math
 import os
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -298,6 +299,47 @@ def test_names_hide_only_boilerplate(body, text):
     assert html_text.main_text(page(body)) == text
 
 
+LINKS = "".join(f"<li><a href={k}>More of this {k}</a></li>" for k in range(7))
+
+
+@pytest.mark.parametrize(
+    "body, text",
+    [
+        (f"<article><h1 class='form'>Title</h1><p>{LONG}</p></article>", f"Title\n\n{LONG}"),
+        (f"<main><div class='banner'><h1>Title</h1></div><p>{LONG}</p></main>", f"Title\n\n{LONG}"),
+        (f"<article><p>{LONG}</p><p class='notice'>Important notice to all.</p><p>{LONG}</p></article>", f"{LONG}\n\nImportant notice to all.\n\n{LONG}"),
+        (f"<article><p>{LONG}</p><div class='share'><p>{LONG}</p></div></article>", f"{LONG}\n\n{LONG}"),
+        (f"<article><p>{LONG}</p><div class='share'><a href=1>One</a> <a href=2>Two</a></div></article>", LONG),
+        (f"<article><p>{LONG}</p><p>{LONG}</p><ul>{LINKS}</ul><p>{LONG}</p></article>", f"{LONG}\n\n{LONG}\n\n{LONG}"),
+        (f"<article><p>{LONG}</p><p><a href=x>The paper</a></p><p>{LONG}</p></article>", f"{LONG}\n\nThe paper\n\n{LONG}"),
+    ],
+)
+def test_names_inside_articles_only_shift_the_limit(body, text):
+    assert html_text.main_text(page(body)) == text
+
+
+def test_ratios_decide_inside_articles(monkeypatch):
+    """Without the smoothed ratios menus stay, and suspects go by chance."""
+    pages = [page(f"<article><p>{prose(k, 60)}</p><p class='notice'>Note {k}.</p><p>{prose(k + 1, 60)}</p><ul>{LINKS}</ul><p>{prose(k + 2, 60)}</p></article>") for k in range(30)]
+    real = [html_text.main_text(p) for p in pages]
+    assert all(t.count("\n\n") == 3 and "Note" in t and "More" not in t for t in real)
+    monkeypatch.setattr(html_text, "smoothed", lambda r: np.zeros(len(r)))
+    assert all("More" in html_text.main_text(p) for p in pages)
+    draw = np.random.default_rng(4)
+    monkeypatch.setattr(html_text, "smoothed", lambda r: draw.exponential(size=len(r)))
+    assert sum(html_text.main_text(p) != t for p, t in zip(pages, real, strict=True)) > 10
+
+
+@pytest.mark.parametrize("piece", ['<a href="', "<!--", "<a ", "</p ", "<", "<!", "<?", "<![CDATA[", '<a href="x', "<p>", "<b><i>", "<!-- x -->", "&", "<li><a href=1>x"])
+@pytest.mark.parametrize("end", ["", ">", '">', "-->"])
+def test_broken_pages_take_no_longer(piece, end):
+    """A megabyte of one broken piece, alone or closed at the very end."""
+    start = time.time()
+    n = 1_000_000 // len(piece) if piece not in ("<p>", "<b><i>", "<li><a href=1>x") else 30_000
+    text = html_text.main_text(f"<p>{LONG}</p>" + piece * n + end)
+    assert isinstance(text, str) and time.time() - start < 5
+
+
 def test_main_text_of_pages(spark, sf_dir):
     rows = html_text.extracted(table(spark, sf_dir, "pages")).collect()
     pages = {r.page_id: r.html for r in table(spark, sf_dir, "pages").collect()}
