@@ -23,9 +23,9 @@ from arealis.llm.text import filled, quoted
 
 _MARKS = r"[ \t*#/;-]*"
 #: A line that states a copyright, at its start after marks: a sign or the word, with a year; the word and a sign; or the word
-#: in a short line, where all lines between two empty ones are such lines.
+#: in a short line, where all lines between two empty ones are such lines. A line ends at a line feed, nothing else.
 COPYRIGHT_LINE = (
-    rf"(?m)^{_MARKS}(?:portions )?(?:(?:copyright|\(c\)|©)[^\n]*[0-9]{{4}}[^\n]*|©[^\n]*|copyright[ :]*(?:\(c\)|©|by )[^\n]*)$"
+    rf"(?md)^{_MARKS}(?:portions )?(?:(?:copyright|\(c\)|©)[^\n]*[0-9]{{4}}[^\n]*|©[^\n]*|copyright[ :]*(?:\(c\)|©|by )[^\n]*)$"
     rf"|^(?={_MARKS}copyright[ :])(?<![\p{{L}}\p{{N}}][^\p{{L}}\p{{N}}\n]{{0,40}}\n)"
     rf"{_MARKS}copyright[ :][^\n]{{1,100}}(?:\n{_MARKS}copyright[ :][^\n]{{1,100}})*$(?!\n[^\p{{L}}\p{{N}}\n]*[\p{{L}}\p{{N}}])"
 )

@@ -109,27 +109,52 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def _canonical_sql(text: str) -> str:
-    """Normalisation of the licence scan in DuckDB."""
-    out = rf"regexp_replace(replace(lower({text}), chr(13) || chr(10), chr(10)), "
-    out += r"'(?m)^[ \t*#/;-]*(?:portions )?(?:copyright|\(c\)|©)[^\n]*[0-9]{4}[^\n]*$', '', 'g')"
+def _canonical_ctes(name: str, source: str) -> str:
+    """Normalisation of the licence scan in DuckDB: ``name`` has the columns ``id`` and ``c`` for those of ``source``, ``id`` and ``text``.
+
+    Line by line where the operator has one pattern: a line goes if it states a copyright by itself, or if it belongs to a block of
+    short copyright lines between lines without words whose first one does not.
+    """
+    marks = r"[ \t*#/;-]*"
+    own = rf"^{marks}(?:portions )?(?:(?:copyright|\(c\)|©).*[0-9]{{4}}.*|©.*|copyright[ :]*(?:\(c\)|©|by ).*)$"
+    spelled = "string_agg(CASE WHEN own OR gone THEN '' ELSE line END, chr(10) ORDER BY i)"
     for old, new in SPELLINGS:
-        out = f"replace({out}, {_quoted(old)}, {_quoted(new)})"
-    return rf"regexp_replace({out}, '[^\p{{L}}\p{{N}}\n]+', ' ', 'g')"
+        spelled = f"replace({spelled}, {_quoted(old)}, {_quoted(new)})"
+    return rf"""
+        {name}_lines AS (
+            SELECT id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i
+            FROM (SELECT id, string_split(replace(lower(text), chr(13) || chr(10), chr(10)), chr(10)) AS ls FROM {source})),
+        {name}_kinds AS (
+            SELECT *, regexp_matches(line, {_quoted(own)}) AS own, regexp_matches(line, '^{marks}copyright[ :].{{1,100}}$') AS short,
+                   regexp_matches(line, '[\p{{L}}\p{{N}}]') AS word, regexp_matches(line, '[\p{{L}}\p{{N}}][^\p{{L}}\p{{N}}]{{0,40}}$') AS tail
+            FROM {name}_lines),
+        {name}_runs AS (
+            SELECT *, sum(CASE WHEN short THEN 0 ELSE 1 END) OVER w AS run, lag(tail) OVER w AS before, lead(word) OVER w AS behind
+            FROM {name}_kinds WINDOW w AS (PARTITION BY id ORDER BY i)),
+        {name}_blocks AS (
+            SELECT id, run, NOT coalesce(arg_min(struct_pack(b := before), i).b, FALSE) AND NOT arg_min(own, i)
+                   AND NOT coalesce(arg_max(struct_pack(b := behind), i).b, FALSE) AS gone
+            FROM {name}_runs WHERE short GROUP BY ALL),
+        {name} AS (
+            SELECT id, regexp_replace({spelled}, '[^\p{{L}}\p{{N}}\n]+', ' ', 'g') AS c
+            FROM (SELECT r.*, r.short AND coalesce(b.gone, FALSE) AS gone FROM {name}_runs r LEFT JOIN {name}_blocks b USING (id, run)) GROUP BY id)"""
 
 
 def _licenses_sql() -> str:
     flat = r"trim(regexp_replace({}, '[ \n]+', ' ', 'g'))"
     paragraphs = r"list_transform(regexp_split_to_array(c, '\n[ \n]*\n'), lambda u: {})".format(flat.format("u"))
-    known = ", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in LICENSES)
+    known = ", ".join(f"({i}, {_quoted(name)}, {_quoted(text)})" for i, (name, text) in enumerate(LICENSES))
     return rf"""
-        WITH k AS (SELECT name, {_canonical_sql("text")} AS c FROM (VALUES {known}) AS v(name, text)),
+        WITH listed(id, name, text) AS (VALUES {known}), {_canonical_ctes("k_text", "listed")},
+        k AS (SELECT name, c FROM listed JOIN k_text USING (id)),
         parts AS (SELECT name, {paragraphs} AS units FROM k),
-        known AS (
+        known AS MATERIALIZED (
             SELECT name, 0 AS part, 1 AS parts, {flat.format("c")} AS unit FROM k
-            UNION ALL SELECT name, i AS part, len(units) AS parts, units[i] AS unit
-            FROM parts, range(1, 100) AS r(i) WHERE len(units) > 1 AND i <= len(units)),
-        d AS (SELECT row_number() OVER () AS row, doc_id, {_canonical_sql("coalesce(text, '')")} AS c FROM documents),
+            UNION ALL SELECT name, generate_subscripts(units, 1) AS part, len(units) AS parts, unnest(units) AS unit
+            FROM parts WHERE len(units) > 1),
+        numbered AS MATERIALIZED (SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS text FROM documents),
+        {_canonical_ctes("d_text", "numbered")},
+        d AS MATERIALIZED (SELECT id AS row, doc_id, c FROM numbered JOIN d_text USING (id)),
         units AS (
             SELECT row, 'whole' AS kind, {flat.format("c")} AS unit FROM d
             UNION ALL SELECT row, 'paragraph', unnest({paragraphs}) FROM d
@@ -140,7 +165,7 @@ def _licenses_sql() -> str:
             SELECT row, name FROM hits GROUP BY row, name, parts, (part = 0)
             HAVING (part = 0) OR count(DISTINCT part) = parts),
         names AS (SELECT row, string_agg(DISTINCT name, ',' ORDER BY name) AS found FROM complete GROUP BY row),
-        n AS (SELECT row, count(*) AS n_units FROM hits WHERE kind <> 'whole' GROUP BY row)
+        n AS (SELECT row, count(*) AS n_units FROM units WHERE kind <> 'whole' AND unit <> '' AND unit IN (SELECT unit FROM known) GROUP BY row)
         SELECT doc_id, license, coalesce(found, '') AS found, coalesce(n_units, 0) AS n_units
         FROM d LEFT JOIN whole USING (row) LEFT JOIN names USING (row) LEFT JOIN n USING (row)
     """

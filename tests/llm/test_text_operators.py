@@ -621,6 +621,35 @@ def test_licences_by_whole_text_title_and_copyright_line(spark):
     assert kept.split() == "c you must keep it copyright license to use x".split()
 
 
+def test_licences_equal_sql_on_made_texts(spark, tmp_path):
+    """Licence texts and copyright lines in all sorts of company; carriage returns, marks, blocks of short lines."""
+    import duckdb
+
+    draw, known = random.Random(21), [t for _, t in LICENSES]
+    lines = [
+        "", " ", " *", "copyright some one", "Copyright (c) 2020 X", "© y", "copyright: by z", "(c) you must keep it", "word", "// portions copyright 1999 q",
+        "copyright " + "long " * 30, "# Copyright A and B", "; copyright (c) me", "copyright", "the end of a line ....", "** copyright holders and others", "(C) 1999",
+    ]
+    rows = []
+    for k in range(400):
+        parts = []
+        for _ in range(draw.randrange(1, 6)):
+            if draw.random() < 0.5:
+                parts.append("\n".join(draw.choice(lines) for _ in range(draw.randrange(1, 7))))
+            else:
+                text = draw.choice(known)
+                parts.append(text if draw.random() < 0.6 else text.split("\n\n")[0])
+        joint = draw.choice(["\n", "\n\n", "\n \n", "\r\n\r\n"])
+        rows.append((k % 390, draw.choice([None, "", joint.join(parts), joint.join(parts), joint.join(parts).upper()]), "en", "s", 0))
+    df = spark.createDataFrame(rows, DOCS)
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    found = licenses(df)
+    assert difference(found, con, queries.ORACLE["op8_licenses"]) is None
+    assert found.filter("license is not null").count() > 10 and found.filter("n_units > 0").count() > 100
+
+
 def test_native_operators_run_no_python(spark, docs):
     for df in (licenses(docs), exact_duplicates(docs)):
         plan = df._jdf.queryExecution().executedPlan().toString()
