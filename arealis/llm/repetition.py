@@ -8,7 +8,8 @@ extended to the left either are the maximal repeats. Their spans are united, and
 ``MIN_WORDS`` words or more cover more than ``MAX_COVERED`` of its words or if one repeat has more than ``MAX_LONGEST`` words.
 
 A null text counts as empty: it has no words, no spans, and fails the base rule. Whole texts are read, whatever their
-length; memory follows the longest text of a slice. Repeated rows give repeated results. An empty table gives an empty result.
+length. Memory follows the longest text of a slice: words are numbered piece by piece, and above ``STACKED`` words the common
+prefixes come from the sorted suffixes by one walk over the words, without the ranks of all doubling steps. Repeated rows give repeated results. An empty table gives an empty result.
 Columns other than id and text are not read.
 """
 
@@ -22,13 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arealis.llm.text import quoted, slices, word_codes, word_lists
+from arealis.llm.text import SLICE_CHARS, WORD, quoted, slices, word_codes, word_lists
 
 WINDOW = 8
 MIN_WORDS = 4
 MAX_COVERED = 0.3
 MAX_LONGEST = 60
 SYMBOLS = "#*$%&|<>"
+#: Words of a slice up to which the ranks of all doubling steps are kept.
+STACKED = 600_000
 
 
 @dataclass
@@ -43,12 +46,14 @@ class Suffixes:
 def sorted_suffixes(codes: np.ndarray, text_of: np.ndarray, ends: np.ndarray, window: int = WINDOW) -> Suffixes:
     """``codes``: word numbers; ``text_of``: number of each word's text; ``ends``: the end of each word's text."""
     n = len(codes)
-    place = np.arange(n)
-    key = text_of * (codes.max(initial=0) + 1) + codes
-    order = np.argsort(key, kind="stable")
+    place = np.arange(n, dtype=np.int32)
+    key = text_of.astype(np.int64) * (int(codes.max(initial=0)) + 1) + codes
+    order = np.argsort(key, kind="stable").astype(np.int32)
     starts = np.r_[True, key[order[1:]] != key[order[:-1]]][:n]
-    rank = np.empty(n, np.int64)
+    del key
+    rank = np.empty(n, np.int32)
     rank[order] = np.maximum.accumulate(np.where(starts, place, 0))
+    keep = n <= STACKED
     ranks, step, same_window = [rank], 1, np.zeros(n, bool)
     while True:
         if step == window:
@@ -57,22 +62,28 @@ def sorted_suffixes(codes: np.ndarray, text_of: np.ndarray, ends: np.ndarray, wi
             same_window[whole] = count[rank[whole]] > 1
         # only suffixes that share their rank with a neighbour move
         shared = np.r_[~starts[1:], False] | ~starts
-        at = np.flatnonzero(shared)
+        at = np.flatnonzero(shared).astype(np.int32)
         if not len(at):
             break
         suffix = order[at]
-        following = suffix + step
+        following = suffix + np.int32(step)
         inside = following < ends[suffix]
-        second = np.where(inside, rank[np.minimum(following, n - 1)] + 1, 0)
-        by = np.lexsort((second, rank[suffix]))
+        second = np.where(inside, rank[np.minimum(following, n - 1)] + np.int32(1), np.int32(0))
+        del following, inside
+        by = np.lexsort((second, rank[suffix])).astype(np.int32)
         order[at] = suffix[by]
         first, second = rank[suffix][by], second[by]
         new = np.r_[True, (first[1:] != first[:-1]) | (second[1:] != second[:-1])]
         starts[at] = new
-        rank = rank.copy()
+        del first, second, suffix, by
+        rank = rank.copy() if keep else rank
         rank[order[at]] = np.maximum.accumulate(np.where(new, at, 0))
-        ranks.append(rank)
+        if keep:
+            ranks.append(rank)
         step *= 2
+    if not keep:
+        del rank, ranks
+        return Suffixes(order, walked_prefixes(codes, order, ends), same_window)
     # the common prefix of neighbours, from the longest step down
     a, b = order[:-1].copy(), order[1:].copy()
     common = np.zeros(max(n - 1, 0), np.int64)
@@ -88,6 +99,50 @@ def sorted_suffixes(codes: np.ndarray, text_of: np.ndarray, ends: np.ndarray, wi
     return Suffixes(order, np.r_[0, common][:n], same_window)
 
 
+def walked_prefixes(codes: np.ndarray, order: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Common words of each suffix and the one before it in order, from left to right: the next suffix shares one word less at least."""
+    n = len(codes)
+    before = np.full(n, -1, np.int32)
+    before[order[1:]] = order[:-1]
+    before[before >= 0] = np.where(ends[before[before >= 0]] == ends[before >= 0], before[before >= 0], -1)  # of another text
+    out = np.zeros(n, np.int32)
+    word, end, other, got = (memoryview(np.ascontiguousarray(x, np.int32)) for x in (codes, ends, before, out))
+    common = 0
+    for i in range(n):
+        j = other[i]
+        if j < 0:
+            common = 0
+            continue
+        most = end[i] - max(i, j)
+        while common < most and word[i + common] == word[j + common]:
+            common += 1
+        got[i] = common
+        common = common - 1 if common and i + 1 < end[i] else 0
+    return out[order].astype(np.int64)
+
+
+def numbered_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of words of each text, an integer for each word, and the characters of each distinct word by that integer."""
+    if max(map(len, texts), default=0) <= 2 * SLICE_CHARS:
+        sizes, words = word_lists(texts)
+        codes, distinct = word_codes(words) if words else (np.zeros(0, np.int64), [])
+        return sizes, codes.astype(np.int32), np.fromiter(map(len, distinct), np.int64, len(distinct))
+    numbers: dict[str, int] = {}
+    sizes, parts = np.zeros(len(texts), np.int64), [np.zeros(0, np.int32)]
+    for k, t in enumerate(texts):
+        start = 0
+        while start < len(t):
+            end = start + SLICE_CHARS
+            last = WORD.match(t, end) if end < len(t) else None  # a word over the border belongs to this piece
+            end = last.end() if last else end
+            codes, distinct = word_codes(WORD.findall(t, start, end))
+            own = np.fromiter((numbers.setdefault(w, len(numbers)) for w in distinct), np.int32, len(distinct))
+            sizes[k] += len(codes)
+            parts.append(own[codes])
+            start = end
+    return sizes, np.concatenate(parts), np.fromiter(map(len, numbers), np.int64, len(numbers))
+
+
 def longest_repeats(found: Suffixes) -> np.ndarray:
     """Words of the longest repeated substring that starts at each word."""
     n = len(found.order)
@@ -104,13 +159,13 @@ def covered(starts: np.ndarray, lengths: np.ndarray, n: int) -> np.ndarray:
 
 def repetition(texts: list[str], min_words: int = MIN_WORDS) -> dict[str, np.ndarray | list]:
     """Counts of each text, and the united spans of its maximal repeats as (first word, number of words)."""
-    sizes, words = word_lists(texts)
-    n, codes = len(words), word_codes(words)[0].astype(np.int64) if words else np.zeros(0, np.int64)
-    text_of = np.repeat(np.arange(len(texts)), sizes)
+    sizes, codes, chars = numbered_words(texts)
+    n = len(codes)
+    text_of = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
     ends_of = np.cumsum(sizes)
     first = ends_of - sizes
     if n:
-        found = sorted_suffixes(codes, text_of, ends_of[text_of])
+        found = sorted_suffixes(codes, text_of, ends_of[text_of].astype(np.int32))
         longest = longest_repeats(found)
         # what the word before extends is not maximal
         inner = np.r_[False, (longest[:-1] > longest[1:]) & (text_of[:-1] == text_of[1:])]
@@ -132,7 +187,7 @@ def repetition(texts: list[str], min_words: int = MIN_WORDS) -> dict[str, np.nda
     return {
         "n_words": sizes, "n_repeat_words": total(in_window), "n_covered": total(in_repeat), "longest_repeat": top,
         "spans": spans,
-        "word_chars": np.fromiter((sum(map(len, words[a:b])) for a, b in zip(first, ends_of, strict=True)), np.int64, len(texts)),
+        "word_chars": total(chars[codes]) if n else np.zeros(len(texts), np.int64),
     }
 
 

@@ -6,6 +6,8 @@ import math
 import os
 import random
 import re
+import subprocess
+import sys
 import time
 import zlib
 from collections import defaultdict
@@ -82,6 +84,34 @@ def test_repeats_equal_brute_force():
         assert sum(s["words"] for s in found["spans"][k]) == covered
 
 
+def test_long_texts_give_the_same_repeats(monkeypatch):
+    """Without kept ranks and with words numbered piece by piece: the same counts and spans."""
+    draw = random.Random(13)
+    texts = ["", " x ", "a a a a a a a a", prose(4, 300, 3), prose(5, 900, 12), prose(5, 900, 12), "  ".join(["same"] * 700), prose(6, 2000, 500) + " " + prose(6, 400, 500)]
+    texts += [draw.choice([" ", "\n", ""]) + " ".join(draw.choice("ab") for _ in range(draw.randrange(80))) for _ in range(20)]
+    want = repetition.repetition(texts)
+    monkeypatch.setattr(repetition, "STACKED", 0)
+    monkeypatch.setattr(repetition, "SLICE_CHARS", 50)
+    got = repetition.repetition(texts)
+    assert all((got[k] == want[k]).all() if k != "spans" else got[k] == want[k] for k in want)
+    sizes, codes, chars = repetition.numbered_words(texts)
+    words = [w for t in texts for w in brute.words(t)]
+    assert sizes.tolist() == [len(brute.words(t)) for t in texts] and chars[codes].tolist() == [len(w) for w in words]
+
+
+def test_memory_of_a_text_of_equal_words():
+    """Three million equal words in a process of its own: below half a gigabyte more than the imports."""
+    code = (
+        "import resource\nfrom arealis.llm import repetition\n"
+        "before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss\n"
+        "r = repetition.repetition(['same ' * 3_000_000])\n"
+        "assert r['longest_repeat'][0] == 2_999_999 and r['n_covered'][0] == 3_000_000\n"
+        "print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024)"
+    )
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=os.path.dirname(os.path.abspath(corpus_pipeline.__file__)), check=True)
+    assert float(out.stdout) < 500
+
+
 def test_repetition_rules(spark, edge, none):
     rows = {r.doc_id: r for r in repetition.repetition_rules(edge).collect()}
     assert (rows[5].n_words, rows[5].base_failed, rows[5].kept, rows[5].spans) == (0, True, False, [])
