@@ -46,7 +46,7 @@ NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 # Patterns of the added kinds.
 PRIVATE = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]{16,}?-----END [A-Z ]*PRIVATE KEY-----")
 BEARER = re.compile(r"\b[Bb]earer\x20+([A-Za-z0-9._~+/-]{20,}=*)")
-ADDRESS = re.compile(r"\b[a-z][a-z0-9+.-]{1,15}://[^\s/:@]{1,64}:([^\s/@]{6,128})@")
+ADDRESS = re.compile(r"\b[a-z][a-z0-9+.-]{1,15}://[^\s/:@]++:([^\s/@]{6,}+)@")
 
 
 def candidates(text: str) -> list[tuple[str, int, int, str]]:

@@ -479,6 +479,27 @@ def test_base_spans_equal_plain_patterns(docs):
         assert [x[:3] for x in secret_scan.candidates(t) if x[0] in secret_scan.BASE_KINDS] == want
 
 
+def test_verdicts_equal_a_count_of_owners(docs):
+    rows = [(r.doc_id, r.source, secret_scan.candidates(r.text or "")) for r in docs.collect()]
+    owners, repositories = defaultdict(set), defaultdict(set)
+    for doc_id, source, found in rows:
+        for *_, value in found:
+            owners[value].add(source)
+            repositories[value, source].add(doc_id)
+    per_owner = defaultdict(int)
+    for (value, _), ids in repositories.items():
+        per_owner[value] = max(per_owner[value], len(ids))
+    copied = {v: len(owners[v]) > secret_scan.COPIED_OWNERS or per_owner[v] > secret_scan.COPIED_REPOSITORIES for v in owners}
+    want = sorted((i, ",".join("copied" if copied[x[3]] else "live" for x in found), sum(copied[x[3]] for x in found), max((len(owners[x[3]]) for x in found), default=0)) for i, _, found in rows)
+    got = sorted((r.doc_id, r.marks, r.n_copied, r.most_owners) for r in secret_scan.secrets(docs).collect())
+    assert got == want and any(found for *_, found in rows)
+
+
+def test_long_credentials_in_addresses():
+    text = f"see ftp://{'u' * 100}:{'p' * 400}@host and http://a:b@c and x://y:" + "z" * 50_000
+    assert [x[:3] for x in secret_scan.candidates(text)] == [("address", 4, 4 + 6 + 100 + 1 + 400 + 1)]
+
+
 # --- 7 near duplicates
 
 
