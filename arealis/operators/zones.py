@@ -22,6 +22,7 @@ from arealis.functions.geometry import (
     zone_edges,
 )
 from arealis.registry import AREA_KEYS, SIMPLIFY_TOLERANCE
+from arealis.session import stored
 
 
 #: A zone spans so many cells of its own grid, at most twice as many.
@@ -73,6 +74,76 @@ def zone_cells(zones: DataFrame, names: list[str], cell: Column, level: Column)
     )
 
 
+#: Points of a cell that one task compares with its zones; a cell with more is cut before the join.
+CROWD = 500_000
+#: A crowded cell is cut into ``4 ** DEPTH`` parts at most.
+DEPTH = 6
+PLACE = ["_base", "level", "cx", "cy"]
+
+
+def _cell_of(x: Column, level: Column) -> Column:
+    return F.floor(x / F.pow(F.lit(2.0), level))
+
+
+def cut_places(placed: DataFrame, x: str, y: str, cells: DataFrame, crowd: int) -> tuple[DataFrame, DataFrame]:
+    """Points and cells with ``_salt``, no cell and salt of which has many more than ``crowd`` points.
+
+    A crowded cell becomes cells of a finer level, as a quadtree would cut it, in one go: its count says how deep. Of these only
+    the occupied ones are made, with the edges that are near them. Points that still crowd one, as they lie on one spot, are
+    dealt out by a salt, for each of which the cell is repeated.
+    """
+    counts = placed.join(cells.select(*PLACE).distinct(), PLACE, "left_semi").groupBy(*PLACE).agg(F.count(F.lit(1)).alias("_n"))
+    depth = F.least(F.ceil(F.log(4.0, F.col("_n") / crowd)), F.lit(DEPTH)).cast("int")
+    crowded = stored(counts.where(F.col("_n") > crowd).select(*PLACE, depth.alias("_depth")), "crowded")
+    if crowded.isEmpty():
+        return placed.withColumn("_salt", F.lit(0)), cells.withColumn("_salt", F.lit(0))
+
+    def by_place(df: DataFrame, few: DataFrame, columns: list[str]) -> DataFrame:
+        """``few`` holds crowded cells, at most one for every ``crowd`` points; where it is large, it is repeated for salts of the many."""
+        if few.count() <= 100_000:
+            return df.join(F.broadcast(few), columns, "left")
+        salted = few.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(63))))
+        return df.withColumn("_s", F.floor(F.rand(7) * 64).cast("int")).join(salted, [*columns, "_s"], "left").drop("_s")
+
+    finer = F.col("level") - F.coalesce("_depth", F.lit(0))
+    cut = by_place(placed, crowded, PLACE).withColumns({
+        "level": finer, "cx": F.when(F.col("_depth").isNull(), F.col("cx")).otherwise(_cell_of(F.col(x), finer)),
+        "cy": F.when(F.col("_depth").isNull(), F.col("cy")).otherwise(_cell_of(F.col(y), finer)),
+    })
+    occupied = stored(cut.groupBy(*PLACE, "_depth").agg(F.count(F.lit(1)).alias("_n")), "occupied")
+    salts = F.ceil(F.when(F.col("_n") > crowd, F.lit(2.0) * F.col("_n") / crowd).otherwise(1)).cast("int")
+    many = stored(occupied.where(F.col("_n") > crowd).select(*PLACE, salts.alias("_salts")), "_salts")
+    salt = F.floor(F.rand(11) * F.coalesce("_salts", F.lit(1))).cast("int")
+    points = by_place(cut.drop("_depth"), many, PLACE).withColumn("_salt", salt).drop("_salts")
+
+    parent = F.pow(F.lit(2.0), F.col("_depth")).cast("long")
+    children = occupied.where("_depth is not null").select(
+        "_base", (F.col("level") + F.col("_depth")).alias("p_level"), F.floor(F.col("cx") / parent).alias("p_cx"), F.floor(F.col("cy") / parent).alias("p_cy"),
+        "level", "cx", "cy",
+    )
+    whole = cells.join(crowded.select(*PLACE), PLACE, "left_anti")
+    parents = cells.withColumnsRenamed({"level": "p_level", "cx": "p_cx", "cy": "p_cy"})
+    near = _near_edges(parents.join(children, ["_base", "p_level", "p_cx", "p_cy"]).drop("p_level", "p_cx", "p_cy"))
+    return points, by_place(whole.unionByName(near), many, PLACE).withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    ).drop("_salts")
+
+
+def _near_edges(cells: DataFrame) -> DataFrame:
+    """Cells with the edges a ray to the right can meet from within them; those no edge comes near are wholly in or out."""
+    size = F.pow(F.lit(2.0), F.col("level"))
+    x0, y0, margin = F.col("cx") * size, F.col("cy") * size, size * 1e-6
+
+    def within(e: Column, axis: str, start: Column) -> Column:
+        low, high = F.least(e[f"{axis}1"], e[f"{axis}2"]), F.greatest(e[f"{axis}1"], e[f"{axis}2"])
+        return (high >= start - margin) & (low <= start + size + margin)
+
+    on_border = F.exists("edges", lambda e: within(e, "x", x0) & within(e, "y", y0))
+    kept = F.filter("edges", lambda e: within(e, "y", y0) & (F.greatest(e["x1"], e["x2"]) >= x0 - margin))
+    marked = cells.select("*", F.col("edges").isNull().alias("_all"), on_border.alias("_border"), covers(F.col("edges"), x0 + size / 2, y0 + size / 2).alias("_in"))
+    return marked.where(F.col("_all") | F.col("_border") | F.col("_in")).withColumn("edges", F.when(F.col("_border"), kept)).drop("_all", "_border", "_in")
+
+
 def zonal_join(
     points: DataFrame,
     zones: DataFrame,
@@ -80,13 +151,15 @@ def zonal_join(
     x: str = "x",
     y: str = "y",
     cell: float | None = None,
+    crowd: int | None = CROWD,
 ) -> DataFrame:
     """Points with the names of every zone that contains them; a point outside all zones is left out.
 
     An equi-join on the cells of the zones' grids with the exact test on top. Each zone has the grid that suits its
     size, so its cells are a few hundred at most whatever the sizes of others; a point is placed in the grids in
     use, which are as many as there are powers of two between the smallest and the largest zone. ``cell`` sets one grid
-    for all. Spark broadcasts the cells when they are small enough and otherwise joins by shuffle, splitting crowded cells.
+    for all. Spark broadcasts the cells when they are small enough and otherwise joins by shuffle. Cells with more than ``crowd``
+    points, which one count finds, are cut before that (not with ``cell`` or without ``crowd``).
     """
     level = F.lit(0) if cell else zone_level(F.col("rings"))
     size = (lambda at: F.lit(float(cell))) if cell else (lambda at: F.pow(F.lit(2.0), at))
@@ -94,8 +167,12 @@ def zonal_join(
     levels = zones.agg(F.collect_set(level).alias("levels")).scalar()
     placed = points.select("*", F.explode(levels).alias("level"))
     placed = placed.withColumns({"cx": F.floor(F.col(x) / size(F.col("level"))), "cy": F.floor(F.col(y) / size(F.col("level")))})
+    on = ["level", "cx", "cy"]
+    if crowd and not cell:
+        on = [*PLACE, "_salt"]
+        placed, cells = cut_places(placed.withColumn("_base", F.col("level")), x, y, cells.withColumn("_base", F.col("level")), crowd)
     hit = F.col("edges").isNull() | covers(F.col("edges"), F.col(x), F.col(y))
-    return placed.join(cells, ["level", "cx", "cy"], "inner").where(hit).drop("level", "cx", "cy", "edges")
+    return placed.join(cells, on, "inner").where(hit).drop(*on, "edges")
 
 
 def with_centroids(zones: DataFrame) -> DataFrame:

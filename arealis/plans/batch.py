@@ -16,6 +16,7 @@ from arealis.operators.clean import clean_long
 from arealis.operators.fill import fill_panel, seasonal_store
 from arealis.operators.merge import merge_long
 from arealis.registry import PANEL_KEYS, PANEL_VARIABLES
+from arealis.session import scratch_run
 from arealis.sources.files import scan_partitioned, write_table
 
 
@@ -48,9 +49,10 @@ def run_batch(spark: SparkSession, raw: DataFrame, tables: Tables, arrow: bool =
     ``raw`` should be a stored table: the cleaning reads it for the values and for the outlier bounds.
     """
     require_columns(raw, ["variable", *PANEL_KEYS, "value"])
-    write_table(clean_long(raw), tables.clean, ["variable", "year"])
-    merge_tables(spark, tables)
-    return score_tables(spark, tables, arrow)
+    with scratch_run(spark):
+        write_table(clean_long(raw), tables.clean, ["variable", "year"])
+        merge_tables(spark, tables)
+        return score_tables(spark, tables, arrow)
 
 
 def merge_tables(spark: SparkSession, tables: Tables) -> None:

@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 from arealis.functions import columns as c
 from arealis.functions.dtw import dtw_arrow, dtw_column, is_complete
 from arealis.functions.geometry import covers, zone_area, zone_edges
-from arealis.operators import anomaly, arcs, clean, explore, fill, merge, ranks, raster, shares, zones
+from arealis.operators import anomaly, arcs, clean, explore, fill, merge, prefix, ranks, raster, shares, zones
 from arealis.plans import binding as b
 from arealis.plans import dashboard, incremental, ticks
 from arealis.plans.batch import Tables, run_batch
 from arealis.registry import AREA_KEYS, PANEL_KEYS, PANEL_VARIABLES, VARIABLES
 from arealis.session import scratch_dir, stored
-from arealis.sources import audit, files, geojson
+from arealis.sources import audit, files, geojson, index
 from arealis.streaming import ingest, months, windows
 
 FIRST = dt.date(1995, 1, 1)
@@ -297,6 +297,31 @@ def drop_incomplete(spark, sf):
     return settle(clean.drop_incomplete(b.merged_panel(spark, sf)))
 
 
+@query
+def required_columns(spark, sf):
+    """What the column guard says of the raw table with one of its columns gone, for each; a whole table passes with its rows."""
+    raw, needed = b.raw_long(spark, sf), ["variable", *PANEL_KEYS, "value"]
+    guarded = c.require_columns(raw, needed).groupBy("variable").agg(F.count(F.lit(1)).alias("n_rows"))
+    said = []
+    for gone in needed:
+        try:
+            c.require_columns(raw.drop(gone), needed)
+        except ValueError as e:
+            said.append(F.lit(str(e)))
+    return guarded.select("variable", "n_rows", F.explode(F.array(*said)).alias("message"))
+
+
+@query
+def published_tables(spark, sf):
+    """Two tables published side by side, in partitions and whole, the second time with fewer rows; read back together."""
+    folder, panel = scratch_dir(spark, "published"), stored(b.observed_panel(spark, sf), "panel")
+    for rows in (panel, panel.where("year >= 1997")):
+        files.write_table(rows, f"{folder}/panel", ["province", "year"])
+        files.write_table(rows.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n_areas")), f"{folder}/months")
+    back = files.scan_partitioned(spark, f"{folder}/panel").groupBy("province", "year", "month").agg(F.sum("FIRECOUNT").alias("fires"))
+    return back.join(spark.read.parquet(f"{folder}/months"), ["year", "month"]).select("province", "year", "month", "fires", "n_areas")
+
+
 # --- merging -----------------------------------------------------------------------------------
 
 
@@ -557,6 +582,14 @@ def filter_range(spark, sf):
     return settle(explore.filter_range(b.observed_panel(spark, sf), START, END))
 
 
+@query
+def filter_range_indexed(spark, sf):
+    """The same from a table with a file index, which opens the files of those months only."""
+    folder = scratch_dir(spark, "indexed")
+    index.write_indexed(b.observed_panel(spark, sf), folder, 16, ["year", "month", "province"])
+    return settle(index.read_indexed(spark, folder, index.Wanted(START, END)))
+
+
 @query
 def filter_area(spark, sf):
     return settle(explore.filter_area(b.observed_panel(spark, sf), district=DISTRICT))
@@ -795,6 +828,25 @@ def map_data(spark, sf):
     return settle(_areas_of(dashboard.map_data(b.observed_panel(spark, sf), b.zones(spark, sf), q), "NDVI"))
 
 
+#: Spans of the range means: within the panel, its start, its end and beyond, one month, all of it.
+SPANS = [
+    (START, END), (dt.date(1990, 1, 1), dt.date(1995, 6, 1)), (dt.date(2000, 7, 1), dt.date(2010, 1, 1)),
+    (dt.date(1997, 4, 1), dt.date(1997, 4, 1)), (FIRST, dt.date(2001, 12, 1)),
+]
+
+
+@query
+def map_data_prefix(spark, sf):
+    """Area means of five spans at both levels from running totals, the last two years of which were repaired."""
+    panel, folder = stored(b.observed_panel(spark, sf), "panel"), scratch_dir(spark, "prefix")
+    old = panel.where("year < 2000").withColumn("NDVI", F.when(F.col("year") < 1999, F.col("NDVI")))
+    prefix.write_prefix(old, folder)
+    prefix.repair(panel.where("year >= 1999"), folder, 1999 * 12)
+    both = [prefix.frames(spark, folder, "NDVI", SPANS, level).withColumn("subdistrict", F.col("subdistrict") if level != "District" else F.lit(None).cast("string")) for level in ("Subdistrict", "District")]
+    found = both[0].unionByName(both[1].select(both[0].columns))
+    return settle(found.withColumn("frame", F.col("frame").cast("int")).where("NDVI is not null"))
+
+
 @query
 def map_data_alias(spark, sf):
     """The same from a dashboard table: text months, names in mixed case, another name of the variable."""

@@ -374,6 +374,10 @@ SELECT year, month, count(*) AS n_rows, count(price) AS n_kept, {rnd('sum(price:
     "clean_panel": f"{WITH_CLEAN} SELECT variable, {KEY}, {rnd('v')} AS value FROM clean",
     "monthly_quartiles": f"WITH {LINES} SELECT year, month, {rnd('quantile_cont(price, 0.25)')} AS q1, {rnd('quantile_cont(price, 0.5)')} AS median, {rnd('quantile_cont(price, 0.75)')} AS q3 FROM lines GROUP BY year, month",
     "quartiles_from_state": f"WITH {LINES} SELECT year, month, {rnd('quantile_cont(price, 0.25)')} AS q1, {rnd('quantile_cont(price, 0.5)')} AS median, {rnd('quantile_cont(price, 0.75)')} AS q3 FROM lines GROUP BY year, month",
+    "required_columns": f"{WITH_RAW} SELECT variable, count(*) AS n_rows, 'Missing required columns: [''' || gone || ''']' AS message "
+    "FROM raw, (SELECT unnest(['variable', 'province', 'district', 'subdistrict', 'year', 'month', 'value']) AS gone) GROUP BY ALL",
+    "published_tables": f"WITH {CELLS}, m AS (SELECT year, month, count(*) AS n_areas FROM cells WHERE year >= 1997 GROUP BY ALL) "
+    "SELECT province, year, month, sum(FIRECOUNT) AS fires, n_areas FROM cells JOIN m USING (year, month) GROUP BY ALL",
     "drop_incomplete": panel(WITH_MERGED, "merged", " AND ".join(f"{v} IS NOT NULL" for v in VARS)),
     "merge_variables": f"{WITH_CLEAN_ONCE}, "
     + ", ".join(f"t_{v} AS (SELECT {KEY}, v AS {v} FROM clean WHERE variable = '{v}' AND v IS NOT NULL)" for v in VARS)
@@ -418,6 +422,7 @@ SELECT l_returnflag, l_linestatus, {rnd('sum(v::DECIMAL(18,2))::DOUBLE / count(*
     "batch_run": ANOMALY,
     "dtw_anomaly_stats": scores({"": "d", "_local_mean": "mu", "_local_std": "sd", "_local_threshold": "thr", "_flag": "lf", "_z": "z", "_z_flag": "zf"}),
     "filter_range": panel(f"WITH {CELLS}", "cells", RANGE),
+    "filter_range_indexed": panel(f"WITH {CELLS}", "cells", RANGE),
     "filter_area": panel(f"WITH {CELLS}", "cells", "district = 'NATION_2'"),
     "filter_area_nested": panel(f"WITH {CELLS}", "cells"),
     "area_mean_subdistrict": f"{WITH_MERGED}, {means('NDVI', source='merged')} SELECT {AREA}, {rnd('NDVI')} AS NDVI FROM means",
@@ -449,6 +454,11 @@ SELECT l_returnflag, l_linestatus, {rnd('sum(v::DECIMAL(18,2))::DOUBLE / count(*
     "zonal_join": f"WITH {EDGES}, {POINTS}, {HITS} SELECT point_id, zone_id FROM hits",
     "zonal_points": f"WITH {EDGES}, {POINTS}, {HITS} SELECT zone_id, {rnd('avg(value)')} AS mean, {rnd('sum(value)')} AS sum, count(value) AS n FROM hits GROUP BY zone_id",
     "zone_contains_center": f"WITH {EDGES}, {POINTS}, {HITS} SELECT hits.zone_id IS NOT NULL AS inside, count(*) AS n FROM points LEFT JOIN hits ON hits.point_id = points.point_id AND hits.zone_id = points.point_id GROUP BY 1",
+    "map_data_prefix": f"WITH {CELLS}, spans(frame, a, b) AS (VALUES (0, 1996 * 12 + 3, 1999 * 12 + 8), (1, 1990 * 12 + 1, 1995 * 12 + 6), "
+    "(2, 2000 * 12 + 7, 2010 * 12 + 1), (3, 1997 * 12 + 4, 1997 * 12 + 4), (4, 1995 * 12 + 1, 2001 * 12 + 12)), "
+    "inside AS (SELECT * FROM cells JOIN spans ON year * 12 + month BETWEEN a AND b) "
+    f"SELECT frame::INTEGER AS frame, province, district, subdistrict, {rnd('avg(NDVI)')} AS NDVI FROM inside GROUP BY ALL HAVING count(NDVI) > 0 "
+    f"UNION ALL SELECT frame::INTEGER, province, district, NULL, {rnd('avg(NDVI)')} FROM inside GROUP BY ALL HAVING count(NDVI) > 0",
     "map_data": f"WITH {CELLS}, {ZONES}, {means('NDVI', where=RANGE + chr(32) + 'AND province = ' + chr(39) + 'ASIA' + chr(39))} SELECT {AREA}, {rnd('zone_area')} AS zone_area, {rnd('NDVI')} AS NDVI FROM zones LEFT JOIN means USING ({AREA})",
     "map_data_alias": f"WITH {CELLS}, {ZONES}, {means('RAINFALL', where=RANGE + chr(32) + 'AND province = ' + chr(39) + 'ASIA' + chr(39))} SELECT {AREA}, {rnd('zone_area')} AS zone_area, {rnd('RAINFALL')} AS RAINFALL FROM zones LEFT JOIN means USING ({AREA})",
     "dashboard_refresh": f"""{WITH_MERGED}, {ZONES}, {means('LST', 'province, district', 'merged', RANGE)}, shown AS (

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+_RUN: ContextVar[str | None] = ContextVar("run", default=None)
+
 
 def local_session(cores: str = "8", app: str = "arealis", **conf: str) -> SparkSession:
     """A local session for tests and benchmarks. A cluster brings its own session."""
@@ -45,7 +50,28 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = _own_folder().name
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    run = f"/{_RUN.get()}" if _RUN.get() else ""
+    return f"{root.rstrip('/')}{run}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables stored in here go into one folder, which is removed at the end, also after a failure.
+
+    For jobs that write their result: a DataFrame that was made in here and is read afterwards has lost its tables. A run within
+    a run shares the outer one's folder.
+    """
+    if _RUN.get():
+        yield scratch_dir(spark, "").rsplit("/", 1)[0]
+        return
+    token = _RUN.set(f"run-{uuid.uuid4().hex}")
+    folder = scratch_dir(spark, "").rsplit("/", 1)[0]
+    try:
+        yield folder
+    finally:
+        _RUN.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

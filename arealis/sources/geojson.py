@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 from arealis.functions.columns import normalize_columns
 from arealis.functions.geometry import rings_from_geojson, rings_from_wkt
 from arealis.operators.zones import to_geojson
+from arealis.sources.features import feature_texts
 
 PROPERTIES = "province string, district string, subdistric string, year int, month int, variable string, mean double, sum double"
 
@@ -18,15 +19,16 @@ def read_features(
 ) -> DataFrame:
     """Features as rows: properties with normalised names and, if asked for, the geometry as text.
 
-    One task parses one file of a feature collection; files split over tasks when each line is a feature.
+    Files are feature collections, or with ``lines`` have a feature on each line. Either way many tasks parse a large file.
     """
     feature = f"struct<type:string, geometry:string, properties:struct<{_as_struct(properties)}>>"
     if lines:
-        rows = spark.read.text(path).where(F.length(F.trim("value")) > 0)
-        found = rows.select(F.from_json("value", feature).alias("f")).select("f.*")
+        texts = spark.read.text(path).where(F.length(F.trim("value")) > 0)
     else:
-        reader = spark.read.option("multiLine", "true").option("recursiveFileLookup", "true")
-        found = reader.schema(f"features array<{feature}>").json(path).select(F.inline("features"))
+        texts = feature_texts(spark, path)
+    found = texts.select(F.from_json("value", feature).alias("f")).select("f.*")
+    if not lines:
+        found = found.where("type = 'Feature'")
     rows = found.select("properties.*", *(["geometry"] if geometry else []))
     return normalize_columns(rows)
 

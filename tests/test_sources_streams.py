@@ -262,3 +262,20 @@ def test_rerun_replaces_the_table(spark, tmp_path):
     for part in (rows, rows.where("k = 'A'")):
         files.write_table(part, str(tmp_path / "t"), ["k"])
     assert [r.k for r in spark.read.parquet(str(tmp_path / "t")).collect()] == ["A"]
+
+
+def test_a_run_removes_its_scratch(spark, tmp_path):
+    from pathlib import Path
+
+    from arealis.session import scratch_run
+
+    with scratch_run(spark) as folder:
+        kept = stored(spark.range(3).toDF("n"), "three")
+        with scratch_run(spark) as inner:
+            assert inner == folder
+        assert kept.count() == 3 and list(Path(folder.removeprefix("file:")).glob("three-*"))
+    assert not Path(folder.removeprefix("file:")).exists()
+    with pytest.raises(KeyError), scratch_run(spark) as folder:
+        stored(spark.range(3).toDF("n"), "three")
+        raise KeyError
+    assert not Path(folder.removeprefix("file:")).exists() and "run-" not in scratch_dir(spark, "x")

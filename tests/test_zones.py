@@ -171,3 +171,31 @@ def test_simplified_rings_do_not_cross(spark):
     assert zones.edges_cross([np.array([(0, 0), (2, 2), (2, 0), (0, 2), (0, 0)], float)])
     empty = spark.createDataFrame([("none", None), ("bare", [])], f"name string, rings {RINGS_TYPE}")
     assert {r.name: r.rings for r in zones.simplify_zones(empty, 0.1).collect()} == {"none": None, "bare": []}
+
+
+@pytest.mark.parametrize("crowd", [20, 300])
+def test_crowded_cells_are_cut_before_the_join(spark, crowd):
+    """All points in one zone, most of them near one of its corners and many on one spot; same hits as without cutting."""
+    rnd = random.Random(9)
+    shapes = {"big": [ring([(0, 0), (100, 0), (100, 90), (50, 40), (0, 100)]), ring([(20, 20), (30, 20), (30, 30), (20, 30)], True)]}
+    shapes |= {f"s{k}": [ring([(k, 1), (k + 1.5, 1), (k + 0.5, 2 + k)])] for k in range(6)} | {"corner": [ring([(0, 0), (0.4, 0), (0.2, 0.3)])]}
+    at = [(rnd.uniform(0, 100), rnd.uniform(0, 100)) for _ in range(300)] + [(rnd.random() ** 4, rnd.random() ** 4) for _ in range(1500)]
+    at += [(0.125, 0.0625)] * 700 + [(25.0, 25.0)] * 500
+    points = spark.createDataFrame([(k, x, y, "n") for k, (x, y) in enumerate(at)], "p int, x double, y double, base string").repartition(3)
+    zones_ = layer(spark, shapes)
+    plain = zones.zonal_join(points, zones_, ["name"], crowd=None).collect()
+    found = zones.zonal_join(points, zones_, ["name"], crowd=crowd)
+    assert found.columns == ["p", "x", "y", "base", "name"]
+    assert sorted((r.p, r.name) for r in found.collect()) == sorted((r.p, r.name) for r in plain)
+    assert len(plain) > 2000
+
+    level = zones.zone_level(F.col("rings"))
+    cells = zones.zone_cells(zones_, ["name"], F.pow(F.lit(2.0), level), level).withColumn("_base", F.col("level"))
+    levels = [r.level for r in zones_.select(level.alias("level")).distinct().collect()]
+    placed = points.select("*", F.explode(F.array(*[F.lit(v) for v in levels])).alias("level"))
+    for c in "xy":
+        placed = placed.withColumn(f"c{c}", F.floor(F.col(c) / F.pow(F.lit(2.0), F.col("level"))))
+    cut, parts = zones.cut_places(placed.withColumn("_base", F.col("level")), "x", "y", cells, crowd)
+    met = cut.join(parts.select(*zones.PLACE, "_salt").distinct(), [*zones.PLACE, "_salt"], "left_semi")
+    assert met.groupBy(*zones.PLACE, "_salt").count().agg(F.max("count")).first()[0] <= 1.3 * crowd
+    assert cut.count() == placed.count() and parts.groupBy("name", *zones.PLACE, "_salt").count().where("count > 1").count() == 0
