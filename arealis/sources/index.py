@@ -68,6 +68,8 @@ def write_indexed(df: DataFrame, folder: str, files: int, order: list[str] | Non
 def may_match(wanted: Wanted) -> Column:
     """Whether a file of the index can hold a wanted row."""
     low, high = wanted.months()
+    if low is not None and high is not None and low > high:
+        return F.lit(False)
     out = F.lit(True)
     if low is not None:
         out = out & (F.col("last") >= low)
