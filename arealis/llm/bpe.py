@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from arealis.llm.text import quoted, slices
 
 #: Pieces of one generation that a task remembers with their ids, and the longest piece it remembers.
-MEMORY, MEMORY_CHARS = 75_000, 64
+MEMORY, MEMORY_CHARS = 100_000, 64
 
 
 def byte_characters() -> list[str]:
