@@ -36,6 +36,8 @@ from arealis.session import stored
 K, EVERY, FACTOR = 20, 20, 64
 #: Queries of a task, and candidates of a shard at most; a shard is streamed, queries are held.
 GROUP, SHARD = 16_384, 262_144
+#: Candidates of a shard at least, where there would be fewer shards than tasks.
+LEAST = 2048
 #: Queries and candidates of one matrix product.
 QUERIES, BLOCK = 1024, 4096
 #: What non-essential terms may reach of the threshold, and terms probed between two tests.
@@ -161,7 +163,8 @@ def search(rows: DataFrame, is_query: Column, k: int = K, group: int = GROUP, sh
     rows = rows.select("row", F.col("vec_id").cast("long").alias("vec_id"), "dims", "packed")
     queries = rows.filter(is_query)
     counts = rows.agg(F.count("*").alias("n"), F.count(F.when(is_query, 1)).alias("q")).first()
-    shards = max(math.ceil(counts["n"] / shard), 2 * rows.sparkSession.sparkContext.defaultParallelism)
+    tasks = 2 * rows.sparkSession.sparkContext.defaultParallelism
+    shards = max(math.ceil(counts["n"] / shard), min(tasks, math.ceil(counts["n"] / LEAST)), 1)
     groups = max(math.ceil(counts["q"] / group), 1)
 
     def dealt(df: DataFrame, own: Column, others: int, cell: Column, asks: bool) -> DataFrame:
