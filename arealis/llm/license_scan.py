@@ -65,7 +65,7 @@ def known_licenses(spark: SparkSession, licenses: list[tuple[str, str]] = LICENS
 def licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", known: DataFrame | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, license (of the text as a whole, else null), found (names by code point, joined by
     commas), n_units (paragraphs and lines that are a known unit)."""
-    known = known_licenses(docs.sparkSession) if known is None else known
+    given, known = known, known_licenses(docs.sparkSession) if known is None else known
     rows = docs.select(F.monotonically_increasing_id().alias("row"), quoted(doc_id).alias("doc_id"), normalized(filled(text)).alias("canonical"))
     kinds = F.map_from_arrays(
         F.array(F.lit(WHOLE), F.lit(PARAGRAPH), F.lit(LINE)),
@@ -77,7 +77,8 @@ def licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", known:
     by_digest = known.groupBy("digest").agg(F.collect_set(F.struct("name", "part", "parts")).alias("of"))
     units = rows.select("row", "doc_id", F.explode(kinds).alias("kind", "digests"))
     units = units.select("row", "doc_id", "kind", F.explode_outer("digests").alias("digest"))
-    matched = units.join(F.broadcast(by_digest), "digest", "left")
+    # the built-in table is a fixed list; how a caller's own is joined is left to Spark
+    matched = units.join(F.broadcast(by_digest) if given is None else by_digest, "digest", "left")
     hit = F.col("of").isNotNull()
     whole = F.array_min(F.transform(F.filter("of", lambda o: o["part"] == 0), lambda o: o["name"]))
     per_row = matched.groupBy("row", "doc_id").agg(
