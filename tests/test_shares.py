@@ -115,6 +115,22 @@ def test_a_pixel_falls_into_few_cells(spark):
     assert "Cartesian" not in plan and "NestedLoop" not in plan and "Python" not in plan
 
 
+def test_pairs_are_dealt_out_and_compiled(spark):
+    """Pixels on one spot under many zones are dealt out by a salt, and no pair's edges are walked by an interpreted fold."""
+    draw = random.Random(9)
+    shapes = {f"z{k}": [ring(star(draw, draw.uniform(0.4, 0.6), draw.uniform(0.4, 0.6), 0.02, 0.3))] for k in range(20)}
+    shapes["dot"] = [ring([(0.5, 0.5), (0.51, 0.5), (0.5, 0.51)])]
+    pixels = [(k, 0.5 + (k % 7) * 1e-3, 0.5) for k in range(120)]
+    df = spark.createDataFrame([*pixels, (0, 0.5, 0.5), (500, None, 0.5)], "p int, x double, y double")
+    found = shares.pixel_shares(df, layer(spark, shapes), ["name"], ["p"], 0.1, 0.07, crowd=300)
+    want = plain_shares(shapes, pixels, 0.1, 0.07)
+    got = {(r.p, r.name): r.share for r in found.collect()}
+    # a pixel that comes twice counts twice
+    assert set(got) == set(want) and max(abs(got[k] - want[k] * (1 + (k[0] == 0))) for k in want) < 1e-9
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" not in plan and "_salt" in plan
+
+
 def test_points_in_zones_have_shares(spark):
     """The centre of a small pixel decides where its whole share goes."""
     draw = random.Random(6)
