@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arealis.functions.columns import nan_to_null
-from arealis.operators.ranks import exact_quantiles
+from arealis.operators.ranks import exact_quantiles, windows_store
 from arealis.registry import IQR_FACTOR, TIME_KEYS, VARIABLES, Variable
+from arealis.session import stored
 
 
 def rescaled(rule: Variable, value: Column) -> Column:
@@ -51,15 +52,16 @@ def iqr_mask(
 ) -> DataFrame:
     """Null outside ``[q1 - factor * iqr, q3 + factor * iqr]``, quartiles taken over each scope.
 
-    ``state``, the merged quantile state of the scopes, saves one of the reads for the quartiles. Rows for which ``only`` is false keep their value. The bounds have one row per scope and are joined by
-    size: broadcast when small, otherwise a shuffle join with skew splitting.
+    ``state``, the merged quantile state of the scopes, saves one of the reads for the quartiles. Rows for which ``only`` is false keep their value. The bounds have one row per scope and are stored, so that
+    they are joined by size: broadcast when small, and the values stay where they are, otherwise a shuffle join with skew splitting.
     """
     considered = df if only is None else df.where(only)
-    bounds = exact_quantiles(considered, scope, value, {"_q1": 0.25, "_q3": 0.75}, state=state).select(
+    bounds = exact_quantiles(considered, scope, value, {"_q1": 0.25, "_q3": 0.75}, state=state, keep=windows_store).select(
         *[F.col(k).alias(f"_s_{k}") for k in scope],
         (F.col("_q1") - factor * (F.col("_q3") - F.col("_q1"))).alias("_low"),
         (F.col("_q3") + factor * (F.col("_q3") - F.col("_q1"))).alias("_high"),
     )
+    bounds = stored(bounds, "bounds")
     same = [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in scope]
     inside = F.col(value).between(F.col("_low"), F.col("_high"))
     if only is not None:

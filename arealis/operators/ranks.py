@@ -13,12 +13,15 @@ numbers of values differ the job fails.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from arealis.session import stored
+
 ACCURACY = 10_000
 #: Half a window in units of the sketch's rank error.
 MARGIN = 4
@@ -81,16 +84,23 @@ def _windows(values: DataFrame, keys: list[str], probabilities: list[float], acc
     return sketch.select(*[F.col(k).alias(f"_w_{k}") for k in keys], "_n", F.array(*windows).alias("_windows"))
 
 
+def windows_store(windows: DataFrame) -> DataFrame:
+    """Keep the windows in the shared folder: their size is known before the join, so few are broadcast and no values move."""
+    return stored(windows, "windows")
+
+
 def ranked_values(
     df: DataFrame, keys: list[str], value: str, probabilities: list[float], accuracy: int = ACCURACY,
-    state: DataFrame | None = None, k: int = SKETCH_K,
+    state: DataFrame | None = None, k: int = SKETCH_K, keep: Callable[[DataFrame], DataFrame] = lambda windows: windows,
 ) -> DataFrame:
     """What is left of each group, in order: ``_v`` (null for a gap), count ``_c``, sum ``_sum``, rows before ``_from``, ``_n``."""
     values = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
     windows = _windows(values, keys, probabilities, accuracy) if state is None else _state_windows(state, keys, probabilities, k)
+    windows = keep(windows)
     same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_w_{k}")) for k in keys])
-    inside = F.exists("_windows", lambda w: F.col("_v").between(w["low"], w["high"]))
-    gap = F.size(F.filter("_windows", lambda w: F.col("_v") > w["high"]))
+    each = [F.get("_windows", F.lit(i)) for i in range(len(probabilities))]
+    inside = reduce(Column.__or__, [F.col("_v").between(w["low"], w["high"]) for w in each])
+    gap = reduce(Column.__add__, [F.when(F.col("_v") > w["high"], 1).otherwise(0) for w in each])
     placed = values.join(windows, same, "inner" if state is None else "left").select(
         *keys, "_n", F.when(inside, F.col("_v")).alias("_inside"), F.when(~inside, gap).alias("_gap"), "_v"
     )
@@ -113,13 +123,14 @@ def _found(value: Column) -> Column:
 
 def exact_quantiles(
     df: DataFrame, keys: list[str], value: str, probabilities: dict[str, float], accuracy: int = ACCURACY,
-    state: DataFrame | None = None, k: int = SKETCH_K,
+    state: DataFrame | None = None, k: int = SKETCH_K, keep: Callable[[DataFrame], DataFrame] = lambda windows: windows,
 ) -> DataFrame:
     """Quantiles per group by linear interpolation, one output column per entry of ``probabilities``.
 
-    With the merged ``state`` of the rows (sketches of size ``k``) they are read once instead of twice.
+    With the merged ``state`` of the rows (sketches of size ``k``) they are read once instead of twice. A job passes as ``keep``
+    how to store the windows (``windows_store``); without it the join with them may shuffle and sort the values by group.
     """
-    ranked = ranked_values(df, keys, value, list(probabilities.values()), accuracy, state, k)
+    ranked = ranked_values(df, keys, value, list(probabilities.values()), accuracy, state, k, keep)
     position = {name: F.lit(float(p)) * (F.col("_n") - 1) for name, p in probabilities.items()}
 
     def at(rank: Column) -> Column:
@@ -146,7 +157,7 @@ def trimmed_mean(
     """
     if not 0 <= ratio < 0.5:
         raise ValueError("ratio must be at least 0 and below 0.5")
-    ranked = ranked_values(df, keys, value, [ratio, 1 - ratio], accuracy)
+    ranked = ranked_values(df, keys, value, [ratio, 1 - ratio], accuracy, keep=windows_store)
     cut = F.floor(F.lit(float(ratio)) * F.col("_n"))
     end = F.col("_n") - cut
     kept = F.greatest(F.lit(0), F.least(F.col("_from") + F.col("_c"), end) - F.greatest(F.col("_from"), cut))

@@ -179,3 +179,12 @@ def test_registry_covers_the_rules():
     assert {n: v.reducer for n, v in VARIABLES.items()} == {
         "NDVI": "mean", "LST": "mean", "SOILMOISTURE": "mean", "RAINFALL": "sum", "FIRECOUNT": "sum",
     }
+
+
+def test_values_stay_where_they_are(spark):
+    """The windows of few groups are broadcast: no group's values are shuffled to one task and sorted there."""
+    df = groups(spark, {"a": [float(i % 97) for i in range(500)], "b": [1.0, 2.0, 4.0]})
+    for found in (ranks.trimmed_mean(df, ["k"], "v", 0.1, "t"), clean.iqr_mask(df, ["k"], "v")):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and "BroadcastHashJoin" in plan
+        assert found.count() in (2, 503)
