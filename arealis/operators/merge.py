@@ -90,6 +90,8 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     An aggregate rather than a ranking window, so that a frequent key shrinks before the shuffle.
     """
     rest = [c for c in df.columns if c not in keys]
+    if rest == order and len(order) == 1:  # its least value: numbers are then kept in a hash table, not sorted as structs are
+        return df.groupBy(*keys).agg(F.min(order[0]).alias(order[0])).select(*df.columns)
     payload = F.struct(*[F.col(c) for c in rest])
     picked = df.groupBy(*keys).agg(F.min_by(payload, F.struct(*[f for c in order for f in (F.col(c).isNull(), F.col(c))])).alias("_first"))
     return picked.select(*keys, "_first.*").select(*df.columns)

@@ -145,3 +145,12 @@ def test_months(spark):
 
 def test_aliases():
     assert canonical_variable(" precipitation") == "RAINFALL" and canonical_variable("SoilMoisture") == "SOILMOISTURE"
+
+
+def test_first_of_one_value_is_hashed(spark):
+    """With one column besides the keys, which is the order too, the first row is its least value: no sort for the aggregate."""
+    df = spark.createDataFrame([("a", 2.0), ("a", None), ("a", 1.0), ("b", None), (None, 3.0), (None, 4.0)], "k string, v double")
+    found = merge.keep_first(df, ["k"], ["v"])
+    assert sorted(found.collect(), key=str) == sorted([("a", 1.0), ("b", None), (None, 3.0)], key=str)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
