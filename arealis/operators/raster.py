@@ -35,18 +35,18 @@ def composite(
 
 
 def zonal(
-    composites: DataFrame, zone: list[str], bands: dict[str, str], weight: str | None = None
+    composites: DataFrame, zone: list[str], bands: dict[str, str], weight: str | dict[str, str] | None = None
 ) -> DataFrame:
     """One value per zone, month and band over the zone's pixels.
 
-    ``weight`` names a column with the share of the pixel that lies in the zone; without it a pixel counts
-    fully in the zone of its centre.
+    ``weight`` names a column with the share of the pixel that lies in the zone, or one for each band; without it a pixel
+    counts fully in the zone of its centre.
     """
 
     def reduced(band: str, how: str) -> Column:
         if not weight:
             return REDUCERS[how](band)
-        share = F.when(F.col(band).isNotNull(), F.col(weight))
+        share = F.when(F.col(band).isNotNull(), F.col(weight if isinstance(weight, str) else weight[band]))
         total = F.sum(F.col(band) * share)
         return total if how == "sum" else F.try_divide(total, F.sum(share))
 

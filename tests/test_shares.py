@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from arealis.functions.geometry import RINGS_TYPE, zone_edges
-from arealis.operators import shares, zones
+from arealis.operators import raster, shares, zones
+from arealis.plans import catalog
 
 
 def ring(points, hole=False):
@@ -139,3 +140,51 @@ def test_points_in_zones_have_shares(spark):
     centre = {(r.p, r.name) for r in zones.zonal_join(df, layer(spark, shapes), ["name"]).collect()}
     part = {(r.p, r.name): r.share for r in shares.pixel_shares(df, layer(spark, shapes), ["name"], ["p"], 1e-7, 1e-7).collect()}
     assert {k for k, s in part.items() if s > 0.5} == centre
+
+
+def _crowd_of_pixels(spark):
+    """Composites with gaps, shares and places of pixels on a few spots; one pixel has no place, some keys are null or come twice."""
+    draw, nan = random.Random(4), float("nan")
+    values = [(p, y, m, *(draw.choice([None, draw.uniform(-5, 5)]) for _ in "ab")) for p in range(90) for y, m in [(2000, 1), (2000, 2), (2001, 1)] if draw.random() < 0.8]
+    values += [(3, 2000, 1, 1.0, None), (5, None, None, 2.0, 2.0), (7, 2002, 1, None, None), (8, 2002, 2, nan, 0.0), (9, 2002, 3, math.inf, 1.0), (None, 2000, 1, 9.0, 9.0), (500, 2000, 1, 9.0, 9.0)]
+    met = [(p, draw.choice(["u", "v", "w", None]), z, draw.uniform(0.1, 1)) for p in range(90) for z in range(12) if draw.random() < 0.5]
+    met += [(p, "only", p, 0.5) for p in (7, 8, 9)] + [(None, "u", 1, 0.5), (600, "u", 1, 0.5)]
+    places = [(p, float(p % 3), 0.5) for p in range(89)] + [(4, 2.0, 2.0), (None, 1.0, 1.0), (6, None, nan)]
+    return (
+        spark.createDataFrame(values, "p long, year int, month int, a double, b double"),
+        spark.createDataFrame(met, "p long, zone string, part int, share double"),
+        spark.createDataFrame(places, "p int, x double, y double"),
+    )
+
+
+@pytest.mark.parametrize("crowd, block", [(shares.GATHERED, shares.BLOCK), (40, 100)])
+def test_gathered_pixels_give_what_single_pairs_give(spark, monkeypatch, crowd, block):
+    monkeypatch.setattr(shares, "BLOCK", block)
+    values, met, places = _crowd_of_pixels(spark)
+    bands = {"a": "mean", "b": "sum"}
+    want = raster.zonal(values.join(met, "p"), ["zone", "part"], bands, weight="share")
+    near = shares.gathered(values, met, places, ["p"], ["zone", "part"], list(bands), (1.0, 1.0), crowd=crowd)
+    got = raster.zonal(near, ["zone", "part"], bands, weight={v: f"{v}_share" for v in bands})
+    assert got.schema.simpleString() == want.schema.simpleString()
+    keys = ["zone", "part", "year", "month"]
+    found, plain = ({tuple(r[k] for k in keys): (r.a, r.b) for r in df.collect()} for df in (got, want))
+    assert set(found) == set(plain) and len(found) == got.count()
+    for key, pair in plain.items():
+        assert found[key] == pytest.approx(pair, rel=1e-9, abs=1e-9, nan_ok=True) if None not in pair else (
+            [v is None for v in found[key]] == [v is None for v in pair] and all(v is None or v == pytest.approx(w, nan_ok=True) for v, w in zip(found[key], pair)))
+    assert got.where("year is null").count() == want.where("year is null").count() > 0
+
+
+def test_neighbours_leave_one_row_a_zone_and_month(spark):
+    """No row for every pixel, month and zone that meet is shuffled for the weighted polygons."""
+    pixels = spark.range(300).selectExpr("id AS p", "id / 1000 AS x", "0.5 AS y")
+    values = pixels.selectExpr("p", "2000 AS year", "explode(sequence(1, 4)) AS month", "x AS a")
+    met = pixels.selectExpr("p", "explode(sequence(1, 20)) AS zone", "0.25D AS share")
+    assert shares.gathered(values, met, pixels, ["p"], ["zone"], ["a"], (1.0, 1.0)).count() == 20 * 4
+    plan = shares.gathered(values, met.limit(0), pixels, ["p"], ["zone"], ["a"], (1.0, 1.0))
+    assert plan.count() == 0
+
+
+def test_weighted_polygons_gather_their_pixels(spark, sf_dir):
+    plan = catalog.zonal_weighted_polygons(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan
