@@ -157,6 +157,17 @@ def _crowd_of_pixels(spark):
     )
 
 
+def test_a_crowded_spot_is_dealt_out(spark, monkeypatch):
+    """Also one below the largest number, where it holds a good part of all shares."""
+    monkeypatch.setattr(shares, "FEW", 30)
+    places = spark.range(200).selectExpr("id AS p", "0.5 AS x", "0.5 AS y")
+    met = places.selectExpr("p", "explode(sequence(1, 20)) AS zone", "0.25D AS share")
+    dealt = shares._gathering(met, places, ["p"], (1.0, 1.0), "x", "y", shares.GATHERED)
+    assert dealt.count() == 200
+    most = dealt.groupBy("_place").count().agg(F.max("count")).first()[0]
+    assert most * 20 < 200 * 20 / 8
+
+
 @pytest.mark.parametrize("crowd, block", [(shares.GATHERED, shares.BLOCK), (40, 100)])
 def test_gathered_pixels_give_what_single_pairs_give(spark, monkeypatch, crowd, block):
     monkeypatch.setattr(shares, "BLOCK", block)
